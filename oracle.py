@@ -205,6 +205,17 @@ FEEDS["raw_change_feed"] = ([], """
          CAST(ts AS TIMESTAMP) AS created_at, CAST(ts AS TIMESTAMP) AS updated_at
   FROM events""")
 
+# Three extracts of products for the SCD2 snapshot: v2 re-prices id % 10 = 0, v3 drops id % 100 = 3
+# and adds new ids (id + 1000000 for id % 100 = 7).
+FEEDS["raw_products_v2"] = (["raw_products"], f"""
+  SELECT * REPLACE (CASE WHEN id % 10 = 0 THEN {m('price * CAST(1.1 AS DECIMAL(2,1))')} ELSE price END AS price)
+  FROM raw_products""")
+FEEDS["raw_products_v3"] = (["raw_products", "raw_products_v2"], """
+  SELECT * FROM raw_products_v2 WHERE id % 100 <> 3
+  UNION ALL
+  SELECT * REPLACE (id + 1000000 AS id, 'sku-n' || CAST(id + 1000000 AS VARCHAR) AS sku)
+  FROM raw_products WHERE id % 100 = 7""")
+
 # --------------------------------------------------------------------------- staging
 STG: dict[str, tuple[list[str], str]] = {}
 STG["stg_customers"] = (["raw_customers"], f"""

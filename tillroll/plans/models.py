@@ -55,6 +55,32 @@ class RetailModels:
     MART_NAMES = ("fct_orders", "fct_daily_marketing_performance", "recon_orders_vs_items",
                   "recon_payments_vs_refunds", "recon_marketing_spend_vs_revenue")
 
+    def materialized(self, root: str) -> "RetailModels":
+        """Write raw tables and marts once (Parquet under ``root``) and rebuild the graph over them.
+
+        Staging stays a view over the written raw tables; facts are written in dependency order
+        (the marketing reconciliation reads the written fact). Tests and reports then scan
+        tables instead of re-deriving the whole lineage per test."""
+        spark = next(iter(self.raw.values())).sparkSession
+        root = root.rstrip("/")
+        raw = {}
+        for name, df in self.raw.items():
+            df.write.mode("overwrite").parquet(f"{root}/raw/{name}")
+            raw[name] = spark.read.parquet(f"{root}/raw/{name}")
+        out = RetailModels(raw, self.run_ts)
+        for name in self.MART_NAMES:
+            out.model(name).write.mode("overwrite").parquet(f"{root}/mart/{name}")
+            out.__dict__[name] = spark.read.parquet(f"{root}/mart/{name}")
+        return out
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Every raw table, staging view and mart by name."""
+        d = dict(self.raw)
+        d.update(self.stg)
+        for n in self.MART_NAMES:
+            d[n] = self.model(n)
+        return d
+
     def model(self, name: str) -> DataFrame:
         if name in self.stg:
             return self.stg[name]
