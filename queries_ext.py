@@ -46,9 +46,17 @@ def _ov(name: str) -> str:
 # --------------------------------------------------------------------------- data tests (Q11-Q19)
 
 def q_data_tests(spark, sf_dir):
-    """The declared tests over materialized tables (raw and marts written once, staging as views)."""
-    m = RetailModels.from_driver_tables(spark, sf_dir).materialized(_scratch(spark, "models"))
-    return suites.run_declared_tests(m.tables())
+    """The declared tests over persisted tables (raw and marts computed once, staging as views).
+
+    The result has one row per test (a fixed, small list), so it is computed here and the
+    cached tables are released before returning."""
+    m = RetailModels.from_driver_tables(spark, sf_dir).persisted()
+    try:
+        res = suites.run_declared_tests(m.tables())
+        rows = res.collect()
+        return spark.createDataFrame(rows, res.schema)
+    finally:
+        m.unpersist()
 
 
 def _test_sql(t: quality.DataTest) -> str:
