@@ -4,8 +4,9 @@
 (cursor desc, load sequence desc, row hash desc): an older version never replaces a newer one,
 and re-applying the same batch changes nothing (idempotent).
 
-Plan at scale: only keys present in the batch are re-decided. Target rows whose key is not in
-the batch pass through a left-anti join untouched; the touched target rows and the batch are
+Plan at scale: only keys present in the batch are re-decided. The target is joined once with
+the batch key set (a flag column marks touched keys); untouched rows pass through, the
+touched target rows and the batch are
 reduced per key with ``max_by`` over a struct, a declarative aggregate that Spark runs as
 partial (map-side) + final aggregation — a hot key that holds a third of the rows is reduced to
 one row per map partition before the shuffle, never collected into one task. The batch key set
@@ -71,11 +72,14 @@ def merge_latest(target: DataFrame | None, batch: DataFrame, pk: list[str], curs
     if target is None:
         return latest_per_key(batch, pk, cursor)
     target, batch = evolve(target, batch)
-    keys = batch.select(*pk).distinct()
-    untouched = target.join(keys, pk, "left_anti")
-    touched = target.join(keys, pk, "left_semi")
+    cols = target.columns
+    keys = batch.select(*pk).distinct().withColumn("_hit", F.lit(True))
+    # one join of the target with the batch keys; both branches below read the same exchange
+    flagged = target.join(keys, pk, "left")
+    untouched = flagged.filter(F.col("_hit").isNull()).select(cols)
+    touched = flagged.filter(F.col("_hit")).select(cols)
     winners = latest_per_key(touched.unionByName(batch), pk, cursor)
-    return untouched.unionByName(winners.select(target.columns))
+    return untouched.unionByName(winners.select(cols))
 
 
 # --------------------------------------------------------------------------- versioned tables
