@@ -454,6 +454,41 @@ def o_list_movements_page() -> str:
                         ["raw_inventory_movements"])
 
 
+# One page per remaining feed listing (L1, L2, L4-L9, L11): feed, filters, page, size, oracle WHERE clause.
+LISTING_CASES = {
+    "list_customers_page": ("customers", {"is_active": True, "state": "EUROPE", "city": None}, 2, 100,
+                            "is_active AND state = 'EUROPE'"),
+    "list_products_page": ("products", {"is_active": True, "min_price": 950, "max_price": 960.5, "brand": ""}, 1, 250,
+                           "is_active AND price >= 950 AND price <= 960.5"),
+    "list_order_items_page": ("order_items", {"product_id": 7}, 1, 100, "product_id = 7"),
+    "list_payments_page": ("payments", {"payment_method": "PayPal", "payment_status": "Completed"}, 3, 200,
+                           "payment_method = 'PayPal' AND payment_status = 'Completed'"),
+    "list_refunds_page": ("refunds", {"reason": "damaged", "status": "Processed"}, 1, 1000,
+                          "reason = 'damaged' AND status = 'Processed'"),
+    "list_campaigns_page": ("campaigns", {"platform": "meta_ads", "status": None}, 1, 10, "platform = 'meta_ads'"),
+    "list_ad_sets_page": ("ad_sets", {"campaign_id": 2, "status": "active"}, 1, 10,
+                          "campaign_id = 2 AND status = 'active'"),
+    "list_ads_page": ("ads", {"ad_type": " Video ", "status": "ACTIVE"}, 1, 20, "ad_type = ' Video ' AND status = 'ACTIVE'"),
+    "list_inventory_snapshots_page": ("inventory_snapshots", {"warehouse_location": " wh-east",
+                                                              "snapshot_date": "1998-01-12"}, 2, 100,
+                                      "warehouse_location = ' wh-east' AND snapshot_date = '1998-01-12'"),
+}
+
+
+def _listing_query(name):
+    feed, params, page, size, _ = LISTING_CASES[name]
+
+    def run(spark, sf_dir):
+        return listing.list_page(fx.raw_feed(spark, sf_dir, feed), feed, params, page, size).with_envelope()
+    run.__name__ = f"q_{name}"
+    return run
+
+
+def _listing_oracle(name):
+    feed, _, page, size, where = LISTING_CASES[name]
+    return O.with_views(_page_sql(f"raw_{feed}", where, page, size), [f"raw_{feed}"])
+
+
 def q_get_order_by_id(spark, sf_dir):
     orders = fx.raw_feed(spark, sf_dir, "orders")
     return listing.get_by_id(orders, 7).unionByName(listing.get_by_id(orders, -1))
@@ -532,6 +567,7 @@ def registry() -> dict:
         "list_daily_performance_page": (q_list_daily_performance_page, o_list_daily_performance_page()),
         "list_movements_page": (q_list_movements_page, o_list_movements_page()),
         "get_order_by_id": (q_get_order_by_id, o_get_order_by_id()),
+        **{n: (_listing_query(n), _listing_oracle(n)) for n in LISTING_CASES},
         "feed_pages_roundtrip": (q_feed_pages_roundtrip, o_feed_pages_roundtrip()),
         "stream_merge_change_feed": (q_stream_merge_change_feed, o_latest_change_feed()),
         "commerce_pipeline_run": (q_commerce_pipeline_run, o_commerce_pipeline_run()),

@@ -65,9 +65,10 @@ class Page:
 
     def with_envelope(self) -> DataFrame:
         """Page rows with the envelope fields as columns."""
+        types = {"total_count": "long", "has_next": "boolean", "has_previous": "boolean"}
         out = self.data
         for k, v in self.envelope().items():
-            out = out.withColumn(k, F.lit(v))
+            out = out.withColumn(k, F.lit(v).cast(types.get(k, "int")))
         return out
 
 

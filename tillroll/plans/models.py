@@ -97,6 +97,14 @@ class RetailModels:
             d[n] = self.model(n)
         return d
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """K4: expose every table and view to SQL (``spark.sql`` / custom checks) as temp views."""
+        names = []
+        for n, df in self.tables().items():
+            df.createOrReplaceTempView(prefix + n)
+            names.append(prefix + n)
+        return names
+
     def model(self, name: str) -> DataFrame:
         if name in self.stg:
             return self.stg[name]
