@@ -6,6 +6,8 @@ prunes every column a mart does not read.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,6 +223,28 @@ STAGING = {
 }
 
 
-def build_staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All staging views from a dict of raw tables (missing raw tables are skipped)."""
-    return {name: fn(raw[src]) for name, (src, fn) in STAGING.items() if src in raw}
+class LazyStaging(Mapping):
+    """Staging views over a raw mapping, each built on first access."""
+
+    def __init__(self, raw):
+        self.raw = raw
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in STAGING or STAGING[name][0] not in self.raw:
+            raise KeyError(name)
+        if name not in self._built:
+            src, fn = STAGING[name]
+            self._built[name] = fn(self.raw[src])
+        return self._built[name]
+
+    def __iter__(self):
+        return iter([n for n, (src, _) in STAGING.items() if src in self.raw])
+
+    def __len__(self) -> int:
+        return len(list(iter(self)))
+
+
+def build_staging(raw) -> LazyStaging:
+    """All staging views from a mapping of raw tables (missing raw tables are skipped)."""
+    return LazyStaging(raw)

@@ -12,6 +12,8 @@ Scale notes: every feed is one narrow projection of one driver table, except
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -66,11 +68,14 @@ class DriverTables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:  # one file listing / footer read per table
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
 
 # --------------------------------------------------------------------------- commerce
@@ -393,19 +398,34 @@ BUILDERS = {
 }
 
 
-def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All 12 raw feeds as lazy DataFrames (order_items built once and shared)."""
-    t = DriverTables(spark, sf_dir)
-    items = order_items(t)
-    feeds = {}
-    for name, fn in BUILDERS.items():
-        if name in ("orders", "refunds", "inventory_movements"):
-            feeds[name] = fn(t, items)
-        elif name == "order_items":
-            feeds[name] = items
-        else:
-            feeds[name] = fn(t)
-    return feeds
+class LazyFeeds(Mapping):
+    """The 12 raw feeds, each built on first access (plans are cheap but not free to analyse);
+    ``order_items`` is built once and shared by orders, refunds and movements."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.t = DriverTables(spark, sf_dir)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in BUILDERS:
+            raise KeyError(name)
+        if name not in self._built:
+            if name in ("orders", "refunds", "inventory_movements"):
+                self._built[name] = BUILDERS[name](self.t, self["order_items"])
+            else:
+                self._built[name] = BUILDERS[name](self.t)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
+
+
+def raw_feeds(spark: SparkSession, sf_dir: str) -> LazyFeeds:
+    """All 12 raw feeds as lazy DataFrames (built on first access)."""
+    return LazyFeeds(spark, sf_dir)
 
 
 def raw_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
