@@ -121,60 +121,51 @@ FK_CHECKS = [
 METADATA_COLUMNS = ("_load_id", "_row_id")
 
 
-def raw_suite(raw: dict[str, DataFrame]) -> DataFrame:
+def raw_suite(raw) -> DataFrame:
     """Five-part raw validation as one DataFrame: section, check_name, table_name, observed, passed.
 
-    1 counts, 2 metadata columns, 3 not-null map (one ``agg`` per table), 4 FK orphans (anti joins),
-    5 spot checks. All parts are unioned into one lazy plan.
+    1 counts, 2 metadata columns, 3 not-null map, 4 FK orphans (anti joins), 5 spot checks.
+    Compiled into one SQL statement over temp views: each table's counts, null counts and
+    spot-check counts come from a single scan (one ``agg``), each orphan check is one anti join.
     """
-    parts: list[DataFrame] = []
-
-    def add(df: DataFrame, section: str, check: str, table: str, passed_when_zero: bool = True) -> None:
-        parts.append(df.select(F.lit(section).alias("section"), F.lit(check).alias("check_name"),
-                               F.lit(table).alias("table_name"), F.col("observed").cast("long").alias("observed"),
-                               ((F.col("observed") == 0) if passed_when_zero else (F.col("observed") > 0))
-                               .alias("passed")))
+    import uuid
 
+    spark = raw[RAW_TABLES[0]].sparkSession
+    tag = uuid.uuid4().hex[:8]
+    v = {}
     for t in RAW_TABLES:
-        add(raw[t].agg(F.count(F.lit(1)).alias("observed")), "1_counts", "row_count", t, passed_when_zero=False)
+        v[t] = f"_rs_{tag}_{t}"
+        raw[t].createOrReplaceTempView(v[t])
+    ost = ", ".join(f"'{x}'" for x in ORDER_STATUSES)
+    pst = ", ".join(f"'{x}'" for x in PAYMENT_STATUSES)
+    spot = {
+        "orders": [("orders_positive_totals", "total_amount < 0"),
+                   ("orders_valid_statuses", f"status NOT IN ({ost})")],
+        "products": [("products_price_gt_cost", "cost_price >= price"), ("products_positive_prices", "price <= 0")],
+        "payments": [("payments_valid_statuses", f"payment_status NOT IN ({pst})")],
+    }
+    parts = []
     for t in RAW_TABLES:
+        # one scan per table: row count, the not-null map and the spot checks
+        items = [("1_counts", "row_count", "count(*)", "> 0")]
+        items += [("3_not_null", f"null_{c}", f"count_if(`{c}` IS NULL)", "= 0") for c in NOT_NULL_COLUMNS[t]]
+        items += [("5_spot_checks", n, f"count_if({pred})", "= 0") for n, pred in spot.get(t, [])]
+        aggs = ", ".join(f"CAST({e} AS BIGINT) AS _c{k}" for k, (_, _, e, _) in enumerate(items))
+        stack = ", ".join(f"'{sec}', '{name}', '{t}', _c{k}, _c{k} {cmp}" for k, (sec, name, _, cmp) in enumerate(items))
+        parts.append(f"SELECT stack({len(items)}, {stack}) FROM (SELECT {aggs} FROM {v[t]})")
         cols = raw[t].columns
         has_meta = all(c in cols for c in METADATA_COLUMNS)
         n_data = len([c for c in cols if not c.startswith("_")])
-        parts.append(raw[t].sparkSession.range(1).select(
-            F.lit("2_schema").alias("section"), F.lit("data_columns").alias("check_name"),
-            F.lit(t).alias("table_name"), F.lit(n_data).cast("long").alias("observed"),
-            F.lit(has_meta).alias("passed")))
-    for t, cols in NOT_NULL_COLUMNS.items():
-        agg = raw[t].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        stacked = agg.select(F.explode(F.array(*[
-            F.struct(F.lit(f"null_{c}").alias("check_name"), F.col(c).cast("long").alias("observed"))
-            for c in cols])).alias("r")).select("r.*")
-        parts.append(stacked.select(F.lit("3_not_null").alias("section"), "check_name", F.lit(t).alias("table_name"),
-                                    "observed", (F.col("observed") == 0).alias("passed")))
-    for child, ccol, parent, pcol in FK_CHECKS:
-        orphans = orphan_count(raw[child], ccol, raw[parent], pcol).agg(F.count(F.lit(1)).alias("observed"))
-        add(orphans, "4_foreign_keys", f"{child}.{ccol}->{parent}.{pcol}", child)
-    spot = [
-        ("orders_positive_totals", "orders", raw["orders"].agg(F.count_if(F.col("total_amount") < 0).alias("observed"))),
-        ("products_price_gt_cost", "products",
-         raw["products"].agg(F.count_if(F.col("cost_price") >= F.col("price")).alias("observed"))),
-        ("products_positive_prices", "products", raw["products"].agg(F.count_if(F.col("price") <= 0).alias("observed"))),
-        ("orders_valid_statuses", "orders",
-         raw["orders"].agg(F.count_if(~F.col("status").isin(ORDER_STATUSES)).alias("observed"))),
-        ("payments_valid_statuses", "payments",
-         raw["payments"].agg(F.count_if(~F.col("payment_status").isin(PAYMENT_STATUSES)).alias("observed"))),
-        ("every_order_has_items", "orders",
-         orphan_count(raw["orders"], "id", raw["order_items"], "order_id").agg(F.count(F.lit(1)).alias("observed"))),
-        ("every_order_has_payment", "orders",
-         orphan_count(raw["orders"], "id", raw["payments"], "order_id").agg(F.count(F.lit(1)).alias("observed"))),
-    ]
-    for name, table, df in spot:
-        add(df, "5_spot_checks", name, table)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts.append(f"SELECT '2_schema', 'data_columns', '{t}', CAST({n_data} AS BIGINT), {str(has_meta).lower()}")
+    anti = [(f"{c}.{cc}->{p}.{pc}", c, c, cc, p, pc, "4_foreign_keys") for c, cc, p, pc in FK_CHECKS]
+    anti += [("every_order_has_items", "orders", "orders", "id", "order_items", "order_id", "5_spot_checks"),
+             ("every_order_has_payment", "orders", "orders", "id", "payments", "order_id", "5_spot_checks")]
+    for name, table, child, ccol, parent, pcol, sec in anti:
+        parts.append(f"SELECT '{sec}', '{name}', '{table}', CAST(n AS BIGINT), n = 0 FROM (SELECT count(*) AS n "
+                     f"FROM {v[child]} ch LEFT ANTI JOIN (SELECT DISTINCT `{pcol}` AS _pk FROM {v[parent]}) pa "
+                     f"ON ch.`{ccol}` = pa._pk)")
+    body = " UNION ALL ".join(f"({x})" for x in parts)
+    return spark.sql(f"SELECT * FROM ({body}) AS r(section, check_name, table_name, observed, passed)")
 
 
 # --------------------------------------------------------------------------- layer checks and summary
