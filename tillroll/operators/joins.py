@@ -1,0 +1,24 @@
+"""Join helpers whose plans hold up when one key carries a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def fanout_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` for a right side that may repeat a key.
+
+    Written as (left INNER JOIN right) UNION ALL (left rows without a match). With AQE, a
+    skewed partition of an inner sort-merge join can be split on either side, while a left
+    outer join can only split its left side; the unmatched rows come from an anti join against
+    the *distinct* right keys, and the distinct collapses a hot key on the map side. The
+    result is exactly the left outer join: unmatched left rows carry nulls in the right columns.
+    """
+    matched = left.join(right, left[left_key] == right[right_key], "inner")
+    keys = right.select(F.col(right_key).alias("_fk")).distinct()
+    unmatched = left.join(keys, left[left_key] == keys["_fk"], "left_anti")
+    for f in right.schema.fields:
+        unmatched = unmatched.withColumn(f"__r_{f.name}", F.lit(None).cast(f.dataType))
+    unmatched = unmatched.select(*left.columns, *[F.col(f"__r_{f.name}").alias(f.name) for f in right.schema.fields])
+    return matched.select(*[left[c] for c in left.columns], *[right[c] for c in right.columns]).union(unmatched)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import NUMERIC, day_of_week, float_ratio, nullif_zero, numeric_ratio
+from tillroll.operators.joins import fanout_left_join
 
 
 def order_status_category(status) -> F.Column:
@@ -49,18 +50,24 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items:
     c = stg_customers.select("customer_id", "full_name", "email", "city", "state", "country").alias("c")
     oi = item_totals(stg_order_items).alias("oi")
     # Payments are not aggregated; an order with two payments yields two rows (kept on purpose).
-    p = stg_payments.select("order_id", "payment_method", "payment_status", "payment_amount", "paid_at").alias("p")
     r = refund_totals(stg_refunds).alias("r")
 
     zero = F.lit(0).cast(NUMERIC)
-    item_disc = F.coalesce(F.col("oi.items_discount_total"), zero)
-    refund_amt = F.coalesce(F.col("r.total_refund_amount"), zero)
-    joined = (
+    item_disc = F.coalesce(F.col("o.oi_items_discount_total"), zero)
+    refund_amt = F.coalesce(F.col("o.r_total_refund_amount"), zero)
+    # Per-order aggregates first (one row per order: the joins reuse one partitioning on
+    # order_id), then the payment fan-out, then customers (one more shuffle, on customer_id).
+    by_order = (
         o.join(oi, F.col("o.order_id") == F.col("oi.order_id"), "left")
-        .join(p, F.col("o.order_id") == F.col("p.order_id"), "left")
         .join(r, F.col("o.order_id") == F.col("r.order_id"), "left")
-        .join(c, F.col("o.customer_id") == F.col("c.customer_id"), "left")
+        .select("o.*", *[F.col(f"oi.{x}").alias(f"oi_{x}") for x in ("item_count", "total_quantity",
+                                                                      "items_discount_total")],
+                *[F.col(f"r.{x}").alias(f"r_{x}") for x in ("refund_count", "total_refund_amount")])
     )
+    pays = stg_payments.select(F.col("order_id").alias("p_order_id"), *[F.col(x).alias(f"p_{x}") for x in (
+        "payment_method", "payment_status", "payment_amount", "paid_at")])
+    joined = (fanout_left_join(by_order, pays, "order_id", "p_order_id").alias("o")
+              .join(c, F.col("o.customer_id") == F.col("c.customer_id"), "left"))
     return joined.select(
         F.col("o.order_id").alias("order_id"),
         F.col("o.order_number").alias("order_number"),
@@ -74,8 +81,8 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items:
         F.col("c.country").alias("customer_country"),
         F.col("o.order_status").alias("order_status"),
         order_status_category(F.col("o.order_status")).alias("order_status_category"),
-        F.coalesce(F.col("oi.item_count"), F.lit(0)).cast("long").alias("item_count"),
-        F.coalesce(F.col("oi.total_quantity"), F.lit(0)).cast("long").alias("total_quantity"),
+        F.coalesce(F.col("o.oi_item_count"), F.lit(0)).cast("long").alias("item_count"),
+        F.coalesce(F.col("o.oi_total_quantity"), F.lit(0)).cast("long").alias("total_quantity"),
         F.col("o.subtotal").cast(NUMERIC).alias("subtotal"),
         F.col("o.discount_amount").cast(NUMERIC).alias("order_discount_amount"),
         item_disc.cast(NUMERIC).alias("item_discount_amount"),
@@ -83,13 +90,13 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items:
         F.col("o.tax_amount").cast(NUMERIC).alias("tax_amount"),
         F.col("o.shipping_amount").cast(NUMERIC).alias("shipping_amount"),
         F.col("o.total_amount").cast(NUMERIC).alias("order_total"),
-        F.col("p.payment_method").alias("payment_method"),
-        F.col("p.payment_status").alias("payment_status"),
-        F.col("p.payment_amount").cast(NUMERIC).alias("payment_amount"),
-        F.col("p.paid_at").alias("paid_at"),
-        F.coalesce(F.col("r.refund_count"), F.lit(0)).cast("long").alias("refund_count"),
+        F.col("o.p_payment_method").alias("payment_method"),
+        F.col("o.p_payment_status").alias("payment_status"),
+        F.col("o.p_payment_amount").cast(NUMERIC).alias("payment_amount"),
+        F.col("o.p_paid_at").alias("paid_at"),
+        F.coalesce(F.col("o.r_refund_count"), F.lit(0)).cast("long").alias("refund_count"),
         refund_amt.cast(NUMERIC).alias("refund_amount"),
-        F.coalesce(F.col("r.refund_count") > 0, F.lit(False)).alias("has_refund"),
+        F.coalesce(F.col("o.r_refund_count") > 0, F.lit(False)).alias("has_refund"),
         (F.col("o.total_amount") - refund_amt).cast(NUMERIC).alias("net_revenue"),
         F.col("o.shipping_city").alias("shipping_city"),
         F.col("o.shipping_state").alias("shipping_state"),
