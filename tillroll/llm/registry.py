@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe
+from . import bpe, langid
 
 QUERIES = {
     "op4_bpe": bpe.op4_bpe,
+    "op10_langid": langid.op10_langid,
 }
 ORACLES: dict[str, str] = {}
 
