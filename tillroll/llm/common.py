@@ -41,6 +41,43 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once: a lambda variable stands for it."""
+    return F.element_at(F.transform(F.array(value), lambda v: use(v)), 1)
+
+
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def gram_hashes(hashes: Column, k: int) -> Column:
+    """64-bit hashes of all runs of ``k`` neighbours of an array of word hashes (empty if it is
+    shorter). Runs of 1, 2, 4, ... are joined to the runs of ``k``: a few steps over the array."""
+    def shifted(h: Column, by: int) -> Column:
+        return F.slice(h, by + 1, F.greatest(F.size(h) - by, F.lit(0)))
+
+    def joined(a: Column, b: Column, by: int) -> Column:
+        """hash(a[i], b[i + by]); what reaches beyond the end is cut off later."""
+        return F.zip_with(a, shifted(b, by), lambda x, y: F.xxhash64(x, y))
+
+    return F.slice(_runs(hashes, k, joined), 1, F.greatest(F.size(hashes) - (k - 1), F.lit(0)))
+
+
+def _runs(hashes: Column, k: int, joined) -> Column:
+    powers = [b for b in range(k.bit_length()) if k >> b & 1]
+
+    def step(levels: list[Column]) -> Column:
+        if len(levels) < k.bit_length():
+            return let(joined(levels[-1], levels[-1], 1 << (len(levels) - 1)), lambda h: step([*levels, h]))
+        out, width = levels[powers[-1]], 1 << powers[-1]
+        for b in reversed(powers[:-1]):
+            out = joined(out, levels[b], width)
+            width += 1 << b
+        return out
+
+    return step([hashes])
+
+
 # ------------------------------------------------------------------ numpy pieces used inside tasks
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, langid
+from . import bpe, langid, quality
 
 QUERIES = {
     "op4_bpe": bpe.op4_bpe,
+    "op8_quality": quality.op8_quality,
     "op10_langid": langid.op10_langid,
 }
 ORACLES: dict[str, str] = {}
