@@ -50,32 +50,39 @@ def word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def gram_hashes(hashes: Column, k: int) -> Column:
-    """64-bit hashes of all runs of ``k`` neighbours of an array of word hashes (empty if it is
-    shorter). Runs of 1, 2, 4, ... are joined to the runs of ``k``: a few steps over the array."""
-    def shifted(h: Column, by: int) -> Column:
-        return F.slice(h, by + 1, F.greatest(F.size(h) - by, F.lit(0)))
+def _ahead(h: Column, by: int) -> Column:
+    return F.slice(h, by + 1, F.greatest(F.size(h) - by, F.lit(0)))
 
-    def joined(a: Column, b: Column, by: int) -> Column:
-        """hash(a[i], b[i + by]); what reaches beyond the end is cut off later."""
-        return F.zip_with(a, shifted(b, by), lambda x, y: F.xxhash64(x, y))
 
-    return F.slice(_runs(hashes, k, joined), 1, F.greatest(F.size(hashes) - (k - 1), F.lit(0)))
+def _runs(h: Column, k: int, join, disjoint: bool) -> Column:
+    """For each run of ``k`` neighbours of ``h`` the value that ``join`` makes of them, in a few steps
+    over the array: runs of 1, 2, 4, ... are doubled, then put together to ``k`` (side by side if
+    ``disjoint``, else the last two may overlap)."""
+    def step(levels: list[Column]) -> Column:
+        width = 1 << (len(levels) - 1)
+        if 2 * width <= k:
+            return let(F.zip_with(levels[-1], _ahead(levels[-1], width), join), lambda twice: step([*levels, twice]))
+        out, done = levels[-1], width
+        if not disjoint:
+            return out if done == k else F.zip_with(out, _ahead(out, k - width), join)
+        for bit in reversed(range(len(levels) - 1)):
+            if k >> bit & 1:
+                out = F.zip_with(out, _ahead(levels[bit], done), join)
+                done += 1 << bit
+        return out
 
+    # What reaches beyond the end of the array is cut off.
+    return F.slice(step([h]), 1, F.greatest(F.size(h) - (k - 1), F.lit(0)))
 
-def _runs(hashes: Column, k: int, joined) -> Column:
-    powers = [b for b in range(k.bit_length()) if k >> b & 1]
 
-    def step(levels: list[Column]) -> Column:
-        if len(levels) < k.bit_length():
-            return let(joined(levels[-1], levels[-1], 1 << (len(levels) - 1)), lambda h: step([*levels, h]))
-        out, width = levels[powers[-1]], 1 << powers[-1]
-        for b in reversed(powers[:-1]):
-            out = joined(out, levels[b], width)
-            width += 1 << b
-        return out
+def gram_hashes(hashes: Column, k: int) -> Column:
+    """64-bit hashes of all runs of ``k`` neighbours of an array of word hashes (empty if it is shorter)."""
+    return _runs(hashes, k, lambda a, b: F.xxhash64(a, b), True)
+
 
-    return step([hashes])
+def slide(values: Column, k: int, pick) -> Column:
+    """``pick`` (least or greatest) over all runs of ``k`` neighbours."""
+    return _runs(values, k, pick, False)
 
 
 # ------------------------------------------------------------------ numpy pieces used inside tasks

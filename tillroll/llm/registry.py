@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, quality
+from . import bpe, decontaminate, langid, quality
 
 QUERIES = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_bpe": bpe.op4_bpe,
     "op8_quality": quality.op8_quality,
     "op10_langid": langid.op10_langid,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": decontaminate.ORACLE,
+}
 
 
 def registry() -> dict:
