@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, langid, quality
+from . import bpe, decontaminate, html_text, langid, quality
 
 QUERIES = {
+    "op1_html_text": html_text.op1_html_text,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_bpe": bpe.op4_bpe,
     "op8_quality": quality.op8_quality,
