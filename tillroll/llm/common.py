@@ -109,3 +109,78 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     out = np.arange(total, dtype=np.int64)
     out += np.repeat(np.asarray(starts, np.int64) - (ends - lengths), lengths)
     return out
+
+
+# Polynomial hashing modulo 2**64 with an odd base: the hash of bytes [a, b) is
+# (sum[b] - sum[a]) * base ** -a, so that any substring's hash takes two look-ups.
+_RNG = np.random.Generator(np.random.PCG64(20240229))
+_BYTE = _RNG.integers(1, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 2 ** 64)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), modulo 2**64; kept for the process."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        have = np.full(max(n, 1 << 20), base, np.uint64)
+        have[0] = 1
+        have = _POWERS[base] = np.cumprod(have, dtype=np.uint64)
+    return have[:n]
+
+
+class Rolling:
+    """Hashes of substrings of one array, values given by ``table`` (bytes) or as they are (uint64)."""
+
+    def __init__(self, values: np.ndarray, base: int = _BASE):
+        values = _BYTE[values] if values.dtype == np.uint8 else values
+        self.base, self.inverse = base, pow(base, -1, 2 ** 64)
+        self.sums = np.empty(len(values) + 1, np.uint64)
+        self.sums[0] = 0
+        np.cumsum(values * powers(base, len(values)), out=self.sums[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(starts) == 0:
+            return np.empty(0, np.uint64)
+        return mix64((self.sums[ends] - self.sums[starts]) * powers(self.inverse, len(self.sums))[starts])
+
+
+_IS_WHITE = np.zeros(256, bool)
+_IS_WHITE[[32, *range(9, 14)]] = True
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[65:91] += 32
+
+
+class Words:
+    """Words `[^\\x20\\x09-\\x0D]+` of a list of texts (UTF-8 bytes): byte range and 64-bit hash of each
+    word in order, and for each text the number of its words."""
+
+    def __init__(self, texts: list[bytes], lower: bool):
+        self.data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        solid = ~_IS_WHITE[self.data]
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], solid)).view(np.int8)))
+        self.starts, self.ends = edge[0::2], edge[1::2]
+        self.hashes = Rolling(_LOWERED[self.data] if lower else self.data).hashes(self.starts, self.ends)
+        ends = np.cumsum(np.array([len(t) + 1 for t in texts], np.int64))
+        upto = np.searchsorted(self.starts, ends)
+        self.counts = np.diff(np.concatenate(([0], upto)))
+        self.offsets = np.concatenate(([0], upto))
+
+
+def chunks(batches, column: int, size: int):
+    """(record batch slice, its texts as bytes, null as empty) of about ``size`` bytes each; a
+    longer text comes alone."""
+    for batch in batches:
+        texts, at = batch.column(column), 0
+        while at < batch.num_rows:
+            first, part, total = at, [], 0
+            while at < batch.num_rows:
+                text = texts[at].as_py()
+                text = b"" if text is None else text.encode() if isinstance(text, str) else text
+                if part and total + len(text) > size:
+                    break
+                part.append(text)
+                total += len(text)
+                at += 1
+            yield batch.slice(first, at - first), part

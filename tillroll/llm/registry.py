@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, html_text, langid, quality
+from . import bpe, decontaminate, html_text, langid, near_dedup, quality
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_bpe": bpe.op4_bpe,
+    "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_quality": quality.op8_quality,
     "op10_langid": langid.op10_langid,
 }
