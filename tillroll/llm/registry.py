@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, html_text, langid, near_dedup, quality
+from . import bpe, decontaminate, html_text, langid, near_dedup, quality, substring_dedup
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_bpe": bpe.op4_bpe,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_quality": quality.op8_quality,
     "op10_langid": langid.op10_langid,
 }
 ORACLES: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
+    "op6_substring_dedup": substring_dedup.ORACLE,
 }
 
 
