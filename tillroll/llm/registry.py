@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, html_text, langid, near_dedup, quality, substring_dedup
+from . import bpe, decontaminate, html_text, langid, near_dedup, quality, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
@@ -11,11 +11,13 @@ QUERIES = {
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_quality": quality.op8_quality,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_langid": langid.op10_langid,
 }
 ORACLES: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
+    "op9_suffix_dedup": suffix_dedup.ORACLE,
 }
 
 
