@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, html_text, langid, near_dedup, quality, substring_dedup, suffix_dedup
+from . import bpe, decontaminate, html_text, langid, near_dedup, quality, substring_dedup, suffix_dedup, url_filter
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_bpe": bpe.op4_bpe,
+    "op5_url_filter": url_filter.op5_url_filter,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_quality": quality.op8_quality,
