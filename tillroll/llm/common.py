@@ -54,7 +54,7 @@ def _ahead(h: Column, by: int) -> Column:
     return F.slice(h, by + 1, F.greatest(F.size(h) - by, F.lit(0)))
 
 
-def _runs(h: Column, k: int, join, disjoint: bool) -> Column:
+def runs(h: Column, k: int, join, disjoint: bool) -> Column:
     """For each run of ``k`` neighbours of ``h`` the value that ``join`` makes of them, in a few steps
     over the array: runs of 1, 2, 4, ... are doubled, then put together to ``k`` (side by side if
     ``disjoint``, else the last two may overlap)."""
@@ -77,12 +77,12 @@ def _runs(h: Column, k: int, join, disjoint: bool) -> Column:
 
 def gram_hashes(hashes: Column, k: int) -> Column:
     """64-bit hashes of all runs of ``k`` neighbours of an array of word hashes (empty if it is shorter)."""
-    return _runs(hashes, k, lambda a, b: F.xxhash64(a, b), True)
+    return runs(hashes, k, lambda a, b: F.xxhash64(a, b), True)
 
 
 def slide(values: Column, k: int, pick) -> Column:
     """``pick`` (least or greatest) over all runs of ``k`` neighbours."""
-    return _runs(values, k, pick, False)
+    return runs(values, k, pick, False)
 
 
 # ------------------------------------------------------------------ numpy pieces used inside tasks

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, read, stored
+from .common import lower_ascii, read, runs, stored
 
 ORDER = 3
 #: (verdict, host, path); a rule's name is host + path.
@@ -58,8 +58,7 @@ def _grams(texts: DataFrame) -> DataFrame:
     padded = F.split(F.concat(F.lit("^" * ORDER), F.col("text"), F.lit("$")), "")
     padded = F.filter(padded, lambda c: c != "")
     return (texts.withColumn("chars", padded).drop("text")
-            .withColumn("grams", F.transform(F.sequence(F.lit(1), F.size("chars") - ORDER),
-                                             lambda i: F.array_join(F.slice("chars", i, ORDER + 1), "")))
+            .withColumn("grams", runs(F.col("chars"), ORDER + 1, lambda x, y: F.concat(x, y), True))
             .withColumn("gram", F.explode("grams")).drop("chars", "grams"))
 
 
