@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, html_text, langid, near_dedup, quality, substring_dedup, suffix_dedup, url_filter
+from . import bpe, decontaminate, html_text, langid, lm_score, near_dedup, quality, substring_dedup, suffix_dedup, url_filter
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_lm_score": lm_score.op3_lm_score,
     "op4_bpe": bpe.op4_bpe,
     "op5_url_filter": url_filter.op5_url_filter,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
