@@ -8,6 +8,8 @@ from tillroll.functions.scalar import (  # noqa: F401
     clean_upper,
     day_of_week,
     numeric,
+    numeric_add,
+    numeric_subtract,
     numeric_ratio,
     float_ratio,
     nullif_zero,

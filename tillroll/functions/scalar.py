@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 NUMERIC = "decimal(38,9)"
 # Money as it arrives in a feed (two decimals).
 MONEY_IN = "decimal(18,2)"
-# Both sides of a NUMERIC division are narrowed to this type first: Spark then keeps
-# 18 fraction digits (decimal(38,18)), enough to round the quotient to 9 exactly.
-_DIVIDE_OPERAND = "decimal(20,9)"
+# Operands of a NUMERIC division: Spark's quotient of two such numbers is decimal(38,9), rounded half
+# up once, and the operands reach 1e20.
+_DIVIDE_OPERAND = "decimal(29,9)"
+# Operands of a NUMERIC sum or difference: of these Spark keeps all nine fraction digits (of two
+# decimal(38,9) it keeps eight).
+_ADD_OPERAND = "decimal(37,9)"
 
-# Whitespace as the warehouse trim sees it: any Unicode blank, not only the space.
-_EDGE_BLANKS = r"(?U)^\s+|\s+$"
+# Whitespace as the warehouse trim sees it: every character with the Unicode White_Space property.
+_BLANKS = ("\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+           + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _c(c) -> Column:
@@ -27,7 +31,7 @@ def _c(c) -> Column:
 
 def clean(c) -> Column:
     """trim(x): strip Unicode whitespace at both ends (X2); null stays null."""
-    return F.regexp_replace(_c(c), _EDGE_BLANKS, "")
+    return F.btrim(_c(c), F.lit(_BLANKS))
 
 
 def clean_lower(c) -> Column:
@@ -43,6 +47,16 @@ def numeric(c) -> Column:
     return _c(c).cast(NUMERIC)
 
 
+def numeric_add(a, b) -> Column:
+    """a + b on NUMERIC operands, exact in all nine fraction digits."""
+    return (_c(a).cast(_ADD_OPERAND) + _c(b).cast(_ADD_OPERAND)).cast(NUMERIC)
+
+
+def numeric_subtract(a, b) -> Column:
+    """a - b on NUMERIC operands, exact in all nine fraction digits."""
+    return (_c(a).cast(_ADD_OPERAND) - _c(b).cast(_ADD_OPERAND)).cast(NUMERIC)
+
+
 def nullif_zero(c) -> Column:
     """nullif(x, 0)."""
     return F.nullif(_c(c), F.lit(0))
@@ -51,7 +65,7 @@ def nullif_zero(c) -> Column:
 def numeric_ratio(num, den, scale: int = 9) -> Column:
     """safe_divide on NUMERIC operands (X6): null on a zero or null divisor.
 
-    The quotient is rounded half away from zero to ``scale`` digits and returned as NUMERIC.
+    The quotient is rounded half away from zero, to nine digits and then to ``scale``, as NUMERIC.
     """
     q = F.try_divide(_c(num).cast(_DIVIDE_OPERAND), _c(den).cast(_DIVIDE_OPERAND))
     return F.round(q, scale).cast(NUMERIC)
