@@ -46,8 +46,8 @@ FEED_SCHEMAS: dict[str, T.StructType] = {
               ("headline", S, False), ("description", S, True), ("call_to_action", S, False),
               ("destination_url", S, False), ("status", S, False)),
     "daily_performance": _s(("id", L, False), ("ad_id", L, False), ("date", S, False), ("impressions", I, False),
-                            ("clicks", I, False), ("spend", MONEY, False), ("ctr", MONEY, False),
-                            ("cpc", MONEY, True), ("purchases", I, False), ("revenue", MONEY, False)),
+                            ("clicks", I, False), ("spend", MONEY, False), ("ctr", DT, False),
+                            ("cpc", DT, True), ("purchases", I, False), ("revenue", MONEY, False)),
     "inventory_snapshots": _s(("id", L, False), ("product_id", L, False), ("snapshot_date", S, False),
                               ("quantity_on_hand", I, False), ("quantity_reserved", I, False),
                               ("quantity_available", I, False), ("unit_cost", MONEY, False),

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.schemas import FEED_SCHEMAS, page_envelope
-from tillroll.session import cut_lineage
+from tillroll.schemas import EVOLVED_COLUMNS, FEED_SCHEMAS, page_envelope
 
-PAGE_SIZE = 500
+PAGE_SIZE = 500  # records of one page of a feed
 
 
 @dataclass(frozen=True)
@@ -51,58 +50,19 @@ def feed(name: str) -> FeedSpec:
     raise KeyError(name)
 
 
-def read_pages(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, spec: FeedSpec, evolved: bool = False) -> DataFrame:
     """Landed page files (one JSON envelope per line) -> one row per record.
 
     Files are split across tasks by Spark; an empty ``data`` array yields no rows (the
-    paging loop's stop condition needs no driver-side loop here)."""
-    env = page_envelope(spec.row_schema)
-    pages = spark.read.schema(env).json(path)
+    paging loop's stop condition needs no driver-side loop here). A truncated or malformed page
+    fails the read. With ``evolved`` the columns that a feed is known to gain (K3) are read too."""
+    schema = spec.row_schema
+    if evolved:
+        schema = T.StructType(schema.fields + [T.StructField(n, k) for n, k in EVOLVED_COLUMNS.get(spec.name, [])])
+    pages = spark.read.schema(page_envelope(schema)).option("mode", "FAILFAST").json(path)
     return pages.select(F.explode("data").alias("r")).select("r.*")
 
 
-def row_index(df: DataFrame, order: list[str], name: str = "_rn") -> DataFrame:
-    """0-based global position of each row in ``order`` without a single-partition window.
-
-    ``orderBy`` range-partitions the rows; per-partition counts (one row per partition) give
-    each partition's offset, which is joined back (broadcast: its size is the partition count).
-    """
-    ordered = df.orderBy(*order).withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_mid", F.monotonically_increasing_id())
-    # Partition ids must be the same for the counts and the join: pin them with a reliable checkpoint.
-    ordered = cut_lineage(ordered)
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    from pyspark.sql import Window
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (ordered.join(F.broadcast(offsets.select("_pid", "_off", "_first")), "_pid")
-            .withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first"))
-            .drop("_pid", "_mid", "_off", "_first"))
-
-
-def write_pages(df: DataFrame, path: str, spec: FeedSpec, page_size: int = PAGE_SIZE) -> None:
-    """Land a feed as page envelopes ordered by primary key (the serving side of S1).
-
-    Page numbers come from a global rank on the key; each page holds at most ``page_size``
-    rows, so every ``collect_list`` group is bounded."""
-    n = df.count()
-    total_pages = max(1, -(-n // page_size))
-    numbered = row_index(df, list(spec.pk), "_rn")
-    pages = (numbered.groupBy((F.col("_rn") / page_size).cast("long").alias("_p"))
-             .agg(F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.struct(*[F.col(c) for c in df.columns]).alias("row"))))
-                  .alias("_rows")))
-    out = pages.select(
-        F.transform("_rows", lambda x: x["row"]).alias("data"),
-        (F.col("_p") + 1).cast("int").alias("page"),
-        F.lit(page_size).alias("page_size"),
-        F.lit(n).cast("long").alias("total_count"),
-        F.lit(total_pages).alias("total_pages"),
-        (F.col("_p") + 1 < total_pages).alias("has_next"),
-        (F.col("_p") > 0).alias("has_previous"),
-    )
-    out.write.mode("overwrite").json(path)
-
-
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """A warehouse table (``source()`` / ``ref()``)."""
     return spark.read.option("mergeSchema", "true").parquet(path)

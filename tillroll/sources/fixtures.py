@@ -13,10 +13,13 @@ Scale notes: every feed is one narrow projection of one driver table, except
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import cut_lineage
+
 MONEY = "decimal(18,2)"
 
 # Fixed values of the mapping (order status, payment method/status, refund reason/status,
@@ -33,8 +36,8 @@ WAREHOUSES = [" wh-east", "WH-West ", "Wh-Central"]
 BASE_TS = "1992-01-01 00:00:00"
 SNAPSHOT_START = "1998-01-05"
 
-# Column order that makes the per-order line number total (l_orderkey, l_linenumber repeats).
-_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
+# Column order that tells the rows of one order and line number apart (they repeat).
+_LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
                "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
@@ -77,17 +80,27 @@ class DriverTables:
             self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._read[name]
 
+    @cached_property
+    def line_widths(self) -> tuple[int, int]:
+        """(largest line number, most rows of one order and line number), each plus one: the widths of
+        the two lower places of an order item's id. One aggregate; one row reaches the driver."""
+        per_line = self.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
+        row = per_line.agg(F.max("l_linenumber"), F.max("n")).first()
+        return int(row[0] or 0) + 1, int(row[1] or 0) + 1
+
 
 # --------------------------------------------------------------------------- commerce
 
 def order_items(t: DriverTables) -> DataFrame:
     li = t.lineitem
-    w = Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)
+    lines, repeats = t.line_widths
+    # Repeats of one line of one order; an order's lines are numbered apart from each other.
+    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*_LINE_ORDER)
     price = m("l_extendedprice")
     disc = m(price * m("l_discount"))
     ts = F.col("l_shipdate").cast("timestamp")
     return li.select(
-        (F.col("l_orderkey") * 1000 + F.row_number().over(w)).alias("id"),
+        ((F.col("l_orderkey") * lines + F.col("l_linenumber")) * repeats + F.row_number().over(w)).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
@@ -300,8 +313,8 @@ def daily_performance(t: DriverTables) -> DataFrame:
         (F.col("q") * 40).cast("int").alias("impressions"),
         clicks.alias("clicks"),
         spend.alias("spend"),
-        F.when(s % 20 == 0, z()).otherwise(dec("0.03").cast(MONEY)).alias("ctr"),
-        F.when(s % 20 != 0, m(F.col("p") * dec("0.0001"))).alias("cpc"),
+        F.when(s % 20 == 0, F.lit(0.0)).otherwise((31250 + s % 7 * 1171).cast("double") / 1000000).alias("ctr"),
+        F.when(s % 20 != 0, F.col("p").cast("double") / 10000).alias("cpc"),
         F.col("n").cast("int").alias("purchases"),
         m(F.col("pn") * dec("0.02")).alias("revenue"),
         ts.alias("created_at"),
@@ -376,7 +389,7 @@ def product_versions(t: DriverTables) -> list[DataFrame]:
     v2 = v1.withColumn("price", F.when(F.col("id") % 10 == 0, m(F.col("price") * dec("1.1")))
                        .otherwise(F.col("price")))
     added = (v1.filter(F.col("id") % 100 == 7)
-             .withColumn("id", F.col("id") + 1000000)
+             .withColumn("id", -F.col("id"))
              .withColumn("sku", F.concat(F.lit("sku-n"), F.col("id").cast("string"))))
     v3 = v2.filter(F.col("id") % 100 != 3).unionByName(added)
     return [v1, v2, v3]
@@ -430,3 +443,46 @@ def raw_feeds(spark: SparkSession, sf_dir: str) -> LazyFeeds:
 
 def raw_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return BUILDERS[name](DriverTables(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- page files
+
+def row_index(df: DataFrame, order: list[str], name: str = "_rn") -> DataFrame:
+    """0-based global position of each row in ``order`` without a single-partition window.
+
+    ``orderBy`` range-partitions the rows; per-partition counts (one row per partition) give
+    each partition's offset, which is joined back (broadcast: its size is the partition count).
+    """
+    ordered = df.orderBy(*order).withColumn("_pid", F.spark_partition_id()) \
+        .withColumn("_mid", F.monotonically_increasing_id())
+    # Partition ids must be the same for the counts and the join: pin them with a reliable checkpoint.
+    ordered = cut_lineage(ordered)
+    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (ordered.join(F.broadcast(offsets.select("_pid", "_off", "_first")), "_pid")
+            .withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first"))
+            .drop("_pid", "_mid", "_off", "_first"))
+
+
+def write_pages(df: DataFrame, path: str, pk: tuple[str, ...], page_size: int = 500) -> None:
+    """Land a feed as page envelopes ordered by primary key (the serving side of S1).
+
+    Page numbers come from a global rank on the key; each page holds at most ``page_size``
+    rows, so every ``collect_list`` group is bounded."""
+    n = df.count()
+    total_pages = max(1, -(-n // page_size))
+    numbered = row_index(df, list(pk), "_rn")
+    pages = (numbered.groupBy((F.col("_rn") / page_size).cast("long").alias("_p"))
+             .agg(F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.struct(*[F.col(c) for c in df.columns]).alias("row"))))
+                  .alias("_rows")))
+    out = pages.select(
+        F.transform("_rows", lambda x: x["row"]).alias("data"),
+        (F.col("_p") + 1).cast("int").alias("page"),
+        F.lit(page_size).alias("page_size"),
+        F.lit(n).cast("long").alias("total_count"),
+        F.lit(total_pages).alias("total_pages"),
+        (F.col("_p") + 1 < total_pages).alias("has_next"),
+        (F.col("_p") > 0).alias("has_previous"),
+    )
+    out.write.mode("overwrite").json(path)
