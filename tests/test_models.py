@@ -81,3 +81,34 @@ def test_recon_marketing_profitability(spark):
     assert out["c"]["profitability_status"] == "unprofitable" and out["c"]["avg_ctr"] is None
     assert out["d"]["roas"] is None and out["d"]["profitability_status"] == "unprofitable"
     assert (out["a"]["year"], out["a"]["month"]) == (2024, 3)
+
+
+def test_fct_orders_plan(spark):
+    """Without broadcasts: 8 scans and 5 sort-merge joins."""
+    from tillroll.plans.models import RetailModels
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = RetailModels.from_driver_tables(spark, "/root/testdata/sf0.001").fct_orders._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("FileScan") <= 8 and plan.count("SortMergeJoin") <= 5
+
+
+def test_order_with_over_a_thousand_lines_has_distinct_item_ids(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tillroll.sources import fixtures as fx
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    one = li.limit(1).crossJoin(spark.range(1500).withColumnRenamed("id", "k")).withColumn("l_partkey", F.col("k")).drop("k")
+    li.unionByName(one.withColumn("l_orderkey", F.lit(1).cast("long"))).write.parquet(f"{tmp_path}/lineitem.parquet")
+    items = fx.order_items(fx.DriverTables(spark, str(tmp_path)))
+    assert items.count() == items.select("id").distinct().count() == li.count() + 1500
+
+
+def test_recon_marketing_beyond_1e11(spark):
+    f = spark.createDataFrame([("a", dt.date(2024, 3, 5), D("1000000000000"), D("3000000000000"), 100, 10, 2)],
+                              "platform string, performance_date date, spend decimal(38,9), revenue decimal(38,9), impressions int, "
+                              "clicks int, purchases int")
+    r = recon.recon_marketing_spend_vs_revenue(f, "2024-01-01 00:00:00").first()
+    assert r["roas"] == D("3") and r["cpa"] == D("500000000000")

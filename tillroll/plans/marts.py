@@ -3,7 +3,7 @@
 Physical plan at scale (see README "Plans"): every order-keyed input of ``fct_orders`` is
 aggregated to one row per ``order_id`` *before* the join (partial aggregation on the map side,
 so a hot order never crosses the shuffle as raw rows); orders, the item and refund aggregates
-and payments then meet in sort-merge joins that share one hash partitioning on ``order_id``.
+and payments then meet in left joins on ``order_id``, where AQE splits a skewed left partition.
 Customers join last on ``customer_id``; Spark broadcasts them only when their measured size
 is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at runtime), else shuffles.
 """
@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import NUMERIC, day_of_week, float_ratio, nullif_zero, numeric_ratio
-from tillroll.operators.joins import fanout_left_join
+from tillroll.functions import NUMERIC, day_of_week, float_ratio, nullif_zero, numeric_add, numeric_ratio, numeric_subtract
 
 
 def order_status_category(status) -> F.Column:
@@ -55,8 +54,7 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items:
     zero = F.lit(0).cast(NUMERIC)
     item_disc = F.coalesce(F.col("o.oi_items_discount_total"), zero)
     refund_amt = F.coalesce(F.col("o.r_total_refund_amount"), zero)
-    # Per-order aggregates first (one row per order: the joins reuse one partitioning on
-    # order_id), then the payment fan-out, then customers (one more shuffle, on customer_id).
+    # Per-order aggregates first (one row per order), then the payment fan-out, then customers.
     by_order = (
         o.join(oi, F.col("o.order_id") == F.col("oi.order_id"), "left")
         .join(r, F.col("o.order_id") == F.col("r.order_id"), "left")
@@ -66,7 +64,7 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items:
     )
     pays = stg_payments.select(F.col("order_id").alias("p_order_id"), *[F.col(x).alias(f"p_{x}") for x in (
         "payment_method", "payment_status", "payment_amount", "paid_at")])
-    joined = (fanout_left_join(by_order, pays, "order_id", "p_order_id").alias("o")
+    joined = (by_order.join(pays, F.col("order_id") == F.col("p_order_id"), "left").alias("o")
               .join(c, F.col("o.customer_id") == F.col("c.customer_id"), "left"))
     return joined.select(
         F.col("o.order_id").alias("order_id"),
@@ -86,7 +84,7 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items:
         F.col("o.subtotal").cast(NUMERIC).alias("subtotal"),
         F.col("o.discount_amount").cast(NUMERIC).alias("order_discount_amount"),
         item_disc.cast(NUMERIC).alias("item_discount_amount"),
-        (F.col("o.discount_amount") + item_disc).cast(NUMERIC).alias("total_discount_amount"),
+        numeric_add("o.discount_amount", item_disc).alias("total_discount_amount"),
         F.col("o.tax_amount").cast(NUMERIC).alias("tax_amount"),
         F.col("o.shipping_amount").cast(NUMERIC).alias("shipping_amount"),
         F.col("o.total_amount").cast(NUMERIC).alias("order_total"),
@@ -97,7 +95,7 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items:
         F.coalesce(F.col("o.r_refund_count"), F.lit(0)).cast("long").alias("refund_count"),
         refund_amt.cast(NUMERIC).alias("refund_amount"),
         F.coalesce(F.col("o.r_refund_count") > 0, F.lit(False)).alias("has_refund"),
-        (F.col("o.total_amount") - refund_amt).cast(NUMERIC).alias("net_revenue"),
+        numeric_subtract("o.total_amount", refund_amt).alias("net_revenue"),
         F.col("o.shipping_city").alias("shipping_city"),
         F.col("o.shipping_state").alias("shipping_state"),
         F.col("o.shipping_country").alias("shipping_country"),
@@ -114,8 +112,8 @@ def fct_daily_marketing_performance(stg_daily_performance: DataFrame, stg_ads: D
 
     The dimension chain ads -> ad_sets -> campaigns is joined first (left joins whose predicates
     reject nulls on the inner side are associative), so the fact table is joined exactly once,
-    on ``ad_id``. ad_sets and campaigns are small by nature (a handful per account) and
-    broadcast; ads go through the size-checked automatic broadcast or a shuffle.
+    on ``ad_id``. Nothing is broadcast by hint: Spark broadcasts a dimension whose size is
+    under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles a larger one.
     """
     a = stg_ads.select("ad_id", "ad_set_id", "ad_name", "ad_type", "call_to_action", "ad_status")
     s = stg_ad_sets.select(F.col("ad_set_id").alias("_ast_id"), F.col("campaign_id").alias("_campaign_fk"), "ad_set_name", "bid_strategy",

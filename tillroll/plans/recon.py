@@ -10,7 +10,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import NUMERIC, float_ratio, nullif_zero, numeric_ratio
+from tillroll.functions import NUMERIC, float_ratio, nullif_zero, numeric_ratio, numeric_subtract
 
 MATCH_TOLERANCE = "0.02"
 
@@ -29,7 +29,7 @@ def recon_orders_vs_items(stg_orders: DataFrame, stg_order_items: DataFrame, run
     o = stg_orders.select("order_id", F.col("subtotal").alias("order_subtotal"))
     j = o.join(items, "order_id", "left")
     items_sub = F.coalesce(F.col("items_subtotal"), F.lit(0).cast(NUMERIC))
-    diff = F.col("order_subtotal") - items_sub
+    diff = numeric_subtract("order_subtotal", items_sub)
     return j.select(
         "order_id",
         F.col("order_subtotal").cast(NUMERIC).alias("order_subtotal"),
@@ -53,7 +53,7 @@ def recon_payments_vs_refunds(stg_payments: DataFrame, stg_refunds: DataFrame, r
         "order_id",
         F.col("total_paid").cast(NUMERIC).alias("total_paid"),
         ref.cast(NUMERIC).alias("total_refunded"),
-        (F.col("total_paid") - ref).cast(NUMERIC).alias("net_collected"),
+        numeric_subtract("total_paid", ref).alias("net_collected"),
         F.when(ref > F.col("total_paid"), "over_refunded")
         .when(ref > 0, "partially_refunded")
         .otherwise("no_refund").alias("refund_status"),
