@@ -1,4 +1,7 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,11 +54,14 @@ def test_schema_evolution_adds_column(spark):
 
 
 def test_parse_cursor():
+    utc = dt.timezone.utc
     assert merge.parse_cursor(None) is None
     assert merge.parse_cursor("") is None
     assert merge.parse_cursor("1970-01-01T00:00:00") is None
     assert merge.parse_cursor("garbage") is None
-    assert merge.parse_cursor("2024-01-01T05:00:00") == dt.datetime(2024, 1, 1, 4)
+    assert merge.parse_cursor("2024-01-01T05:00:00") == dt.datetime(2024, 1, 1, 4, tzinfo=utc)
+    assert merge.parse_cursor("2024-01-01T05:00:00+09:00") == dt.datetime(2023, 12, 31, 19, tzinfo=utc)
+    assert merge.parse_cursor(1704085200000001) == dt.datetime(2024, 1, 1, 4, 0, 0, 1, tzinfo=utc)
 
 
 def test_incremental_cut_is_strict(spark):
@@ -65,20 +71,121 @@ def test_incremental_cut_is_strict(spark):
     assert merge.cursor_state(df).first()[0] == ts(2)
 
 
-def test_versioned_upsert_replay_is_skipped(spark, scratch):
-    table = merge.VersionedTable(spark, f"{scratch}/t")
+def test_replayed_load_changes_nothing(spark, scratch):
+    table = merge.MergedTable(spark, f"{scratch}/t")
     b1 = spark.createDataFrame([(1, "a", ts(1))], SCHEMA)
-    merge.upsert(table, b1, ["id"], "l1", 1)
+    table.upsert(b1, ["id"], "l1")
     b2 = spark.createDataFrame([(1, "b", ts(2))], SCHEMA)
-    merge.upsert(table, b2, ["id"], "l2", 2)
-    merge.upsert(table, b1, ["id"], "l1", 1)  # replay of an old load: no effect
+    table.upsert(b2, ["id"], "l2")
+    table.upsert(b1, ["id"], "l1")
+    table.upsert(spark.createDataFrame([(9, "x", ts(9))], SCHEMA), ["id"], "l1")
     assert table.versions() == [1, 2]
-    assert rows(table.read()) == [(1, "b", ts(2))]
-
-
-def test_evolve_rejects_incompatible_type(spark):
+    assert rows(table.read()) == [(1, "b", ts(2))] and rows(table.read(1)) == [(1, "a", ts(1))]
+    assert table.row_count() == 1 and table.cursor_micros() == merge.micros(ts(2))
+
+
+def test_another_load_with_a_used_sequence_raises(spark, scratch):
+    table = merge.MergedTable(spark, f"{scratch}/t")
+    batch = spark.createDataFrame([(1, "a", ts(1))], SCHEMA)
+    table.upsert(batch, ["id"], "l1", load_seq=5)
+    with pytest.raises(ValueError, match="sequence"):
+        table.upsert(batch, ["id"], "l2", load_seq=5)
+    table.upsert(batch, ["id"], "l1", load_seq=5)  # the same load again
+    assert table.versions() == [1]
+
+
+def test_crash_between_data_and_publication(spark, scratch, monkeypatch):
+    table = merge.MergedTable(spark, f"{scratch}/t")
+    table.upsert(spark.createDataFrame([(1, "a", ts(1)), (2, "b", ts(1))], SCHEMA), ["id"], "l1")
+    batch = spark.createDataFrame([(1, "a2", ts(3)), (3, "c", ts(3))], SCHEMA)
+    with monkeypatch.context() as m:
+        m.setattr(merge.MergedTable, "_publish", lambda self, manifest: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            table.upsert(batch, ["id"], "l2")
+    assert rows(table.read()) == [(1, "a", ts(1)), (2, "b", ts(1))] and table.cursor_micros() == merge.micros(ts(1))
+    table.upsert(batch, ["id"], "l2")
+    assert rows(table.read()) == [(1, "a2", ts(3)), (2, "b", ts(1)), (3, "c", ts(3))]
+
+
+def test_only_touched_buckets_are_written_and_old_folders_go(spark, scratch):
+    table = merge.MergedTable(spark, f"{scratch}/t", buckets=8, keep=2)
+    table.upsert(spark.createDataFrame([(i, "a", ts(1)) for i in range(200)], SCHEMA), ["id"], "l0")
+    for k in range(1, 5):
+        table.upsert(spark.createDataFrame([(7, f"v{k}", ts(1 + k))], SCHEMA), ["id"], f"l{k}")
+        assert len([x for x in os.listdir(f"{scratch}/t/data/v={k + 1}") if x.startswith("_bucket")]) == 1
+    assert sorted(os.listdir(f"{scratch}/t/data")) == ["v=1", "v=4", "v=5"]
+    assert table.row_count() == table.read().count() == 200
+    assert [r for r in rows(table.read()) if r[0] == 7] == [(7, "v4", ts(5))]
+    assert table.read(4).where("id = 7").first()["status"] == "v3"
+
+
+def test_one_scan_and_one_exchange_of_the_target(spark, scratch):
+    target = merge.with_load_metadata(spark.createDataFrame([(i, "a", ts(1)) for i in range(50)], SCHEMA), "l1", 1, ["id"])
+    target.write.parquet(f"{scratch}/target")
+    target = spark.read.parquet(f"{scratch}/target")
+    batch = merge.with_load_metadata(spark.createDataFrame([(1, "b", ts(2))], SCHEMA), "l2", 2, ["id"])
+    old, new = merge.evolve(target, merge.latest_per_key(batch, ["id"]))
+    bucket = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(8)).cast("int")
+    plan = merge.MergedTable._merged(old.unionByName(new), bucket, ["id"], "updated_at")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 2  # the batch's own, and the one by bucket
+    plan = merge.merge_latest(target, batch, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_null_keys_are_one_key(spark, scratch):
+    target = spark.createDataFrame([(None, "a", ts(1)), (1, "x", ts(1))], SCHEMA)
+    batch = spark.createDataFrame([(None, "b", ts(2))], SCHEMA)
+    got = {r["id"]: r["status"] for r in merge.merge_latest(target, batch, ["id"]).collect()}
+    assert got == {None: "b", 1: "x"}
+
+
+@pytest.mark.parametrize("columns, row", [
+    ("id long, status string, updated_at string", (1, "x", "not a time")),      # changed type
+    ("id double, status string, updated_at timestamp", (1.5, "x", ts(1))),      # a fraction into an integer
+    ("id long, updated_at timestamp", (1, ts(1))),                              # removed column
+])
+def test_narrowed_and_removed_columns_raise(spark, scratch, columns, row):
     target = spark.createDataFrame([(1, "a", ts(1))], SCHEMA)
-    batch = spark.createDataFrame([(1, "x", "not a time")], "id long, status string, updated_at string")
-    with pytest.raises(Exception):
-        merge.merge_latest(target, batch, ["id"]).collect()
-    assert F is not None
+    batch = spark.createDataFrame([row], columns)
+    with pytest.raises(TypeError):
+        merge.merge_latest(target, batch, ["id"])
+    table = merge.MergedTable(spark, f"{scratch}/t")
+    table.upsert(target, ["id"], "l1")
+    with pytest.raises(TypeError):
+        table.upsert(batch, ["id"], "l2")
+    assert table.versions() == [1]
+
+
+def test_wider_columns_widen_the_target(spark, scratch):
+    target = spark.createDataFrame([(1, 7, 1.5, ts(1))], "id int, n int, x float, updated_at timestamp")
+    batch = spark.createDataFrame([(2**40, 8, 2.5, ts(2))], "id long, n int, x double, updated_at timestamp")
+    table = merge.MergedTable(spark, f"{scratch}/t")
+    table.upsert(target, ["id"], "l1")
+    out = table.upsert(batch, ["id"], "l2")
+    assert dict(out.dtypes)["id"] == "bigint" and dict(out.dtypes)["x"] == "double"
+    assert sorted((r.id, r.x) for r in out.collect()) == [(1, 1.5), (2**40, 2.5)]
+
+
+def test_the_machines_time_zone_has_no_part(tmp_path):
+    """A row between the load's cursor and now is taken in Tokyo as in UTC."""
+    code = """
+import sys; sys.path.insert(0, %r)
+import datetime as dt
+from tillroll.session import build_session
+from tillroll.operators import merge
+spark = build_session(master="local[1]", shuffle_partitions=1)
+t = merge.MergedTable(spark, sys.argv[1])
+make = lambda i, h: spark.sql(f"SELECT CAST({i} AS BIGINT) AS id, TIMESTAMP '2024-01-01 {h}:00:00' AS updated_at")
+t.upsert(make(1, 12), ["id"], "l1")
+feed = make(1, 12).union(make(2, 15))
+t.upsert(merge.incremental_cut(feed, merge.parse_cursor(t.cursor_micros())), ["id"], "l2")
+print("IDS", sorted(r.id for r in t.read().collect()), t.cursor_micros())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    got = []
+    for zone in ("UTC", "Asia/Tokyo"):
+        out = subprocess.run([sys.executable, "-c", code % root, str(tmp_path / zone.replace("/", "-"))], capture_output=True, text=True,
+                             env={**os.environ, "TZ": zone}, timeout=300)
+        got.append([x for x in out.stdout.splitlines() if x.startswith("IDS")])
+    assert got[0] == got[1] == ["IDS [1, 2] 1704121200000000"]

@@ -1,29 +1,32 @@
-"""Keyed merge (K1), load metadata (K2), additive schema evolution (K3) and versioned tables.
+"""Keyed merge (K1), load metadata (K2), schema evolution (K3), the merged raw table and the
+incremental cursor (S2-S4).
 
 ``merge_latest(target, batch)`` keeps, per primary key, the newest version by
 (cursor desc, load sequence desc, row hash desc): an older version never replaces a newer one,
-and re-applying the same batch changes nothing (idempotent).
-
-Plan at scale: only keys present in the batch are re-decided. The target is joined once with
-the batch key set (a flag column marks touched keys); untouched rows pass through, the
-touched target rows and the batch are
-reduced per key with ``max_by`` over a struct, a declarative aggregate that Spark runs as
-partial (map-side) + final aggregation — a hot key that holds a third of the rows is reduced to
-one row per map partition before the shuffle, never collected into one task. The batch key set
-joins the target by hash; when it is small Spark broadcasts it (size-checked at runtime by AQE
-against ``spark.sql.autoBroadcastJoinThreshold``) and the target is not shuffled at all.
+and re-applying the same batch changes nothing (idempotent). The batch is reduced per key first
+(``max_by`` over a struct, with partial aggregation on the map side, so a hot key crosses the
+shuffle as one row per map task), then one null-safe full outer join picks the newer side.
+
+``MergedTable`` stores a table in hash buckets of its key. A load rewrites only the buckets it
+touches: their rows are read once and meet the batch in one exchange by bucket, which is also the
+layout they are written in; all other buckets are carried over by reference.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LOAD_ID = "_load_id"
 ROW_ID = "_row_id"
 LOAD_SEQ = "_load_seq"
+METADATA = (LOAD_ID, ROW_ID, LOAD_SEQ)
+BUCKET = "_bucket"
 
 
 def with_load_metadata(batch: DataFrame, load_id: str, load_seq: int, pk: list[str]) -> DataFrame:
@@ -33,126 +36,238 @@ def with_load_metadata(batch: DataFrame, load_id: str, load_seq: int, pk: list[s
             .withColumn(ROW_ID, F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in pk], F.lit(load_id)), 256)))
 
 
+_INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+
+
+def _common_type(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The one of two column types that holds the values of both; anything lossy is an error."""
+    if a == b:
+        return a
+    if a in _INTEGERS and b in _INTEGERS:
+        return max(a, b, key=_INTEGERS.index)
+    if {type(a), type(b)} == {T.FloatType, T.DoubleType}:
+        return T.DoubleType()
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        whole = max(a.precision - a.scale, b.precision - b.scale)
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
+    raise TypeError(f"column {name}: {b.simpleString()} cannot be merged with {a.simpleString()}")
+
+
 def evolve(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """K3: align both sides on the union of columns (new columns are null on the old side).
-
-    Removing or narrowing a column is an error, as in the warehouse."""
-    tf = {f.name: f.dataType for f in target.schema.fields}
-    for f in batch.schema.fields:
-        if f.name in tf and tf[f.name] != f.dataType:
-            try:
-                batch = batch.withColumn(f.name, F.col(f.name).cast(tf[f.name]))
-            except Exception as exc:  # noqa: BLE001
-                raise TypeError(f"column {f.name}: {f.dataType} cannot replace {tf[f.name]}") from exc
-    missing_in_target = [f for f in batch.schema.fields if f.name not in tf]
-    for f in missing_in_target:
-        target = target.withColumn(f.name, F.lit(None).cast(f.dataType))
-    for name, dtype in tf.items():
-        if name not in batch.columns:
-            batch = batch.withColumn(name, F.lit(None).cast(dtype))
-    cols = target.columns
-    return target.select(cols), batch.select(cols)
+    """K3: align both sides on the union of columns. A new column is null on the old side, a wider
+    type of the same kind widens the column; a narrowed or changed type and a removed column raise."""
+    old, new = ({f.name: f.dataType for f in df.schema.fields} for df in (target, batch))
+    removed = [c for c in old if c not in new and c not in METADATA]
+    if removed:
+        raise TypeError(f"columns removed from the feed: {', '.join(removed)}")
+    kinds = {c: _common_type(c, old[c], new[c]) if c in old and c in new else old.get(c, new.get(c)) for c in [*old, *new]}
 
+    def aligned(df: DataFrame, have: dict) -> DataFrame:
+        return df.select(*[(F.col(c) if c in have else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()])
 
-def _row_hash(cols: list[str]) -> F.Column:
-    return F.xxhash64(*[F.col(c) for c in cols])
+    return aligned(target, old), aligned(batch, new)
+
+
+def _order(columns: list[str], cursor: str) -> list[F.Column]:
+    """What makes a version newer, in order."""
+    seq = F.col(LOAD_SEQ) if LOAD_SEQ in columns else F.lit(0).cast("long")
+    return [F.col(cursor).alias("c"), seq.alias("s"), F.xxhash64(*[F.col(c) for c in columns]).alias("h")]
 
 
 def latest_per_key(df: DataFrame, pk: list[str], cursor: str = "updated_at") -> DataFrame:
     """One row per key: the max of (cursor, load seq, row hash); ties beyond that are identical rows."""
-    payload = [c for c in df.columns]
-    seq = F.col(LOAD_SEQ) if LOAD_SEQ in df.columns else F.lit(0).cast("long")
-    order = F.struct(F.col(cursor).alias("c"), seq.alias("s"), _row_hash(payload).alias("h"))
-    picked = df.groupBy(*pk).agg(F.max_by(F.struct(*[F.col(c) for c in payload]), order).alias("_w"))
+    order = F.struct(*_order(df.columns, cursor))
+    picked = df.groupBy(*pk).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), order).alias("_w"))
     return picked.select("_w.*")
 
 
 def merge_latest(target: DataFrame | None, batch: DataFrame, pk: list[str], cursor: str = "updated_at") -> DataFrame:
-    """K1 upsert of ``batch`` into ``target`` (either may carry extra columns: K3)."""
+    """K1 upsert of ``batch`` into ``target``, which has one row per key (either may carry extra columns: K3)."""
     if target is None:
         return latest_per_key(batch, pk, cursor)
     target, batch = evolve(target, batch)
     cols = target.columns
-    keys = batch.select(*pk).distinct().withColumn("_hit", F.lit(True))
-    # one join of the target with the batch keys; both branches below read the same exchange
-    flagged = target.join(keys, pk, "left")
-    untouched = flagged.filter(F.col("_hit").isNull()).select(cols)
-    touched = flagged.filter(F.col("_hit")).select(cols)
-    winners = latest_per_key(touched.unionByName(batch), pk, cursor)
-    return untouched.unionByName(winners.select(cols))
 
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.struct(*cols).alias(name), F.struct(*_order(cols, cursor)).alias(f"{name}_order"),
+                         *[F.col(k).alias(f"{name}_{k}") for k in pk])
+
+    old, new = side(target, "old"), side(latest_per_key(batch, pk, cursor), "new")
+    same_key = [F.col(f"old_{k}").eqNullSafe(F.col(f"new_{k}")) for k in pk]
+    keep_old = F.col("new").isNull() | (F.col("old").isNotNull() & (F.col("old_order") >= F.col("new_order")))
+    return old.join(new, same_key, "full_outer").select(F.when(keep_old, F.col("old")).otherwise(F.col("new")).alias("r")).select("r.*")
+
+
+# --------------------------------------------------------------------------- the merged table
 
-# --------------------------------------------------------------------------- versioned tables
 
-class VersionedTable:
-    """A table as numbered version folders ``<root>/v=<n>``; readers take the newest complete one.
+class MergedTable:
+    """A table merged load by load: ``<root>/data/v=<n>/_bucket=<b>`` and one manifest a version.
 
-    A version is written in full (Spark's ``_SUCCESS`` marker makes it complete) before it is
-    visible, so a reader never sees a half-written merge and the input version of a merge is
-    never overwritten while it is being read. Replaying the same load writes the same version
-    number again (idempotent under ``foreachBatch`` retries).
+    A manifest (``<root>/versions/<n>-<load>.json``) names the load, the folder and row count of each
+    bucket, and the cursor after the load. It is written under another name and renamed when all data
+    is there, so readers see whole versions, and the cursor and the data change together. A load is
+    known by its id: applying it again changes nothing, whichever process stopped where. ``keep``
+    versions stay readable; data folders that none of them uses are removed.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, keep: int = 3):
+        self.spark, self.root, self.buckets, self.keep = spark, root.rstrip("/"), buckets, keep
+
+    def _path(self, name: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
     def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
+        return self._path("versions").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _manifests(self) -> dict[int, str]:
+        """Version -> file name, of the versions written in full."""
+        fs, at = self._fs(), self._path("versions")
+        if not fs.exists(at):
+            return {}
+        names = [s.getPath().getName() for s in fs.listStatus(at)]
+        return {int(n.split("-")[0]): n for n in names if n.endswith(".json")}
+
+    def _load(self, name: str) -> dict:
+        stream = self._fs().open(self._path(f"versions/{name}"))
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def versions(self) -> list[int]:
-        fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
+        return sorted(self._manifests())
 
     def current_version(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        v = self.current_version() if version is None else version
-        if v is None:
-            return None
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/v={v}")
+        return max(self._manifests(), default=None)
 
-    def write(self, df: DataFrame, version: int) -> int:
-        df.write.mode("overwrite").parquet(f"{self.root}/v={int(version)}")
-        return int(version)
+    def manifest(self, version: int | None = None) -> dict | None:
+        names = self._manifests()
+        version = max(names, default=None) if version is None else version
+        return self._load(names[version]) if version in names else None
 
+    def _frame(self, manifest: dict, buckets: list[int] | None = None) -> DataFrame:
+        folders = [f"{self.root}/data/v={b['version']}/{BUCKET}={k}" for k, b in sorted(manifest["buckets"].items(), key=lambda x: int(x[0]))
+                   if buckets is None or int(k) in buckets]
+        schema = T.StructType.fromJson(manifest["schema"])
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
-def upsert(table: VersionedTable, batch: DataFrame, pk: list[str], load_id: str, load_seq: int,
-           cursor: str = "updated_at") -> DataFrame:
-    """Merge one load into a versioned table and publish it as version ``load_seq``."""
-    batch = with_load_metadata(batch, load_id, load_seq, pk)
-    current = table.current_version()
-    if current is not None and current >= load_seq:
-        return table.read(current)  # replayed load: already applied
-    merged = merge_latest(table.read(current), batch, pk, cursor)
-    table.write(merged, load_seq)
-    return table.read(load_seq)
+    def read(self, version: int | None = None) -> DataFrame | None:
+        found = self.manifest(version)
+        return None if found is None else self._frame(found)
+
+    def row_count(self) -> int:
+        found = self.manifest()
+        return sum(b["rows"] for b in found["buckets"].values()) if found else 0
+
+    def cursor_micros(self) -> int | None:
+        """The largest cursor applied, in microseconds since the epoch (no table yet: None)."""
+        found = self.manifest()
+        return found["cursor"] if found else None
+
+    def _tag(self, load_id: str) -> str:
+        return hashlib.sha1(load_id.encode()).hexdigest()[:16]
+
+    def applied(self, load_id: str) -> int | None:
+        """The version that ``load_id`` made."""
+        return next((v for v, n in self._manifests().items() if n.split("-")[1].removesuffix(".json") == self._tag(load_id)), None)
+
+    def upsert(self, batch: DataFrame, pk: list[str], load_id: str, load_seq: int | None = None, cursor: str = "updated_at") -> DataFrame:
+        """Merge one load and publish it as the next version; a load applied before changes nothing.
+        ``load_seq`` orders loads (default: the version); another load that has it is an error."""
+        names = self._manifests()
+        last = self.manifest()
+        if self.applied(load_id) is not None:
+            return self.read()
+        version = max(names, default=0) + 1
+        load_seq = version if load_seq is None else int(load_seq)
+        if last and load_seq <= last["load_seq"]:
+            raise ValueError(f"load {load_id}: sequence {load_seq} is not after that of {last['load_id']} ({last['load_seq']})")
+        batch = with_load_metadata(batch, load_id, load_seq, pk)
+        if last:
+            evolve(self._frame(last, []), batch)  # raises before anything is read
+        n = last["bucket_count"] if last else self.buckets
+        before = last["buckets"] if last else {}
+        bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in pk]), F.lit(n)).cast("int")
+        winners = latest_per_key(batch, pk, cursor)
+        facts = batch.agg(F.collect_set(bucket).alias("touched"),  # at most n numbers
+                          F.max(F.unix_micros(F.col(cursor).cast("timestamp"))).alias("cursor")).first()
+        touched = sorted(facts["touched"])
+        if last:
+            old, new = evolve(self._frame(last, touched), winners)
+            rows = old.unionByName(new)
+        else:
+            rows = winners
+        columns = rows.columns
+        if touched:
+            self._merged(rows, bucket, pk, cursor).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/v={version}")
+        buckets = dict(before)
+        if touched:
+            counts = self.spark.read.parquet(f"{self.root}/data/v={version}").groupBy(BUCKET).count().collect()  # at most n rows
+            buckets |= {str(r[BUCKET]): {"version": version, "rows": int(r["count"])} for r in counts}
+        known = [c for c in (facts["cursor"], last["cursor"] if last else None) if c is not None]
+        self._publish({"version": version, "load_id": load_id, "load_seq": load_seq, "bucket_count": n, "buckets": buckets,
+                       "cursor": max(known, default=None), "schema": rows.select(columns).schema.jsonValue()})
+        self._retire()
+        return self.read(version)
+
+    @staticmethod
+    def _merged(rows: DataFrame, bucket: F.Column, pk: list[str], cursor: str) -> DataFrame:
+        """The newest row of each key. One exchange, by bucket: it serves the choice and the layout."""
+        columns = rows.columns
+        order = [c.desc_nulls_last() for c in (F.col(cursor), F.col(LOAD_SEQ), F.xxhash64(*[F.col(c) for c in columns]))]
+        newest = Window.partitionBy(BUCKET, *pk).orderBy(*order)
+        return (rows.withColumn(BUCKET, bucket).repartition(BUCKET)
+                .withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n"))
+
+    def _publish(self, manifest: dict) -> None:
+        fs = self._fs()
+        name = f"versions/{manifest['version']:08d}-{self._tag(manifest['load_id'])}"
+        stream = fs.create(self._path(name + ".tmp"), True)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        if not fs.rename(self._path(name + ".tmp"), self._path(name + ".json")):
+            raise RuntimeError(f"version {manifest['version']} of {self.root} was published by another writer")
+
+    def _retire(self) -> None:
+        """Remove the data folders that none of the last ``keep`` versions uses. Manifests stay: they
+        are small, and they are the list of the loads applied."""
+        names = self._manifests()
+        kept = sorted(names)[-self.keep:]
+        used = {b["version"] for v in kept for b in self._load(names[v])["buckets"].values()}
+        fs, at = self._fs(), self._path("data")
+        if fs.exists(at):
+            for s in fs.listStatus(at):
+                v = int(s.getPath().getName().removeprefix("v="))
+                if v not in used and v < kept[0]:
+                    fs.delete(s.getPath(), True)
 
 
 # --------------------------------------------------------------------------- cursor state
 
 EPOCH_CURSOR = "1970-01-01T00:00:00"
 LOOKBACK_SECONDS = 3600
+_EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+
 
+def _utc(ts: _dt.datetime) -> _dt.datetime:
+    return ts.replace(tzinfo=_dt.timezone.utc) if ts.tzinfo is None else ts.astimezone(_dt.timezone.utc)
 
-def parse_cursor(value: str | None, lookback_seconds: int = LOOKBACK_SECONDS) -> _dt.datetime | None:
+
+def micros(ts: _dt.datetime) -> int:
+    """Microseconds since the epoch; a time without a zone is UTC (never the machine's zone)."""
+    return (_utc(ts) - _EPOCH) // _dt.timedelta(microseconds=1)
+
+
+def parse_cursor(value: str | int | None, lookback_seconds: int = LOOKBACK_SECONDS) -> _dt.datetime | None:
     """Null, empty, the initial epoch value or an unparsable value -> None (full load);
-    otherwise the cursor minus the lookback."""
+    otherwise the cursor (ISO text, UTC unless it names a zone, or epoch microseconds) minus the lookback."""
     if not value or value == EPOCH_CURSOR:
         return None
     try:
-        ts = _dt.datetime.fromisoformat(str(value))
+        ts = _EPOCH + _dt.timedelta(microseconds=value) if isinstance(value, int) else _utc(_dt.datetime.fromisoformat(str(value)))
     except (TypeError, ValueError):
         return None
     return ts - _dt.timedelta(seconds=lookback_seconds)
@@ -162,10 +277,14 @@ def incremental_cut(df: DataFrame, since: _dt.datetime | None, cursor: str = "up
     """S3: strict ``cursor > since``; no filter on a full load. Pushed down to the Parquet scan."""
     if since is None:
         return df
-    return df.filter(F.col(cursor) > F.lit(since.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp"))
+    return df.filter(F.col(cursor) > F.timestamp_micros(F.lit(micros(since)).cast("long")))
 
 
 def cursor_state(df: DataFrame, cursor: str = "updated_at") -> DataFrame:
     """One-row state, the max cursor seen (initial value when the input is empty)."""
-    return df.agg(F.coalesce(F.max(F.col(cursor)), F.lit(EPOCH_CURSOR.replace("T", " ")).cast("timestamp"))
-                  .alias("last_value"))
+    return df.agg(F.coalesce(F.max(F.col(cursor)), F.timestamp_micros(F.lit(0).cast("long"))).alias("last_value"))
+
+
+def cursor_micros(df: DataFrame, cursor: str = "updated_at") -> int:
+    """The state's value in epoch microseconds, which no time zone touches on its way."""
+    return int(cursor_state(df, cursor).select(F.unix_micros("last_value")).first()[0])

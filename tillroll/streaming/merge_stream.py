@@ -1,38 +1,45 @@
 """Incremental keyed merge as a Structured Streaming job.
 
-readStream (files landed by the feed) -> watermark on the cursor -> drop re-sent versions
-within the watermark -> ``foreachBatch`` upsert into a versioned table. The streaming
-checkpoint is the cursor state; a replayed micro-batch writes the same version number again
-and is skipped, so the sink is idempotent. Backfill (T3) = a new checkpoint + availableNow.
+readStream (files landed by the feed) -> ``foreachBatch`` upsert into a merged table. Every row is
+merged: rows re-sent within the lookback change nothing (K1 keeps the newest version per key), a
+late row counts by its own cursor, and of two versions with one cursor the later load wins, so no
+watermark and no state is needed. The streaming checkpoint says which files were read; a
+micro-batch is known by (checkpoint id, batch id), so a batch that is run again after a crash
+between the table's write and the stream's commit changes nothing. Backfill (T3) = a new
+checkpoint, also on an existing table.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.operators.merge import VersionedTable, upsert
+from tillroll.operators.merge import MergedTable
+
+
+def stream_load_id(spark: SparkSession, checkpoint: str, name: str, batch_id: int) -> str:
+    """The identity of one micro-batch: the id that Spark keeps in the checkpoint, and the batch's number."""
+    stream = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+    return f"{name}-{stream}-{batch_id}"
 
-LOOKBACK = "1 hour"
+
+def merge_batch(batch: DataFrame, batch_id: int, table: MergedTable, checkpoint: str, pk: list[str], cursor: str, name: str) -> None:
+    table.upsert(batch, list(pk), stream_load_id(batch.sparkSession, checkpoint, name, batch_id), cursor=cursor)
 
 
 def start_merge_stream(spark: SparkSession, source_path: str, schema: T.StructType, table_root: str,
-                       checkpoint: str, pk: list[str], cursor: str = "updated_at", lookback: str = LOOKBACK,
+                       checkpoint: str, pk: list[str], cursor: str = "updated_at",
                        max_files_per_trigger: int | None = None, available_now: bool = True,
                        name: str = "feed") -> StreamingQuery:
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = (reader.parquet(source_path)
-              .withWatermark(cursor, lookback)
-              .dropDuplicatesWithinWatermark(list(pk) + [cursor]))
-    table = VersionedTable(spark, table_root)
-
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        upsert(table, batch, list(pk), load_id=f"{name}-stream-{batch_id}", load_seq=batch_id + 1, cursor=cursor)
-
-    writer = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
+    table = MergedTable(spark, table_root)
+    writer = (reader.parquet(source_path).writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, table, checkpoint, pk, cursor, name)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.queryName(f"merge_{name}").start()
 
