@@ -2,8 +2,7 @@
 
 Rules compile to one array of failure messages per row (``array_compact`` of ``when``
 expressions, in rule order); a row is valid when the array is empty. The split is two filters
-over the same flagged plan, so callers that write both sides should ``persist`` the flagged
-frame (``split`` does it when ``persist=True``) or write once with the flag and filter on read.
+over the same flagged plan; nothing is cached.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,31 +19,30 @@ QUARANTINED_AT = "_quarantined_at"
 
 @dataclass(frozen=True)
 class ValidationRule:
+    """A rule on one field of a record. ``params`` depends on the kind (RULE_KINDS)."""
     field: str
     rule_type: str
     params: dict = field(default_factory=dict, hash=False)
-    message: str = ""
 
-    # Default messages are fixed values: they land in the quarantine tables.
-    @classmethod
-    def not_null(cls, field: str) -> "ValidationRule":
-        return cls(field, "not_null", message=f"{field} must not be null")
+    @property
+    def message(self) -> str:
+        return RULE_KINDS[self.rule_type].format(field=self.field, **self.params)
 
-    @classmethod
-    def positive(cls, field: str) -> "ValidationRule":
-        return cls(field, "positive", message=f"{field} must be positive")
 
-    @classmethod
-    def in_list(cls, field: str, values: list) -> "ValidationRule":
-        return cls(field, "in_list", {"values": list(values)}, f"{field} must be in {list(values)}")
+#: Kind -> message (fixed values: the messages are stored in the quarantine tables).
+RULE_KINDS = {
+    "not_null": "{field} must not be null",
+    "positive": "{field} must be positive",
+    "in_list": "{field} must be in {values}",
+    "min_value": "{field} must be >= {min}",
+    "regex": "{field} must match {pattern}",
+}
 
-    @classmethod
-    def min_value(cls, field: str, minimum) -> "ValidationRule":
-        return cls(field, "min_value", {"min": minimum}, f"{field} must be >= {minimum}")
 
-    @classmethod
-    def regex(cls, field: str, pattern: str) -> "ValidationRule":
-        return cls(field, "regex", {"pattern": pattern}, f"{field} must match {pattern}")
+def rule(field: str, kind: str, **params) -> ValidationRule:
+    if kind not in RULE_KINDS:
+        raise ValueError(f"unknown rule type {kind!r}")
+    return ValidationRule(field, kind, params)
 
 
 def _value(df: DataFrame, name: str) -> Column:
@@ -53,25 +50,25 @@ def _value(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None)
 
 
-def failure(df: DataFrame, rule: ValidationRule) -> Column:
-    """Boolean column: True when the row fails ``rule``."""
-    v = _value(df, rule.field)
-    t = rule.rule_type
+def failure(df: DataFrame, check: ValidationRule) -> Column:
+    """Boolean column: True when the row fails ``check``."""
+    v = _value(df, check.field)
+    t = check.rule_type
     if t == "not_null":
         return v.isNull()
     if t == "positive":
         return v.isNotNull() & (v <= 0)
     if t == "in_list":
-        values = list(rule.params["values"])
+        values = list(check.params["values"])
         allowed = [x for x in values if x is not None]
         null_ok = len(allowed) != len(values)
         member = v.isin(allowed) if allowed else F.lit(False)
         # null or missing fails unless None itself is listed (unlike the table-level check)
         return F.when(v.isNull(), F.lit(not null_ok)).otherwise(~member)
     if t == "min_value":
-        return v.isNotNull() & (v < F.lit(rule.params["min"]))
+        return v.isNotNull() & (v < F.lit(check.params["min"]))
     if t == "regex":
-        return v.isNotNull() & ~v.cast("string").rlike(rule.params["pattern"])
+        return v.isNotNull() & ~v.cast("string").rlike(check.params["pattern"])
     raise ValueError(f"unknown rule type {t!r}")
 
 
@@ -93,21 +90,18 @@ def flag(df: DataFrame, rules: list[ValidationRule], run_ts) -> DataFrame:
     return df.withColumn(REASONS, r).withColumn(QUARANTINED_AT, F.when(F.col(REASONS).isNotNull(), ts))
 
 
-def validate_and_split(df: DataFrame, rules: list[ValidationRule], run_ts=None,
-                       persist: bool = False) -> tuple[DataFrame, DataFrame]:
+def validate_and_split(df: DataFrame, rules: list[ValidationRule], run_ts=None) -> tuple[DataFrame, DataFrame]:
     """(valid rows with the input schema, quarantined rows with two extra columns)."""
     flagged = flag(df, rules, run_ts)
-    if persist:
-        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     valid = flagged.filter(F.col(REASONS).isNull()).drop(REASONS, QUARANTINED_AT)
-    bad = flagged.filter(F.col(REASONS).isNotNull())
-    return valid, bad
+    return valid, flagged.filter(F.col(REASONS).isNotNull())
 
 
-def write_quarantine(bad: DataFrame, root: str, source_table: str) -> int:
-    """Append to ``<root>/<table>_quarantine`` (schema merged on read); no-op on empty input."""
-    n = bad.count()
-    if n == 0:
+def write_quarantine(bad: DataFrame, root: str, source_table: str, load_id: str) -> int:
+    """The rejected rows of one load, under ``<root>/<table>_quarantine/load_id=<id>`` (schema merged
+    on read). A load that is run again replaces its own rows; a load without any leaves no folder."""
+    if bad.isEmpty():
         return 0
-    bad.write.mode("append").parquet(f"{root.rstrip('/')}/{source_table}_quarantine")
-    return n
+    path = f"{root.rstrip('/')}/{source_table}_quarantine/load_id={load_id}"
+    bad.write.mode("overwrite").parquet(path)
+    return bad.sparkSession.read.parquet(path).count()

@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.quality import DataTest, orphan_count, run_data_tests
-from tillroll.schemas import FEED_SCHEMAS
+from tillroll.operators.quality import DataTest, run_data_tests
 
-# Accepted order statuses of the fact table.
+# Fixed values of the suites, here and below: accepted statuses, the raw tables, their mandatory columns
+# and their foreign keys.
 ORDER_STATUSES = ["pending", "confirmed", "processing", "shipped", "delivered", "cancelled", "returned"]
 PAYMENT_STATUSES = ["pending", "completed", "failed", "refunded"]
 
@@ -78,7 +78,7 @@ def declared_tests() -> list[DataTest]:
 
 
 def generic_tests() -> list[DataTest]:
-    """The two generic tests, attached where they apply (the reference defines them unattached)."""
+    """The two generic tests, attached where they apply (they are declared without a model)."""
     return [
         DataTest("positive_value_fct_orders_order_total", "fct_orders", "order_total", "positive_value"),
         DataTest("positive_value_stg_inventory_movements_quantity", "stg_inventory_movements", "quantity",
@@ -89,8 +89,8 @@ def generic_tests() -> list[DataTest]:
 
 
 def run_declared_tests(models: dict[str, DataFrame], include_generic: bool = True) -> DataFrame:
-    tests = declared_tests() + (generic_tests() if include_generic else [])
-    return run_data_tests([t for t in tests if t.model in models], models)
+    """All declared tests; those of a model that isn't there are reported as failed."""
+    return run_data_tests(declared_tests() + (generic_tests() if include_generic else []), models)
 
 
 # --------------------------------------------------------------------------- raw-layer suite (Q20-Q24)
@@ -124,18 +124,14 @@ METADATA_COLUMNS = ("_load_id", "_row_id")
 def raw_suite(raw) -> DataFrame:
     """Five-part raw validation as one DataFrame: section, check_name, table_name, observed, passed.
 
-    1 counts, 2 metadata columns, 3 not-null map, 4 FK orphans (anti joins), 5 spot checks.
-    Compiled into one SQL statement over temp views: each table's counts, null counts and
-    spot-check counts come from a single scan (one ``agg``), each orphan check is one anti join.
+    1 counts, 2 metadata columns, 3 not-null map, 4 FK orphans (anti joins), 5 spot checks. A table
+    that is missing fails all its checks with ``observed`` -1. Compiled into one SQL statement: each
+    table's counts, null counts and spot checks are one scan, each orphan check is one anti join.
     """
-    import uuid
-
-    spark = raw[RAW_TABLES[0]].sparkSession
-    tag = uuid.uuid4().hex[:8]
-    v = {}
-    for t in RAW_TABLES:
-        v[t] = f"_rs_{tag}_{t}"
-        raw[t].createOrReplaceTempView(v[t])
+    present = [t for t in RAW_TABLES if t in raw]
+    if not present:
+        raise ValueError("none of the raw tables is there")
+    frames = {t: raw[t] for t in present}
     ost = ", ".join(f"'{x}'" for x in ORDER_STATUSES)
     pst = ", ".join(f"'{x}'" for x in PAYMENT_STATUSES)
     spot = {
@@ -145,15 +141,22 @@ def raw_suite(raw) -> DataFrame:
         "payments": [("payments_valid_statuses", f"payment_status NOT IN ({pst})")],
     }
     parts = []
+
+    def missing(section: str, name: str, table: str) -> None:
+        parts.append(f"SELECT '{section}', '{name}', '{table}', CAST(-1 AS BIGINT), false")
+
     for t in RAW_TABLES:
-        # one scan per table: row count, the not-null map and the spot checks
         items = [("1_counts", "row_count", "count(*)", "> 0")]
         items += [("3_not_null", f"null_{c}", f"count_if(`{c}` IS NULL)", "= 0") for c in NOT_NULL_COLUMNS[t]]
         items += [("5_spot_checks", n, f"count_if({pred})", "= 0") for n, pred in spot.get(t, [])]
+        if t not in frames:
+            for section, name, _, _ in [*items, ("2_schema", "data_columns", "", "")]:
+                missing(section, name, t)
+            continue
         aggs = ", ".join(f"CAST({e} AS BIGINT) AS _c{k}" for k, (_, _, e, _) in enumerate(items))
         stack = ", ".join(f"'{sec}', '{name}', '{t}', _c{k}, _c{k} {cmp}" for k, (sec, name, _, cmp) in enumerate(items))
-        parts.append(f"SELECT stack({len(items)}, {stack}) FROM (SELECT {aggs} FROM {v[t]})")
-        cols = raw[t].columns
+        parts.append(f"SELECT stack({len(items)}, {stack}) FROM (SELECT {aggs} FROM {{{t}}})")
+        cols = frames[t].columns
         has_meta = all(c in cols for c in METADATA_COLUMNS)
         n_data = len([c for c in cols if not c.startswith("_")])
         parts.append(f"SELECT '2_schema', 'data_columns', '{t}', CAST({n_data} AS BIGINT), {str(has_meta).lower()}")
@@ -161,11 +164,15 @@ def raw_suite(raw) -> DataFrame:
     anti += [("every_order_has_items", "orders", "orders", "id", "order_items", "order_id", "5_spot_checks"),
              ("every_order_has_payment", "orders", "orders", "id", "payments", "order_id", "5_spot_checks")]
     for name, table, child, ccol, parent, pcol, sec in anti:
+        if child not in frames or parent not in frames:
+            missing(sec, name, table)
+            continue
         parts.append(f"SELECT '{sec}', '{name}', '{table}', CAST(n AS BIGINT), n = 0 FROM (SELECT count(*) AS n "
-                     f"FROM {v[child]} ch LEFT ANTI JOIN (SELECT DISTINCT `{pcol}` AS _pk FROM {v[parent]}) pa "
+                     f"FROM {{{child}}} ch LEFT ANTI JOIN (SELECT DISTINCT `{pcol}` AS _pk FROM {{{parent}}}) pa "
                      f"ON ch.`{ccol}` = pa._pk)")
     body = " UNION ALL ".join(f"({x})" for x in parts)
-    return spark.sql(f"SELECT * FROM ({body}) AS r(section, check_name, table_name, observed, passed)")
+    spark = frames[present[0]].sparkSession
+    return spark.sql(f"SELECT * FROM ({body}) AS r(section, check_name, table_name, observed, passed)", **frames)
 
 
 # --------------------------------------------------------------------------- layer checks and summary
@@ -178,31 +185,35 @@ LAYER_TABLES = {
 }
 
 
-def table_counts(tables: dict[str, DataFrame], layer: str | None = None) -> DataFrame:
-    """One row per table (layer, table_name, row_count); unioned into one job."""
-    parts = [df.agg(F.count(F.lit(1)).cast("long").alias("row_count"))
-             .select(F.lit(layer).cast("string").alias("layer"), F.lit(name).alias("table_name"), "row_count")
-             for name, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+def table_counts(tables: dict[str, DataFrame], layer: str | None = None, expected: list[str] | None = None) -> DataFrame:
+    """One row per table (layer, table_name, row_count); unioned into one job. A table of
+    ``expected`` that is not there has a null row_count."""
+    names = list(tables) if expected is None else expected
+    out = None
+    for name in names:
+        n = F.count(F.lit(1)).cast("long").alias("row_count")
+        part = tables[name].agg(n) if name in tables else next(iter(tables.values())).sparkSession.range(1).select(
+            F.lit(None).cast("long").alias("row_count"))
+        part = part.select(F.lit(layer).cast("string").alias("layer"), F.lit(name).alias("table_name"), "row_count")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
 def layer_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """Q25: per layer, passed when no listed table is empty; lists the empty ones."""
-    parts = []
+    """Q25: per layer, passed when each listed table is there and has rows; names those that don't."""
+    counts = None
     for layer, names in LAYER_TABLES.items():
-        present = {n: tables[n] for n in names if n in tables}
-        if present:
-            parts.append(table_counts(present, layer))
-    counts = parts[0]
-    for p in parts[1:]:
-        counts = counts.unionByName(p)
+        part = table_counts({n: tables[n] for n in tables}, layer, names)
+        counts = part if counts is None else counts.unionByName(part)
+
+    def named(condition) -> F.Column:
+        return F.array_join(F.array_sort(F.collect_list(F.when(condition, F.col("table_name")))), ", ")
+
+    n = F.col("row_count")
     return counts.groupBy("layer").agg(
-        (F.count_if(F.col("row_count") == 0) == 0).alias("passed"),
-        F.array_join(F.array_sort(F.collect_list(F.when(F.col("row_count") == 0, F.col("table_name")))), ", ")
-        .alias("empty_tables"),
+        (F.count_if(F.coalesce(n, F.lit(0)) == 0) == 0).alias("passed"),
+        named(n == 0).alias("empty_tables"),
+        named(n.isNull()).alias("missing_tables"),
         F.count(F.lit(1)).cast("long").alias("tables_checked"),
     )
 
@@ -225,7 +236,10 @@ def e2e_summary(raw: dict[str, DataFrame], staging: dict[str, DataFrame], marts:
             .withColumn("populated", F.col("row_count") > 0))
 
 
-def schema_inventory() -> list[tuple[str, str, str, bool]]:
-    """Q27: (table, column, type, nullable) for every feed (static, from the declared schemas)."""
-    return [(t, f.name, f.dataType.simpleString(), f.nullable)
-            for t, s in FEED_SCHEMAS.items() for f in s.fields]
+def schema_inventory(tables: dict[str, DataFrame]) -> DataFrame:
+    """Q27: (table_name, column_name, data_type, is_nullable, references) of the tables given, from their
+    own schemas, with the foreign keys that the suites check."""
+    keys = {(c, cc): f"{p}.{pc}" for c, cc, p, pc in FK_CHECKS}
+    rows = [(t, f.name, f.dataType.simpleString(), f.nullable, keys.get((t, f.name))) for t in tables for f in tables[t].schema.fields]
+    return next(iter(tables.values())).sparkSession.createDataFrame(
+        rows, "table_name string, column_name string, data_type string, is_nullable boolean, references string")
