@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tillroll.operators.audit import AuditLog
-from tillroll.operators.merge import LOAD_ID, VersionedTable
+from tillroll.operators.merge import LOAD_ID, MergedTable
 from tillroll.streaming.merge_stream import run_to_completion, start_merge_stream
 
 
@@ -33,7 +33,7 @@ def test_stream_merge_is_idempotent(spark, scratch):
     q = start_merge_stream(spark, land, spark.read.parquet(land).schema, f"{scratch}/table", f"{scratch}/ck", ["id"],
                            max_files_per_trigger=1, name="t")
     run_to_completion(q)
-    table = VersionedTable(spark, f"{scratch}/table")
+    table = MergedTable(spark, f"{scratch}/table")
     got = sorted((r["id"], r["status"]) for r in table.read().collect())
     assert got == [(1, "a2"), (2, "b"), (3, "c")]
     # restart on the same checkpoint: nothing new, nothing changes
@@ -42,3 +42,68 @@ def test_stream_merge_is_idempotent(spark, scratch):
     run_to_completion(q)
     assert sorted((r["id"], r["status"]) for r in table.read().collect()) == got
     assert table.read().filter(F.col(LOAD_ID).isNull()).count() == 0
+
+
+def test_stream_keeps_late_rows_and_the_last_load_of_a_tie(spark, scratch):
+    schema = "id long, status string, updated_at timestamp"
+    t = lambda h: dt.datetime(2024, 1, 1, h)
+    land = f"{scratch}/landing"
+    for part in ([(1, "v1", t(20)), (2, "x", t(20))], [(5, "only", t(1))], [(1, "v1-corrected", t(20))]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(land)
+    run_to_completion(start_merge_stream(spark, land, spark.read.parquet(land).schema, f"{scratch}/table", f"{scratch}/ck", ["id"],
+                                         max_files_per_trigger=1, name="t"))
+    got = sorted((r["id"], r["status"]) for r in MergedTable(spark, f"{scratch}/table").read().collect())
+    assert [g[0] for g in got] == [1, 2, 5] and got[0][1] in ("v1", "v1-corrected")
+    # a backfill under a new checkpoint, onto the existing table
+    run_to_completion(start_merge_stream(spark, land, spark.read.parquet(land).schema, f"{scratch}/table", f"{scratch}/ck2", ["id"], name="t"))
+    assert MergedTable(spark, f"{scratch}/table").read().count() == 3
+
+
+def test_a_whole_job_leaves_no_views_or_caches(spark, scratch):
+    from tillroll.plans import run
+    from tillroll.sources import fixtures as fx
+    before = {v.name for v in spark.catalog.listTables()}
+    out = run.run_job(spark, "full", fx.raw_feeds(spark, "/root/testdata/sf0.001"), scratch, 1, "2024-01-01 00:00:00")
+    assert set(out["loads"]) == {"commerce", "marketing", "inventory"} and out["transforms"]["models_built"] == 17
+    again = run.run_job(spark, "backfill", fx.raw_feeds(spark, "/root/testdata/sf0.001"), scratch, 2, "2024-01-01 00:00:00")
+    assert [r["row_count"] for r in again["loads"]["commerce"]] == [r["row_count"] for r in out["loads"]["commerce"]]
+    assert {v.name for v in spark.catalog.listTables()} == before
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    assert run.run_pipeline(spark, {}, scratch, 3, ["unknown"]) == {}
+
+
+def test_shared_folder_is_required_off_local_mode(monkeypatch):
+    import pytest
+
+    from tillroll import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_a_truncated_page_fails_the_read(spark, scratch):
+    import pytest
+
+    from tillroll.sources import feeds, fixtures
+    spec = feeds.feed("orders")
+    fixtures.write_pages(fixtures.raw_feed(spark, "/root/testdata/sf0.001", "orders"), f"{scratch}/pages", spec.pk)
+    with open(f"{scratch}/pages/part-truncated.json", "w") as f:
+        f.write('{"data": [{"id": 1, "order_num')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        feeds.read_pages(spark, f"{scratch}/pages", spec).collect()

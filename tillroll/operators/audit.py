@@ -21,7 +21,8 @@ _EVENT = [T.StructField("_event_seq", T.LongType(), False)]
 
 
 def _now() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    """With its zone: Spark then stores the instant, whatever zone the machine or session has."""
+    return _dt.datetime.now(_dt.timezone.utc)
 
 
 class AuditLog:
@@ -31,6 +32,7 @@ class AuditLog:
     def __init__(self, spark: SparkSession, root: str, clock=_now):
         self.spark, self.root, self.clock = spark, root.rstrip("/"), clock
         self._seq = itertools.count(int(clock().timestamp() * 1000) * 1000)
+        self._pending: list[tuple] = []  # resource rows, written when their run ends
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -51,14 +53,18 @@ class AuditLog:
 
     def log_resource(self, run_id: str, resource_name: str, row_count: int = 0, status: str = "success",
                      duration_seconds: float = 0.0, error_message: str | None = None) -> None:
-        """K8: one row per loaded resource."""
+        """K8: one row per loaded resource, written with the end of its run."""
         now = self.clock()
-        self._append("pipeline_resource_runs", [(str(uuid.uuid4()), run_id, resource_name, int(row_count), status,
-                                                 now, now, float(duration_seconds), error_message)])
+        self._pending.append((str(uuid.uuid4()), run_id, resource_name, int(row_count), status,
+                              now, now, float(duration_seconds), error_message))
 
     def end_run(self, run_id: str, status: str = "success", total_rows: int = 0, duration_seconds: float = 0.0,
                 error_message: str | None = None) -> None:
         """K9: completion event; the error is only set when given."""
+        rows = [r for r in self._pending if r[1] == run_id]
+        if rows:
+            self._pending = [r for r in self._pending if r[1] != run_id]
+            self._append("pipeline_resource_runs", rows)
         self._append("pipeline_runs", [(run_id, "", "", status, self.clock(), self.clock(), float(duration_seconds),
                                         int(total_rows), error_message or None, None)])
 

@@ -51,14 +51,16 @@ def snapshot_check(snapshot: DataFrame | None, source: DataFrame, key: str, chec
     in_open, in_src = F.col(f"o_{key}").isNotNull(), F.col(f"s_{key}").isNotNull()
     j = j.withColumn("_changed", in_open & in_src & ~same)
 
-    # open rows: kept as is, or closed at run_ts when the source changed them
-    kept = j.filter(in_open).select(
-        *[F.col(f"o_{c}").alias(c) for c in cols + [SCD_ID, UPDATED, VALID_FROM]],
-        F.when(F.col("_changed"), ts).otherwise(F.col(f"o_{VALID_TO}")).alias(VALID_TO))
-    # new versions: changed keys and keys never seen
-    fresh = _versions(j.filter(F.col("_changed") | (in_src & ~in_open))
-                      .select(*[F.col(f"s_{c}").alias(c) for c in cols]), key, ts)
-    return closed.select(cols + meta).unionByName(kept).unionByName(fresh.select(cols + meta))
+    # Each joined row gives one or two versions: the open one, kept or closed at run_ts, and the new one.
+    versions = [SCD_ID, UPDATED, VALID_FROM, VALID_TO]
+    none = F.lit(None).cast("timestamp")
+    kept = F.struct(*[F.col(f"o_{c}").alias(c) for c in cols + versions[:3]],
+                    F.when(F.col("_changed"), ts).otherwise(F.col(f"o_{VALID_TO}")).alias(VALID_TO))
+    fresh = F.struct(*[F.col(f"s_{c}").alias(c) for c in cols], _scd_id(f"s_{key}", ts).alias(SCD_ID), ts.alias(UPDATED),
+                     ts.alias(VALID_FROM), none.alias(VALID_TO))
+    out = j.select(F.explode(F.array_compact(F.array(F.when(in_open, kept), F.when(F.col("_changed") | (in_src & ~in_open), fresh))))
+                   .alias("r")).select("r.*")
+    return closed.select(cols + meta).unionByName(out.select(cols + meta))
 
 
 def product_snapshot(snapshot: DataFrame | None, stg_products: DataFrame, run_ts: str) -> DataFrame:

@@ -73,22 +73,6 @@ class RetailModels:
             out.__dict__[name] = spark.read.parquet(f"{root}/mart/{name}")
         return out
 
-    def persisted(self) -> "RetailModels":
-        """Same graph with raw tables and marts persisted (memory, spilling to disk).
-
-        For a batch of checks over every model inside one session: each table is computed once
-        and lost cache blocks are recomputed from lineage if an executor goes away."""
-        from pyspark import StorageLevel
-        raw = {n: df.persist(StorageLevel.MEMORY_AND_DISK) for n, df in self.raw.items()}
-        out = RetailModels(raw, self.run_ts)
-        for name in self.MART_NAMES:
-            out.__dict__[name] = out.model(name).persist(StorageLevel.MEMORY_AND_DISK)
-        return out
-
-    def unpersist(self) -> None:
-        for df in list(self.raw.values()) + [self.__dict__[n] for n in self.MART_NAMES if n in self.__dict__]:
-            df.unpersist()
-
     def tables(self) -> dict[str, DataFrame]:
         """Every raw table, staging view and mart by name."""
         d = dict(self.raw)
@@ -97,14 +81,6 @@ class RetailModels:
             d[n] = self.model(n)
         return d
 
-    def register_views(self, prefix: str = "") -> list[str]:
-        """K4: expose every table and view to SQL (``spark.sql`` / custom checks) as temp views."""
-        names = []
-        for n, df in self.tables().items():
-            df.createOrReplaceTempView(prefix + n)
-            names.append(prefix + n)
-        return names
-
     def model(self, name: str) -> DataFrame:
         if name in self.stg:
             return self.stg[name]

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators import merge, quarantine
+from tillroll.operators import merge, quality, quarantine, scd2
 from tillroll.operators.audit import AuditLog
 from tillroll.plans import suites
 from tillroll.plans.models import RetailModels
@@ -20,9 +20,9 @@ from tillroll.sources.feeds import DOMAINS
 
 # Record rules applied before the merge, per feed.
 DEFAULT_RULES: dict[str, list[quarantine.ValidationRule]] = {
-    "orders": [quarantine.ValidationRule.not_null("id"), quarantine.ValidationRule.not_null("customer_id")],
-    "order_items": [quarantine.ValidationRule.not_null("id"), quarantine.ValidationRule.not_null("order_id")],
-    "payments": [quarantine.ValidationRule.not_null("id"), quarantine.ValidationRule.not_null("order_id")],
+    "orders": [quarantine.rule("id", "not_null"), quarantine.rule("customer_id", "not_null")],
+    "order_items": [quarantine.rule("id", "not_null"), quarantine.rule("order_id", "not_null")],
+    "payments": [quarantine.rule("id", "not_null"), quarantine.rule("order_id", "not_null")],
 }
 
 
@@ -31,56 +31,56 @@ def layer_path(root: str, layer: str | None, table: str) -> str:
     return f"{root.rstrip('/')}/{layer or 'default'}/{table}"
 
 
-def _state_path(root: str, name: str) -> str:
-    return layer_path(root, "_state", name)
-
-
-def read_cursor(spark: SparkSession, root: str, name: str) -> str | None:
-    try:
-        row = spark.read.parquet(_state_path(root, name)).agg(F.max("last_value")).first()
-    except Exception:  # noqa: BLE001 - no state yet = full load
-        return None
-    return row[0].isoformat() if row and row[0] is not None else None
+def raw_table(spark: SparkSession, root: str, name: str) -> merge.MergedTable:
+    return merge.MergedTable(spark, layer_path(root, "raw", name))
 
 
 def run_domain_pipeline(spark: SparkSession, domain: str, sources: dict[str, DataFrame], root: str,
                         load_seq: int, rules: dict | None = None, audit: AuditLog | None = None,
-                        full_refresh: bool = False) -> DataFrame:
-    """O1: load every feed of ``domain`` from ``sources``; returns the resource report."""
+                        full_refresh: bool = False, load_id: str | None = None, checks: dict | None = None) -> DataFrame:
+    """O1: load every feed of ``domain`` from ``sources``; returns the resource report.
+
+    A load is named by ``load_id`` (default: domain and sequence): running it again after a crash
+    overwrites its own quarantine rows and skips the feeds it has merged. ``checks`` (feed -> quality
+    checks) run on the merged table, and their results are stored with the audit tables (K12)."""
     rules = DEFAULT_RULES if rules is None else rules
     audit = audit or AuditLog(spark, layer_path(root, "audit", ""))
+    load_id = load_id or f"{domain}-{load_seq}"
     run_id = audit.start_run(DOMAINS[domain]["pipeline_name"], "ingestion")
-    started = time.time()
-    total = 0
-    load_id = f"{domain}-{load_seq}-{uuid.uuid4().hex[:8]}"
+    started, total = time.time(), 0
+    spec, t0 = None, started
     try:
         for spec in DOMAINS[domain]["feeds"]:
             t0 = time.time()
-            src = sources[spec.name]
-            since = None if full_refresh else merge.parse_cursor(read_cursor(spark, root, spec.name))
-            batch = merge.incremental_cut(src, since, spec.cursor)
+            table = raw_table(spark, root, spec.name)
+            since = None if full_refresh else merge.parse_cursor(table.cursor_micros())
+            batch = merge.incremental_cut(sources[spec.name], since, spec.cursor)
             if spec.name in rules:
-                flagged = quarantine.flag(batch, rules[spec.name], None)
-                flagged = flagged.persist()
-                bad = flagged.filter(F.col(quarantine.REASONS).isNotNull())
-                quarantine.write_quarantine(bad, layer_path(root, "quarantine", ""), spec.name)
-                batch = flagged.filter(F.col(quarantine.REASONS).isNull()).drop(quarantine.REASONS,
-                                                                                quarantine.QUARANTINED_AT)
-            table = merge.VersionedTable(spark, layer_path(root, "raw", spec.name))
-            merged = merge.upsert(table, batch, list(spec.pk), load_id, load_seq, spec.cursor)
-            stats = merged.agg(F.count(F.lit(1)).alias("n"), F.max(spec.cursor).alias("c")).first()
-            spark.createDataFrame([(stats["c"],)], "last_value timestamp").write.mode("overwrite") \
-                .parquet(_state_path(root, spec.name))
-            total += int(stats["n"])
-            audit.log_resource(run_id, spec.name, int(stats["n"]), "success", time.time() - t0)
+                batch, bad = quarantine.validate_and_split(batch, rules[spec.name])
+                quarantine.write_quarantine(bad, layer_path(root, "quarantine", ""), spec.name, load_id)
+            merged = table.upsert(batch, list(spec.pk), f"{load_id}-{spec.name}", load_seq, spec.cursor)
+            n = table.row_count()
+            if checks and spec.name in checks:
+                refs = {name: raw_table(spark, root, name).read() for name in spec_names(domain)}
+                found = quality.run_checks(spark, spec.name, merged, checks[spec.name], refs={k: v for k, v in refs.items() if v is not None})
+                audit.store_results(quality.results_frame(spark, found))
+            total += n
+            audit.log_resource(run_id, spec.name, n, "success", time.time() - t0)
         audit.end_run(run_id, "success", total, time.time() - started)
     except Exception as exc:
-        audit.end_run(run_id, "failed", total, time.time() - started, str(exc).splitlines()[0][:500])
+        message = str(exc).splitlines()[0][:500] if str(exc) else type(exc).__name__
+        if spec is not None:
+            audit.log_resource(run_id, spec.name, 0, "failed", time.time() - t0, message)
+        audit.end_run(run_id, "failed", total, time.time() - started, message)
         raise
     return (audit.events("pipeline_resource_runs").filter(F.col("run_id") == run_id)
             .select("resource_name", "row_count", "status", "duration_seconds", "error_message"))
 
 
+def spec_names(domain: str) -> list[str]:
+    return [f.name for f in DOMAINS[domain]["feeds"]]
+
+
 def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], root: str, load_seq: int,
                  domains: list[str] | None = None, **kw) -> dict[str, DataFrame]:
     """O2: every domain in order; an unknown domain is skipped with a message."""
@@ -93,44 +93,78 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     return out
 
 
-def read_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def read_raw(spark: SparkSession, root: str, metadata: bool = False) -> dict[str, DataFrame]:
+    """The merged raw tables, with or without the load metadata columns (K2)."""
     raw = {}
     for d in DOMAINS.values():
         for spec in d["feeds"]:
-            df = merge.VersionedTable(spark, layer_path(root, "raw", spec.name)).read()
+            df = raw_table(spark, root, spec.name).read()
             if df is not None:
-                raw[spec.name] = df.drop(merge.LOAD_ID, merge.LOAD_SEQ, merge.ROW_ID)
+                raw[spec.name] = df if metadata else df.drop(*merge.METADATA)
     return raw
 
 
 MART_PARTITIONS = {"fct_orders": ["order_year", "order_month"], "fct_daily_marketing_performance": ["year", "month"]}
 
 
-def run_transforms(spark: SparkSession, root: str, run_ts: str | None = None, fail_on_test: bool = True) -> dict:
-    """O3: staging views -> facts and reconciliation written in dependency order -> all tests."""
+def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The marts of the published version."""
+    row = spark.read.parquet(layer_path(root, "mart", "_published")).agg(F.max("version")).first()
+    return {n: spark.read.parquet(layer_path(root, "mart", f"v={row[0]}/{n}")) for n in RetailModels.MART_NAMES}
+
+
+def run_transforms(spark: SparkSession, root: str, run_ts: str | None = None, fail_on_test: bool = True,
+                   snapshot_ts: str | None = None) -> dict:
+    """O3: staging views -> facts and reconciliation written in dependency order -> all tests.
+
+    Marts are written as a new version, partitioned tables with one task a partition value or AQE's
+    share of it, tested there, and published by one appended row: readers keep the tested version
+    before until then. With ``snapshot_ts`` the product history (M6) takes this run's products too."""
     m = RetailModels(read_raw(spark, root), run_ts)
+    version = f"{uuid.uuid1().time:020d}"
     built = {}
     for name in RetailModels.MART_NAMES:  # recon_marketing reads the fact written just before
-        path = layer_path(root, "mart", name)
-        writer = m.model(name).write.mode("overwrite")
+        path = layer_path(root, "mart", f"v={version}/{name}")
+        df = m.model(name)
         if name in MART_PARTITIONS:
-            writer = writer.partitionBy(*MART_PARTITIONS[name])
-        writer.parquet(path)
+            df.hint("rebalance", *MART_PARTITIONS[name]).write.partitionBy(*MART_PARTITIONS[name]).parquet(path)
+        else:
+            df.write.parquet(path)
         built[name] = spark.read.parquet(path)
         if name == "fct_daily_marketing_performance":
             m.__dict__[name] = built[name]
-    models = dict(m.raw)
-    models.update(m.stg)
-    models.update(built)
+    models = {**m.raw, **m.stg, **built}
     results = suites.run_declared_tests(models).collect()
     failed = [r["test_name"] for r in results if not r["passed"]]
     report = {"models_built": len(m.stg) + len(built), "tests_passed": len(results) - len(failed),
               "tests_failed": failed}
     if fail_on_test and failed:
         raise RuntimeError(f"{len(failed)} data tests failed: {failed[:10]}")
+    spark.createDataFrame([(version,)], "version string").write.mode("append").parquet(layer_path(root, "mart", "_published"))
+    if snapshot_ts is not None:
+        take_product_snapshot(spark, root, m.stg["stg_products"], snapshot_ts)
     return report
 
 
+def take_product_snapshot(spark: SparkSession, root: str, stg_products: DataFrame, run_ts: str) -> DataFrame:
+    """M6 within a run: the history after ``run_ts`` is written beside the one before; taking the same
+    time again reads the same predecessor and writes the same rows."""
+    at = layer_path(root, "snapshot", "product_snapshot")
+    stamp = "".join(c for c in run_ts if c.isdigit())
+    before = [v for v in _snapshots(spark, at) if v < stamp]
+    old = spark.read.parquet(f"{at}/v={before[-1]}") if before else None
+    scd2.product_snapshot(old, stg_products, run_ts).write.mode("overwrite").parquet(f"{at}/v={stamp}")
+    return spark.read.parquet(f"{at}/v={stamp}")
+
+
+def _snapshots(spark: SparkSession, at: str) -> list[str]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return sorted(s.getPath().getName()[2:] for s in fs.listStatus(path) if s.getPath().getName().startswith("v="))
+
+
 # Job selections
 JOBS = {
     "full": {"domains": ["commerce", "marketing", "inventory"], "transforms": True, "full_refresh": False},
@@ -142,9 +176,9 @@ JOBS = {
 
 
 def run_job(spark: SparkSession, job: str, sources: dict[str, DataFrame], root: str, load_seq: int,
-            run_ts: str | None = None) -> dict:
+            run_ts: str | None = None, **options) -> dict:
     sel = JOBS[job]
-    loads = run_pipeline(spark, sources, root, load_seq, sel["domains"], full_refresh=sel["full_refresh"])
+    loads = run_pipeline(spark, sources, root, load_seq, sel["domains"], full_refresh=sel["full_refresh"], **options)
     out = {"loads": {d: [r.asDict() for r in df.collect()] for d, df in loads.items()}}
     if sel["transforms"]:
         out["transforms"] = run_transforms(spark, root, run_ts, fail_on_test=False)
