@@ -11,9 +11,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tillroll.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=4, app="tillroll-tests")
+    s = build_session(master="local[4]", shuffle_partitions=4, app="tillroll-tests",
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))})
     yield s
     s.stop()
 

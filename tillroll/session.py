@@ -23,8 +23,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    # Tests only: a scratch checkpoint folder when the caller gave none.
-    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillroll-ckpt-"))
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -36,12 +34,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests) a scratch folder is created and registered.
+    ``spark.checkpoint.dir`` names a folder that all executors share and is used as is. Where it
+    is unset only a local session gets a scratch folder of its own; on a cluster that would be
+    one machine's disk, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; on {sc.master} it has to name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
