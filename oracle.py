@@ -1,7 +1,7 @@
 """DuckDB oracle SQL for every registered query (the driver's correctness gate).
 
-Written independently of the Spark code: the retail feeds are rebuilt from the driver tables
-with plain SQL CTEs, then each model is the warehouse SQL of the reference semantics. Every
+The retail feeds are rebuilt from the driver tables with plain SQL CTEs, then each model is
+restated in warehouse SQL. Every
 output column is cast to the type the Spark query returns so values hash identically.
 """
 
@@ -63,7 +63,7 @@ def cycle(key: str, values: list) -> str:
 
 
 # --------------------------------------------------------------------------- raw feeds
-_LINE_ORDER = ("l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity, "
+_LINE_ORDER = ("l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity, "
                "l_discount, l_tax, l_returnflag, l_linestatus")
 WAREHOUSES = [" wh-east", "WH-West ", "Wh-Central"]
 
@@ -72,7 +72,9 @@ FEEDS: dict[str, tuple[list[str], str]] = {}
 _UNIT = m("l_extendedprice")
 _DISC = m(f"{_UNIT} * {m('l_discount')}")
 FEEDS["raw_order_items"] = ([], f"""
-  SELECT l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS id,
+  SELECT (l_orderkey * (SELECT max(l_linenumber) + 1 FROM lineitem) + l_linenumber)
+           * (SELECT max(n) + 1 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber))
+           + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LINE_ORDER}) AS id,
          l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
          {m('l_extendedprice')} AS unit_price,
          {_DISC} AS discount_amount, {m(f"{_UNIT} - {_DISC}")} AS total_price,
@@ -171,8 +173,9 @@ FEEDS["raw_daily_performance"] = ([], f"""
          strftime(d, '%Y-%m-%d') AS date, CAST(q * 40 AS INTEGER) AS impressions,
          CAST(CASE WHEN l_suppkey % 20 = 0 THEN 0 ELSE q END AS INTEGER) AS clicks,
          CASE WHEN l_suppkey % 25 = 0 THEN {m('0')} ELSE {m('p * CAST(0.01 AS DECIMAL(3,2))')} END AS spend,
-         CASE WHEN l_suppkey % 20 = 0 THEN {m('0')} ELSE {m('CAST(0.03 AS DECIMAL(3,2))')} END AS ctr,
-         CASE WHEN l_suppkey % 20 <> 0 THEN {m('p * CAST(0.0001 AS DECIMAL(5,4))')} END AS cpc,
+         CASE WHEN l_suppkey % 20 = 0 THEN CAST(0 AS DOUBLE)
+              ELSE CAST(31250 + l_suppkey % 7 * 1171 AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS ctr,
+         CASE WHEN l_suppkey % 20 <> 0 THEN CAST(p AS DOUBLE) / CAST(10000 AS DOUBLE) END AS cpc,
          CAST(n AS INTEGER) AS purchases, {m('pn * CAST(0.02 AS DECIMAL(3,2))')} AS revenue,
          CAST(d AS TIMESTAMP) AS created_at, CAST(d AS TIMESTAMP) AS updated_at
   FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS d, sum(l_quantity) AS q, sum({m('l_extendedprice')}) AS p,
@@ -206,14 +209,14 @@ FEEDS["raw_change_feed"] = ([], """
   FROM events""")
 
 # Three extracts of products for the SCD2 snapshot: v2 re-prices id % 10 = 0, v3 drops id % 100 = 3
-# and adds new ids (id + 1000000 for id % 100 = 7).
+# and adds new ids (-id for id % 100 = 7).
 FEEDS["raw_products_v2"] = (["raw_products"], f"""
   SELECT * REPLACE (CASE WHEN id % 10 = 0 THEN {m('price * CAST(1.1 AS DECIMAL(2,1))')} ELSE price END AS price)
   FROM raw_products""")
 FEEDS["raw_products_v3"] = (["raw_products", "raw_products_v2"], """
   SELECT * FROM raw_products_v2 WHERE id % 100 <> 3
   UNION ALL
-  SELECT * REPLACE (id + 1000000 AS id, 'sku-n' || CAST(id + 1000000 AS VARCHAR) AS sku)
+  SELECT * REPLACE (-id AS id, 'sku-n' || CAST(-id AS VARCHAR) AS sku)
   FROM raw_products WHERE id % 100 = 7""")
 
 # --------------------------------------------------------------------------- staging
@@ -401,3 +404,96 @@ def with_views(body: str, needs: list[str]) -> str:
 
 def view_sql(name: str) -> str:
     return with_views(f"SELECT * FROM {name}", [name])
+
+
+# --------------------------------------------------------------------------- declared suites (fixed values)
+# Data tests, written out: "model.column" for tests of one column, "-> parent.column" for relationships.
+UNIQUE_AND_NOT_NULL = """customers.id customers.email products.id products.sku orders.id orders.order_number order_items.id
+payments.id payments.transaction_id refunds.id
+stg_customers.customer_id stg_customers.email stg_products.product_id stg_products.sku stg_orders.order_id stg_orders.order_number
+stg_order_items.order_item_id stg_payments.payment_id stg_payments.transaction_id stg_refunds.refund_id
+campaigns.id ad_sets.id ads.id daily_performance.id
+stg_campaigns.campaign_id stg_ad_sets.ad_set_id stg_ads.ad_id stg_daily_performance.performance_id
+inventory_snapshots.id inventory_movements.id stg_inventory_snapshots.snapshot_id stg_inventory_movements.movement_id
+fct_orders.order_id fct_orders.order_number fct_daily_marketing_performance.performance_id
+recon_orders_vs_items.order_id recon_payments_vs_refunds.order_id""".split()
+NOT_NULL = """orders.customer_id order_items.order_id order_items.product_id payments.order_id refunds.order_id refunds.payment_id
+stg_orders.customer_id stg_order_items.order_id stg_order_items.product_id stg_payments.order_id stg_refunds.order_id
+stg_refunds.payment_id ad_sets.campaign_id ads.ad_set_id daily_performance.ad_id inventory_snapshots.product_id
+inventory_movements.product_id fct_orders.customer_id fct_orders.order_total fct_orders.order_date
+fct_daily_marketing_performance.campaign_id fct_daily_marketing_performance.ad_id
+fct_daily_marketing_performance.performance_date""".split()
+RELATIONSHIPS = """orders.customer_id -> customers.id
+order_items.order_id -> orders.id
+order_items.product_id -> products.id
+payments.order_id -> orders.id
+refunds.order_id -> orders.id
+refunds.payment_id -> payments.id""".splitlines()
+ORDER_STATUSES = "'pending', 'confirmed', 'processing', 'shipped', 'delivered', 'cancelled', 'returned'"
+PAYMENT_STATUSES = "'pending', 'completed', 'failed', 'refunded'"
+# (name, model, column, kind, failing rows)
+OTHER_TESTS = [
+    ("accepted_values_fct_orders_order_status", "fct_orders", "order_status", "accepted_values", f"order_status NOT IN ({ORDER_STATUSES})"),
+    ("assert_net_revenue_not_exceeds_total", "fct_orders", None, "net_revenue_not_exceeds_total", "net_revenue > order_total + 0.01"),
+    ("assert_order_total_matches_components", "fct_orders", None, "order_total_matches_components",
+     "abs(order_total - round(subtotal - order_discount_amount + tax_amount + shipping_amount, 2)) > 0.02"),
+    ("assert_roas_not_negative", "fct_daily_marketing_performance", None, "roas_not_negative", "spend > 0 AND revenue > 0 AND roas < 0"),
+]
+GENERIC_TESTS = [
+    ("positive_value_fct_orders_order_total", "fct_orders", "order_total", "positive_value", "order_total < 0"),
+    ("positive_value_stg_inventory_movements_quantity", "stg_inventory_movements", "quantity", "positive_value", "quantity < 0"),
+    ("value_in_range_stg_products_gross_margin", "stg_products", "gross_margin", "value_in_range", "gross_margin < 0 OR gross_margin > 1"),
+]
+
+
+def view_of(name: str) -> str:
+    """The oracle's view of a model or raw table."""
+    return f"raw_{name}" if f"raw_{name}" in FEEDS else name
+
+
+def data_tests() -> list[tuple[str, str, str | None, str, str]]:
+    """(name, model, column, kind, SQL of the failing rows) of every declared test."""
+    out = []
+    for x in UNIQUE_AND_NOT_NULL:
+        m_, c = x.split(".")
+        out.append((f"unique_{m_}_{c}", m_, c, "unique",
+                    f"SELECT {c} FROM {view_of(m_)} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"))
+    for x in UNIQUE_AND_NOT_NULL + NOT_NULL:
+        m_, c = x.split(".")
+        out.append((f"not_null_{m_}_{c}", m_, c, "not_null", f"SELECT 1 FROM {view_of(m_)} WHERE {c} IS NULL"))
+    for x in RELATIONSHIPS:
+        (m_, c), (p, k) = (y.split(".") for y in x.split(" -> "))
+        out.append((f"relationships_{m_}_{c}__{k}__{p}", m_, c, "relationships",
+                    f"SELECT 1 FROM {view_of(m_)} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+                    f"(SELECT 1 FROM {view_of(p)} pa WHERE pa.{k} = ch.{c})"))
+    for name, m_, c, kind, bad in OTHER_TESTS + GENERIC_TESTS:
+        out.append((name, m_, c, kind, f"SELECT 1 FROM {view_of(m_)} WHERE {bad}"))
+    return out
+
+
+# Mandatory columns of the raw tables, their foreign keys, the tables of each layer, data columns.
+RAW_NOT_NULL = {
+    "customers": "id email first_name last_name country created_at updated_at",
+    "products": "id sku name category_id brand price cost_price created_at updated_at",
+    "orders": "id order_number customer_id status total_amount created_at updated_at",
+    "order_items": "id order_id product_id quantity unit_price total_price created_at updated_at",
+    "payments": "id order_id payment_method payment_status amount transaction_id created_at updated_at",
+    "refunds": "id order_id payment_id reason status amount created_at updated_at",
+}
+RAW_FOREIGN_KEYS = """orders.customer_id -> customers.id
+order_items.order_id -> orders.id
+order_items.product_id -> products.id
+payments.order_id -> orders.id
+refunds.order_id -> orders.id
+refunds.payment_id -> payments.id""".splitlines()
+LAYERS = {
+    "commerce": "customers products orders order_items payments refunds",
+    "marketing": "campaigns ad_sets ads daily_performance",
+    "inventory": "inventory_snapshots inventory_movements",
+    "marts": "fct_orders fct_daily_marketing_performance",
+}
+RAW_DATA_COLUMNS = {"customers": 16, "products": 15, "orders": 18, "order_items": 9, "payments": 8, "refunds": 10}
+# Product history: tracked columns, and those that open a new version.
+HISTORY_COLUMNS = ("product_id, sku, product_name, category_id, brand, price, cost_price, gross_margin, size, color, material, "
+                   "stock_quantity, is_active, updated_at")
+HISTORY_CHECKED = ["price", "cost_price", "category_id", "is_active", "stock_quantity"]

@@ -46,56 +46,19 @@ def _ov(name: str) -> str:
 # --------------------------------------------------------------------------- data tests (Q11-Q19)
 
 def q_data_tests(spark, sf_dir):
-    """The declared tests over persisted tables (raw and marts computed once, staging as views).
-
-    The result has one row per test (a fixed, small list), so it is computed here and the
-    cached tables are released before returning."""
-    m = RetailModels.from_driver_tables(spark, sf_dir).persisted()
-    try:
-        res = suites.run_declared_tests(m.tables())
-        rows = res.collect()
-        return spark.createDataFrame(rows, res.schema)
-    finally:
-        m.unpersist()
-
-
-def _test_sql(t: quality.DataTest) -> str:
-    v = _ov(t.model)
-    p = dict(t.params)
-    c = t.column
-    if t.kind == "not_null":
-        body = f"SELECT 1 FROM {v} WHERE {c} IS NULL"
-    elif t.kind == "unique":
-        body = f"SELECT {c} FROM {v} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
-    elif t.kind == "accepted_values":
-        vals = ", ".join(f"'{x}'" for x in p["values"])
-        body = f"SELECT 1 FROM {v} WHERE {c} NOT IN ({vals})"
-    elif t.kind == "relationships":
-        body = (f"SELECT 1 FROM {v} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
-                f"(SELECT 1 FROM {_ov(p['to'])} pa WHERE pa.{p['field']} = ch.{c})")
-    elif t.kind == "positive_value":
-        body = f"SELECT 1 FROM {v} WHERE {c} < 0"
-    elif t.kind == "value_in_range":
-        body = f"SELECT 1 FROM {v} WHERE {c} < {p.get('min_value', 0)} OR {c} > {p.get('max_value', 1)}"
-    elif t.kind == "net_revenue_not_exceeds_total":
-        body = f"SELECT 1 FROM {v} WHERE net_revenue > order_total + 0.01"
-    elif t.kind == "order_total_matches_components":
-        body = (f"SELECT 1 FROM {v} WHERE abs(order_total - round(subtotal - order_discount_amount + tax_amount "
-                f"+ shipping_amount, 2)) > 0.02")
-    elif t.kind == "roas_not_negative":
-        body = f"SELECT 1 FROM {v} WHERE spend > 0 AND revenue > 0 AND roas < 0"
-    else:
-        raise ValueError(t.kind)
-    col = f"'{c}'" if c else "CAST(NULL AS VARCHAR)"
-    return (f"SELECT '{t.name}' AS test_name, '{t.model}' AS model, {col} AS column_name, '{t.kind}' AS kind, "
-            f"CAST(count(*) AS BIGINT) AS failures, count(*) = 0 AS passed FROM ({body}) x")
+    """The declared tests over written tables: raw feeds and marts are computed and stored once, staging
+    stays a view, and every test scans what was stored. Nothing is cached."""
+    m = RetailModels.from_driver_tables(spark, sf_dir).materialized(_scratch(spark, "tests"))
+    return suites.run_declared_tests(m.tables())
 
 
 def o_data_tests() -> str:
-    tests = suites.declared_tests() + suites.generic_tests()
-    body = "\nUNION ALL ".join(_test_sql(t) for t in tests)
-    return O.with_views(body, sorted({_ov(t.model) for t in tests} | {"raw_customers", "raw_orders", "raw_products",
-                                                                       "raw_payments"}))
+    tests = O.data_tests()
+    text = lambda x: f"'{x}'" if x else "CAST(NULL AS VARCHAR)"
+    body = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS test_name, '{model}' AS model, {text(column)} AS column_name, '{kind}' AS kind, "
+        f"CAST(count(*) AS BIGINT) AS failures, count(*) = 0 AS passed FROM ({bad}) x" for name, model, column, kind, bad in tests)
+    return O.with_views(body, sorted({O.view_of(t[1]) for t in tests} | {"raw_customers", "raw_orders", "raw_products", "raw_payments"}))
 
 
 # --------------------------------------------------------------------------- raw suite (Q20-Q24)
@@ -104,38 +67,42 @@ def q_raw_suite(spark, sf_dir):
     return suites.raw_suite(fx.raw_feeds(spark, sf_dir))
 
 
-def o_raw_suite() -> str:
+def o_raw_suite(loaded: bool = False) -> str:
     parts = []
-    for t in suites.RAW_TABLES:
+    for t, columns in O.RAW_NOT_NULL.items():
         parts.append(f"SELECT '1_counts' AS section, 'row_count' AS check_name, '{t}' AS table_name, "
                      f"CAST(count(*) AS BIGINT) AS observed, count(*) > 0 AS passed FROM raw_{t}")
-    for t in suites.RAW_TABLES:
-        n = len([f for f in FEED_SCHEMAS[t].fields if not f.name.startswith("_")])
-        parts.append(f"SELECT '2_schema', 'data_columns', '{t}', CAST({n} AS BIGINT), false")
-    for t, cols in suites.NOT_NULL_COLUMNS.items():
-        for c in cols:
+        parts.append(f"SELECT '2_schema', 'data_columns', '{t}', CAST({O.RAW_DATA_COLUMNS[t]} AS BIGINT), {str(loaded).lower()}")
+        for c in columns.split():
             parts.append(f"SELECT '3_not_null', 'null_{c}', '{t}', CAST(count_if({c} IS NULL) AS BIGINT), "
                          f"count_if({c} IS NULL) = 0 FROM raw_{t}")
-    for child, ccol, parent, pcol in suites.FK_CHECKS:
-        q = (f"(SELECT count(*) FROM raw_{child} c WHERE NOT EXISTS "
+    for x in O.RAW_FOREIGN_KEYS:
+        (child, ccol), (parent, pcol) = (y.split(".") for y in x.split(" -> "))
+        n = (f"(SELECT count(*) FROM raw_{child} c WHERE NOT EXISTS "
              f"(SELECT 1 FROM raw_{parent} p WHERE p.{pcol} = c.{ccol}))")
-        parts.append(f"SELECT '4_foreign_keys', '{child}.{ccol}->{parent}.{pcol}', '{child}', CAST({q} AS BIGINT), {q} = 0")
-    ost = ", ".join(f"'{s}'" for s in suites.ORDER_STATUSES)
-    pst = ", ".join(f"'{s}'" for s in suites.PAYMENT_STATUSES)
+        parts.append(f"SELECT '4_foreign_keys', '{child}.{ccol}->{parent}.{pcol}', '{child}', CAST({n} AS BIGINT), {n} = 0")
     spot = [
         ("orders_positive_totals", "orders", "SELECT count_if(total_amount < 0) FROM raw_orders"),
         ("products_price_gt_cost", "products", "SELECT count_if(cost_price >= price) FROM raw_products"),
         ("products_positive_prices", "products", "SELECT count_if(price <= 0) FROM raw_products"),
-        ("orders_valid_statuses", "orders", f"SELECT count_if(status NOT IN ({ost})) FROM raw_orders"),
-        ("payments_valid_statuses", "payments", f"SELECT count_if(payment_status NOT IN ({pst})) FROM raw_payments"),
+        ("orders_valid_statuses", "orders", f"SELECT count_if(status NOT IN ({O.ORDER_STATUSES})) FROM raw_orders"),
+        ("payments_valid_statuses", "payments", f"SELECT count_if(payment_status NOT IN ({O.PAYMENT_STATUSES})) FROM raw_payments"),
         ("every_order_has_items", "orders", "SELECT count(*) FROM raw_orders o WHERE NOT EXISTS "
                                             "(SELECT 1 FROM raw_order_items i WHERE i.order_id = o.id)"),
         ("every_order_has_payment", "orders", "SELECT count(*) FROM raw_orders o WHERE NOT EXISTS "
                                               "(SELECT 1 FROM raw_payments p WHERE p.order_id = o.id)"),
     ]
-    for name, t, q in spot:
-        parts.append(f"SELECT '5_spot_checks', '{name}', '{t}', CAST(({q}) AS BIGINT), ({q}) = 0")
-    return O.with_views("\nUNION ALL ".join(parts), [f"raw_{t}" for t in suites.RAW_TABLES])
+    for name, t, n in spot:
+        parts.append(f"SELECT '5_spot_checks', '{name}', '{t}', CAST(({n}) AS BIGINT), ({n}) = 0")
+    return O.with_views("\nUNION ALL ".join(parts), [f"raw_{t}" for t in O.RAW_NOT_NULL])
+
+
+def q_raw_suite_loaded(spark, sf_dir):
+    """The suite over tables that a commerce load has merged: their metadata columns are there (K2, Q21)."""
+    from tillroll.plans.run import read_raw, run_domain_pipeline
+    root = _scratch(spark, "suite")
+    run_domain_pipeline(spark, "commerce", fx.raw_feeds(spark, sf_dir), root, load_seq=1)
+    return suites.raw_suite(read_raw(spark, root, metadata=True))
 
 
 # --------------------------------------------------------------------------- layer checks, counts, KPIs
@@ -145,15 +112,28 @@ def q_layer_checks(spark, sf_dir):
     return suites.layer_checks(_models_dict(m))
 
 
-def o_layer_checks() -> str:
+ABSENT, EMPTY = ("payments", "ads", "fct_orders"), "refunds"
+
+
+def q_layer_checks_missing_table(spark, sf_dir):
+    """Q25 with some tables absent and one empty: their layers fail and name them."""
+    tables = _models_dict(RetailModels.from_driver_tables(spark, sf_dir))
+    tables[EMPTY] = tables[EMPTY].where("false")
+    return suites.layer_checks({n: df for n, df in tables.items() if n not in ABSENT})
+
+
+def o_layer_checks(absent=(), empty=()) -> str:
     parts = []
-    for layer, names in suites.LAYER_TABLES.items():
-        for n in names:
-            parts.append(f"SELECT '{layer}' AS layer, '{n}' AS table_name, count(*) AS row_count FROM {_ov(n)}")
-    body = ("SELECT layer, count_if(row_count = 0) = 0 AS passed, "
-            "coalesce(string_agg(CASE WHEN row_count = 0 THEN table_name END, ', ' ORDER BY table_name), '') AS empty_tables, "
+    for layer, names in O.LAYERS.items():
+        for n in names.split():
+            rows = f"(SELECT count(*) FROM {_ov(n)})"
+            rows = "CAST(NULL AS BIGINT)" if n in absent else "0" if n in empty else rows
+            parts.append(f"SELECT '{layer}' AS layer, '{n}' AS table_name, {rows} AS row_count")
+    named = "coalesce(string_agg(CASE WHEN {} THEN table_name END, ', ' ORDER BY table_name), '') AS {}"
+    body = ("SELECT layer, count_if(coalesce(row_count, 0) = 0) = 0 AS passed, "
+            f"{named.format('row_count = 0', 'empty_tables')}, {named.format('row_count IS NULL', 'missing_tables')}, "
             "CAST(count(*) AS BIGINT) AS tables_checked FROM (" + " UNION ALL ".join(parts) + ") GROUP BY layer")
-    return O.with_views(body, [_ov(n) for ns in suites.LAYER_TABLES.values() for n in ns])
+    return O.with_views(body, [_ov(n) for ns in O.LAYERS.values() for n in ns.split()])
 
 
 def q_raw_table_counts(spark, sf_dir):
@@ -206,69 +186,86 @@ CHECKED_AT = "2024-01-01 00:00:00"
 
 
 def _order_checks():
-    Q = quality.QualityCheck
+    k = quality.check
     return [
-        Q.not_null("id"), Q.unique("id"), Q.unique("customer_id"),
-        Q.accepted_values("status", suites.ORDER_STATUSES),
-        Q.row_count_min(1000), Q.null_threshold("status", 0.05),
-        Q.referential_integrity("customer_id", "customers", "id"),
-        Q.custom_sql("SELECT count(*) FROM tillroll_orders WHERE total_amount < subtotal", "total below subtotal"),
-        Q.duplicate_detection(["customer_id"]),
-        Q.not_null("no_such_column"),
+        k("not_null", "id"), k("unique", "id"), k("unique", "customer_id"),
+        k("accepted_values", "status", values=suites.ORDER_STATUSES),
+        k("row_count_min", minimum=1000), k("null_threshold", "status", max_pct=0.05),
+        k("referential_integrity", "customer_id", ref_table="customers", ref_column="id"),
+        k("custom_sql", sql="SELECT count(*) FROM tillroll_orders WHERE total_amount < subtotal", description="total below subtotal"),
+        k("duplicate_detection", "customer_id"),
+        k("not_null", "no_such_column"),
     ]
 
 
 def q_quality_checks_orders(spark, sf_dir):
     feeds = fx.raw_feeds(spark, sf_dir)
     feeds["orders"].createOrReplaceTempView("tillroll_orders")
-    res = quality.run_checks(spark, "orders", feeds["orders"], _order_checks(), refs=feeds, checked_at=CHECKED_AT)
+    try:
+        res = quality.run_checks(spark, "orders", feeds["orders"], _order_checks(), refs=feeds, checked_at=CHECKED_AT)
+    finally:
+        spark.catalog.dropTempView("tillroll_orders")
     out = quality.results_frame(spark, res)
     # the error text of the failing check is engine specific: compare its outcome only
     return out.withColumn("description", F.when(F.col("failed_count") < 0, F.lit("ERROR"))
                           .otherwise(F.col("description")))
 
 
+_STATUS_LIST = "['pending', 'confirmed', 'processing', 'shipped', 'delivered', 'cancelled', 'returned']"
+
+
+def _quality_sql() -> str:
+    """(check_type, column_name, description, failed_count, total_count) of the order checks."""
+    orders = "raw_orders"
+    rows = [
+        ("not_null", "id", "id must not be null", f"(SELECT count_if(id IS NULL) FROM {orders})"),
+        ("unique", "id", "id must be unique", f"(SELECT count(*) - count(DISTINCT id) FROM {orders})"),
+        ("unique", "customer_id", "customer_id must be unique", f"(SELECT count(*) - count(DISTINCT customer_id) FROM {orders})"),
+        ("accepted_values", "status", f"status must be in {_STATUS_LIST}",
+         f"(SELECT count_if(status NOT IN ({O.ORDER_STATUSES})) FROM {orders})"),
+        ("row_count_min", None, "Table must have at least 1000 rows", f"(SELECT CASE WHEN count(*) >= 1000 THEN 0 ELSE 1 END FROM {orders})"),
+        ("null_threshold", "status", "status null rate must be below 5.0%",
+         f"(SELECT CASE WHEN count(*) = 0 OR count_if(status IS NULL) / count(*) <= 0.05 THEN 0 ELSE count_if(status IS NULL) END "
+         f"FROM {orders})"),
+        ("referential_integrity", "customer_id", "customer_id must reference customers.id",
+         f"(SELECT count(*) FROM {orders} c WHERE NOT EXISTS (SELECT 1 FROM raw_customers p WHERE p.id = c.customer_id))"),
+        ("custom_sql", None, "total below subtotal", f"(SELECT count(*) FROM {orders} WHERE total_amount < subtotal)"),
+        ("duplicate_detection", "customer_id", "customer_id must not repeat",
+         f"(SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM {orders} GROUP BY customer_id))"),
+        ("not_null", "no_such_column", "ERROR", "-1"),
+    ]
+    parts = []
+    for kind, column, text, failed in rows:
+        column = f"'{column}'" if column else "CAST(NULL AS VARCHAR)"
+        text = text.replace("'", "''")
+        parts.append(f"SELECT '{kind}' AS check_type, {column} AS column_name, '{text}' AS description, "
+                     f"CAST({failed} AS BIGINT) AS failed_count, (SELECT count(*) FROM {orders}) AS total_count")
+    return " UNION ALL ".join(parts)
+
+
 def o_quality_checks_orders() -> str:
-    rows = []
-    ts = f"TIMESTAMP '{CHECKED_AT}'"
-    tot = "(SELECT count(*) FROM raw_orders)"
-    ost = ", ".join(f"'{s}'" for s in suites.ORDER_STATUSES)
-    for c in _order_checks():
-        col = f"'{c.column}'" if c.column else "CAST(NULL AS VARCHAR)"
-        desc = c.description.replace("'", "''")
-        if c.column == "no_such_column":
-            rows.append(f"SELECT 'orders', '{c.check_type}', {col}, 'ERROR', false, CAST(-1 AS BIGINT), {tot}, {ts}")
-            continue
-        if c.check_type == "not_null":
-            f = f"(SELECT count_if({c.column} IS NULL) FROM raw_orders)"
-        elif c.check_type == "unique":
-            f = f"(SELECT count(*) - count(DISTINCT {c.column}) FROM raw_orders)"
-        elif c.check_type == "accepted_values":
-            f = f"(SELECT count_if({c.column} NOT IN ({ost})) FROM raw_orders)"
-        elif c.check_type == "row_count_min":
-            f = f"(CASE WHEN {tot} >= {c.params['minimum']} THEN 0 ELSE 1 END)"
-        elif c.check_type == "null_threshold":
-            n = f"(SELECT count_if({c.column} IS NULL) FROM raw_orders)"
-            f = f"(CASE WHEN {tot} = 0 OR {n} / {tot} <= {c.params['max_pct']} THEN 0 ELSE {n} END)"
-        elif c.check_type == "referential_integrity":
-            f = ("(SELECT count(*) FROM raw_orders c WHERE NOT EXISTS "
-                 "(SELECT 1 FROM raw_customers p WHERE p.id = c.customer_id))")
-        elif c.check_type == "custom_sql":
-            f = "(SELECT count(*) FROM raw_orders WHERE total_amount < subtotal)"
-        elif c.check_type == "duplicate_detection":
-            f = "(SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM raw_orders GROUP BY customer_id))"
-        rows.append(f"SELECT 'orders', '{c.check_type}', {col}, '{desc}', {f} = 0, CAST({f} AS BIGINT), {tot}, {ts}")
-    body = ("SELECT * FROM (" + " UNION ALL ".join(rows) + ") t(table_name, check_type, column_name, description, "
-            "passed, failed_count, total_count, checked_at)")
-    return O.with_views(body, ["raw_orders", "raw_customers"])
+    return O.with_views(f"""SELECT 'orders' AS table_name, check_type, column_name, description, failed_count = 0 AS passed, failed_count,
+        total_count, TIMESTAMP '{CHECKED_AT}' AS checked_at FROM ({_quality_sql()})""", ["raw_orders", "raw_customers"])
+
+
+def q_quality_report_orders(spark, sf_dir):
+    """Q10: the stored results as a report."""
+    return quality.report(q_quality_checks_orders(spark, sf_dir))
+
+
+def o_quality_report_orders() -> str:
+    return O.with_views(f"""SELECT CASE WHEN failed_count < 0 THEN 'error' WHEN failed_count = 0 THEN 'ok' ELSE 'failed' END AS outcome,
+        concat_ws('.', 'orders', column_name) AS subject, description AS rule, failed_count,
+        round(greatest(failed_count, 0)::DOUBLE / nullif(total_count, 0)::DOUBLE, 6) AS failed_share FROM ({_quality_sql()})""",
+                        ["raw_orders", "raw_customers"])
 
 
 # --------------------------------------------------------------------------- quarantine
 
 def _product_rules():
-    R = quarantine.ValidationRule
-    return [R.not_null("id"), R.positive("price"), R.min_value("stock_quantity", 8),
-            R.in_list("category_id", list(range(9)))]
+    r = quarantine.rule
+    return [r("id", "not_null"), r("price", "positive"), r("stock_quantity", "min_value", min=8),
+            r("category_id", "in_list", values=list(range(9)))]
 
 
 def q_quarantine_products(spark, sf_dir):
@@ -285,20 +282,10 @@ def q_quarantine_split_counts(spark, sf_dir):
 
 
 def _reason_sql() -> str:
-    import json
-    items = []
-    for r in _product_rules():
-        msg = json.dumps(r.message).replace("'", "''")
-        if r.rule_type == "not_null":
-            cond = f"{r.field} IS NULL" if r.field != "discontinued_at" else "true"
-        elif r.rule_type == "positive":
-            cond = f"{r.field} IS NOT NULL AND {r.field} <= 0"
-        elif r.rule_type == "min_value":
-            cond = f"{r.field} IS NOT NULL AND {r.field} < {r.params['min']}"
-        elif r.rule_type == "in_list":
-            vals = ", ".join(str(v) for v in r.params["values"])
-            cond = f"{r.field} IS NULL OR {r.field} NOT IN ({vals})"
-        items.append(f"CASE WHEN {cond} THEN '{msg}' END")
+    rules = [("id must not be null", "id IS NULL"), ("price must be positive", "price <= 0"),
+             ("stock_quantity must be >= 8", "stock_quantity < 8"),
+             ("category_id must be in [0, 1, 2, 3, 4, 5, 6, 7, 8]", "category_id IS NULL OR category_id NOT IN (0, 1, 2, 3, 4, 5, 6, 7, 8)")]
+    items = [f"CASE WHEN {bad} THEN '\"{text}\"' END" for text, bad in rules]
     arr = f"list_filter([{', '.join(items)}], lambda x: x IS NOT NULL)"
     return f"CASE WHEN len({arr}) > 0 THEN '[' || array_to_string({arr}, ', ') || ']' END"
 
@@ -323,8 +310,7 @@ def q_incremental_orders(spark, sf_dir):
     """First load = orders updated before the cut; the next load starts at its cursor - 1 h."""
     orders = fx.raw_feed(spark, sf_dir, "orders")
     first = orders.filter(F.col("updated_at") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp"))
-    last = merge.cursor_state(first).first()["last_value"]
-    since = merge.parse_cursor(last.isoformat())
+    since = merge.parse_cursor(merge.cursor_micros(first))
     return merge.incremental_cut(orders, since)
 
 
@@ -346,10 +332,27 @@ def q_merge_change_feed(spark, sf_dir):
     feed = _change_feed(spark, sf_dir)
     load1 = feed.filter(F.col("updated_at") < F.lit(CHANGE_SPLIT).cast("timestamp"))
     target = merge.merge_latest(None, merge.with_load_metadata(load1, "load-1", 1, ["id"]), ["id"])
-    since = merge.parse_cursor(merge.cursor_state(load1).first()["last_value"].isoformat())
+    since = merge.parse_cursor(merge.cursor_micros(load1))
     load2 = merge.with_load_metadata(merge.incremental_cut(feed, since), "load-2", 2, ["id"])
     out = merge.merge_latest(target, load2, ["id"])
-    return out.drop(merge.LOAD_ID, merge.LOAD_SEQ, merge.ROW_ID)
+    return out.drop(*merge.METADATA)
+
+
+def q_merge_same_version_tie(spark, sf_dir):
+    """K1: the same versions come again in a second load, corrected but with their old cursor: the last
+    load wins. A third load repeats the first one: its older sequence doesn't."""
+    feed = _change_feed(spark, sf_dir)
+    corrected = feed.filter(F.col("event_id") % 3 == 0).withColumn("status", F.concat(F.col("status"), F.lit("-corrected")))
+    target = merge.merge_latest(None, merge.with_load_metadata(feed, "load-1", 1, ["id"]), ["id"])
+    target = merge.merge_latest(target, merge.with_load_metadata(corrected, "load-2", 2, ["id"]), ["id"])
+    return merge.merge_latest(target, merge.with_load_metadata(feed, "load-1", 1, ["id"]), ["id"]).drop(*merge.METADATA)
+
+
+def o_merge_same_version_tie() -> str:
+    return O.with_views("""SELECT id, status || CASE WHEN event_id % 3 = 0 THEN '-corrected' ELSE '' END AS status, amount, event_id,
+          created_at, updated_at FROM raw_change_feed
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC, event_id % 3 = 0 DESC, event_id DESC) = 1""",
+                        ["raw_change_feed"])
 
 
 def o_latest_change_feed() -> str:
@@ -390,14 +393,14 @@ def q_product_snapshot(spark, sf_dir):
     return snap
 
 
-def o_product_snapshot() -> str:
+def o_product_snapshot(extracts: int = 3) -> str:
     stg_body = O.STG["stg_products"][1]
-    cols = ", ".join(scd2.PRODUCT_COLUMNS)
-    check = " AND ".join(f"{c} IS NOT DISTINCT FROM prev_{c}" for c in scd2.PRODUCT_CHECK_COLUMNS)
-    lags = ", ".join(f"lag({c}) OVER w AS prev_{c}" for c in scd2.PRODUCT_CHECK_COLUMNS)
+    cols = O.HISTORY_COLUMNS
+    check = " AND ".join(f"{c} IS NOT DISTINCT FROM prev_{c}" for c in O.HISTORY_CHECKED)
+    lags = ", ".join(f"lag({c}) OVER w AS prev_{c}" for c in O.HISTORY_CHECKED)
     union = " UNION ALL ".join(
         f"SELECT {i} AS snap, TIMESTAMP '{ts}' AS ts, {cols} FROM ({stg_body.replace('raw_products', src)})"
-        for i, (ts, src) in enumerate(zip(SNAPSHOT_TS, ["raw_products", "raw_products_v2", "raw_products_v3"])))
+        for i, (ts, src) in enumerate(zip(SNAPSHOT_TS[:extracts], ["raw_products", "raw_products_v2", "raw_products_v3"])))
     body = f"""SELECT {cols}, md5(CAST(product_id AS VARCHAR) || '|' || CAST(ts AS VARCHAR)) AS scd_id,
           ts AS snapshot_updated_at, ts AS valid_from, lead(ts) OVER (PARTITION BY product_id ORDER BY snap) AS valid_to
         FROM (SELECT *, snap = min(snap) OVER (PARTITION BY product_id) AS first_seen, {lags}
@@ -504,7 +507,7 @@ def q_feed_pages_roundtrip(spark, sf_dir):
     from tillroll.sources import feeds
     path = _scratch(spark, "pages-orders")
     spec = feeds.feed("orders")
-    feeds.write_pages(fx.raw_feed(spark, sf_dir, "orders"), path, spec)
+    fx.write_pages(fx.raw_feed(spark, sf_dir, "orders"), path, spec.pk)
     return feeds.read_pages(spark, path, spec)
 
 
@@ -512,25 +515,89 @@ def o_feed_pages_roundtrip() -> str:
     return O.view_sql("raw_orders")
 
 
-def q_stream_merge_change_feed(spark, sf_dir):
+def q_pages_evolution(spark, sf_dir):
+    """K3 from landed pages: a later extract of customers has a new column; it reaches the merged table."""
+    from tillroll.sources import feeds
+    spec, root = feeds.feed("customers"), _scratch(spark, "pages-evolution")
+    cust = fx.raw_feed(spark, sf_dir, "customers")
+    later = (cust.filter(F.col("id") % 10 == 0).withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 1 DAY"))
+             .withColumn("loyalty_tier", F.concat(F.lit("tier-"), (F.col("id") % 3).cast("string"))))
+    fx.write_pages(cust, f"{root}/pages-1", spec.pk)
+    fx.write_pages(later, f"{root}/pages-2", spec.pk)
+    table = merge.MergedTable(spark, f"{root}/table")
+    table.upsert(feeds.read_pages(spark, f"{root}/pages-1", spec), list(spec.pk), "extract-1")
+    table.upsert(feeds.read_pages(spark, f"{root}/pages-2", spec, evolved=True), list(spec.pk), "extract-2")
+    return table.read().drop(*merge.METADATA)
+
+
+def o_pages_evolution() -> str:
+    return O.with_views("""SELECT * EXCLUDE (updated_at),
+          CASE WHEN id % 10 = 0 THEN updated_at + INTERVAL 1 DAY ELSE updated_at END AS updated_at,
+          CASE WHEN id % 10 = 0 THEN 'tier-' || CAST(id % 3 AS VARCHAR) END AS loyalty_tier FROM raw_customers""", ["raw_customers"])
+
+
+LANDED_FILES = 4
+
+
+def _land(spark, sf_dir, root):
+    """The change feed in some files, dealt by a hash of the event: no file is in cursor order, and the
+    last rows of an id may come before its first ones. Returns the feed's schema."""
+    feed = _change_feed(spark, sf_dir)
+    feed.repartition(LANDED_FILES, F.xxhash64("event_id")).write.parquet(f"{root}/landing")
+    return feed.schema
+
+
+def _stream(spark, root, schema, checkpoint="_checkpoint", files=1):
     from tillroll.streaming.merge_stream import run_to_completion, start_merge_stream
+    q = start_merge_stream(spark, f"{root}/landing", schema, f"{root}/table", f"{root}/{checkpoint}", ["id"],
+                           max_files_per_trigger=files, name="change_feed")
+    run_to_completion(q)
+    return merge.MergedTable(spark, f"{root}/table")
+
+
+def q_stream_merge_change_feed(spark, sf_dir):
+    """The landed files, one micro-batch each."""
     root = _scratch(spark, "stream")
+    return _stream(spark, root, _land(spark, sf_dir, root)).read().drop(*merge.METADATA)
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """Newest events land first, so nearly every later row is late by days; none is lost."""
+    root = _scratch(spark, "late")
     feed = _change_feed(spark, sf_dir)
-    cuts = feed.approxQuantile("event_id", [0.25, 0.5, 0.75], 0.0)
-    bounds = [None] + cuts + [None]
-    # land the feed in four files in cursor order (event_id follows ts), one append job each
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        part = feed
-        if lo is not None:
-            part = part.filter(F.col("event_id") > lo)
-        if hi is not None:
-            part = part.filter(F.col("event_id") <= hi)
-        part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
-    q = start_merge_stream(spark, f"{root}/landing", feed.schema, f"{root}/table", f"{root}/_checkpoint", ["id"],
-                           max_files_per_trigger=1, name="change_feed")
-    run_to_completion(q)
-    out = merge.VersionedTable(spark, f"{root}/table").read()
-    return out.drop(merge.LOAD_ID, merge.LOAD_SEQ, merge.ROW_ID)
+    recent = F.col("updated_at") >= F.lit(CHANGE_SPLIT).cast("timestamp")
+    for part in (recent, ~recent | recent.isNull()):
+        feed.filter(part).repartition(2).write.mode("append").parquet(f"{root}/landing")
+    return _stream(spark, root, feed.schema).read().drop(*merge.METADATA)
+
+
+def q_stream_backfill(spark, sf_dir):
+    """The same files again under a new checkpoint, onto the existing table."""
+    root = _scratch(spark, "backfill")
+    schema = _land(spark, sf_dir, root)
+    _stream(spark, root, schema)
+    return _stream(spark, root, schema, checkpoint="_backfill", files=2).read().drop(*merge.METADATA)
+
+
+def q_stream_replay(spark, sf_dir):
+    """A crash between the table's write and the stream's commit: every batch is handed over again."""
+    from tillroll.streaming.merge_stream import merge_batch
+    root = _scratch(spark, "replay")
+    schema = _land(spark, sf_dir, root)
+    table = _stream(spark, root, schema)
+    landed = spark.read.schema(schema).parquet(f"{root}/landing")
+    for batch_id in range(LANDED_FILES):
+        merge_batch(landed.withColumn("status", F.lit("again")), batch_id, table, f"{root}/_checkpoint", ["id"], "updated_at", "change_feed")
+    return table.read().drop(*merge.METADATA)
+
+
+def _full_run(spark, sf_dir, tag, transforms=False, **options):
+    from tillroll.plans import run
+    root = _scratch(spark, tag)
+    run.run_pipeline(spark, fx.raw_feeds(spark, sf_dir), root, 1, **options)
+    if transforms:
+        run.run_transforms(spark, root, RUN_TS, fail_on_test=False, snapshot_ts=SNAPSHOT_TS[0])
+    return root
 
 
 def q_commerce_pipeline_run(spark, sf_dir):
@@ -547,20 +614,177 @@ def o_commerce_pipeline_run() -> str:
     return O.with_views(body, [f"raw_{n}" for n in names])
 
 
+def _digest(df: DataFrame, name: str) -> DataFrame:
+    """(table_name, row_count, distinct_ids, amount): content of a table as a few exact sums."""
+    number, text = RUN_DIGESTS[name]
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.expr(number).cast("decimal(38,6)")).alias("amount"),
+                  F.sum(F.length(F.coalesce(F.col(text), F.lit("")))).cast("long").alias("text_chars"),
+                  F.max("updated_at").alias("last_update")).select(F.lit(name).alias("table_name"), "*")
+
+
+# Raw table -> (a number, a text column) that the comparison sums up.
+RUN_DIGESTS = {
+    "customers": ("id", "email"), "products": ("price", "sku"), "orders": ("total_amount", "status"),
+    "order_items": ("total_price * quantity", "_none"), "payments": ("amount", "transaction_id"), "refunds": ("amount", "reason"),
+    "campaigns": ("daily_budget", "name"), "ad_sets": ("daily_budget", "targeting_interests"), "ads": ("ad_set_id", "headline"),
+    "daily_performance": ("spend + revenue", "date"), "inventory_snapshots": ("total_value", "warehouse_location"),
+    "inventory_movements": ("total_cost", "reference_id"),
+}
+
+def q_full_run_raw(spark, sf_dir):
+    """Every domain loaded; content of the merged raw tables (K1, K5, K6)."""
+    from tillroll.plans.run import read_raw
+    raw = read_raw(spark, _full_run(spark, sf_dir, "full"))
+    out = None
+    for name in RUN_DIGESTS:
+        df = raw[name].withColumn("_none", F.lit(None).cast("string"))
+        part = _digest(df, name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def o_full_run_raw() -> str:
+    parts = []
+    for name, (number, text) in RUN_DIGESTS.items():
+        chars = "0" if text == "_none" else f"sum(length(coalesce({text}, '')))"
+        parts.append(f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST(sum(CAST({number} AS DECIMAL(38,6))) AS DECIMAL(38,6)) AS amount, "
+                     f"CAST({chars} AS BIGINT) AS text_chars, max(updated_at) AS last_update FROM raw_{name}")
+    return O.with_views(" UNION ALL ".join(parts), [f"raw_{n}" for n in RUN_DIGESTS])
+
+
+def q_full_run_marts(spark, sf_dir):
+    """O3: the order fact that a whole run has published, after its tests."""
+    from tillroll.plans.run import read_marts
+    root = _full_run(spark, sf_dir, "marts", transforms=True)
+    return read_marts(spark, root)["fct_orders"].select(RetailModels.from_driver_tables(spark, sf_dir).fct_orders.columns)
+
+
+def q_full_run_snapshot(spark, sf_dir):
+    """M6 within a run: two runs' products in one history; the second run has the re-priced extract."""
+    from tillroll.plans import run
+    root = _scratch(spark, "snapshot")
+    v1, v2, _ = fx.product_versions(fx.DriverTables(spark, sf_dir))
+    run.take_product_snapshot(spark, root, stg_products(v1), SNAPSHOT_TS[0])
+    run.take_product_snapshot(spark, root, stg_products(v2), SNAPSHOT_TS[1])
+    return run.take_product_snapshot(spark, root, stg_products(v2), SNAPSHOT_TS[1])  # taken again: the same
+
+
+def q_audit_current_state(spark, sf_dir):
+    """K7-K9: what the audit tables say after a marketing run, a failed inventory run and one never ended."""
+    from tillroll.operators.audit import AuditLog
+    from tillroll.plans import run
+    root = _scratch(spark, "audit")
+    feeds = dict(fx.raw_feeds(spark, sf_dir))
+    audit = AuditLog(spark, run.layer_path(root, "audit", ""))
+    run.run_domain_pipeline(spark, "marketing", feeds, root, 1, audit=audit)
+    broken = {**feeds, "inventory_movements": feeds["inventory_movements"].drop("updated_at")}
+    try:
+        run.run_domain_pipeline(spark, "inventory", broken, root, 1, audit=audit)
+    except Exception:  # the run is meant to fail; its audit rows are the result
+        pass
+    audit.start_run("inventory", "ingestion")
+    runs = audit.current_runs().select("pipeline_name", "pipeline_type", "status", "total_rows", F.col("run_id"),
+                                       F.col("completed_at").isNotNull().alias("completed"),
+                                       F.col("error_message").isNotNull().alias("has_error"))
+    resources = audit.events("pipeline_resource_runs").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("resources"), F.count_if(F.col("status") == "failed").alias("failed_resources"))
+    return (runs.join(resources, "run_id", "left").drop("run_id")
+            .withColumns({c: F.coalesce(c, F.lit(0)) for c in ("resources", "failed_resources")}))
+
+
+def o_audit_current_state() -> str:
+    total = " + ".join(f"(SELECT count(*) FROM raw_{n})" for n in O.LAYERS["marketing"].split())
+    snapshots = "(SELECT count(*) FROM raw_inventory_snapshots)"
+    return O.with_views(f"""SELECT * FROM (VALUES ('marketing', 'ingestion', 'success', CAST({total} AS BIGINT), true, false, CAST(4 AS BIGINT), CAST(0 AS BIGINT)),
+          ('inventory', 'ingestion', 'failed', CAST({snapshots} AS BIGINT), true, true, 2, 1),
+          ('inventory', 'ingestion', 'running', 0, false, false, 0, 0))
+        t(pipeline_name, pipeline_type, status, total_rows, completed, has_error, resources, failed_resources)""",
+                        [f"raw_{n}" for n in O.LAYERS["marketing"].split()] + ["raw_inventory_snapshots"])
+
+
+def _quarantining_run(spark, sf_dir):
+    """A commerce run with rules that some orders break, run a second time under the same load id."""
+    from tillroll.plans import run
+    root = _scratch(spark, "quarantine")
+    rules = {"orders": [quarantine.rule("id", "not_null"), quarantine.rule("subtotal", "min_value", min=100000)]}
+    checks = {"orders": [quality.check("not_null", "id"), quality.check("row_count_min", minimum=10),
+                         quality.check("referential_integrity", "customer_id", ref_table="customers", ref_column="id")]}
+    for _ in range(2):
+        run.run_domain_pipeline(spark, "commerce", fx.raw_feeds(spark, sf_dir), root, 1, rules=rules, checks=checks)
+    return root
+
+
+def q_quarantine_written(spark, sf_dir):
+    """The rejected rows in the quarantine table; a load that is run again leaves them once."""
+    from tillroll.plans.run import layer_path, read_raw
+    root = _quarantining_run(spark, sf_dir)
+    bad = spark.read.option("mergeSchema", "true").parquet(f"{layer_path(root, 'quarantine', '')}/orders_quarantine")
+    rows = bad.select("id", "subtotal", quarantine.REASONS, "load_id", F.lit("quarantine").alias("place"))
+    good = read_raw(spark, root)["orders"].select("id", "subtotal", F.lit(None).cast("string").alias(quarantine.REASONS),
+                                                  F.lit(None).cast("string").alias("load_id"), F.lit("raw").alias("place"))
+    return rows.unionByName(good)
+
+
+def o_quarantine_written() -> str:
+    return O.with_views("""SELECT id, subtotal, CASE WHEN subtotal < 100000 THEN '["subtotal must be >= 100000"]' END AS _quarantine_reasons,
+          CASE WHEN subtotal < 100000 THEN 'commerce-1' END AS load_id,
+          CASE WHEN subtotal < 100000 THEN 'quarantine' ELSE 'raw' END AS place FROM raw_orders""", ["raw_orders"])
+
+
+def q_quality_results_stored(spark, sf_dir):
+    """The results that two runs have stored with the audit tables."""
+    from tillroll.operators.audit import AuditLog
+    from tillroll.plans.run import layer_path
+    root = _quarantining_run(spark, sf_dir)
+    return AuditLog(spark, layer_path(root, "audit", "")).events("quality_check_results").drop("checked_at")
+
+
+def o_quality_results_stored() -> str:
+    kept = "(SELECT count(*) FROM raw_orders WHERE subtotal >= 100000)"
+    orphans = ("(SELECT count(*) FROM raw_orders o WHERE subtotal >= 100000 AND NOT EXISTS "
+               "(SELECT 1 FROM raw_customers c WHERE c.id = o.customer_id))")
+    return O.with_views(f"""SELECT 'orders' AS table_name, k AS check_type, c AS column_name, d AS description, f = 0 AS passed,
+          CAST(f AS BIGINT) AS failed_count, {kept} AS total_count
+        FROM (VALUES ('not_null', 'id', 'id must not be null', 0),
+                     ('row_count_min', NULL, 'Table must have at least 10 rows', CASE WHEN {kept} >= 10 THEN 0 ELSE 1 END),
+                     ('referential_integrity', 'customer_id', 'customer_id must reference customers.id', {orphans})) t(k, c, d, f),
+             range(2)""", ["raw_orders", "raw_customers"])
+
+
+def q_schema_inventory(spark, sf_dir):
+    """Q27 over the raw feeds."""
+    return suites.schema_inventory({n: df for n, df in fx.raw_feeds(spark, sf_dir).items() if n in suites.RAW_TABLES}).select(
+        "table_name", "column_name", "references")
+
+
+def o_schema_inventory() -> str:
+    keys = dict(x.split(" -> ") for x in O.RAW_FOREIGN_KEYS)
+    cases = " ".join(f"WHEN table_name || '.' || column_name = '{k}' THEN '{v}'" for k, v in keys.items())
+    parts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, column_name FROM (DESCRIBE SELECT * FROM raw_{t})" for t in O.RAW_NOT_NULL)
+    return O.with_views(f'SELECT table_name, column_name, CASE {cases} END AS "references" FROM ({parts})', [f"raw_{t}" for t in O.RAW_NOT_NULL])
+
+
 def registry() -> dict:
     return {
         "data_tests": (q_data_tests, o_data_tests()),
         "raw_suite": (q_raw_suite, o_raw_suite()),
+        "raw_suite_loaded": (q_raw_suite_loaded, o_raw_suite(loaded=True)),
         "layer_checks": (q_layer_checks, o_layer_checks()),
+        "layer_checks_missing_table": (q_layer_checks_missing_table, o_layer_checks(ABSENT, (EMPTY,))),
+        "schema_inventory": (q_schema_inventory, o_schema_inventory()),
         "raw_table_counts": (q_raw_table_counts, o_raw_table_counts()),
         "fct_orders_kpis": (q_fct_orders_kpis, o_fct_orders_kpis()),
         "e2e_summary": (q_e2e_summary, o_e2e_summary()),
         "order_status_domain": (q_order_status_domain, o_order_status_domain()),
         "quality_checks_orders": (q_quality_checks_orders, o_quality_checks_orders()),
+        "quality_report_orders": (q_quality_report_orders, o_quality_report_orders()),
+        "quality_results_stored": (q_quality_results_stored, o_quality_results_stored()),
+        "quarantine_written": (q_quarantine_written, o_quarantine_written()),
         "quarantine_products": (q_quarantine_products, o_quarantine_products()),
         "quarantine_split_counts": (q_quarantine_split_counts, o_quarantine_split_counts()),
         "incremental_orders": (q_incremental_orders, o_incremental_orders()),
         "merge_change_feed": (q_merge_change_feed, o_latest_change_feed()),
+        "merge_same_version_tie": (q_merge_same_version_tie, o_merge_same_version_tie()),
         "merge_schema_evolution": (q_merge_schema_evolution, o_merge_schema_evolution()),
         "product_snapshot": (q_product_snapshot, o_product_snapshot()),
         "list_orders_page": (q_list_orders_page, o_list_orders_page()),
@@ -569,7 +793,15 @@ def registry() -> dict:
         "get_order_by_id": (q_get_order_by_id, o_get_order_by_id()),
         **{n: (_listing_query(n), _listing_oracle(n)) for n in LISTING_CASES},
         "feed_pages_roundtrip": (q_feed_pages_roundtrip, o_feed_pages_roundtrip()),
+        "pages_evolution": (q_pages_evolution, o_pages_evolution()),
         "stream_merge_change_feed": (q_stream_merge_change_feed, o_latest_change_feed()),
+        "stream_late_rows": (q_stream_late_rows, o_latest_change_feed()),
+        "stream_backfill": (q_stream_backfill, o_latest_change_feed()),
+        "stream_replay": (q_stream_replay, o_latest_change_feed()),
+        "full_run_raw": (q_full_run_raw, o_full_run_raw()),
+        "full_run_marts": (q_full_run_marts, O.view_sql("fct_orders")),
+        "full_run_snapshot": (q_full_run_snapshot, o_product_snapshot(2)),
+        "audit_current_state": (q_audit_current_state, o_audit_current_state()),
         "commerce_pipeline_run": (q_commerce_pipeline_run, o_commerce_pipeline_run()),
     }
 
