@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, chunks, fold, mix64, read, stored
+from .packed import LAST, column, named, planes, unplanes
 
 FOLDS, HELD_OUT = 10, 0
 ALPHA = 0.1
@@ -46,9 +47,8 @@ CLASS_ROWS, WORD_ROWS = 1 << 14, 1 << 16
 #: Texts of the training sample, its tasks and the rounds of updates.
 TRAIN_DOCS, TASKS, ROUNDS = 6000, 6, 2
 RATE, BATCH = 0.15, 2048
-CHUNK_BYTES, RANGE_BYTES = 8 << 20, 64 << 20
+CHUNK_BYTES, RANGE_BYTES = 2 << 20, 24 << 20
 BLOCK = 1 << 18  # weights of one block of the exchange
-LAST = np.iinfo(np.int64).max
 END, START = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
 _SALT = [np.uint64(x) for x in (0x44DB015024623547, 0x9C15F73E62A76AE2, 0x75834465489C0C89)]
 
@@ -78,9 +78,11 @@ def count_words(rows: DataFrame, parts: int) -> DataFrame:
                  pa.array([counts[o].astype("<i8").tobytes() for o in own], pa.binary())], ["part", "words", "counts"])
 
     def total(table: pa.Table) -> pa.Table:
-        words, at = np.unique(_column(table, "words", "<u8"), return_inverse=True)
-        counts = np.zeros(len(words), np.int64)
-        np.add.at(counts, at, _column(table, "counts", "<i8"))
+        words, counts = column(table, "words", "<u8"), column(table, "counts", "<i8")
+        order = np.argsort(words)
+        words = words[order]
+        first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
+        words, counts = words[first], np.add.reduceat(counts[order], first)
         return pa.table({"part": table.column("part").slice(0, 1).cast(pa.int32()), "words": pa.array([words.tobytes()], pa.binary()),
                          "counts": pa.array([counts.tobytes()], pa.binary())})
 
@@ -88,10 +90,6 @@ def count_words(rows: DataFrame, parts: int) -> DataFrame:
     return rows.select("text").mapInArrow(partial, kinds).groupBy("part").applyInArrow(total, kinds)
 
 
-def _column(rows: pa.Table, name: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
-
-
 class Frame:
     """What the counts fix: totals, the top tokens with their classes, and the rare class's mass."""
 
@@ -261,6 +259,9 @@ def train(sample: DataFrame, frame: Frame) -> Model:
 # ------------------------------------------------------------------ scoring
 
 _ROW = "part int, words binary, counts binary, sizes binary, texts binary, times binary, ranks binary, uids binary, self binary"
+#: Sums for the documents of one reply, and for each document: copies, tokens, known tokens, and the
+#: log10 sums of the base model and of the model.
+_REPLY = "reply int, ranks binary, uids binary, ints binary, floats binary"
 _SUMS = "rank long, uid long, self long, n_tokens long, known long, logs double, lm double"
 
 
@@ -275,6 +276,7 @@ def _sent(rows: DataFrame, model: Model, parts: int) -> DataFrame:
         logs_of = np.concatenate((m.frame.logs, np.zeros(TOP + 1 - len(m.frame.logs))))
         for batch, texts in chunks(batches, 2, CHUNK_BYTES):
             rank, uid = (np.array(batch.column(c).to_pylist(), np.int64) for c in (0, 1))
+            uid = uid.astype("<u4")
             stream, sizes = tokens(texts)
             text = np.repeat(np.arange(len(texts)), sizes)
             ids = m.frame.ids(stream)
@@ -284,7 +286,7 @@ def _sent(rows: DataFrame, model: Model, parts: int) -> DataFrame:
             known = np.bincount(text, top, len(texts)).astype(np.int64)
             lm -= (sizes - known) * log10(m.frame.rare_mass)
             own = b"".join(x.tobytes() for x in (sizes.astype(np.int64), known, logs, lm))
-            out = [(int(uid[0] % parts), b"", b"", b"", b"", b"", rank.tobytes(), uid.tobytes(), own)]
+            out = [(int(uid[0]) % parts, b"", b"", b"", b"", b"", planes(rank), uid.tobytes(), own)]
             word, text = stream[~top], text[~top].astype(np.int64)
             if len(word):
                 order = np.lexsort((text, word))
@@ -301,45 +303,84 @@ def _sent(rows: DataFrame, model: Model, parts: int) -> DataFrame:
                     used, at = np.unique(text[o], return_inverse=True)
                     out.append((int(part[o[0]]), word[o][first].tobytes(), b"",
                                 np.diff(np.concatenate((first, [len(o)]))).astype("<u4").tobytes(), at.astype("<u4").tobytes(),
-                                times[o].astype("<u4").tobytes(), rank[used].tobytes(), uid[used].tobytes(), b""))
+                                times[o].astype("<u4").tobytes(), planes(rank[used]), uid[used].tobytes(), b""))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int32()) for k, c in enumerate(zip(*out))], names)
 
     return rows.select("rank", "uid", "text").mapInArrow(run, _ROW)
 
 
-def _sums(table: pa.Table) -> pa.Table:
-    """Of one hash range: the counts meet the chunks' words; a sum for each text of each chunk."""
-    is_count = pc.greater(pc.binary_length(table.column("counts")), 0)
-    counted = table.filter(is_count)
-    words, counts = _column(counted, "words", "<u8"), _column(counted, "counts", "<i8")
-    out = []
-    for row in table.filter(pc.invert(is_count)).to_pylist():
-        rank, uid = np.frombuffer(row["ranks"], "<i8"), np.frombuffer(row["uids"], "<i8")
-        n = len(rank)
-        if row["self"]:
-            ints, floats = np.frombuffer(row["self"][:16 * n], "<i8"), np.frombuffer(row["self"][16 * n:], "<f8")
-            out.append((rank, uid, np.ones(n, np.int64), ints[:n], ints[n:], floats[:n], floats[n:]))
-            continue
-        own = np.frombuffer(row["words"], "<u8")
-        c = np.zeros(len(own), np.int64)
-        if len(words):
-            at = np.minimum(np.searchsorted(words, own), len(words) - 1)
-            c = np.where(words[at] == own, counts[at], 0)
-        c = np.repeat(c, np.frombuffer(row["sizes"], "<u4"))
-        text, times = np.frombuffer(row["texts"], "<u4"), np.frombuffer(row["times"], "<u4")
-        logs = np.bincount(text, times * np.log10(c + ALPHA), n)
-        none = np.zeros(n, np.int64)
-        out.append((rank, uid, none, none, np.bincount(text, times * (c > 0), n).astype(np.int64), logs, logs))
-    cols = [np.concatenate(c) for c in zip(*out)] if out else [[]] * 7
-    kinds = [pa.int64()] * 5 + [pa.float64()] * 2
-    return pa.table({name.split()[0]: pa.array(c, k) for name, c, k in zip(_SUMS.split(", "), cols, kinds)})
+def _sums(parts: int):
+    """Of one hash range: the counts meet the chunks' words; a sum for each text, packed by reply."""
+    def sums(table: pa.Table) -> pa.Table:
+        is_count = pc.greater(pc.binary_length(table.column("counts")), 0)
+        counted = table.filter(is_count)
+        words, counts = column(counted, "words", "<u8"), column(counted, "counts", "<i8")
+        rows = table.filter(pc.invert(is_count))
+        del table, counted
+        out = []
+        for i in range(rows.num_rows):
+            row = {c: rows.column(c)[i].as_py() for c in ("ranks", "uids", "self", "words", "sizes", "texts", "times")}
+            rank, uid = unplanes(row["ranks"], "<i8"), np.frombuffer(row["uids"], "<u4")
+            n = len(rank)
+            if row["self"]:
+                ints, floats = np.frombuffer(row["self"][:16 * n], "<i8").reshape(2, n), np.frombuffer(row["self"][16 * n:], "<f8").reshape(2, n)
+                out.append((rank, uid, np.vstack((np.ones(n, np.int64), ints)), floats))
+                continue
+            own = np.frombuffer(row["words"], "<u8")
+            c = np.zeros(len(own), np.int64)
+            if len(words):
+                at = np.minimum(np.searchsorted(words, own), len(words) - 1)
+                c = np.where(words[at] == own, counts[at], 0)
+            c = np.repeat(c, np.frombuffer(row["sizes"], "<u4"))
+            text, times = np.frombuffer(row["texts"], "<u4"), np.frombuffer(row["times"], "<u4")
+            logs = np.bincount(text, times * np.log10(c + ALPHA), n)
+            known = np.bincount(text, times * (c > 0), n).astype(np.int64)
+            none = np.zeros(n, np.int64)
+            out.append((rank, uid, np.vstack((none, none, known)), np.vstack((logs, logs))))
+        return _by_reply(out, parts)
+    return sums
+
+
+def _added(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+    """(rank, uid, ints, floats) with one entry for each document."""
+    rank, uid = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    ints, floats = (np.concatenate([p[i] for p in parts], axis=1) for i in (2, 3))
+    order = np.lexsort((uid, rank))
+    rank, uid = rank[order], uid[order]
+    first = np.flatnonzero(np.concatenate(([True], (rank[1:] != rank[:-1]) | (uid[1:] != uid[:-1]))))
+    return rank[first], uid[first], np.add.reduceat(ints[:, order], first, axis=1), np.add.reduceat(floats[:, order], first, axis=1)
+
+
+def _by_reply(parts_of: list[tuple], parts: int) -> pa.Table:
+    cols = [[] for _ in range(5)]
+    if parts_of:
+        rank, uid, ints, floats = _added(parts_of)
+        to = (mix64(rank.astype(np.uint64) ^ (uid.astype(np.uint64) << np.uint64(32))) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(to, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
+            row = (int(to[own[0]]), planes(rank[own]), uid[own].astype("<u4").tobytes(), planes(ints[:, own].reshape(-1)),
+                   floats[:, own].tobytes())
+            for c, value in zip(cols, row):
+                c.append(value)
+    kinds = [pa.int32()] + [pa.binary()] * 4
+    return pa.table({name.split()[0]: pa.array(c, k) for name, c, k in zip(_REPLY.split(", "), cols, kinds)})
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """One row for each document of a reply."""
+    parts_of = []
+    for row in table.to_pylist():
+        rank, uid = unplanes(row["ranks"], "<i8"), np.frombuffer(row["uids"], "<u4")
+        parts_of.append((rank, uid, unplanes(row["ints"], "<i8").reshape(3, -1), np.frombuffer(row["floats"], "<f8").reshape(2, -1)))
+    rank, uid, ints, floats = _added(parts_of)
+    cols = [rank, uid.astype(np.int64), *ints, *floats]
+    return pa.table({name.split()[0]: pa.array(c) for name, c in zip(_SUMS.split(", "), cols)})
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS) -> DataFrame:
     """held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
     learn = F.coalesce(fold(id_col, FOLDS) != HELD_OUT, F.lit(False))
-    rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(text_col, F.lit("")).alias("text"), learn.alias("learn")).select(
-        F.coalesce(F.col("doc").cast("long"), F.lit(LAST)).alias("rank"), F.xxhash64("text").alias("uid"), "text", "doc", "learn")
+    rows = named(docs, id_col, text_col, F.col(id_col).alias("doc"), learn.alias("learn"))
     size = rows.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
     parts = max(1, -(-int(size) // RANGE_BYTES))
     counted = stored(count_words(rows.where("learn"), parts), "lm-counts")
@@ -350,8 +391,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     none = F.lit(None).cast("binary")
     given = counted.select("part", "words", "counts", *[F.coalesce(none, F.lit(b"")).alias(c) for c in
                                                        ("sizes", "texts", "times", "ranks", "uids", "self")])
-    sums = (_sent(rows, model, parts).unionByName(given).groupBy("part").applyInArrow(_sums, _SUMS)
-            .groupBy("rank", "uid").agg(*[F.sum(c).alias(c) for c in ("self", "n_tokens", "known", "logs", "lm")]))
+    sums = (_sent(rows, model, parts).unionByName(given).groupBy("part").applyInArrow(_sums(parts), _REPLY)
+            .groupBy("reply").applyInArrow(_totals, _SUMS))
     # Rows equal in id and text were summed together: their number is ``self``.
     each = sums.select("rank", F.explode(F.sequence(F.lit(1), F.col("self").cast("int"))).alias("copy"),
                        *[(F.col(c) / F.col("self")).alias(c) for c in ("n_tokens", "known", "logs", "lm")])
