@@ -11,12 +11,18 @@ Banding: BANDS bands of ROWS coordinates; sets that agree on a band share a buck
 pair misses all 32 buckets with probability (1 - 0.8 ** 4) ** 32 = 5e-8.
 
 Texts with the same set form one class first, so copies cost one row. Within a bucket not all
-pairs are made: in the first round each member is compared with the bucket's first document, and
-pairs that pass are linked. Buckets whose members are then all connected are done. In the others
-more members become pivots, 16 times as many each round until all are, and only pairs that are not
-connected yet and weren't compared before are made; so no link between two components is lost.
-A pair is dropped by size (n_small / n_large < threshold), or if its sketches agree so rarely
-that J >= 0.8 would be 5 standard deviations off; what is left is verified on the full sets.
+pairs are made: each member is compared with the bucket's first document. A pair is dropped by
+size (n_small / n_large < threshold), or if its sketches agree so rarely that J >= 0.8 would be 5
+standard deviations off; what is left is verified on the full sets, and pairs that pass are
+linked. A bucket whose members are then connected is done.
+
+The members of the other buckets are finished by an exact join, whose work follows what they
+share rarely: every set is ordered by how frequent its elements are, and a pair can only reach
+the threshold if the first common element stands early enough in both sets (prefix and position
+filter). An element's rows are only joined with those outside the component that holds most of
+them, so what is connected already makes no pairs. The frequencies are kept in a table of fixed
+size (COUNTERS, by hash); they choose the order, never the result. So no link between two
+components is lost, and no bucket or partner list is cut off.
 
 Defined results: a text without words has an empty set and is linked with nothing. A row with a
 null id is linked with nothing, has a null component and is kept. Repeated rows share a class.
@@ -28,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, chunks, mix64, ranges, read, stored
@@ -38,7 +44,8 @@ COORDINATES, BANDS = 128, 32
 ROWS = COORDINATES // BANDS
 SHINGLE, THRESHOLD = 5, (80, 100)
 AGREE = 0.6
-GROWTH = 16
+#: Size of the table of element frequencies.
+COUNTERS = 1 << 20
 CHUNK = 2 << 20
 
 _ROUND_KEYS = np.random.Generator(np.random.PCG64(7)).integers(0, 2 ** 63, 2 * COORDINATES, dtype=np.uint64)
@@ -107,23 +114,28 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 
 def sketched(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """doc, c (class of the set), n (its size), bands and low (one byte of each coordinate)."""
+    """doc, h (text hash), c (class of the set), n (its size), bands and low (a byte of each coordinate)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunks(batches, 1, CHUNK):
+        for part, texts in chunks(batches, 2, CHUNK):
             h, counts = shingle_sets(texts, k)
             sketch = sketches(h, counts)
             keys = band_keys(sketch).astype(np.int64)
             low = (mix64(sketch) & np.uint64(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), _binary(_class_ids(h, counts)), pa.array(counts, pa.int64()),
+                [part.column(0), part.column(1), _binary(_class_ids(h, counts)), pa.array(counts, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1))),
-                 _binary(low)], ["doc", "c", "n", "bands", "low"])
+                 _binary(low)], ["doc", "h", "c", "n", "bands", "low"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"doc {kind}, c binary, n bigint, bands array<bigint>, low binary")
+    return docs.select(id_col, _text_hash(text_col), text_col).mapInArrow(
+        run, f"doc {kind}, h long, c binary, n bigint, bands array<bigint>, low binary")
+
 
+def _text_hash(text_col: str) -> Column:
+    return F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("h")
 
-def _sets(docs: DataFrame, k: int) -> DataFrame:
+
+def _packed_sets(docs: DataFrame, k: int) -> DataFrame:
     """c and its set as 6 bytes of each element's hash, sorted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, 1, CHUNK):
@@ -135,6 +147,12 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, "c binary, blob binary")
 
 
+def _values(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).reshape(-1)
+
+
 def _agreeing(pairs: DataFrame) -> DataFrame:
     """Pairs (a, b, la, lb) whose sketches agree on at least AGREE of the coordinates."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,19 +167,14 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     part, whole = threshold
 
-    def values(blob: bytes) -> np.ndarray:
-        out = np.zeros((len(blob) // 6, 8), np.uint8)
-        out[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
-        return out.view(np.uint64).reshape(-1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, last, x = [], None, None
             for a, b in zip(batch.column(2), batch.column(3)):
                 a, b = a.as_py(), b.as_py()
                 if a != last:
-                    last, x = a, values(a)
-                y = values(b)
+                    last, x = a, _values(a)
+                y = _values(b)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(whole * common >= part * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -171,74 +184,135 @@ def _verified(pairs: DataFrame, threshold: tuple[int, int]) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """n_shingles, component_id and kept of every row of ``docs``."""
+    """n_shingles, component_id, kept and text_hash of every row of ``docs``."""
     rows = stored(sketched(docs, id_col, text_col, shingle), "near-rows")
     classes = stored(rows.where("n > 0 AND doc IS NOT NULL").groupBy("c").agg(
         F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("low").alias("low")), "near-classes")
     spread = classes.select("c", "n", "rep", F.explode("bands").alias("key"))
-    shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("rep", "c")).alias("first")).where("m > 1")
-    members = stored(spread.join(shared.select("key", "m", F.col("first.c").alias("first")), "key")
-                     .select("key", "m", "c", "n", "first"), "near-members")
-    part, whole = threshold
-    edges = labels = tested = None
-    pivots, largest = 1, members.agg(F.max("m")).collect()[0][0] or 0
-    while largest > 1:
-        inside = members if labels is None else _open_buckets(members, labels)
-        chance = F.pmod(F.xxhash64("key", "c"), F.lit(1 << 20)) * F.col("m") < F.lit(pivots << 20)
-        chosen = inside.where(F.col("c") == F.col("first")) if pivots == 1 else inside.where(chance)
-        label = F.col("c") if labels is None else F.col("label")
-        p = chosen.select("key", F.col("c").alias("p"), F.col("n").alias("pn"), label.alias("pl"))
-        near = (F.col("n") * whole >= F.col("pn") * part) & (F.col("pn") * whole >= F.col("n") * part)
-        pairs = (inside.join(p, "key").where((label != F.col("pl")) & near)
-                 .select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "near-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        low = classes.select("c", "low")
-        close = stored(_agreeing(pairs.join(low.withColumnsRenamed({"c": "a", "low": "la"}), "a")
-                                 .join(low.withColumnsRenamed({"c": "b", "low": "lb"}), "b").select("a", "b", "la", "lb")), "near-close")
-        found = _links(docs, id_col, text_col, classes, close, shingle, threshold)
-        edges = found if edges is None else edges.unionByName(found)
-        if pivots >= largest:
-            break
-        labels = stored(components(edges).select(F.col("node").alias("c"), F.col("root").alias("label")), "near-labels")
-        pivots *= GROWTH
-        largest = _open_buckets(members, labels).agg(F.max("m")).collect()[0][0] or 0
-    if edges is None:
-        group = classes.select("c", F.col("rep").alias("component_id"))
-    else:
-        root = components(edges)
-        both = classes.select("c", "rep").join(root, F.col("c") == F.col("node"), "left").select(
-            "c", "rep", F.coalesce("root", "c").alias("root"))
-        least = both.groupBy("root").agg(F.min("rep").alias("component_id"))
-        group = both.join(least, "root").select("c", "component_id")
-    out = rows.select("doc", "c", "n").join(group.withColumnRenamed("c", "c2"), (F.col("c") == F.col("c2")) & F.col("doc").isNotNull()
-                                            & (F.col("n") > 0), "left")
+    shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("rep", "c", "n")).alias("first")).where("m > 1")
+    members = stored(spread.join(shared.select("key", F.col("first.c").alias("p"), F.col("first.n").alias("pn")), "key")
+                     .where("c <> p").select("key", "c", "n", "p", "pn"), "near-members")
+    pairs = members.where(_alike("n", "pn", threshold)).select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
+    sets = _sets(docs, id_col, text_col, classes, members, shingle)
+    roots = components(_links(pairs, classes, sets, threshold))
+    rest = _unconnected(members, roots)
+    if not rest.isEmpty():
+        roots = _joined(roots, _links(_prefix_pairs(rest, sets, threshold), classes, sets, threshold))
+    both = classes.select("c", "rep").join(roots, F.col("c") == F.col("node"), "left").select(
+        "c", "rep", F.coalesce("root", "c").alias("root"))
+    least = both.groupBy("root").agg(F.min("rep").alias("component_id"))
+    group = both.join(least, "root").select(F.col("c").alias("c2"), "component_id")
+    out = rows.select("doc", "h", "c", "n").join(group, (F.col("c") == F.col("c2")) & F.col("doc").isNotNull() & (F.col("n") > 0), "left")
     component = F.coalesce("component_id", "doc")
     return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"), F.col("h").alias("text_hash"))
+
 
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, unchanged, of one document of each group."""
+    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(
+        F.col(id_col).alias("near_id"), F.col("text_hash").alias("near_hash")).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("near_id")) & (_text_hash(text_col) == F.col("near_hash")), "left_semi")
 
-def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, with labels, of the buckets that hold more than one component; m: components there."""
-    named = members.drop("m").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    split = (named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("m"))
-             .where("x <> y").select("key", "m"))
-    return named.join(split, "key")
+
+def _alike(n: str, m: str, threshold: tuple[int, int]) -> Column:
+    part, whole = threshold
+    return (F.col(n) * whole >= F.col(m) * part) & (F.col(m) * whole >= F.col(n) * part)
 
 
-def _links(docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, pairs: DataFrame, k: int,
-           threshold: tuple[int, int]) -> DataFrame:
-    """The pairs (u, v) whose full sets reach the threshold. One text of each class is read again."""
-    wanted = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+def _sets(docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """(c, blob) of all classes that share a bucket; one text of each class is read again."""
+    wanted = stored(members.select("c").unionByName(members.select(F.col("p").alias("c"))).distinct(), "near-wanted")
     reps = classes.join(wanted, "c", "left_semi").select(F.col("rep").alias("doc")).distinct()
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(reps, "doc", "left_semi")
-    sets = stored(_sets(texts, k).join(wanted, "c", "left_semi").dropDuplicates(["c"]), "near-sets")
-    filled = (pairs.join(sets.withColumnsRenamed({"c": "b", "blob": "y"}), "b")
+    return stored(_packed_sets(texts, k).join(wanted, "c", "left_semi").dropDuplicates(["c"]), "near-sets")
+
+
+def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs (u, v) of (a, b) whose full sets reach the threshold."""
+    low = classes.select("c", "low")
+    close = stored(_agreeing(pairs.join(low.withColumnsRenamed({"c": "a", "low": "la"}), "a")
+                             .join(low.withColumnsRenamed({"c": "b", "low": "lb"}), "b").select("a", "b", "la", "lb")), "near-close")
+    filled = (close.join(sets.withColumnsRenamed({"c": "b", "blob": "y"}), "b")
               .join(sets.withColumnsRenamed({"c": "a", "blob": "x"}), "a").select("a", "b", "x", "y"))
     return stored(_verified(filled, threshold), "near-links")
 
 
+def _unconnected(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(c, label) of the members of buckets that hold more than one component besides the bucket's
+    first document, which has been compared with all of them."""
+    named = members.select("key", "c").join(roots.withColumnRenamed("node", "c"), "c", "left").select(
+        "key", "c", F.coalesce("root", "c").alias("label"))
+    split = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+    return stored(named.join(split, "key", "left_semi").select("c", "label").distinct(), "near-rest")
+
+
+def _joined(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """Roots after ``edges`` (u, v) are added: only the roots at their ends are joined anew."""
+    if edges.isEmpty():
+        return roots
+
+    def root_of(c: str) -> DataFrame:
+        return roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+
+    ends = (edges.join(root_of("u"), "u", "left").join(root_of("v"), "v", "left")
+            .select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v")))
+    above = components(ends)
+    moved = roots.join(above.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select(
+        "node", F.coalesce("top", "root").alias("root"))
+    return stored(moved.unionByName(above), "near-roots")
+
+
+def _prefix_pairs(rest: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of different labels that pass the prefix and position filter."""
+    part, whole = threshold
+    spark = rest.sparkSession
+    size = rest.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    own = stored(sets.join(rest.join(size, "label"), "c").select("c", "label", "size", "blob"), "near-rest-sets")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for blob in batch.column(0):
+                total += np.bincount((_values(blob.as_py()) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        for i, at in enumerate(range(0, COUNTERS, 1 << 16)):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([total[at:at + (1 << 16)].tobytes()], pa.binary())],
+                                             ["block", "n"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(x, np.int64) for x in table.column("n").to_pylist()], axis=0)
+        return pa.table({"block": table.column("block").slice(0, 1), "n": pa.array([total.tobytes()], pa.binary())})
+
+    blocks = own.select("blob").coalesce(8).mapInArrow(count, "block int, n binary").groupBy("block").applyInArrow(add, "block int, n binary")
+    frequent = np.frombuffer(b"".join(bytes(r["n"]) for r in sorted(blocks.collect(), key=lambda r: r["block"])), np.int64)  # COUNTERS
+    sent = spark.sparkContext.broadcast(frequent)
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [[] for _ in range(6)]
+            for c, label, size, blob in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                h = _values(blob)
+                n = len(h)
+                keep = n - -(-part * n // whole) + 1
+                order = np.lexsort((h, sent.value[(h % np.uint64(COUNTERS)).astype(np.int64)]))[:keep]
+                for col, value in zip(cols, ([c] * keep, [label] * keep, [size] * keep, [n] * keep, h[order].astype(np.int64), range(keep))):
+                    col.extend(value)
+            kinds = [pa.binary(), pa.binary()] + [pa.int64()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds)], ["c", "label", "size", "n", "h", "at"])
+
+    rows = stored(own.mapInArrow(prefix, "c binary, label binary, size long, n long, h long, at long"), "near-prefix")
+    main = (rows.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max(F.struct("size", "label")).alias("main"))
+            .where("x <> y").select("h", F.col("main.label").alias("main")))
+    mixed = rows.join(main, "h")
+    probe = mixed.where("label <> main").select("h", F.col("c").alias("c2"), F.col("label").alias("label2"), F.col("n").alias("n2"),
+                                                F.col("at").alias("at2"))
+    left = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2"))
+    early = left * (part + whole) >= (F.col("n") + F.col("n2")) * part
+    # Of two probes a pair is made once.
+    once = (F.col("label") == F.col("main")) | (F.col("c") < F.col("c2"))
+    return (mixed.join(probe, (mixed["h"] == probe["h"]) & (F.col("label") != F.col("label2")) & early & once & _alike("n", "n2", threshold))
+            .select(F.least("c", "c2").alias("a"), F.greatest("c", "c2").alias("b")).distinct())
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
+    return near_duplicates(read(spark, sf_dir, "documents"), shingle=2).drop("text_hash")
