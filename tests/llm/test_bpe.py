@@ -47,7 +47,7 @@ def test_query_rows_nulls_and_clashing_columns(rows, library):
     long = "wordy texts, " * 20000
     data = [(1, "a b", 5), (2, None, 6), (3, "", 7), (3, "", 7), (None, "x", 8), (4, long, 9)]
     df = rows(data, "doc_id long, text string, n_tokens int")
-    got = sorted(bpe.encode_documents(df, bpe.vocabulary_text(), with_ids=True).collect(), key=str)
+    got = sorted(bpe.encode_documents(df, bpe.vocabulary_text(), with_ids=True, with_text=True).collect(), key=str)
     assert len(got) == len(data)
     texts = {1: "a b", 2: "", 3: "", None: "x", 4: long}
     for r in got:

@@ -239,9 +239,9 @@ def _tables(vocabulary: str) -> Bpe:
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-                     with_ids: bool = False) -> DataFrame:
-    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, and with ``with_ids`` also
-    token_ids and decoded_text. ``vocabulary`` is the text of a tokenizer file (fixed size, so it
+                     with_ids: bool = False, with_text: bool = False) -> DataFrame:
+    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, and on demand token_ids and
+    decoded_text. ``vocabulary`` is the text of a tokenizer file (fixed size, so it
     is sent to the workers). Each task streams its rows; nothing is shuffled. A null id stays null."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(vocabulary)
@@ -263,18 +263,16 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                     except UnicodeDecodeError:
                         back = back.decode("utf-8", "replace").encode()
                     row = (len(ids), hashlib.sha256(bpe.decimal(ids)).hexdigest(), hashlib.sha256(back).hexdigest())
-                    rows.append((*row, ids, back.decode()) if with_ids else row)
+                    rows.append(row + (ids.astype(np.int32),) * with_ids + ((back.decode(),) if with_text else ()))
                     size += len(text)
                     at += 1
-                kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.string()]
+                kinds = [pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32())] * with_ids + [pa.string()] * with_text
                 cols = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "token_ids", "decoded_text"]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at - len(rows), len(rows)), *cols],
-                                                 names[:1 + len(cols)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at - len(rows), len(rows)), *cols], names)
 
     schema = f"`{id_col}` {id_type.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    if with_ids:
-        schema += ", token_ids array<bigint>, decoded_text string"
+    schema += ", token_ids array<int>" * with_ids + ", decoded_text string" * with_text
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * with_ids + ["decoded_text"] * with_text
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 

@@ -110,7 +110,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
-    """n_words, n_hit, n_items, items_sha256 and contaminated of every row of ``docs``."""
+    """n_words, n_hit, n_items, items_sha256, contaminated and text_hash of every row of ``docs``."""
     id_col = columns.get("id_col", "doc_id")
     rows, found = hits(docs, benchmark, **columns)
     by = W.partitionBy("doc", "h").orderBy("position")  # one document, not a group of them
@@ -128,11 +128,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **columns: str) -> Data
     items = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(F.col("doc").alias(id_col), "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
                       F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
-                      ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
+                      ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), F.col("h").alias("text_hash"))
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, that are not contaminated."""
+    bad = decontaminate(docs, benchmark, id_col=id_col, text_col=text_col).where("contaminated").select(
+        F.col(id_col).alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    own = F.coalesce(F.xxhash64(text_col), F.lit(0))
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("bad_id")) & (own == F.col("bad_hash")), "left_anti")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
