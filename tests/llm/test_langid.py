@@ -12,7 +12,7 @@ def brute_bits(train: bytes, text: bytes, classes) -> float:
     """PPM, escape method C with exclusions, straight from its definition."""
     order, width = langid.ORDER, langid.SYMBOLS
     counts: dict[tuple, dict[int, int]] = {}
-    data = [10] * order + list(train)
+    data = [32] * order + list(train)
     symbols = [int(classes[b]) for b in data]
     for i in range(order, len(symbols)):
         for k in range(order + 1):
@@ -33,7 +33,7 @@ def brute_bits(train: bytes, text: bytes, classes) -> float:
         rest = sum(lower(x) for x in range(width) if x not in seen)
         return d / (n + d) * lower(s) / rest
 
-    stream = [int(classes[b]) for b in [10] * order + list(text)]
+    stream = [int(classes[b]) for b in [32] * order + list(text)]
     uniform = np.log2(max(2, 256 - (len(set(classes.tolist())) - 1)))
     return sum(-np.log2(probability(tuple(stream[i - order:i]), stream[i], None)) + (uniform if stream[i] == 0 else 0)
                for i in range(order, len(stream)))
@@ -50,6 +50,12 @@ def test_code_length_is_the_ppm_code_length(rows, monkeypatch):
         assert got == pytest.approx(brute_bits(train.encode(), text.encode(), model.classes), rel=1e-4)
 
 
+def test_only_letters_count():
+    data, ends = langid._joined([b"Ab, 1!c", b"", "é \n".encode(), b"x"])
+    assert data.tobytes() == "   ab c      é    x".encode()
+    assert ends.tolist() == [7, 10, 16, 20]
+
+
 def test_held_out_accuracy(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     got = langid.identify(df).join(df.select("doc_id", "lang", "text"), "doc_id").collect()

@@ -4,13 +4,17 @@ Every language has a byte context tree of order 3 with frozen counts. A byte aft
 coded by PPM with escape method C: with n counts and d distinct successors in a context, a seen
 byte has probability count / (n + d), and the escape d / (n + d) leads to the next shorter
 context, down to a uniform code over the alphabet. The exact code length of a text in a language
-is the sum over its bytes; the language with the shortest code is predicted.
+is the sum over its bytes. Texts quote passages of other languages, whose code lengths would
+drown the rest; so code lengths are compared block by block (BLOCK bytes), a block says at most
+MOST bits against a language, and the language with the least said against it is predicted.
 
 The statistics are frozen, so the cost of a byte depends on the last four bytes only, and the
-trees are compiled into one table: cost[context of 3 bytes, byte, language]. Bytes are first
-mapped to ``SYMBOLS`` classes (the most frequent training bytes after ASCII lower-casing; all
-others share one class and pay a uniform code among themselves), which bounds the table whatever
-the size of the corpus: SYMBOLS ** 4 * languages * 4 bytes.
+trees are compiled into one table: cost[context of 3 bytes, byte, language]. Texts are first
+reduced to words: ASCII letters are lower-cased, and every run of other ASCII bytes is one
+separator, so that shouting, numbers and markup say nothing about the language. The bytes fall
+into ``SYMBOLS`` classes (the most frequent training bytes; all others share one class and pay a
+uniform code among themselves), which bounds the table whatever the size of the corpus:
+SYMBOLS ** 4 * languages * 4 bytes.
 
 Training takes a bounded sample of labelled rows: about ``TRAIN_ROWS`` whole texts of each
 language, chosen by a hash of the id. Prediction covers every row and whole texts.
@@ -18,7 +22,7 @@ language, chosen by a hash of the id. Prediction covers every row and whole text
 Defined results: null text or a text without a letter is ``und`` with score 0; a null id is in
 no fold (it is scored as not held out, and not learned from); with no training rows every text
 is ``und``. Ties go to the language that sorts first. Score: the posterior probability of the
-predicted language, from the mean code length of up to ``SCORE_BYTES`` bytes' worth of evidence.
+predicted language, from the mean evidence of a block.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fold, read, stored
 
@@ -39,11 +44,14 @@ TRAIN_ROWS = 400
 #: Upper bound of languages, which bounds the sample and the table.
 LANGUAGES = 64
 FOLDS, HELD_OUT = 4, 2
-SCORE_BYTES = 64
+#: Bytes of a block, and the most bits that one block can say against a language.
+BLOCK, MOST = 48, 16.0
 CHUNK = 4 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_LOWER[:128] = 32  # white space, digits and punctuation: all are one separator
+_LOWER[97:123] = np.arange(97, 123)
+_LOWER[65:91] = _LOWER[97:123]
 
 
 class Model:
@@ -52,25 +60,55 @@ class Model:
     def __init__(self, languages: list[str], classes: np.ndarray, cost: np.ndarray):
         self.languages, self.classes, self.cost = languages, classes, cost
 
-    def code_lengths(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Bits of each text (rows) in each language (columns). ``data``: bytes of the texts, each
-        preceded by ORDER bytes of 10 (line feeds), the context that a text starts with."""
+    def block_lengths(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of each block of BLOCK bytes in each language, and each block's text. ``data``: what ``_joined`` makes of the
+        texts; the separators before each are the context that it starts with."""
         symbol = self.classes[data].astype(np.int32)
         code = symbol[ORDER:].copy()
         for back in range(1, ORDER + 1):
             code += symbol[ORDER - back:len(symbol) - back] * (SYMBOLS ** back)
         bits = self.cost[code]
         starts = np.concatenate(([0], ends[:-1]))
-        out = np.zeros((len(ends), len(self.languages)), np.float64)
-        for i, (a, b) in enumerate(zip(starts, ends)):  # the first ORDER bytes of a text are its given context
-            out[i] = bits[a:b - ORDER].sum(axis=0, dtype=np.float64)
-        return out
+        sizes = ends - ORDER - starts
+        # Blocks of each text; the codes between two texts (of the next one's separators) are left out.
+        blocks = -(-sizes // BLOCK)
+        text = np.repeat(np.arange(len(ends)), blocks + 1)
+        first = np.cumsum(blocks + 1) - (blocks + 1)
+        number = np.arange(len(text)) - first[text]
+        at = np.where(number < blocks[text], starts[text] + number * BLOCK, ends[text] - ORDER)
+        inside = number < blocks[text]
+        size = np.diff(np.concatenate((at, [len(bits)])))
+        some = size > 0
+        sums = np.zeros((len(at), len(self.languages)))
+        if some.any():
+            sums[some] = np.add.reduceat(bits, at[some], axis=0, dtype=np.float64)
+        return sums[inside], text[inside]
+
+    def code_lengths(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Bits of each text (rows) in each language (columns)."""
+        sums, text = self.block_lengths(data, ends)
+        return np.stack([np.bincount(text, sums[:, j], len(ends)) for j in range(len(self.languages))], axis=1)
+
+    def evidence(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each text and language how many bits its blocks are longer than in their best language,
+        at most MOST bits a block; and the number of blocks."""
+        sums, text = self.block_lengths(data, ends)
+        gap = np.minimum(sums - sums.min(axis=1, keepdims=True), MOST)
+        return (np.stack([np.bincount(text, gap[:, j], len(ends)) for j in range(len(self.languages))], axis=1),
+                np.bincount(text, minlength=len(ends)))
 
 
 def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    head = b"\n" * ORDER
-    data = np.frombuffer(b"".join(head + t for t in texts), np.uint8)
-    return data, np.cumsum([len(t) + ORDER for t in texts])
+    """The texts' letters with one separator between words, each text after ORDER separators; and where
+    each ends."""
+    data = _LOWER[np.frombuffer(b"".join(b" " + t for t in texts), np.uint8)]
+    first = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+    keep = data != 32
+    keep[1:] |= data[:-1] != 32
+    keep[first] = True
+    times = keep.astype(np.int64)
+    times[first] = ORDER
+    return np.repeat(data, times), np.add.reduceat(times, first).cumsum()
 
 
 def _costs(codes: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
@@ -110,8 +148,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(256, np.int64)
         for batch in batches:
-            data = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8)
-            total += np.bincount(_LOWER[data], minlength=256)
+            total += np.bincount(_joined(batch.column(1).to_pylist())[0], minlength=256)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["b", "n"])
 
@@ -120,13 +157,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     classes = np.zeros(256, np.uint8)  # class 0: all other bytes
     for k, b in enumerate(sorted(common), 1):
         classes[b] = k
-    classes = classes[_LOWER]
 
     def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[np.ndarray]] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                symbol = classes[np.frombuffer(b"\n" * ORDER + text, np.uint8)].astype(np.int32)
+                symbol = classes[_joined([text])[0]].astype(np.int32)
                 code = symbol[ORDER:].copy()
                 for back in range(1, ORDER + 1):
                     code += symbol[ORDER - back:len(symbol) - back] * SYMBOLS ** back
@@ -148,13 +184,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Model(languages, classes, np.stack(cost, axis=1)) if cost else None
 
 
-def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id, lang_pred and score of every row; a map over the rows, without a shuffle."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """The columns ``carry`` (default: all) with lang_pred and score of every row; a map over the
+    rows, without a shuffle. Own columns of those names are left out."""
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in ("lang_pred", "score")]
     known = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    cols = docs.select(F.col(id_col), F.when(known, F.encode(F.col(text_col), "UTF-8")).alias("t"))
+    row = F.struct(*carry).alias("row")
+    cols = docs.select(row, F.when(known, F.encode(F.col(text_col), "UTF-8")).alias("t"))
     if model is None:
-        return cols.select(id_col, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return cols.select("row.*", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.classes, model.cost))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,27 +210,35 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 have = [t for t in part if t]
                 names, scores = iter(()), iter(())
                 if have:
-                    bits = m.code_lengths(*_joined(have))
-                    best = bits.argmin(axis=1)
-                    size = np.array([len(t) for t in have])
-                    gap = (bits - bits.min(axis=1, keepdims=True)) * (np.minimum(size, SCORE_BYTES) / size)[:, None]
+                    gap, blocks = m.evidence(*_joined(have))
+                    best = gap.argmin(axis=1)
+                    gap = (gap - gap.min(axis=1, keepdims=True)) / np.maximum(1, blocks)[:, None]
                     names = iter([m.languages[b] for b in best])
                     scores = iter((1 / np.exp2(-np.minimum(gap, 1000)).sum(axis=1)).tolist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, at - first),
                      pa.array([next(names) if t else "und" for t in part], pa.string()),
-                     pa.array([next(scores) if t else 0.0 for t in part], pa.float64())], [id_col, "lang_pred", "score"])
+                     pa.array([next(scores) if t else 0.0 for t in part], pa.float64())], ["row", "lang_pred", "score"])
 
-    return cols.mapInArrow(run, f"`{id_col}` {id_type}, lang_pred string, score double")
+    schema = T.StructType([cols.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return cols.mapInArrow(run, schema).select("row.*", "lang_pred", "score")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Train on the folds that aren't held out, then predict every row."""
     learn = docs.where(fold(id_col, FOLDS) != HELD_OUT)
-    found = predict(docs, train(learn, id_col, text_col, lang_col), id_col, text_col)
+    found = predict(docs, train(learn, id_col, text_col, lang_col), text_col, [id_col])
     held = F.coalesce(fold(id_col, FOLDS) == HELD_OUT, F.lit(False))
     return found.select(id_col, held.alias("held_out"), "lang_pred", "score")
 
 
+def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             least: float = 0.0) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose language can be told (with a score of ``least`` or more)."""
+    learn = docs.where(fold(id_col, FOLDS) != HELD_OUT)
+    found = predict(docs, train(learn, id_col, text_col, lang_col), text_col)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read(spark, sf_dir, "documents"))
