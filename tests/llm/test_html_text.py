@@ -19,6 +19,8 @@ P = "A paragraph of words that goes on for a while, with commas, and is plainly
      f"{P} {P}boldend"),
     (f"<article><h1>A</h1><div class='ad'>{P} {P} {P}</div><p>b</p><div class=related><a>r</a></div></article>", "A b"),
     (f"<article><p>{P}<nav>never closed<p>{P}</article>tail", P),
+    (f"<article><div class='long-form'><h2>T</h2><p>{P}</p></div><div class='share-buttons'>Share</div></article>", f"T {P}"),
+    (f"<div id='page' class='no-sidebar'><p>{P}</p><p>{P}</p></div><div class='related'><p>Other</p></div>", f"{P} {P}"),
     ("just text", "just text"), ("", ""), ("   ", ""), ("<nav>only a menu</nav>", ""), ("<p>", ""), ("<ul><li>a<li>b</ul>", "a b"),
     ("<p>3 < 4 &lt;x &#228;\n\t line</p>", "3 < 4 <x ä line"), ("<article>" + "<div>" * 5000 + "deep", "deep"),
     ("<article>" + "<p>word</p>" * 20000 + "</article>", " ".join(["word"] * 20000)),

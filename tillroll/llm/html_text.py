@@ -50,14 +50,22 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
 SCOPES = frozenset("table td th caption button html template object".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
                   "toolbar".split())
-#: Words of class and id that mark what is no article text.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|submenu|breadcrumbs?|header|masthead|topbar|banner|footer|foot|colophon|"
-    r"sidebar|side|aside|rail|widgets?|ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promos?|"
-    r"promotions?|cookies?|cookie-?(?:bar|banner|notice|consent)|consent|gdpr|notices?|alerts?|popups?|modal|overlay|"
-    r"newsletter|subscribe|subscription|signup|login|search|forms?|share|sharing|social|related|recommend(?:ed|ations)?|"
-    r"comments?|comment-?list|disqus|replies|reply|respond|pagination|pager|toolbar|skip-?link|hidden|copyright|legal|"
-    r"disclaimer|paywall|adsbygoogle|commentlist|tags?|tagcloud)(?:$|[\s_-]|\d)", re.I)
+#: Words of class and id that mark what is no article text, wherever it is and however long.
+STRONG = ("nav navbar navigation menu submenu breadcrumb breadcrumbs masthead topbar footer foot colophon sidebar aside ad ads advert "
+          "adverts advertisement advertisements advertising adsense adsbygoogle sponsor sponsors sponsored promo promos promotion "
+          "promotions cookie cookies consent gdpr popup popups overlay newsletter subscribe subscription signup sharing recommend "
+          "recommended recommendations comment comments commentlist disqus reply replies respond pagination pager skiplink skip-link "
+          "paywall tagcloud toolbar").split()
+#: Words that do so only on an element that holds less than half of the text around it.
+WEAK = ("header banner side rail widget widgets notice notices alert alerts modal login search form forms share social related hidden "
+        "copyright legal disclaimer tag tags").split()
+
+
+def _words(words: list[str]) -> re.Pattern:
+    return re.compile(rf"(?:^|[\s_-])(?:{'|'.join(words)})(?:$|[\s_-]|\d)", re.I)
+
+
+STRONG_MARKS, WEAK_MARKS = _words(STRONG), _words(WEAK)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: Elements that hold the page or the article are never dropped for a mark.
 KEPT = frozenset("html body main article".split())
@@ -73,7 +81,7 @@ class Node:
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent = tag, parent
         self.items: list = []  # texts and nodes in page order
-        self.marked = False
+        self.marked = 0
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -82,11 +90,11 @@ def _dropped(node: Node, tag: str) -> bool:
     return tag in DROPPED and not (tag == "header" and (_open(node, "article") or _open(node, "main")))
 
 
-def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
-    """(hidden or of a role without article text, marked by class or id)."""
-    gone = marked = False
+def _marks(tag: str, attributes: str) -> tuple[bool, int]:
+    """(hidden or of a role without article text, marked by class or id: 0 no, 1 weakly, 2 strongly)."""
+    gone, marked = False, 0
     if tag in KEPT:
-        return False, False
+        return False, 0
     for m in ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         value = m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or ""
@@ -96,8 +104,9 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
             gone = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             gone = True
-        elif name in ("class", "id") and MARKS.search(CAMEL.sub("-", value)):
-            marked = True
+        elif name in ("class", "id"):
+            value = CAMEL.sub("-", value)
+            marked = max(marked, 2 if STRONG_MARKS.search(value) else 1 if WEAK_MARKS.search(value) else 0)
     return gone, marked
 
 
@@ -147,7 +156,7 @@ def parse(page: str) -> Node:
                 node = _end_paragraph(node)
             if tag in IMPLIED:
                 node = _imply(node, tag)
-            gone, marked = _marks(tag, rest) if rest and not rest.isspace() else (False, False)
+            gone, marked = _marks(tag, rest) if rest and not rest.isspace() else (False, 0)
             if gone or _dropped(node, tag):
                 if tag in BLOCKS:
                     node.items.append(Node("br", node))
@@ -166,21 +175,25 @@ def parse(page: str) -> Node:
 
 
 def _prune(root: Node) -> None:
-    """Take out the marked elements, but for those that hold an article or, where there is none, most
-    of the page."""
+    """Take out the marked elements, but for those that hold an article and, of the weakly marked ones
+    and on pages without an article, those that hold half of the text around them."""
     order = _measure(root)
-    holds = set()
+    holds, around = set(), {id(root): root}
     for node in order:
         if node.tag in ("article", "main") and node.chars:
             here = node
             while here is not None and id(here) not in holds:
                 holds.add(id(here))
                 here = here.parent
+    for node in reversed(order):  # parents first: the nearest article or main around each node
+        if node.parent is not None:
+            around[id(node)] = node if node.tag in ("article", "main") else around[id(node.parent)]
     for node in order:
-        if node.marked and id(node) not in holds and (holds or 2 * node.chars < root.chars):
-            node.items = []
-            node.tag = "br" if node.tag in BLOCKS else "span"
-            node.chars = 0
+        if node.marked and id(node) not in holds:
+            bulk = 2 * node.chars >= around[id(node)].chars
+            if not bulk or holds and node.marked == 2:
+                node.items = []
+                node.tag = "br" if node.tag in BLOCKS else "span"
 
 
 def _child(node: Node, tag: str) -> Node:
