@@ -6,6 +6,7 @@ import sys
 import numpy as np
 
 from tillroll.llm import suffix_dedup as S
+from tillroll.llm.packed import LAST
 
 sys.path.insert(0, os.path.dirname(__file__))
 from oracle import same  # noqa: E402
@@ -15,7 +16,7 @@ SF = "/root/testdata/sf0.01"
 
 def brute(data, n=100):
     """Rows in corpus order; rows equal in id and text are one document."""
-    docs = sorted({(S.LAST if d is None else d, t or "") for d, t in data}, key=lambda x: x[0])
+    docs = sorted({(LAST if d is None else d, t or "") for d, t in data}, key=lambda x: x[0])
     seen, result = set(), {}
     for d, t in docs:
         raw = t.encode()
@@ -28,7 +29,7 @@ def brute(data, n=100):
         kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
         spans = int((np.diff(np.concatenate(([False], gone)).astype(int)) == 1).sum())
         result[d, t] = (len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
-    return sorted(str((d, *result[S.LAST if d is None else d, t or ""])) for d, t in data)
+    return sorted(str((d, *result[LAST if d is None else d, t or ""])) for d, t in data)
 
 
 def test_against_sql(spark):

@@ -34,15 +34,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Rolling, chunks, mix64, ranges, read, stored
+from .packed import REPLY, SEGMENT, SEGMENTS, Segments, column, gathered, named, opened, positions, replies, segments
 
 LENGTH, KEY, GRAM = 100, 48, 8
-CHUNK_BYTES, RANGE_BYTES = 4 << 20, 48 << 20
-SEGMENT = 1 << 16
-LAST = np.iinfo(np.int64).max
+#: Bytes of text parsed at once, and behind each hash range.
+CHUNK_BYTES, RANGE_BYTES = 3 << 19, 32 << 20
 _SECOND = 0xD6E8FEB86659FD93
 
 
@@ -95,110 +96,62 @@ class Text:
         return doc, lo - self.offsets[doc], count, key, entry
 
 
-# ------------------------------------------------------------------ packed rows
-
-_ROW = "part int, kind int, ranks binary, uids binary, bases binary, sizes binary, offsets binary, counts binary, a binary, b binary"
-_ANSWER = "kind int, rank long, uid long, base int, offsets binary, counts binary"
-REPEATED, COMPARE = 0, 1
-
-
-class _Rows:
-    """Collects rows of runs of starts: for each segment of a document its key and number of runs,
-    then offsets, counts and the two hashes (empty: the row is an answer already)."""
-
-    def __init__(self, rank: np.ndarray, uid: np.ndarray):
-        self.rank, self.uid = rank, uid
-        self.clear()
-
-    def clear(self) -> None:
-        self.rows = [[] for _ in range(10)]
-
-    def add(self, part: int, kind: int, doc, at, count, a=None, b=None) -> None:
-        segment = at // SEGMENT
-        cut = np.flatnonzero((doc[1:] != doc[:-1]) | (segment[1:] != segment[:-1])) + 1
-        first = np.concatenate(([0], cut))
-        sizes = np.diff(np.concatenate((first, [len(doc)])))
-        row = (part, kind, self.rank[doc[first]].tobytes(), self.uid[doc[first]].tobytes(), segment[first].astype("<i4").tobytes(),
-               sizes.astype("<i4").tobytes(), _planes(at - segment * SEGMENT), count.astype("u1").tobytes(),
-               b"" if a is None else a.astype("<u8").tobytes(), b"" if b is None else b.astype("<u8").tobytes())
-        for column, value in zip(self.rows, row):
-            column.append(value)
-
-    def by_part(self, part, doc, at, count, a, b) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((at, doc, part))
-        for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-            if len(own):
-                self.add(int(part[own[0]]), -1, doc[own], at[own], count[own], a[own], b[own])
-            if len(self.rows[0]) >= 512:
-                yield from self.batches()
-
-    def batches(self) -> Iterator[pa.RecordBatch]:
-        if self.rows[0]:
-            names = [c.split()[0] for c in _ROW.split(", ")]
-            kinds = [pa.int32()] * 2 + [pa.binary()] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(self.rows, kinds)], names)
-            self.clear()
-
+# ------------------------------------------------------------------ the two exchanges
 
-def _planes(offsets: np.ndarray) -> bytes:
-    """Low bytes, then high bytes: the latter hardly change along a document and compress well."""
-    return offsets.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
+_ROW = f"part int, kind int, {SEGMENTS}, counts binary, a binary, b binary"
+#: Kinds of rows: answers (repeated; to be compared), and what its range is to find out.
+REPEATED, COMPARE, ASKED = 0, 1, -1
 
 
-def _unplanes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(2, -1).T).view("<u2").reshape(-1)
+def _rows(rank, uid, groups: list[tuple]) -> pa.RecordBatch:
+    """One row for each (part, kind, doc, at, count, a, b); entries sorted by document and position."""
+    out = [(part, kind, *segments(rank, uid, doc, at), count.astype("u1").tobytes(), a.tobytes(), b.tobytes())
+           for part, kind, doc, at, count, a, b in groups]
+    kinds = [pa.int32()] * 2 + [pa.binary()] * 8
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [c.split()[0] for c in _ROW.split(", ")])
 
 
-def _column(rows: pa.Table, name: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
+def _groups(kind: int, parts: int, chosen: np.ndarray, doc, at, count, a, b) -> list[tuple]:
+    """What goes to each range, by the first hash. Answers need no range of their own: they go by the
+    first one's, without hashes."""
+    if not len(chosen):
+        return []
+    part = (mix64(a[chosen]) % np.uint64(parts)).astype(np.int64)
+    if kind != ASKED:
+        part[:] = part[0]
+    order = np.lexsort((at[chosen], doc[chosen], part))
+    part, chosen = part[order], chosen[order]
+    none = np.empty(0, np.uint64)
+    return [(int(part[own[0]]), kind, doc[chosen[own]], at[chosen[own]], count[chosen[own]],
+             *((a[chosen[own]], b[chosen[own]]) if kind == ASKED else (none, none)))
+            for own in np.split(np.arange(len(part)), np.flatnonzero(np.diff(part)) + 1)]
 
 
-class _Opened:
+class _Opened(Segments):
     """The runs of some rows as arrays."""
 
     def __init__(self, rows: pa.Table):
-        sizes = _column(rows, "sizes", "<i4")
-        self.segment = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        self.ranks, self.uids = _column(rows, "ranks", "<i8"), _column(rows, "uids", "<i8")
-        self.bases = _column(rows, "bases", "<i4")
-        self.offsets = np.concatenate([np.empty(0, "<u2"), *map(_unplanes, rows.column("offsets").to_pylist())])
-        self.counts = _column(rows, "counts", "u1")
-
-    def order(self, *keys: np.ndarray) -> np.ndarray:
-        """By the keys, then in corpus order."""
-        place = np.lexsort((self.bases, self.uids, self.ranks))  # of the segments
-        number = np.empty(len(place), np.int64)
-        number[place] = np.arange(len(place))
-        # Rows that came twice (equal documents) have segments that are the same.
-        same = np.zeros(len(place), bool)
-        same[1:] = ((self.ranks[place[1:]] == self.ranks[place[:-1]]) & (self.uids[place[1:]] == self.uids[place[:-1]])
-                    & (self.bases[place[1:]] == self.bases[place[:-1]]))
-        number[place] = np.cumsum(~same)
-        self.place = number[self.segment] * SEGMENT + self.offsets
-        return np.lexsort((self.place, *reversed(keys)))
-
-    def answers(self, kind: int, chosen: np.ndarray) -> pa.Table:
+        super().__init__(rows)
+        self.counts = column(rows, "counts", "u1")
+
+    def corpus_order(self) -> np.ndarray:
+        return self.places()[self.segment] * SEGMENT + self.offset
+
+    def answers(self, kind: int, chosen: np.ndarray) -> tuple:
         segment = self.segment[chosen]
-        cut = np.flatnonzero(np.diff(segment)) + 1
-        first = np.concatenate(([0], cut)) if len(segment) else np.empty(0, np.int64)
-        ends = np.concatenate((cut, [len(segment)])) if len(segment) else first
-        offsets, counts, own = self.offsets[chosen], self.counts[chosen], segment[first]
-        return pa.table({"kind": pa.array([kind] * len(own), pa.int32()), "rank": pa.array(self.ranks[own], pa.int64()),
-                         "uid": pa.array(self.uids[own], pa.int64()), "base": pa.array(self.bases[own], pa.int32()),
-                         "offsets": pa.array([offsets[x:y].tobytes() for x, y in zip(first, ends)], pa.binary()),
-                         "counts": pa.array([counts[x:y].tobytes() for x, y in zip(first, ends)], pa.binary())})
+        return (kind, self.rank[segment], self.uid[segment], self.base[segment].astype(np.int64) * SEGMENT + self.offset[chosen],
+                self.counts[chosen].astype(np.int64))
 
 
-def _split(rows: pa.Table) -> tuple[pa.Table, list[pa.Table]]:
+def _split(rows: pa.Table) -> tuple[pa.Table, list[tuple]]:
     """Rows to be compared, and the answers that came with them."""
-    kind = rows.column("kind")
-    known = []
+    kind, known = rows.column("kind"), []
     for k in (REPEATED, COMPARE):
         own = rows.filter(pc.equal(kind, k))
         if own.num_rows:
-            opened = _Opened(own)
-            known.append(opened.answers(k, np.arange(len(opened.segment))))
-    return rows.filter(pc.equal(kind, -1)), known
+            opened_ = _Opened(own)
+            known.append(opened_.answers(k, np.arange(len(opened_))))
+    return rows.filter(pc.equal(kind, ASKED)), known
 
 
 def _heads(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -209,7 +162,14 @@ def _heads(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     return new
 
 
-# ------------------------------------------------------------------ the two exchanges
+def _numbers(rank: np.ndarray, uid: np.ndarray) -> np.ndarray:
+    """Documents of a chunk in corpus order; equal rows have equal numbers."""
+    order = np.lexsort((uid, rank))
+    same = np.zeros(len(order), bool)
+    same[1:] = (rank[order[1:]] == rank[order[:-1]]) & (uid[order[1:]] == uid[order[:-1]])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(~same)
+    return out
 
 
 def _phrases(docs: DataFrame, parts: int, chunk_bytes: int) -> DataFrame:
@@ -219,124 +179,99 @@ def _phrases(docs: DataFrame, parts: int, chunk_bytes: int) -> DataFrame:
             doc, at, count, key, entry = Text(texts).phrases()
             if len(doc) == 0:
                 continue
-            place = np.lexsort((uid, rank))
-            number = np.empty(len(place), np.int64)
-            same = np.zeros(len(place), bool)
-            same[1:] = (rank[place[1:]] == rank[place[:-1]]) & (uid[place[1:]] == uid[place[:-1]])
-            number[place] = np.cumsum(~same)
+            number = _numbers(rank, uid)
             order = np.lexsort((at, number[doc], entry, key))
             first = _heads(order, key, entry)
             # Equal rows are one document: an occurrence at the same place of an equal row is no repeat.
             lead = order[np.flatnonzero(first)[np.cumsum(first) - 1]]
             twin = (number[doc[order]] == number[doc[lead]]) & (at[order] == at[lead])
-            rows = _Rows(rank, uid)
-
-            def known(kind: int, chosen: np.ndarray) -> None:
-                if len(chosen):
-                    own = chosen[np.lexsort((at[chosen], doc[chosen]))]
-                    rows.add(int(mix64(key[own[:1]])[0] % np.uint64(parts)), kind, doc[own], at[own], count[own])
-
-            known(REPEATED, order[~first & ~twin])
             entries = order[first]  # by key
             head = _heads(entries, key)
             group = np.cumsum(head) - 1
             many = np.bincount(group)[group] > 1
-            known(COMPARE, entries[many])
-            sent = entries[~many | head]
-            flagged = count.copy()
-            flagged[entries[many]] = 0  # a key whose entries are compared anyway
-            part = (mix64(key[sent]) % np.uint64(parts)).astype(np.int64)
-            yield from rows.by_part(part, doc[sent], at[sent], flagged[sent], key[sent], entry[sent])
-            yield from rows.batches()
+            marked = count.copy()
+            marked[entries[many]] = 0  # a key whose entries are compared anyway
+            groups = (_groups(REPEATED, parts, order[~first & ~twin], doc, at, count, key, entry)
+                      + _groups(COMPARE, parts, entries[many], doc, at, count, key, entry)
+                      + _groups(ASKED, parts, entries[~many | head], doc, at, marked, key, entry))
+            yield _rows(rank, uid, groups)
 
     return docs.mapInArrow(run, _ROW)
 
 
-def _parsed(phrases: DataFrame) -> DataFrame:
+def _parsed(phrases: DataFrame, parts: int) -> DataFrame:
     def found(rows: pa.Table) -> pa.Table:
         rows, out = _split(rows)
         x = _Opened(rows)
-        key, entry = _column(rows, "a", "<u8"), _column(rows, "b", "<u8")
-        marked = x.counts == 0
-        order = x.order(key, entry)
-        order = np.concatenate((order[~marked[order]], order[marked[order]]))  # marked ones only tell of their key
-        plain = order[:len(order) - int(marked.sum())]
+        key, entry = column(rows, "a", "<u8"), column(rows, "b", "<u8")
+        del rows
+        marked, place = x.counts == 0, x.corpus_order()  # marked ones only tell of their key
+        order = np.lexsort((place, entry, key))
+        plain = order[~marked[order]]
         first = _heads(plain, key, entry)
         lead = plain[np.flatnonzero(first)[np.cumsum(first) - 1]] if len(plain) else plain
-        out.append(x.answers(REPEATED, np.sort(plain[~first & (x.place[plain] != x.place[lead])])))
+        out.append(x.answers(REPEATED, plain[~first & (place[plain] != place[lead])]))
         entries = plain[first]
-        head = _heads(entries, key)
-        group = np.cumsum(head) - 1
+        group = np.cumsum(_heads(entries, key)) - 1
         many = np.bincount(group)[group] > 1 if len(entries) else np.empty(0, bool)
         many |= np.isin(key[entries], key[marked])
-        out.append(x.answers(COMPARE, np.sort(entries[many])))
-        return pa.concat_tables(out)
+        out.append(x.answers(COMPARE, entries[many]))
+        return replies(out, parts)
 
-    return phrases.groupBy("part").applyInArrow(found, _ANSWER)
+    return phrases.groupBy("part").applyInArrow(found, REPLY)
 
 
 def _strings(docs: DataFrame, parts: int, chunk_bytes: int) -> DataFrame:
-    """docs: rank, uid, text, runs. The strings of the runs to compare, one smallest occurrence a chunk."""
+    """docs: rank, uid, text, starts, counts. The strings of the runs to compare, one smallest
+    occurrence a chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, 2, chunk_bytes):
             rank, uid = (np.array(batch.column(c).to_pylist(), np.int64) for c in (0, 1))
-            doc, at = _starts(batch.column(3))
+            starts = [positions(s, n) for s, n in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+            doc = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
+            at = np.concatenate(starts)
             text = Text(texts)
             a, b = text.strings(at + text.offsets[doc])
-            place = np.lexsort((uid, rank))
-            number = np.empty(len(place), np.int64)
-            number[place] = np.arange(len(place))
+            number = _numbers(rank, uid)
             order = np.lexsort((at, number[doc], b, a))
             first = _heads(order, a, b)
-            rows = _Rows(rank, uid)
-            again = order[~first]
-            if len(again):
-                own = again[np.lexsort((at[again], doc[again]))]
-                rows.add(int(a[own[0]] % np.uint64(parts)), REPEATED, doc[own], at[own], np.ones(len(own), np.int64))
-            sent = order[first]
-            part = (mix64(a[sent]) % np.uint64(parts)).astype(np.int64)
-            yield from rows.by_part(part, doc[sent], at[sent], np.ones(len(sent), np.int64), a[sent], b[sent])
-            yield from rows.batches()
+            lead = order[np.flatnonzero(first)[np.cumsum(first) - 1]]
+            twin = (number[doc[order]] == number[doc[lead]]) & (at[order] == at[lead])
+            one = np.ones(len(at), np.int64)
+            yield _rows(rank, uid, _groups(REPEATED, parts, order[~first & ~twin], doc, at, one, a, b)
+                        + _groups(ASKED, parts, order[first], doc, at, one, a, b))
 
     return docs.mapInArrow(run, _ROW)
 
 
-def _sorted(strings: DataFrame) -> DataFrame:
+def _sorted(strings: DataFrame, parts: int) -> DataFrame:
     def found(rows: pa.Table) -> pa.Table:
         rows, out = _split(rows)
         x = _Opened(rows)
-        a, b = _column(rows, "a", "<u8"), _column(rows, "b", "<u8")
-        order = x.order(a, b)
-        out.append(x.answers(REPEATED, np.sort(order[~_heads(order, a, b)])))
-        return pa.concat_tables(out)
-
-    return strings.groupBy("part").applyInArrow(found, _ANSWER)
-
+        a, b = column(rows, "a", "<u8"), column(rows, "b", "<u8")
+        del rows
+        place = x.corpus_order()
+        order = np.lexsort((place, b, a))
+        first = _heads(order, a, b)
+        lead = order[np.flatnonzero(first)[np.cumsum(first) - 1]] if len(order) else order
+        out.append(x.answers(REPEATED, order[~first & (place[order] != place[lead])]))
+        return replies(out, parts)
 
-def _starts(runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, start) of all starts in the runs of each text."""
-    docs, starts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for i, own in enumerate(runs):
-        for one in own.as_py() or ():
-            at = np.frombuffer(one["offsets"], "<u2").astype(np.int64) + one["base"] * SEGMENT
-            starts.append(ranges(at, np.frombuffer(one["counts"], "u1").astype(np.int64)))
-            docs.append(np.full(len(starts[-1]), i, np.int64))
-    return np.concatenate(docs), np.concatenate(starts)
+    return strings.groupBy("part").applyInArrow(found, REPLY)
 
 
 def _removed(docs: DataFrame, with_text: bool) -> DataFrame:
+    """Rows (doc, text, starts, counts) to the results; ``doc`` is carried as it is."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, 1, CHUNK_BYTES):
             out = []
-            for text, runs in zip(texts, batch.column(2)):
+            for text, starts, counts in zip(texts, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 n, spans, kept = len(text), [], text
-                runs = runs.as_py()
-                if runs:
+                if starts:
+                    start, count = opened(starts, counts)
                     step = np.zeros(n + 1, np.int32)
-                    for one in runs:
-                        at = np.frombuffer(one["offsets"], "<u2").astype(np.int64) + one["base"] * SEGMENT
-                        np.add.at(step, at, 1)
-                        np.add.at(step, at + np.frombuffer(one["counts"], "u1").astype(np.int64) + (LENGTH - 1), -1)
+                    np.add.at(step, start, 1)
+                    np.add.at(step, start + count + (LENGTH - 1), -1)
                     gone = np.cumsum(step[:n]) > 0
                     edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).view(np.int8)))
                     spans = list(zip(edge[0::2].tolist(), edge[1::2].tolist()))
@@ -350,32 +285,41 @@ def _removed(docs: DataFrame, with_text: bool) -> DataFrame:
             cols = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["doc", *names[:len(cols)]])
 
-    kind = docs.schema["doc"].dataType.simpleString()
-    schema = f"doc {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    if with_text:
-        schema += ", kept_text string, spans array<struct<start: bigint, end: bigint>>"
-    return docs.mapInArrow(run, schema)
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text", "spans"] * with_text
+    kinds = ["bigint"] * 3 + ["string"] * 2 + ["array<struct<start: bigint, end: bigint>>"]
+    own = T.StructType.fromDDL(", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    return docs.mapInArrow(run, T.StructType([docs.schema["doc"], *own.fields]))
 
 
-def _runs(answers: DataFrame) -> DataFrame:
-    """The answers of each document (bounded by its text)."""
-    return answers.groupBy("rank", "uid").agg(F.collect_list(F.struct("base", "offsets", "counts")).alias("runs"))
+def _results(docs: DataFrame, id_col: str, text_col: str, row: Column, with_text: bool, chunk_bytes: int, range_bytes: int) -> DataFrame:
+    rows = named(docs, id_col, text_col, row.alias("doc"))
+    size = rows.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
+    parts = max(1, -(-int(size) // range_bytes))
+    given = rows.select("rank", "uid", "text")
+    parsed = stored(_parsed(_phrases(given, parts, chunk_bytes), parts), "suffix-parsed")
+    compare = gathered(parsed.where(F.col("kind") == COMPARE)).drop("kind")
+    again = _sorted(_strings(given.join(compare, ["rank", "uid"]).select("rank", "uid", "text", "starts", "counts"), parts, chunk_bytes), parts)
+    runs = gathered(parsed.where(F.col("kind") == REPEATED).unionByName(again)).drop("kind")
+    return _removed(rows.join(runs, ["rank", "uid"], "left").select("doc", "text", "starts", "counts"), with_text)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False,
                    chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """n_bytes, n_removed, n_spans and kept_sha256 of every row; with ``with_text`` also the remaining
     text (bytes of characters cut in two are left out) and the removed byte intervals."""
-    rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(text_col, F.lit("")).alias("text")).select(
-        F.coalesce(F.col("doc").cast("long"), F.lit(LAST)).alias("rank"), F.xxhash64("text").alias("uid"), "text", "doc")
-    size = rows.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
-    parts = max(1, -(-int(size) // range_bytes))
-    given = rows.select("rank", "uid", "text")
-    parsed = stored(_parsed(_phrases(given, parts, chunk_bytes)), "suffix-parsed")
-    compare = _runs(parsed.where(F.col("kind") == COMPARE))
-    again = _sorted(_strings(given.join(compare, ["rank", "uid"]).select("rank", "uid", "text", "runs"), parts, chunk_bytes))
-    runs = _runs(parsed.where(F.col("kind") == REPEATED).unionByName(again))
-    return _removed(rows.join(runs, ["rank", "uid"], "left").select("doc", "text", "runs"), with_text).withColumnRenamed("doc", id_col)
+    return _results(docs, id_col, text_col, F.col(id_col), with_text, chunk_bytes, range_bytes).withColumnRenamed("doc", id_col)
+
+
+def cut_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = None) -> DataFrame:
+    """The rows of ``docs`` with what is left of their texts (null stays null) and, in ``chars_col``, its
+    number of characters; all other columns as they were."""
+    others = F.struct(*[c for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("_empty"))
+    out = _results(docs, id_col, text_col, others, True, CHUNK_BYTES, RANGE_BYTES)
+    text = F.when(~F.col("doc._empty"), F.col("kept_text"))
+    cols = {c: F.col(f"doc.`{c}`") for c in docs.columns if c != text_col} | {text_col: text}
+    if chars_col:
+        cols[chars_col] = F.char_length(text).cast(docs.schema[chars_col].dataType)
+    return out.select(*[cols[c].alias(c) for c in docs.columns])
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
