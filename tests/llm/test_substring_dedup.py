@@ -5,6 +5,7 @@ import re
 import sys
 
 from tillroll.llm import substring_dedup as S
+from tillroll.llm.packed import LAST
 
 sys.path.insert(0, os.path.dirname(__file__))
 from oracle import same  # noqa: E402
@@ -14,7 +15,7 @@ SF = "/root/testdata/sf0.01"
 
 def brute(data, k=13):
     words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in data]
-    rank = [S.LAST if d is None else d for d, _ in data]
+    rank = [LAST if d is None else d for d, _ in data]
     least = {}
     for r, w in zip(rank, words):
         for i in range(len(w) - k + 1):

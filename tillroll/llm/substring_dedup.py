@@ -10,8 +10,8 @@ occurrence in the chunk's smallest document (the others are known to be repeats
 passage that all documents share leaves a chunk as one entry), and sends the rest by hash range
 as packed arrays: 8 bytes of hash and 2 of position for a window. The second hash picks the
 range, so a window is told apart by 64 bits and those of the range number. A range's task finds
-the smallest document of each hash and answers with the positions that are repeats. Answers are
-grouped by document and joined with the texts. Nothing is capped. The number of ranges grows with
+the smallest document of each hash and answers with the positions that are repeats: one packed
+row for each range of documents. Answers are gathered by document and joined with the texts. Nothing is capped. The number of ranges grows with
 the input, so that a range's task holds the windows of about ``range_bytes`` of text; with larger
 executors both ``range_bytes`` and ``chunk_bytes`` should grow, which keeps the packed rows long.
 
@@ -32,12 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Rolling, Words, chunks, ranges, read
+from .packed import REPLY, SEGMENT, SEGMENTS, Segments, column, gathered, named, opened, replies, segments
 
 WINDOW = 13
 #: Bytes of text hashed at once, and behind each hash range.
-CHUNK_BYTES, RANGE_BYTES = 8 << 20, 24 << 20
-SEGMENT = 1 << 16  # positions are sent as offsets of 16 bits within segments
-LAST = np.iinfo(np.int64).max
+CHUNK_BYTES, RANGE_BYTES = 2 << 20, 24 << 20
 _SECOND = 0xD6E8FEB86659FD93
 
 
@@ -51,140 +50,81 @@ def window_hashes(words: Words, k: int) -> tuple[np.ndarray, ...]:
     return doc, start - words.offsets[:-1][doc], first, second
 
 
-def _packed(kind: str, values: np.ndarray) -> bytes:
-    return values.astype(kind).tobytes()
+_ROW = f"part int, {SEGMENTS}, hashes binary"
 
 
 def _sent(docs: DataFrame, k: int, parts: int, chunk_bytes: int) -> DataFrame:
-    """Rows of windows of one chunk for one hash range: for each segment of a document its key, start
-    and number of windows; then the windows' hashes and offsets. Rows without hashes hold the
-    repeats that are known in the chunk."""
+    """Rows of the windows of one chunk for one hash range. Rows without hashes hold the repeats that
+    are known in the chunk."""
+    names = [c.split()[0] for c in _ROW.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, 2, chunk_bytes):
             rank, uid = (np.array(batch.column(c).to_pylist(), np.int64) for c in (0, 1))
             doc, at, first, second = window_hashes(Words(texts, lower=False), k)
             if len(doc) == 0:
                 continue
-            part = (second % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((at, doc, rank[doc], first, part))
+            part = (second % np.uint64(parts)).astype(np.int32)
+            del second
+            order = np.lexsort((rank[doc], first, part))
             doc, at, first, part = doc[order], at[order], first[order], part[order]
             new = np.ones(len(doc), bool)
             new[1:] = (first[1:] != first[:-1]) | (part[1:] != part[:-1])
             head = np.flatnonzero(new)[np.cumsum(new) - 1]
             same_document = rank[doc] == rank[doc[head]]
             # Of a window's occurrences in its smallest document all are sent: each may be a repeat.
+            rows = []
             known = np.flatnonzero(~same_document)
-            rows: dict[str, list] = {"part": [], "uids": [], "ranks": [], "bases": [], "sizes": [], "hashes": [], "offsets": []}
             if len(known):
-                by = known[np.lexsort((at[known], doc[known]))]
-                _append(rows, int(part[by[0]]), uid, rank, doc[by], at[by], None)
+                own = known[np.lexsort((at[known], doc[known]))]
+                rows.append((int(part[own[0]]), *segments(rank, uid, doc[own], at[own]), b""))
             left = np.flatnonzero(same_document)
             left = left[np.lexsort((at[left], doc[left], part[left]))]
-            cuts = np.flatnonzero(np.diff(part[left])) + 1
-            for own in np.split(left, cuts):
-                _append(rows, int(part[own[0]]), uid, rank, doc[own], at[own], first[own])
-                if len(rows["part"]) >= 512:
-                    yield _batch(rows)
-                    rows = {c: [] for c in rows}
-            if rows["part"]:
-                yield _batch(rows)
-
-    return docs.mapInArrow(run, _SCHEMA)
-
-
-_SCHEMA = "part int, uids binary, ranks binary, bases binary, sizes binary, hashes binary, offsets binary"
-
-
-def _append(rows: dict, part: int, uid, rank, doc, at, hashes) -> None:
-    segment = at // SEGMENT
-    cut = np.flatnonzero((doc[1:] != doc[:-1]) | (segment[1:] != segment[:-1])) + 1
-    first = np.concatenate(([0], cut))
-    rows["part"].append(part)
-    rows["uids"].append(_packed("<i8", uid[doc[first]]))
-    rows["ranks"].append(_packed("<i8", rank[doc[first]]))
-    rows["bases"].append(_packed("<i4", segment[first]))
-    rows["sizes"].append(_packed("<i4", np.diff(np.concatenate((first, [len(doc)])))))
-    rows["hashes"].append(b"" if hashes is None else _packed("<u8", hashes))
-    rows["offsets"].append(_planes(at - segment * SEGMENT))
-
-
-def _planes(offsets: np.ndarray) -> bytes:
-    """Low bytes, then high bytes: the latter hardly change along a document and compress well."""
-    return offsets.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
-
-
-def _unplanes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(2, -1).T).view("<u2").reshape(-1)
+            for own in np.split(left, np.flatnonzero(np.diff(part[left])) + 1):
+                rows.append((int(part[own[0]]), *segments(rank, uid, doc[own], at[own]), first[own].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i else pa.int32()) for i, c in enumerate(zip(*rows))], names)
 
+    return docs.mapInArrow(run, _ROW)
 
-def _batch(rows: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(rows["part"], pa.int32())] + [pa.array(rows[c], pa.binary()) for c in list(rows)[1:]],
-                                      list(rows))
 
-
-ANSWER = "rank long, uid long, base int, offsets binary"
-
-
-def _repeats(sent: DataFrame) -> DataFrame:
+def _repeats(sent: DataFrame, parts: int) -> DataFrame:
     """The windows that are repeats; the rows of one range meet in one task."""
     def found(rows: pa.Table) -> pa.Table:
-        given = pa.array([len(x) > 0 for x in rows.column("hashes").to_pylist()], pa.bool_())
+        given = pc.greater(pc.binary_length(rows.column("hashes")), 0)
         known, rows = rows.filter(pc.invert(given)), rows.filter(given)
-        sizes, uids, ranks, bases = (_column(rows, c, kind) for c, kind in _KEYS)
-        hashes, offsets = _column(rows, "hashes", "<u8"), _offsets(rows)
-        segment = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        order = np.argsort(hashes, kind="stable")
+        x, hashes = Segments(rows), column(rows, "hashes", "<u8")
+        del rows
+        order = np.argsort(hashes)
         h = hashes[order]
-        del hashes
-        new = np.ones(len(h), bool)
-        new[1:] = h[1:] != h[:-1]
-        first = np.flatnonzero(new)
-        own = ranks[segment[order]]
-        least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.concatenate((first, [len(h)])))) if len(h) else own
-        hit = np.zeros(len(h), bool)
-        hit[order] = own > least
-        out = [_answers(segment[hit], ranks, uids, bases, offsets[hit])]
-        if known.num_rows:
-            sizes, uids, ranks, bases = (_column(known, c, kind) for c, kind in _KEYS)
-            out.append(_answers(np.repeat(np.arange(len(sizes)), sizes), ranks, uids, bases, _offsets(known)))
-        return pa.concat_tables(out)
-
-    return sent.groupBy("part").applyInArrow(found, ANSWER)
-
-
-_KEYS = (("sizes", "<i4"), ("uids", "<i8"), ("ranks", "<i8"), ("bases", "<i4"))
-
-
-def _column(rows: pa.Table, name: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
-
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.empty(0, np.int64)
+        del hashes, h
+        number = np.unique(x.rank, return_inverse=True)[1].astype(np.int32)  # of each segment's document, in order
+        own = number[x.segment[order]]
+        least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.concatenate((first, [len(own)])))) if len(own) else own
+        hit = np.zeros(len(own), bool)
+        hit[order[own > least]] = True
+        del order, own, least
+        return replies([_entries(x, hit)] + ([_entries(Segments(known), None)] if known.num_rows else []), parts)
 
-def _offsets(rows: pa.Table) -> np.ndarray:
-    parts = [_unplanes(x) for x in rows.column("offsets").to_pylist()]
-    return np.concatenate(parts) if parts else np.empty(0, "<u2")
+    return sent.groupBy("part").applyInArrow(found, REPLY)
 
 
-def _answers(segment, ranks, uids, bases, offsets) -> pa.Table:
-    cut = np.flatnonzero(np.diff(segment)) + 1
-    first = np.concatenate(([0], cut)) if len(segment) else np.empty(0, np.int64)
-    ends = np.concatenate((cut, [len(segment)])) if len(segment) else first
-    own = segment[first]
-    return pa.table({"rank": pa.array(ranks[own], pa.int64()), "uid": pa.array(uids[own], pa.int64()),
-                     "base": pa.array(bases[own], pa.int32()),
-                     "offsets": pa.array([offsets[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())})
+def _entries(x: Segments, chosen: np.ndarray | None) -> tuple:
+    segment, offset = (x.segment, x.offset) if chosen is None else (x.segment[chosen], x.offset[chosen])
+    start = x.base[segment].astype(np.int64) * SEGMENT + offset
+    return 0, x.rank[segment], x.uid[segment], start, np.ones(len(start), np.int64)
 
 
 def _removed(docs: DataFrame, k: int, with_text: bool) -> DataFrame:
-    """Rows (doc, text, hits: the answers of the document) to the results."""
+    """Rows (doc, text, starts, counts: the document's runs of repeats) to the results."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, 1, CHUNK_BYTES):
             words = Words(texts, lower=False)
             drop = np.zeros(len(words.starts) + k + 1, np.int32)
-            for i, hits in enumerate(batch.column(2)):
-                for one in hits.as_py() or ():
-                    at = np.frombuffer(one["offsets"], "<u2").astype(np.int64) + one["base"] * SEGMENT + words.offsets[i]
-                    np.add.at(drop, at, 1)
-                    np.add.at(drop, at + k, -1)
+            for i, (starts, counts) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                start, count = opened(starts, counts)
+                np.add.at(drop, start + words.offsets[i], 1)
+                np.add.at(drop, start + count + (k - 1) + words.offsets[i], -1)
             gone = np.cumsum(drop[:len(words.starts)]) > 0
             kept, n_removed, spans = [], [], []
             data = words.data.tobytes()
@@ -216,15 +156,12 @@ def _removed(docs: DataFrame, k: int, with_text: bool) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    with_text: bool = False, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """n_words, n_removed and kept_sha256 of every row; with ``with_text`` also the kept words and the
-    removed intervals of word positions. Ids are integers."""
-    # A row is named by its id and its text's hash; rows equal in both get equal answers.
-    rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(text_col, F.lit("")).alias("text")).select(
-        F.coalesce(F.col("doc").cast("long"), F.lit(LAST)).alias("rank"), F.xxhash64("text").alias("uid"), "text", "doc")
+    removed intervals of word positions. Ids are integers. Rows equal in id and text get equal answers."""
+    rows = named(docs, id_col, text_col, F.col(id_col).alias("doc"))
     size = rows.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
     parts = max(1, -(-int(size) // range_bytes))
-    hits = (_repeats(_sent(rows.select("rank", "uid", "text"), window, parts, chunk_bytes))
-            .groupBy("rank", "uid").agg(F.collect_list(F.struct("base", "offsets")).alias("hits")))  # of one text
-    marked = rows.join(hits, ["rank", "uid"], "left").select("doc", "text", "hits")
+    runs = gathered(_repeats(_sent(rows.select("rank", "uid", "text"), window, parts, chunk_bytes), parts)).drop("kind")
+    marked = rows.join(runs, ["rank", "uid"], "left").select("doc", "text", "starts", "counts")
     return _removed(marked, window, with_text).withColumnRenamed("doc", id_col)
 
 
