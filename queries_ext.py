@@ -434,6 +434,24 @@ def o_list_orders_page() -> str:
                                   ORDERS_PAGE["page"], ORDERS_PAGE["page_size"]), ["raw_orders"])
 
 
+KEYSET = {"after": 700, "page": 4, "page_size": 100}
+
+
+def q_list_orders_after(spark, sf_dir):
+    """L0 by key: the page that follows an order, without an offset."""
+    p = listing.list_page(fx.raw_feed(spark, sf_dir, "orders"), "orders", {"status": "Delivered"}, **KEYSET)
+    return p.with_envelope()
+
+
+def o_list_orders_after() -> str:
+    size, page = KEYSET["page_size"], KEYSET["page"]
+    n = "(SELECT count(*) FROM raw_orders WHERE status = 'Delivered')"
+    pages = f"greatest(1, CAST(ceil({n} / {size}) AS INTEGER))"
+    return O.with_views(f"""SELECT *, CAST({page} AS INTEGER) AS page, CAST({size} AS INTEGER) AS page_size, {n} AS total_count,
+        {pages} AS total_pages, {page} < {pages} AS has_next, true AS has_previous
+        FROM (SELECT * FROM raw_orders WHERE status = 'Delivered' AND id > {KEYSET['after']} ORDER BY id LIMIT {size})""", ["raw_orders"])
+
+
 def q_list_daily_performance_page(spark, sf_dir):
     p = listing.list_page(fx.raw_feed(spark, sf_dir, "daily_performance"), "daily_performance",
                           {"date_from": "1995-01-01", "date_to": "1995-12-31", "ad_id": None}, page=2, page_size=200)
@@ -788,6 +806,7 @@ def registry() -> dict:
         "merge_schema_evolution": (q_merge_schema_evolution, o_merge_schema_evolution()),
         "product_snapshot": (q_product_snapshot, o_product_snapshot()),
         "list_orders_page": (q_list_orders_page, o_list_orders_page()),
+        "list_orders_after": (q_list_orders_after, o_list_orders_after()),
         "list_daily_performance_page": (q_list_daily_performance_page, o_list_daily_performance_page()),
         "list_movements_page": (q_list_movements_page, o_list_movements_page()),
         "get_order_by_id": (q_get_order_by_id, o_get_order_by_id()),

@@ -48,3 +48,16 @@ def test_bounds(orders):
 def test_get_by_id(orders):
     assert get_by_id(orders, 7).count() == 1
     assert get_by_id(orders, 9999).count() == 0
+
+
+def test_keyset_pages_cover_the_feed(spark):
+    from tillroll.operators import listing
+    df = spark.range(95).selectExpr("id", "id % 3 AS customer_id")
+    seen, last = [], -1
+    while True:
+        rows = [r.id for r in listing.list_page(df, "orders", {"customer_id": 1}, page_size=10, after=last).data.collect()]
+        if not rows:
+            break
+        seen += rows
+        last = rows[-1]
+    assert seen == [i for i in range(95) if i % 3 == 1]

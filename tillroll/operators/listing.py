@@ -2,7 +2,8 @@
 
 ``list_page`` = optional filters -> total count -> ``orderBy(id).offset(o).limit(n)``. Spark
 plans the page as a top-(o+n) per partition followed by a merge (TakeOrderedAndProject with an
-offset), so a shallow page never sorts the whole table.
+offset), so a shallow page never sorts the whole table. A deep page costs its offset; a caller that
+goes through all pages passes the last key it has (``after``) and each page costs its own size.
 """
 
 from __future__ import annotations
@@ -104,12 +105,16 @@ def check_paging(page: int, page_size: int) -> None:
 
 
 def list_page(df: DataFrame, feed: str, params: dict | None = None, page: int = 1, page_size: int = 100,
-              updated_since=None, order_by: str = "id") -> Page:
-    """L0: one page of the filtered feed ordered by ``id`` and its totals."""
+              updated_since=None, order_by: str = "id", after=None) -> Page:
+    """L0: one page of the filtered feed ordered by ``id`` and its totals. With ``after`` the rows are
+    those that follow that key, whatever ``page`` says (it is only echoed)."""
     check_paging(page, page_size)
     filtered = apply_filters(df, feed, params or {}, updated_since)
     total = filtered.count()
-    data = filtered.orderBy(order_by).offset((page - 1) * page_size).limit(page_size)
+    if after is not None:
+        data = filtered.filter(F.col(order_by) > F.lit(after)).orderBy(order_by).limit(page_size)
+    else:
+        data = filtered.orderBy(order_by).offset((page - 1) * page_size).limit(page_size)
     return Page(data, page, page_size, int(total))
 
 
