@@ -5,13 +5,12 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.session import ensure_checkpoint_dir
 
-WHITE = " \t\n\x0b\f\r"
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -124,7 +123,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2**64; kept for the process."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        have = np.full(max(n, 1 << 20), base, np.uint64)
+        have = np.full(max(n, 1 << 18), base, np.uint64)
         have[0] = 1
         have = _POWERS[base] = np.cumprod(have, dtype=np.uint64)
     return have[:n]
@@ -168,6 +167,26 @@ class Words:
         self.offsets = np.concatenate(([0], upto))
 
 
+def _trimmer():
+    import ctypes
+
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return None
+
+
+_TRIM = _trimmer()
+
+
+def release() -> None:
+    """Give freed memory back to the system. A Python worker lives on between tasks, and what its
+    allocators keep for later counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def chunks(batches, column: int, size: int):
     """(record batch slice, its texts as bytes, null as empty) of about ``size`` bytes each; a
     longer text comes alone."""
@@ -184,3 +203,5 @@ def chunks(batches, column: int, size: int):
                 total += len(text)
                 at += 1
             yield batch.slice(first, at - first), part
+            del part
+            release()
