@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, fold, mix64, read, stored
+from .common import Words, chunks, fold, mix64, read, release, stored
 from .packed import LAST, column, named, planes, unplanes
 
 FOLDS, HELD_OUT = 10, 0
@@ -337,6 +337,7 @@ def _sums(parts: int):
             known = np.bincount(text, times * (c > 0), n).astype(np.int64)
             none = np.zeros(n, np.int64)
             out.append((rank, uid, np.vstack((none, none, known)), np.vstack((logs, logs))))
+        release()
         return _by_reply(out, parts)
     return sums
 

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Rolling, Words, chunks, ranges, read
+from .common import Rolling, Words, chunks, ranges, read, release
 from .packed import REPLY, SEGMENT, SEGMENTS, Segments, column, gathered, named, opened, replies, segments
 
 WINDOW = 13
@@ -104,6 +104,7 @@ def _repeats(sent: DataFrame, parts: int) -> DataFrame:
         hit = np.zeros(len(own), bool)
         hit[order[own > least]] = True
         del order, own, least
+        release()
         return replies([_entries(x, hit)] + ([_entries(Segments(known), None)] if known.num_rows else []), parts)
 
     return sent.groupBy("part").applyInArrow(found, REPLY)

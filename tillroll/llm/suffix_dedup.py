@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Rolling, chunks, mix64, ranges, read, stored
+from .common import Rolling, chunks, mix64, ranges, read, release, stored
 from .packed import REPLY, SEGMENT, SEGMENTS, Segments, column, gathered, named, opened, positions, replies, segments
 
 LENGTH, KEY, GRAM = 100, 48, 8
@@ -216,6 +216,7 @@ def _parsed(phrases: DataFrame, parts: int) -> DataFrame:
         many = np.bincount(group)[group] > 1 if len(entries) else np.empty(0, bool)
         many |= np.isin(key[entries], key[marked])
         out.append(x.answers(COMPARE, entries[many]))
+        release()
         return replies(out, parts)
 
     return phrases.groupBy("part").applyInArrow(found, REPLY)
@@ -255,6 +256,7 @@ def _sorted(strings: DataFrame, parts: int) -> DataFrame:
         first = _heads(order, a, b)
         lead = order[np.flatnonzero(first)[np.cumsum(first) - 1]] if len(order) else order
         out.append(x.answers(REPEATED, order[~first & (place[order] != place[lead])]))
+        release()
         return replies(out, parts)
 
     return strings.groupBy("part").applyInArrow(found, REPLY)
