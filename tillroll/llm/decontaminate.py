@@ -134,9 +134,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **columns: str) -> Data
 def clean_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, unchanged, that are not contaminated."""
     bad = decontaminate(docs, benchmark, id_col=id_col, text_col=text_col).where("contaminated").select(
-        F.col(id_col).alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+        F.col(id_col).alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct()
     own = F.coalesce(F.xxhash64(text_col), F.lit(0))
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("bad_id")) & (own == F.col("bad_hash")), "left_anti")
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad_id")) & (own == F.col("__bad_hash")), "left_anti")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

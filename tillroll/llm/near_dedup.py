@@ -211,8 +211,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, unchanged, of one document of each group."""
     kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(
-        F.col(id_col).alias("near_id"), F.col("text_hash").alias("near_hash")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("near_id")) & (_text_hash(text_col) == F.col("near_hash")), "left_semi")
+        F.col(id_col).alias("__near_id"), F.col("text_hash").alias("__near_hash")).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__near_id")) & (_text_hash(text_col) == F.col("__near_hash")), "left_semi")
 
 
 def _alike(n: str, m: str, threshold: tuple[int, int]) -> Column:

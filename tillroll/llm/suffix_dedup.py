@@ -315,9 +315,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def cut_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = None) -> DataFrame:
     """The rows of ``docs`` with what is left of their texts (null stays null) and, in ``chars_col``, its
     number of characters; all other columns as they were."""
-    others = F.struct(*[c for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("_empty"))
+    others = F.struct(*[c for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("__null_text"))
     out = _results(docs, id_col, text_col, others, True, CHUNK_BYTES, RANGE_BYTES)
-    text = F.when(~F.col("doc._empty"), F.col("kept_text"))
+    text = F.when(~F.col("doc.__null_text"), F.col("kept_text"))
     cols = {c: F.col(f"doc.`{c}`") for c in docs.columns if c != text_col} | {text_col: text}
     if chars_col:
         cols[chars_col] = F.char_length(text).cast(docs.schema[chars_col].dataType)
