@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ranges, read
+from .common import ranges, read, release
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Pre-tokenizer pattern of byte-level BPE (fixed value). White space is spelled out because
@@ -249,6 +249,14 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _tables(sent.value)
+        try:
+            yield from encode(bpe, batches)
+        finally:  # the worker may go on to other tasks: keep the tables, not what was learned on the way
+            for table in (bpe.words, bpe.pieces, bpe.fits):
+                table.clear()
+            release()
+
+    def encode(bpe: Bpe, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
             at = 0

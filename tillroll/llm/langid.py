@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, read, stored
+from .common import fold, read, release, stored
 
 SYMBOLS = 40
 ORDER = 3
@@ -46,7 +46,7 @@ LANGUAGES = 64
 FOLDS, HELD_OUT = 4, 2
 #: Bytes of a block, and the most bits that one block can say against a language.
 BLOCK, MOST = 48, 16.0
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[:128] = 32  # white space, digits and punctuation: all are one separator
@@ -190,7 +190,8 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry:
     carry = [c for c in (docs.columns if carry is None else carry) if c not in ("lang_pred", "score")]
     known = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     row = F.struct(*carry).alias("row")
-    cols = docs.select(row, F.when(known, F.encode(F.col(text_col), "UTF-8")).alias("t"))
+    # The text goes to the workers once: within the row if it is carried, else beside it.
+    cols = docs.select(row, known.alias("known"), *([] if text_col in carry else [F.when(known, F.col(text_col)).alias("t")]))
     if model is None:
         return cols.select("row.*", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.classes, model.cost))
@@ -198,12 +199,12 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*sent.value)
         for batch in batches:
-            texts = batch.column(1)
+            known, texts = batch.column(1), batch.column(0).field(text_col) if text_col in carry else batch.column(2)
             at = 0
             while at < batch.num_rows:
                 part, size, first = [], 0, at
                 while at < batch.num_rows and (not part or size < CHUNK):
-                    text = texts[at].as_py()
+                    text = texts[at].as_py().encode() if known[at].as_py() else None
                     part.append(text)
                     size += len(text or b"")
                     at += 1
@@ -219,6 +220,8 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry:
                     [batch.column(0).slice(first, at - first),
                      pa.array([next(names) if t else "und" for t in part], pa.string()),
                      pa.array([next(scores) if t else 0.0 for t in part], pa.float64())], ["row", "lang_pred", "score"])
+                del part, have
+                release()
 
     schema = T.StructType([cols.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return cols.mapInArrow(run, schema).select("row.*", "lang_pred", "score")
