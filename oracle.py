@@ -72,9 +72,10 @@ FEEDS: dict[str, tuple[list[str], str]] = {}
 _UNIT = m("l_extendedprice")
 _DISC = m(f"{_UNIT} * {m('l_discount')}")
 FEEDS["raw_order_items"] = ([], f"""
-  SELECT (l_orderkey * (SELECT max(l_linenumber) + 1 FROM lineitem) + l_linenumber)
-           * (SELECT max(n) + 1 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber))
-           + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LINE_ORDER}) AS id,
+  SELECT (l_orderkey * (SELECT CAST(pow(10, length(CAST(max(n) AS VARCHAR))) AS BIGINT)
+                        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber))
+          + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LINE_ORDER}))
+           * (SELECT CAST(pow(10, length(CAST(max(l_linenumber) AS VARCHAR))) AS BIGINT) FROM lineitem) + l_linenumber AS id,
          l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
          {m('l_extendedprice')} AS unit_price,
          {_DISC} AS discount_amount, {m(f"{_UNIT} - {_DISC}")} AS total_price,

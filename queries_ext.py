@@ -74,19 +74,19 @@ def o_raw_suite(loaded: bool = False) -> str:
                      f"CAST(count(*) AS BIGINT) AS observed, count(*) > 0 AS passed FROM raw_{t}")
         parts.append(f"SELECT '2_schema', 'data_columns', '{t}', CAST({O.RAW_DATA_COLUMNS[t]} AS BIGINT), {str(loaded).lower()}")
         for c in columns.split():
-            parts.append(f"SELECT '3_not_null', 'null_{c}', '{t}', CAST(count_if({c} IS NULL) AS BIGINT), "
-                         f"count_if({c} IS NULL) = 0 FROM raw_{t}")
+            parts.append(f"SELECT '3_not_null', 'null_{c}', '{t}', CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT), "
+                         f"count(*) FILTER (WHERE {c} IS NULL) = 0 FROM raw_{t}")
     for x in O.RAW_FOREIGN_KEYS:
         (child, ccol), (parent, pcol) = (y.split(".") for y in x.split(" -> "))
         n = (f"(SELECT count(*) FROM raw_{child} c WHERE NOT EXISTS "
              f"(SELECT 1 FROM raw_{parent} p WHERE p.{pcol} = c.{ccol}))")
         parts.append(f"SELECT '4_foreign_keys', '{child}.{ccol}->{parent}.{pcol}', '{child}', CAST({n} AS BIGINT), {n} = 0")
     spot = [
-        ("orders_positive_totals", "orders", "SELECT count_if(total_amount < 0) FROM raw_orders"),
-        ("products_price_gt_cost", "products", "SELECT count_if(cost_price >= price) FROM raw_products"),
-        ("products_positive_prices", "products", "SELECT count_if(price <= 0) FROM raw_products"),
-        ("orders_valid_statuses", "orders", f"SELECT count_if(status NOT IN ({O.ORDER_STATUSES})) FROM raw_orders"),
-        ("payments_valid_statuses", "payments", f"SELECT count_if(payment_status NOT IN ({O.PAYMENT_STATUSES})) FROM raw_payments"),
+        ("orders_positive_totals", "orders", "SELECT count(*) FILTER (WHERE total_amount < 0) FROM raw_orders"),
+        ("products_price_gt_cost", "products", "SELECT count(*) FILTER (WHERE cost_price >= price) FROM raw_products"),
+        ("products_positive_prices", "products", "SELECT count(*) FILTER (WHERE price <= 0) FROM raw_products"),
+        ("orders_valid_statuses", "orders", f"SELECT count(*) FILTER (WHERE status NOT IN ({O.ORDER_STATUSES})) FROM raw_orders"),
+        ("payments_valid_statuses", "payments", f"SELECT count(*) FILTER (WHERE payment_status NOT IN ({O.PAYMENT_STATUSES})) FROM raw_payments"),
         ("every_order_has_items", "orders", "SELECT count(*) FROM raw_orders o WHERE NOT EXISTS "
                                             "(SELECT 1 FROM raw_order_items i WHERE i.order_id = o.id)"),
         ("every_order_has_payment", "orders", "SELECT count(*) FROM raw_orders o WHERE NOT EXISTS "

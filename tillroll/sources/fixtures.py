@@ -82,11 +82,12 @@ class DriverTables:
 
     @cached_property
     def line_widths(self) -> tuple[int, int]:
-        """(largest line number, most rows of one order and line number), each plus one: the widths of
-        the two lower places of an order item's id. One aggregate; one row reaches the driver."""
+        """Powers of ten above the largest line number and above the most rows of one order and line
+        number: the widths of the two lower places of an order item's id. One aggregate; one row
+        reaches the driver."""
         per_line = self.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
         row = per_line.agg(F.max("l_linenumber"), F.max("n")).first()
-        return int(row[0] or 0) + 1, int(row[1] or 0) + 1
+        return 10 ** len(str(row[0] or 0)), 10 ** len(str(row[1] or 0))
 
 
 # --------------------------------------------------------------------------- commerce
@@ -100,7 +101,7 @@ def order_items(t: DriverTables) -> DataFrame:
     disc = m(price * m("l_discount"))
     ts = F.col("l_shipdate").cast("timestamp")
     return li.select(
-        ((F.col("l_orderkey") * lines + F.col("l_linenumber")) * repeats + F.row_number().over(w)).alias("id"),
+        ((F.col("l_orderkey") * repeats + F.row_number().over(w)) * lines + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
