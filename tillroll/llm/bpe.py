@@ -137,20 +137,22 @@ class Bpe:
             return [one]
         matches = list(self.automaton.iter_long(word))
         compatible, fits, last = self.compatible, self.fits, -1
-        for _, t in matches:
+        for n, (_, t) in enumerate(matches):
             if last >= 0 and not (fits.get((last, t)) or compatible(last, t)):
-                return self.backtrack(word, matches)
+                return self.backtrack(word, matches, n)
             last = t
         return [t for _, t in matches]
 
-    def backtrack(self, word: str, matches: list[tuple[int, int]]) -> list[int]:
+    def backtrack(self, word: str, matches: list[tuple[int, int]], good: int = 0) -> list[int]:
+        """Tokens of ``word``; the first ``good`` of the automaton's matches are known to fit together."""
         n, texts, fits, ids = len(word), self.texts, self.fits, self.ids
         longest = {}  # position -> longest token there; the automaton has given those of its own path
         for end, t in matches:
             longest[end + 1 - len(texts[t])] = t
         usable = bytearray(b"\x01") * (n + 1)
-        out: list[int] = []
-        at, token = 0, longest[0]
+        out = [t for _, t in matches[:good]]
+        at = matches[good - 1][0] + 1 if good else 0
+        token = longest[at]
         while at < n:
             while True:
                 end = at + len(texts[token])
