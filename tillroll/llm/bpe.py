@@ -35,7 +35,7 @@ PATTERN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p
 #: A run without white space and the one space before it, or white space: the pattern cuts each
 #: of these by itself, so they can be looked up whole.
 CHUNKS = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: Entries of each of a worker's two look-up tables, which start anew beyond that.
+#: Entries of each of a task's two look-up tables, which start anew beyond that.
 CACHE_WORDS = 500_000
 MAX_WORD = 64
 PIECE_BYTES = 8 << 20
@@ -229,17 +229,6 @@ def _table(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size, size
 
 
-_LOADED: dict[int, Bpe] = {}
-
-
-def _tables(vocabulary: str) -> Bpe:
-    """One set of tables for each worker process."""
-    key = hash(vocabulary)
-    if key not in _LOADED:
-        _LOADED[key] = Bpe(vocabulary)
-    return _LOADED[key]
-
-
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
                      with_ids: bool = False, with_text: bool = False) -> DataFrame:
     """One row per document: id, n_tokens, ids_sha256, decoded_sha256, and on demand token_ids and
@@ -250,13 +239,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     id_type = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _tables(sent.value)
-        try:
-            yield from encode(bpe, batches)
-        finally:  # the worker may go on to other tasks: keep the tables, not what was learned on the way
-            for table in (bpe.words, bpe.pieces, bpe.fits):
-                table.clear()
-            release()
+        # Tables are built for each task (a third of a second), not kept: the worker goes on to other
+        # tasks and stages, and what it holds counts against its executor.
+        yield from encode(Bpe(sent.value), batches)
+        release()
 
     def encode(bpe: Bpe, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
