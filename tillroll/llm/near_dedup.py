@@ -37,16 +37,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, mix64, ranges, read, stored
+from .common import Words, chunks, mix64, ranges, read, release, stored
 from .components import components
 
 COORDINATES, BANDS = 128, 32
 ROWS = COORDINATES // BANDS
 SHINGLE, THRESHOLD = 5, (80, 100)
 AGREE = 0.6
-#: Size of the table of element frequencies.
-COUNTERS = 1 << 20
-CHUNK = 2 << 20
+#: Size of the table of element frequencies, and the sets ordered at once.
+COUNTERS, SETS = 1 << 20, 500
+CHUNK = 1 << 20
 
 _ROUND_KEYS = np.random.Generator(np.random.PCG64(7)).integers(0, 2 ** 63, 2 * COORDINATES, dtype=np.uint64)
 
@@ -178,6 +178,7 @@ def _verified(pairs: DataFrame, threshold: tuple[int, int]) -> DataFrame:
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(whole * common >= part * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            release()
 
     return pairs.mapInArrow(run, "u binary, v binary")
 
@@ -273,8 +274,9 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, threshold: tuple[int, int])
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for blob in batch.column(0):
-                total += np.bincount((_values(blob.as_py()) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            for at in range(0, batch.num_rows, SETS):
+                h = _values(b"".join(batch.column(0).slice(at, SETS).to_pylist()))
+                total += np.bincount((h % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         for i, at in enumerate(range(0, COUNTERS, 1 << 16)):
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([total[at:at + (1 << 16)].tobytes()], pa.binary())],
                                              ["block", "n"])
@@ -288,17 +290,24 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, threshold: tuple[int, int])
     sent = spark.sparkContext.broadcast(frequent)
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = sent.value
         for batch in batches:
-            cols = [[] for _ in range(6)]
-            for c, label, size, blob in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                h = _values(blob)
-                n = len(h)
-                keep = n - -(-part * n // whole) + 1
-                order = np.lexsort((h, sent.value[(h % np.uint64(COUNTERS)).astype(np.int64)]))[:keep]
-                for col, value in zip(cols, ([c] * keep, [label] * keep, [size] * keep, [n] * keep, h[order].astype(np.int64), range(keep))):
-                    col.extend(value)
-            kinds = [pa.binary(), pa.binary()] + [pa.int64()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds)], ["c", "label", "size", "n", "h", "at"])
+            for first in range(0, batch.num_rows, SETS):
+                some = batch.slice(first, SETS)
+                sizes, kept = [], []
+                for blob in some.column(3):
+                    h = _values(blob.as_py())
+                    n = len(h)
+                    order = np.lexsort((h, frequent[(h % np.uint64(COUNTERS)).astype(np.int64)]))
+                    kept.append(h[order[:n - -(-part * n // whole) + 1]])
+                    sizes.append(n)
+                keep = np.array([len(k) for k in kept], np.int64)
+                row = pa.array(np.repeat(np.arange(len(kept)), keep))
+                yield pa.RecordBatch.from_arrays(
+                    [*(some.column(i).take(row) for i in range(3)), pa.array(np.repeat(np.array(sizes, np.int64), keep)),
+                     pa.array(np.concatenate(kept).astype(np.int64)), pa.array(ranges(np.zeros(len(keep), np.int64), keep))],
+                    ["c", "label", "size", "n", "h", "at"])
+            release()
 
     rows = stored(own.mapInArrow(prefix, "c binary, label binary, size long, n long, h long, at long"), "near-prefix")
     main = (rows.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max(F.struct("size", "label")).alias("main"))
