@@ -36,7 +36,7 @@ PATTERN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p
 #: of these by itself, so they can be looked up whole.
 CHUNKS = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 #: Entries of each of a task's two look-up tables, which start anew beyond that.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 MAX_WORD = 64
 PIECE_BYTES = 8 << 20
 
@@ -200,7 +200,9 @@ class Bpe:
         pieces, found = self.pieces, []
         if len(pieces) > CACHE_WORDS:
             pieces.clear()
-        for p in self.find(chunk):
+        word = chunk[1:] if chunk[0] == " " else chunk
+        # Letters of ASCII are one piece whatever the pattern's other branches say.
+        for p in (chunk,) if word.isascii() and word.isalpha() else self.find(chunk):
             got = pieces.get(p)
             if got is None:
                 got = self.encode_piece(p)
