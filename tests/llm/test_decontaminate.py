@@ -7,7 +7,7 @@ import sys
 from tillroll.llm import decontaminate as D
 
 sys.path.insert(0, os.path.dirname(__file__))
-from oracle import same  # noqa: E402
+from duck_rows import same  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 

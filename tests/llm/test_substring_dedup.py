@@ -8,7 +8,7 @@ from tillroll.llm import substring_dedup as S
 from tillroll.llm.packed import LAST
 
 sys.path.insert(0, os.path.dirname(__file__))
-from oracle import same  # noqa: E402
+from duck_rows import same  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
