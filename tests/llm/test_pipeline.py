@@ -26,7 +26,8 @@ def staged(spark):
         docs = stage(spark, docs, SF)
         docs.cache()
         out.append((before, docs))
-    return out
+    yield out
+    spark.catalog.clearCache()
 
 
 def test_stages_return_the_columns_of_documents(staged):
