@@ -74,3 +74,40 @@ def test_nothing_to_learn_from_and_empty_table(rows):
     check(got, data)
     assert all(np.isfinite(r.score) for r in got)
     assert L.score_documents(rows([], "doc_id long, text string")).count() == 0
+
+
+def test_every_training_text_is_learned_from(rows, monkeypatch):
+    df = rows([(i, f"w{i % 50} v{i % 50}") for i in range(9000)], "doc_id long, text string")
+    learned, train = [], L.train
+    monkeypatch.setattr(L, "train", lambda texts, *rest: (learned.append(texts.count()), train(texts, *rest))[1])
+    L.score_documents(df).count()
+    assert learned == [sum(zlib.crc32(str(i).encode()) % 10 != 0 for i in range(9000))]
+
+
+def test_model_grows_and_rare_words_depend_on_their_history():
+    small, large = (L.Frame(n, 0, []) for n in (10**4, 10**10))
+    assert large.word_rows > small.word_rows and large.class_rows > small.class_rows
+    assert L.sized(10**10, L.LEAVES_ROOT, L.LEAVES) > L.sized(10**4, L.LEAVES_ROOT, L.LEAVES)
+    text = " ".join(f"a{i} b{i}" for i in range(300)).encode()
+    stream, sizes = L.tokens([text] * 10)
+    words, counts = np.unique(stream, return_counts=True)
+    leaves = np.zeros((2, 4096), np.int64)
+    np.add.at(leaves[0], L.leaf_of(words, 4096), counts)
+    np.add.at(leaves[1], L.leaf_of(words, 4096), 1)
+    frame = L.Frame(int(counts.sum()), len(words), [(int(L.END.astype(np.int64)), 10)], leaves)
+    assert (10 ** frame.leaf_logs).sum() == pytest.approx(frame.rare_mass)
+    model, ids, features = L.Model(frame), frame.ids(stream), L.Model.history(stream, sizes)
+    rare = ids >= L.TOP
+    before = model.log_probabilities(ids, features)
+    # Without weights a leaf and the share in it are the base model.
+    at = words.searchsorted(stream)
+    base = np.log((counts[at] + L.ALPHA) / (frame.total + L.ALPHA * (frame.distinct + 1)))
+    share = np.log(counts[at] + L.ALPHA) - np.log(10) * np.where(rare, frame.leaf_logs[np.where(rare, ids - L.TOP, 0)], 0)
+    assert (before + share)[rare] == pytest.approx(base[rare], rel=1e-4)
+    state = [np.zeros_like(model.classes), np.zeros_like(model.words)]
+    for _ in range(20):
+        model.learn(ids, features, state)
+    after = model.log_probabilities(ids, features)
+    assert after[rare].mean() > before[rare].mean() + 3
+    one = features[:, 5:6]
+    assert sum(np.exp(model.log_probabilities(np.array([i]), one))[0] for i in [0, *range(L.TOP, L.TOP + 4096)]) == pytest.approx(1, abs=1e-3)

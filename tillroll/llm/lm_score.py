@@ -5,16 +5,17 @@ chunk and exchange packed (word hash, count) arrays by hash range, so a frequent
 entry a chunk. The counts give the base score (add-0.1 unigrams) and the model's frame.
 
 Model: the TOP most frequent tokens (the end token among them) fall into classes of WIDTH by
-frequency; all others form one rare class. P(word | history) = P(class | history) * P(word |
-class, history); both are softmaxes over hashed features of the history: the word before (n-gram
-of 2), the two before (n-gram of 3) and the one before that (skip). Within the rare class words
-have their smoothed unigram share, unseen ones included, so the probabilities sum to one over
-all words. Weights start at zero, where the model equals the base model.
+frequency; all others form the rare class, a tree of WIDTH children a node whose leaves are chosen by
+the word's hash. P(word | history) = P(class | history) * P(word | class, history), and for rare words
+P(rare | history) * P(child | node, history) down to the leaf; all are softmaxes over hashed features
+of the history: the word before (n-gram of 2), the two before (n-gram of 3) and the one before that
+(skip). Within a leaf words have their smoothed unigram share, unseen ones included, so the
+probabilities sum to one over all words. Weights start at zero, where the model equals the base model.
+The leaves and the rows of the weight tables grow with the square root of the counted tokens.
 
 Training: distributed gradient updates. In each round every task makes AdaGrad steps over its share
-of a bounded sample of whole training texts (about TRAIN_DOCS, a parameter), starting from the
-same weights; the results are averaged, block of weights by block, in Spark. Only the weights of
-fixed size (11 MB) go to the driver and to the tasks. Counts cover all training texts.
+of all training texts, starting from the same weights; the results are averaged, block of weights by
+block, in Spark. Only weights and leaves go to the driver and to the tasks.
 
 Scoring: texts are scored in numpy batches. Rare words need their corpus counts, which don't fit in
 a task; each chunk sends its distinct rare words with the texts they occur in to the word's hash
@@ -43,9 +44,11 @@ FOLDS, HELD_OUT = 10, 0
 ALPHA = 0.1
 WIDTH, CLASSES = 32, 32
 TOP = WIDTH * CLASSES
-CLASS_ROWS, WORD_ROWS = 1 << 14, 1 << 16
-#: Texts of the training sample, its tasks and the rounds of updates.
-TRAIN_DOCS, TASKS, ROUNDS = 6000, 6, 2
+#: Least leaves of the rare class and rows of the two weight tables; and their number for each root of the tokens.
+LEAVES, CLASS_ROWS, WORD_ROWS = 1 << 10, 1 << 14, 1 << 16
+LEAVES_ROOT, CLASS_ROOT, WORD_ROOT = 1, 2, 8
+#: Bytes of training text of a task, the least tasks and the rounds of updates.
+TRAIN_BYTES, TASKS, ROUNDS = 128 << 20, 6, 2
 RATE, BATCH = 0.15, 2048
 CHUNK_BYTES, RANGE_BYTES = 2 << 20, 24 << 20
 BLOCK = 1 << 18  # weights of one block of the exchange
@@ -90,11 +93,22 @@ def count_words(rows: DataFrame, parts: int) -> DataFrame:
     return rows.select("text").mapInArrow(partial, kinds).groupBy("part").applyInArrow(total, kinds)
 
 
+def sized(total: int, root: int, least: int) -> int:
+    """A power of two, ``least`` or more, that grows with the square root of the tokens."""
+    return max(least, 1 << max(0, int(root * total ** 0.5) - 1).bit_length())
+
+
+def leaf_of(words: np.ndarray, leaves: int) -> np.ndarray:
+    return (mix64(words ^ _SALT[1]) % np.uint64(leaves)).astype(np.int64)
+
+
 class Frame:
-    """What the counts fix: totals, the top tokens with their classes, and the rare class's mass."""
+    """What the counts fix: totals, sizes, the top tokens with their classes, and the masses of the rare
+    class and its leaves. ``leaves``: counts and distinct words of every leaf over all words."""
 
-    def __init__(self, total: int, distinct: int, top: list[tuple[int, int]]):
+    def __init__(self, total: int, distinct: int, top: list[tuple[int, int]], leaves: np.ndarray | None = None):
         self.total, self.distinct = total, distinct
+        self.class_rows, self.word_rows = sized(total, CLASS_ROOT, CLASS_ROWS), sized(total, WORD_ROOT, WORD_ROWS)
         top = sorted(top, key=lambda x: (-x[1], x[0]))
         self.counts = np.array([c for _, c in top], np.int64)
         hashes = np.array([h for h, _ in top], np.int64).view(np.uint64)
@@ -109,17 +123,49 @@ class Frame:
             self.class_bias = np.log(mass / mass.sum()).astype(np.float32)
             words = np.full(TOP, -np.inf)
             words[:len(top)] = np.log(self.counts + ALPHA)
-        words = words.reshape(CLASSES, WIDTH)
-        full = np.where(np.isfinite(words), np.exp(words), 0).sum(axis=1, keepdims=True)
-        self.word_bias = np.where(full > 0, words - np.log(np.maximum(full, 1e-300)), -np.inf).astype(np.float32)
         self.logs = np.log10(self.counts + ALPHA)
+        # The rare class's leaves: counts without the top tokens, and a share of the mass of unseen words.
+        self.leaves = 1 if leaves is None else leaves.shape[1]
+        if leaves is None:
+            masses = np.array([self.rare_mass])
+        else:
+            leaves, own = leaves.copy(), leaf_of(hashes, self.leaves)
+            np.subtract.at(leaves[0], own, self.counts)
+            np.subtract.at(leaves[1], own, 1)
+            masses = leaves[0] + ALPHA * leaves[1] + ALPHA / self.leaves
+        self.leaf_logs = np.log10(masses)
+        # Nodes: the classes of top tokens, then the tree's levels from its root. (first node, bits below, children's bits).
+        self.levels, nodes, bits = [], [np.exp(words).reshape(CLASSES, WIDTH)], self.leaves.bit_length() - 1
+        first = CLASSES
+        while bits:
+            own = min(bits, WIDTH.bit_length() - 1)
+            bits -= own
+            below = masses.reshape(-1, 1 << own, 1 << bits).sum(axis=2)
+            self.levels.append((first, bits, own))
+            nodes.append(np.pad(below, ((0, 0), (0, WIDTH - below.shape[1]))))
+            first += len(below)
+        mass = np.concatenate(nodes)
+        with np.errstate(divide="ignore"):
+            self.word_bias = (np.log(mass) - np.log(np.maximum(mass.sum(axis=1, keepdims=True), 1e-300))).astype(np.float32)
 
     def ids(self, words: np.ndarray) -> np.ndarray:
-        """Rank among the top tokens; TOP for all others."""
+        """Rank among the top tokens; for all others TOP and the leaf."""
+        rare = TOP + leaf_of(words, self.leaves)
         if not len(self.sorted):
-            return np.full(len(words), TOP, np.int64)
+            return rare
         at = np.minimum(np.searchsorted(self.sorted, words), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == words, self.order[at], TOP)
+        return np.where(self.sorted[at] == words, self.order[at], rare)
+
+    def decisions(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The choices below the classes that lead to the tokens: place of the token, node and child."""
+        top, rare = np.flatnonzero(ids < TOP), np.flatnonzero(ids >= TOP)
+        at, node, child = [top], [ids[top] // WIDTH], [ids[top] % WIDTH]
+        leaf = ids[rare] - TOP
+        for first, bits, own in self.levels:
+            at.append(rare)
+            node.append(first + (leaf >> (bits + own)))
+            child.append((leaf >> bits) & ((1 << own) - 1))
+        return np.concatenate(at), np.concatenate(node), np.concatenate(child)
 
 
 def frame_of(counted: DataFrame) -> Frame:
@@ -139,7 +185,32 @@ def frame_of(counted: DataFrame) -> Frame:
     sums = found.agg(F.sum("total"), F.sum("distinct")).collect()[0]  # one row
     end = int(END.astype(np.int64))
     rows = found.orderBy((F.col("word") == end).desc(), F.col("c").desc(), "word").limit(TOP).collect()  # the model's vocabulary
-    return Frame(sums[0] or 0, sums[1] or 0, [(r["word"], r["c"]) for r in rows])
+    total = sums[0] or 0
+    return Frame(total, sums[1] or 0, [(r["word"], r["c"]) for r in rows], _leaves(counted, sized(total, LEAVES_ROOT, LEAVES)))
+
+
+def _leaves(counted: DataFrame, leaves: int) -> np.ndarray:
+    """Counts and distinct words of every leaf, added up block by block in Spark."""
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = np.zeros((2, leaves), np.int64)
+        for batch in batches:
+            for w, c in zip(batch.column(0), batch.column(1)):
+                own = leaf_of(np.frombuffer(w.as_py(), "<u8"), leaves)
+                both[0] += np.bincount(own, np.frombuffer(c.as_py(), "<i8"), leaves).astype(np.int64)
+                both[1] += np.bincount(own, minlength=leaves)
+        flat = both.reshape(-1)
+        for b, at in enumerate(range(0, len(flat), BLOCK)):
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([flat[at:at + BLOCK].tobytes()], pa.binary())], ["block", "n"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(x, np.int64) for x in table.column("n").to_pylist()], axis=0)
+        return pa.table({"block": table.column("block").slice(0, 1).cast(pa.int32()), "n": pa.array([total.tobytes()], pa.binary())})
+
+    kinds = "block int, n binary"
+    blocks = counted.select("words", "counts").mapInArrow(partial, kinds).groupBy("block").applyInArrow(add, kinds).collect()  # the leaves
+    if not blocks:
+        return np.zeros((2, leaves), np.int64)
+    return np.frombuffer(b"".join(bytes(r["n"]) for r in sorted(blocks, key=lambda r: r["block"])), np.int64).reshape(2, leaves)
 
 
 # ------------------------------------------------------------------ the model
@@ -148,8 +219,8 @@ def frame_of(counted: DataFrame) -> Frame:
 class Model:
     def __init__(self, frame: Frame, classes: np.ndarray | None = None, words: np.ndarray | None = None):
         self.frame = frame
-        self.classes = np.zeros((CLASS_ROWS, CLASSES + 1), np.float32) if classes is None else classes
-        self.words = np.zeros((WORD_ROWS, WIDTH), np.float32) if words is None else words
+        self.classes = np.zeros((frame.class_rows, CLASSES + 1), np.float32) if classes is None else classes
+        self.words = np.zeros((frame.word_rows, WIDTH), np.float32) if words is None else words
 
     @staticmethod
     def history(stream: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -168,35 +239,34 @@ class Model:
     def word_logits(self, rows: np.ndarray, own: np.ndarray) -> np.ndarray:
         return self.words[rows[0]] + self.words[rows[1]] + self.words[rows[2]] + self.frame.word_bias[own]
 
-    @staticmethod
-    def rows(features: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
+    def rows(self, features: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
         if own is None:
-            return (features % np.uint64(CLASS_ROWS)).astype(np.int64)
-        return (mix64(features + own.astype(np.uint64)) % np.uint64(WORD_ROWS)).astype(np.int64)
+            return (features % np.uint64(len(self.classes))).astype(np.int64)
+        return (mix64(features + own.astype(np.uint64)) % np.uint64(len(self.words))).astype(np.int64)
 
     def log_probabilities(self, ids: np.ndarray, features: np.ndarray) -> np.ndarray:
-        """Natural log of P(token | history); of rare tokens only that of their class."""
+        """Natural log of P(token | history); of rare tokens that of their leaf."""
         out = np.empty(len(ids), np.float64)
-        for at in range(0, len(ids), 1 << 15):
-            i, f = ids[at:at + (1 << 15)], features[:, at:at + (1 << 15)]
-            own = np.minimum(i // WIDTH, CLASSES)
-            out[at:at + len(i)] = _chosen(self.class_logits(self.rows(f)), own)
-            top = np.flatnonzero(own < CLASSES)
-            if len(top):
-                out[at + top] += _chosen(self.word_logits(self.rows(f[:, top], own[top]), own[top]), i[top] % WIDTH)
+        for at in range(0, len(ids), 1 << 13):
+            i, f = ids[at:at + (1 << 13)], features[:, at:at + (1 << 13)]
+            part = _chosen(self.class_logits(self.rows(f)), np.minimum(i // WIDTH, CLASSES))
+            place, node, child = self.frame.decisions(i)
+            if len(place):
+                below = _chosen(self.word_logits(self.rows(f[:, place], node), node), child)
+                part = part + np.bincount(place, below, len(i))
+            out[at:at + len(i)] = part
         return out
 
     def learn(self, ids: np.ndarray, features: np.ndarray, state: list[np.ndarray]) -> None:
         """AdaGrad steps over batches of tokens."""
         for at in range(0, len(ids), BATCH):
             i, f = ids[at:at + BATCH], features[:, at:at + BATCH]
-            own = np.minimum(i // WIDTH, CLASSES)
             rows = self.rows(f)
-            _step(self.classes, state[0], rows, _gradient(self.class_logits(rows), own))
-            top = np.flatnonzero(own < CLASSES)
-            if len(top):
-                rows = self.rows(f[:, top], own[top])
-                _step(self.words, state[1], rows, _gradient(self.word_logits(rows, own[top]), i[top] % WIDTH))
+            _step(self.classes, state[0], rows, _gradient(self.class_logits(rows), np.minimum(i // WIDTH, CLASSES)))
+            place, node, child = self.frame.decisions(i)
+            if len(place):
+                rows = self.rows(f[:, place], node)
+                _step(self.words, state[1], rows, _gradient(self.word_logits(rows, node), child))
 
 
 def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -212,19 +282,31 @@ def _gradient(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _step(weights: np.ndarray, state: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-    where, at = np.unique(rows.reshape(-1), return_inverse=True)
-    order = np.argsort(at, kind="stable")
-    cuts = np.concatenate(([0], np.flatnonzero(np.diff(at[order])) + 1))
-    total = np.add.reduceat(np.tile(gradient, (3, 1))[order], cuts, axis=0)
-    state[where] += total * total
-    weights[where] -= RATE * total / np.sqrt(state[where] + 1e-2)
-
-
-def train(sample: DataFrame, frame: Frame) -> Model:
-    """Rounds of updates over ``sample`` (text); each task's weights are averaged in Spark."""
-    spark = sample.sparkSession
+    n = rows.shape[1]
+    bits = np.int64((3 * n).bit_length())
+    # Row and place in one number: one sort brings the gradients of a row together, in the order of the tokens.
+    keys = np.sort(rows.reshape(-1) << bits | np.arange(3 * n))
+    row = keys >> bits
+    first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+    where, times = row[first], np.diff(np.concatenate((first, [3 * n])))
+    place = (keys & ((1 << bits) - 1)) % n
+    total = gradient[place[first]]
+    many = np.flatnonzero(times > 1)  # the sums are slow: most rows come once
+    if len(many):
+        own = times[many]
+        total[many] = np.add.reduceat(gradient[place[np.repeat(times > 1, times)]], np.cumsum(own) - own, axis=0)
+    seen = state[where] + total * total
+    state[where] = seen
+    weights[where] -= RATE * total / np.sqrt(seen + 1e-2)
+
+
+def train(texts: DataFrame, frame: Frame, tasks: int = TASKS) -> Model:
+    """Rounds of updates over all ``texts`` (text); each task's weights are averaged in Spark."""
+    spark = texts.sparkSession
     model = Model(frame)
-    sample = stored(sample.repartition(TASKS), "lm-sample")
+    texts = texts.select("text")
+    # Many splits are put together without a shuffle; too few are dealt out anew.
+    texts = texts.coalesce(tasks) if texts.rdd.getNumPartitions() >= tasks else stored(texts.repartition(tasks), "lm-texts")
     for _ in range(ROUNDS):
         sent = spark.sparkContext.broadcast((frame, model.classes, model.words))
 
@@ -247,12 +329,12 @@ def train(sample: DataFrame, frame: Frame) -> Model:
                              "w": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
         kinds = "block int, w binary"
-        blocks = {r["block"]: r["w"] for r in sample.select("text").mapInArrow(update, kinds).groupBy("block")
-                  .applyInArrow(average, kinds).collect()}  # the weights: of fixed size
+        blocks = {r["block"]: r["w"] for r in texts.mapInArrow(update, kinds).groupBy("block")
+                  .applyInArrow(average, kinds).collect()}  # the weights
         if blocks:
             flat = np.frombuffer(b"".join(bytes(blocks[b]) for b in sorted(blocks)), np.float32)
-            cut = CLASS_ROWS * (CLASSES + 1)
-            model = Model(frame, flat[:cut].reshape(CLASS_ROWS, -1).copy(), flat[cut:].reshape(WORD_ROWS, -1).copy())
+            cut = model.classes.size
+            model = Model(frame, flat[:cut].reshape(-1, CLASSES + 1).copy(), flat[cut:].reshape(-1, WIDTH).copy())
     return model
 
 
@@ -282,9 +364,9 @@ def _sent(rows: DataFrame, model: Model, parts: int) -> DataFrame:
             ids = m.frame.ids(stream)
             lm = np.bincount(text, m.log_probabilities(ids, Model.history(stream, sizes)), len(texts)) / np.log(10)
             top = ids < TOP
-            logs = np.bincount(text, logs_of[ids], len(texts))
+            logs = np.bincount(text, logs_of[np.minimum(ids, TOP)], len(texts))
             known = np.bincount(text, top, len(texts)).astype(np.int64)
-            lm -= (sizes - known) * log10(m.frame.rare_mass)
+            lm -= np.bincount(text[~top], m.frame.leaf_logs[ids[~top] - TOP], len(texts))
             own = b"".join(x.tobytes() for x in (sizes.astype(np.int64), known, logs, lm))
             out = [(int(uid[0]) % parts, b"", b"", b"", b"", b"", planes(rank), uid.tobytes(), own)]
             word, text = stream[~top], text[~top].astype(np.int64)
@@ -378,7 +460,7 @@ def _totals(table: pa.Table) -> pa.Table:
     return pa.table({name.split()[0]: pa.array(c) for name, c in zip(_SUMS.split(", "), cols)})
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
     learn = F.coalesce(fold(id_col, FOLDS) != HELD_OUT, F.lit(False))
     rows = named(docs, id_col, text_col, F.col(id_col).alias("doc"), learn.alias("learn"))
@@ -386,9 +468,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = max(1, -(-int(size) // RANGE_BYTES))
     counted = stored(count_words(rows.where("learn"), parts), "lm-counts")
     frame = frame_of(counted)
-    ends = int(frame.counts[frame.ids(np.array([END]))[0]]) if len(frame.counts) else 0
-    share = F.pmod(F.xxhash64("rank", F.lit(3)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, train_docs / max(1, ends)))
-    model = train(rows.where("learn").where(share).select("text"), frame)
+    model = train(rows.where("learn").select("text"), frame, max(TASKS, -(-int(size) // TRAIN_BYTES)))
     none = F.lit(None).cast("binary")
     given = counted.select("part", "words", "counts", *[F.coalesce(none, F.lit(b"")).alias(c) for c in
                                                        ("sizes", "texts", "times", "ranks", "uids", "self")])
