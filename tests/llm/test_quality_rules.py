@@ -47,6 +47,20 @@ def test_verdicts_agree_with_labels(spark):
     assert sum(good) / len(good) > 0.98 and sum(bad) / len(bad) < 0.15
 
 
+def test_votes_scale_with_length(rows):
+    lines = [f"line {i} says word{2 * i} and word{2 * i + 1} once" for i in range(100)]
+    # Long and clean, long with a few repeated lines, and very long with the vocabulary of natural text.
+    few = "\n".join([*lines, *lines[:3]])
+    natural = " ".join(f"w{(i * i * 7919 + i) % 99991 % (2 + int(8 * (i + 1) ** 0.55))}" for i in range(60000))
+    same = "\n".join([*lines[:4], *lines[:4]])
+    poor = " ".join(f"w{i * i % 7}" for i in range(3000))
+    got = {r.id: r for r in quality.stats(rows([(1, few), (2, natural), (3, same), (4, poor)], "doc_id long, text string"))
+           .select("*", *[c.alias(k) for k, c in quality.votes().items()]).collect()}
+    assert got[1].n_dup_lines == 3 and got[1].v_dup_lines == 1
+    assert got[2].n_distinct < 0.15 * got[2].n_words and got[2].v_distinct == 1
+    assert got[3].v_dup_lines == -1 and got[4].v_distinct == -1
+
+
 def test_edge_rows(rows):
     data = [(1, None, 1), (2, "", 1), (3, "a b c d e f g h " * 5000, 1), (3, "a b c d e f g h " * 5000, 1), (None, "x\ny\nx\n\n \n", 1),
             (4, " é <b>  *", 1)]

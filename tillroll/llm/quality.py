@@ -25,6 +25,10 @@ from .common import gram_hashes, let, read, stored, word_hashes
 WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
+#: Repeated lines are judged by their share (from so many on), distinct words by what a text of its length has: beyond
+#: PLAIN_WORDS words their number grows with a power of the length.
+LEAST_REPEATED, LINES_BAD, LINES_GOOD = 3, 0.2, 0.05
+PLAIN_WORDS, GROWTH = 200, 0.7
 KEEP = 0.5
 ROUNDS = 12
 #: Start of EM: a rule that votes on a good document votes good with the first probability, and on
@@ -48,6 +52,7 @@ def text_stats(text: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, r"\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return {"words": words, "word_chars": F.char_length(solid).cast("long"),
             "n_symbols": (F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
+            "n_lines": F.size(lines).cast("long"),
             "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
             "n_letters": F.char_length(F.regexp_replace(text, r"[^\p{L}]+", "")).cast("long")}
 
@@ -76,7 +81,7 @@ def stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     base = docs.select(F.col(id_col).alias("id"), *[c.alias(k) for k, c in s.items()])
     base = base.withColumn("word_hashes", word_hashes(F.col("words")))
     base = base.withColumn("hashes", gram_hashes(F.col("word_hashes"), WINDOW))
-    return base.select("id", F.size("words").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
+    return base.select("id", F.size("words").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_lines", "n_dup_lines",
                        "n_letters", F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
                        repeat_words(F.col("hashes")).alias("n_repeat_words"))
 
@@ -92,13 +97,15 @@ def votes() -> dict[str, Column]:
 
     mean = per(chars, n)
     symbols, letters = per(F.col("n_symbols"), n), per(F.col("n_letters"), chars)
-    repeats, distinct = per(F.col("n_repeat_words"), n), per(F.col("n_distinct"), n)
+    repeats, lines = per(F.col("n_repeat_words"), n), per(F.col("n_dup_lines"), F.col("n_lines"))
+    plain = F.lit(float(PLAIN_WORDS))
+    distinct = per(F.col("n_distinct"), F.when(n <= PLAIN_WORDS, n).otherwise(plain * F.pow(n / plain, F.lit(GROWTH))))
     return {
         "v_length": vote(n < MIN_WORDS, n >= 50),
         "v_word_length": vote((mean < 2.5) | (mean > 12), (mean >= 3) & (mean <= 9)),
         "v_symbols": vote(symbols > 0.1, symbols < 0.02),
         "v_letters": vote(letters < 0.75, letters > 0.85),
-        "v_dup_lines": vote(F.col("n_dup_lines") >= 3, (F.col("n_dup_lines") == 0) & (n >= 50)),
+        "v_dup_lines": vote((F.col("n_dup_lines") >= LEAST_REPEATED) & (lines > LINES_BAD), (lines < LINES_GOOD) & (n >= 50)),
         "v_repeats": vote(repeats > REPEAT_PERCENT / 100, (repeats < 0.02) & (n >= 50)),
         "v_distinct": vote((n >= 50) & (distinct < 0.15), (n >= 50) & (distinct > 0.3)),
     }
