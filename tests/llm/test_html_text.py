@@ -30,6 +30,15 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+def test_article_in_several_sections():
+    part = lambda k: "".join(f"<p>{k}{i} {P}</p>" for i in range(5))
+    text = lambda k: " ".join(f"{k}{i} {P}" for i in range(5))
+    links = "<div>" + "".join(f"<a href=x>more of {P}</a>" for _ in range(6)) + "</div>"
+    assert main_text(f"<body><div><section>{part('a')}</section><section>{part('b')}</section></div></body>") == f"{text('a')} {text('b')}"
+    page = f"<body>{links}<div><div><h2>One</h2><div>{part('a')}</div></div>{links}<div>{part('b')}</div><div>{part('c')}</div></div>{links}</body>"
+    assert main_text(page) == f"One {text('a')} {text('b')} {text('c')}"
+
+
 def test_query_keeps_articles_whole(spark):
     """Brute force for this table: all that stands in the article element, block by block."""
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}

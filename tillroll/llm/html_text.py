@@ -3,15 +3,15 @@
 The page is parsed into a DOM once. Every node gets its composite text density: characters per
 tag, lowered by the share of characters inside links. A node's density sum adds up the densities
 of its children. The body is walked down: the threshold is the smallest density on the path from
-the body to the node with the largest density sum (the path thresholds), and the subtree with the
-largest sum whose density reaches it is the content. Text that is no article text wherever it
+the body to the node with the largest density sum (the path thresholds); of every branch whose nodes
+reach it all the way down, the subtree with the largest sum is content, joined in page order. Text that is no article text wherever it
 stands (scripts, styles, forms, menus, headers, footers, sidebars, notices, adverts, comments of
 readers) is taken out by tag, role and class before, so it counts in no density. A class or id
 only counts as such a mark if the element doesn't hold the article itself.
 
 If an ``article`` or ``main`` element holds the densest subtree, all of that element's blocks are
 kept: a short paragraph or heading beside long ones is article text too. Without such an element
-the headings and paragraphs right beside the chosen subtree are added.
+the headings and paragraphs right beside the chosen subtrees are added.
 
 Defined results: null or empty html and a page without content give an empty text and 0
 characters. Malformed markup is read as browsers do (implied ends of p, li, td and so on,
@@ -284,7 +284,7 @@ def _density(node: Node, body_ratio: float) -> float:
 
 
 def content(root: Node) -> list[Node | str]:
-    """The subtree that holds the main text, with what belongs to it beside it."""
+    """The subtrees that hold the main text, with what belongs to it beside them."""
     _prune(root)
     order = _measure(root)
     if not root.chars:
@@ -292,41 +292,87 @@ def content(root: Node) -> list[Node | str]:
     body = next((n for n in reversed(order) if n.tag == "body" and n.chars), root)
     inner = [n for n in reversed(order) if n.chars and (n is body or _inside(n, body))]
     best = max(inner, key=lambda n: n.total)
-    limit, here = best.density, best
-    while here is not body:  # the thresholds on the way from the body
-        here = here.parent
-        limit = min(limit, here.density)
-    chosen = max((n for n in inner if n.density >= limit), key=lambda n: n.total, default=best)
-    if not chosen.total:  # one text without any element in it
-        chosen = max(inner, key=lambda n: n.chars)
-    holder, here = None, chosen
+    if not best.total:  # one text without any element in it
+        best = max(inner, key=lambda n: n.chars)
+    holder, here = None, best
     while here is not None:
         if here.tag == "article" or here.tag == "main" and holder is None:
             holder = here
         here = here.parent
     if holder is not None:
         return [holder]
-    return _spread(chosen, body)
-
-
-def _spread(chosen: Node, body: Node) -> list[Node | str]:
-    """The chosen subtree and the plain headings, paragraphs and texts right beside it; if that is
-    all its parent has, the parent's neighbours too."""
+    limit, here = best.density, best
+    while here is not body:  # the thresholds on the way from the body
+        here = here.parent
+        limit = min(limit, here.density)
+    return _in_order(body, [best, *_dense(inner, body, limit)])
+
+
+def _dense(inner: list[Node], body: Node, limit: float) -> list[Node]:
+    """The subtree with the largest sum of every node that is reached from the body through nodes of
+    density ``limit`` or more. ``inner``: the body's nodes, parents first."""
+    most = {id(n): n for n in inner}
+    for node in reversed(inner):
+        up = node.parent
+        if node is not body and most[id(node)].total > most[id(up)].total:
+            most[id(up)] = most[id(node)]
+    reached, found = set(), {}
+    for node in inner:
+        if node.density >= limit and (node is body or id(node.parent) in reached):
+            reached.add(id(node))
+            found[id(most[id(node)])] = most[id(node)]
+    return list(found.values())
+
+
+def _in_order(body: Node, chosen: list[Node]) -> list[Node | str]:
+    """The chosen subtrees and what belongs beside them, each once and in page order."""
+    if any(n is body for n in chosen):
+        return [body]
+    taken = {id(n) for n in chosen}
+    places: dict[int, set[int]] = {}
+    at: dict[int, int] = {}  # places of the nodes among their parent's items
+    for node in chosen:
+        if at.get(id(node)) in places.get(id(node.parent), ()):
+            continue
+        here = node.parent
+        while here is not body and id(here) not in taken:
+            here = here.parent
+        if here is body:  # not within another one
+            parent, first, last = _spread(node, body, at)
+            if parent is None:
+                return [body]
+            places.setdefault(id(parent), set()).update(range(first, last))
+    out, stack = [], [(body, False)]
+    while stack:
+        x, whole = stack.pop()
+        if whole:
+            out.append(x)
+        elif isinstance(x, Node):
+            own = places.get(id(x), ())
+            stack.extend((y, i in own) for i, y in reversed(list(enumerate(x.items))))
+    return out
+
+
+def _spread(chosen: Node, body: Node, places: dict[int, int]) -> tuple[Node | None, int, int]:
+    """The chosen subtree and the plain headings, paragraphs and texts right beside it, as a range of a
+    node's items; if that is all its parent has, the parent's neighbours too (none: all of the body)."""
     def plain(x) -> bool:
         return isinstance(x, str) or x.tag in BESIDE and 2 * x.link_chars <= x.chars
 
     while chosen is not body and chosen.parent is not None:
         items = chosen.parent.items
-        at = first = next(i for i, x in enumerate(items) if x is chosen)
-        last = at + 1
+        if id(chosen) not in places:
+            places.update((id(x), i) for i, x in enumerate(items) if isinstance(x, Node))
+        first = places[id(chosen)]
+        last = first + 1
         while first > 0 and plain(items[first - 1]):
             first -= 1
         while last < len(items) and plain(items[last]):
             last += 1
         if first > 0 or last < len(items):
-            return items[first:last]
+            return chosen.parent, first, last
         chosen = chosen.parent
-    return [chosen]
+    return None, 0, 0
 
 
 def _inside(node: Node, top: Node) -> bool:
