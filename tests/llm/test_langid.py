@@ -84,3 +84,24 @@ def test_no_training_rows_and_empty_table(rows):
     schema = "doc_id long, text string, lang string"
     assert [r.lang_pred for r in langid.identify(rows([(1, "abc", None)], schema)).collect()] == ["und"]
     assert langid.identify(rows([], schema)).count() == 0
+
+
+def test_other_scripts_keep_their_bytes_beside_latin(rows):
+    """Russian and Bulgarian differ only in bytes that are rare beside a lot of Latin text."""
+    latin = "the quick brown fox jumps over lazy dogs and zebras vex wizards " * 20
+    text = {"aa": "\u044b\u044d ", "bb": "\u044a\u0449 "}
+    data = [(i, latin, "en") for i in range(60)] + [(100 * k + i + 1000, t * 4, lang) for k, (lang, t) in enumerate(text.items())
+                                                  for i in range(8)]
+    model = langid.train(rows(data, "doc_id long, text string, lang string"), rows=10**6)
+    assert np.unique(model.classes[list(range(97, 123)) + [0xD1, 0x8A, 0x8B, 0x89, 0x8D]]).size == 31
+    probe = rows([(1, "\u044b\u044b"), (2, "\u0449\u0449")], "doc_id long, text string")
+    assert [r.lang_pred for r in langid.predict(probe, model).orderBy("doc_id").collect()] == ["aa", "bb"]
+
+
+def test_every_language_with_rows_is_learned(rows):
+    words = [chr(97 + i // 10) + chr(97 + i % 10) + "xyz"[i % 3] for i in range(80)]
+    data = [(1000 * i + k, f"{w} " * 10, f"l{i:02}") for i, w in enumerate(words) for k in range(3)]
+    df = rows(data, "doc_id long, text string, lang string")
+    model = langid.train(df)
+    assert len(model.languages) == 80
+    assert all(r.lang == r.lang_pred for r in langid.predict(df, model).collect())

@@ -8,13 +8,13 @@ is the sum over its bytes. Texts quote passages of other languages, whose code l
 drown the rest; so code lengths are compared block by block (BLOCK bytes), a block says at most
 MOST bits against a language, and the language with the least said against it is predicted.
 
-The statistics are frozen, so the cost of a byte depends on the last four bytes only, and the
-trees are compiled into one table: cost[context of 3 bytes, byte, language]. Texts are first
-reduced to words: ASCII letters are lower-cased, and every run of other ASCII bytes is one
-separator, so that shouting, numbers and markup say nothing about the language. The bytes fall
-into ``SYMBOLS`` classes (the most frequent training bytes; all others share one class and pay a
-uniform code among themselves), which bounds the table whatever the size of the corpus:
-SYMBOLS ** 4 * languages * 4 bytes.
+The statistics are frozen, so the cost of a byte depends on the last four bytes only. Every language has
+sorted tables of the contexts and grams that it has seen, order by order; a task works out the costs of
+each run of four bytes that it meets once and keeps them in a table of bounded size, by the run's hash.
+Texts are first reduced to words: ASCII letters are lower-cased, and every run of other ASCII bytes is
+one separator, so that shouting, numbers and markup say nothing about the language. Every byte seen in
+training is a symbol of its own; those that no language has seen share one symbol and pay a uniform code
+among themselves, the same in all languages. Every language with training rows is learned.
 
 Training takes a bounded sample of labelled rows: about ``TRAIN_ROWS`` whole texts of each
 language, chosen by a hash of the id. Prediction covers every row and whole texts.
@@ -37,16 +37,17 @@ from pyspark.sql import types as T
 
 from .common import fold, read, release, stored
 
-SYMBOLS = 40
+#: Symbols of the alphabet: all bytes, and one for those not seen.
+SYMBOLS = 257
 ORDER = 3
 #: Training texts taken of each language.
 TRAIN_ROWS = 400
-#: Upper bound of languages, which bounds the sample and the table.
-LANGUAGES = 64
 FOLDS, HELD_OUT = 4, 2
 #: Bytes of a block, and the most bits that one block can say against a language.
 BLOCK, MOST = 48, 16.0
 CHUNK = 1 << 20
+#: Costs that a task keeps, at most so many runs of bytes; languages whose costs are added up at once.
+KEPT, RUNS, AT_ONCE = 1 << 23, 1 << 19, 8
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[:128] = 32  # white space, digits and punctuation: all are one separator
@@ -55,19 +56,39 @@ _LOWER[65:91] = _LOWER[97:123]
 
 
 class Model:
-    """Languages in sorted order, the byte classes, and cost[class code, language] in bits."""
-
-    def __init__(self, languages: list[str], classes: np.ndarray, cost: np.ndarray):
-        self.languages, self.classes, self.cost = languages, classes, cost
+    """Languages in sorted order, the byte classes, and each language's tables (see ``_tables``)."""
+
+    def __init__(self, languages: list[str], classes: np.ndarray, tables: list[list[tuple]]):
+        self.languages, self.classes, self.tables = languages, classes, tables
+        self.uniform = np.log2(max(2, 256 - np.count_nonzero(classes)))
+        bits = max(10, min(RUNS, KEPT // max(1, len(languages))).bit_length() - 1)
+        self.shift = np.uint64(64 - bits)
+        self.runs = np.full(1 << bits, -1, np.int64)
+        self.kept = np.zeros((1 << bits, len(languages)), np.float32)
+
+    def costs(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of the last symbol of each run of ORDER + 1, in each language."""
+        out = np.empty((len(codes), len(self.languages)), np.float32)
+        for j, levels in enumerate(self.tables):
+            cost = np.full(len(codes), np.log2(SYMBOLS))  # order -1
+            for order, (grams, bits, contexts, escape) in enumerate(levels):
+                gram = codes % SYMBOLS ** (order + 1)
+                at, known = _found(contexts, gram // SYMBOLS)
+                cost[known] += escape[at[known]]
+                at, seen = _found(grams, gram)
+                cost[seen] = bits[at[seen]]
+            out[:, j] = cost
+        out[codes % SYMBOLS == 0] += self.uniform
+        return out
 
     def block_lengths(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bits of each block of BLOCK bytes in each language, and each block's text. ``data``: what ``_joined`` makes of the
         texts; the separators before each are the context that it starts with."""
-        symbol = self.classes[data].astype(np.int32)
-        code = symbol[ORDER:].copy()
-        for back in range(1, ORDER + 1):
-            code += symbol[ORDER - back:len(symbol) - back] * (SYMBOLS ** back)
-        bits = self.cost[code]
+        code = _codes(self.classes[data], SYMBOLS)
+        slot = (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        miss = np.flatnonzero(self.runs[slot] != code)
+        new, which = np.unique(code[miss], return_inverse=True)
+        fresh = self.costs(new)
         starts = np.concatenate(([0], ends[:-1]))
         sizes = ends - ORDER - starts
         # Blocks of each text; the codes between two texts (of the next one's separators) are left out.
@@ -77,11 +98,18 @@ class Model:
         number = np.arange(len(text)) - first[text]
         at = np.where(number < blocks[text], starts[text] + number * BLOCK, ends[text] - ORDER)
         inside = number < blocks[text]
-        size = np.diff(np.concatenate((at, [len(bits)])))
+        size = np.diff(np.concatenate((at, [len(code)])))
         some = size > 0
         sums = np.zeros((len(at), len(self.languages)))
-        if some.any():
-            sums[some] = np.add.reduceat(bits, at[some], axis=0, dtype=np.float64)
+        for lo in range(0, len(self.languages) if some.any() else 0, AT_ONCE):
+            own = slice(lo, lo + AT_ONCE)
+            bits = self.kept[:, own][slot]
+            bits[miss] = fresh[:, own][which]
+            sums[some, own] = np.add.reduceat(bits, at[some], axis=0, dtype=np.float64)
+        place = np.zeros(len(new), np.int64)
+        place[which] = slot[miss]
+        place, one = np.unique(place, return_index=True)  # one run for each place
+        self.runs[place], self.kept[place] = new[one], fresh[one]
         return sums[inside], text[inside]
 
     def code_lengths(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -111,32 +139,46 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(data, times), np.add.reduceat(times, first).cumsum()
 
 
-def _costs(codes: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
-    """PPM costs of one language from the counts of its (ORDER + 1)-grams of classes."""
-    full = np.zeros(width ** (ORDER + 1))
-    full[codes] = counts
-    p = np.full(width, 1.0 / width)  # order -1
+def _codes(symbols: np.ndarray, width: int) -> np.ndarray:
+    """One number for each run of ORDER + 1 symbols; the last one counts least."""
+    symbols = symbols.astype(np.int64)
+    code = symbols[ORDER:].copy()
+    for back in range(1, ORDER + 1):
+        code += symbols[ORDER - back:len(symbols) - back] * width ** back
+    return code
+
+
+def _found(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``values`` in a sorted table, and which of them are in it."""
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return at, table[at] == values
+
+
+def _tables(codes: np.ndarray, counts: np.ndarray) -> list[tuple]:
+    """PPM tables of one language from the counts of its (ORDER + 1)-grams of classes, for each order: the
+    grams seen and their bits, the contexts seen and the bits that their escape adds to the shorter one's."""
+    levels: list[tuple] = []
+    below = np.empty(0)
     for order in range(ORDER + 1):
-        gram = full.reshape(-1, width ** (order + 1)).sum(axis=0).reshape(-1, width)  # [context, symbol]
-        n, d = gram.sum(axis=1, keepdims=True), (gram > 0).sum(axis=1, keepdims=True)
-        lower = np.tile(p.reshape(-1, width), (gram.shape[0] // max(1, p.size // width), 1))
+        grams, which = np.unique(codes % SYMBOLS ** (order + 1), return_inverse=True)
+        own = np.bincount(which, counts)
+        contexts, first = np.unique(grams // SYMBOLS, return_index=True)
+        n, d = np.add.reduceat(own, first), np.diff(np.concatenate((first, [len(grams)])))
+        p = own / np.repeat(np.where(d < SYMBOLS, n + d, n), d)
         # A seen symbol is excluded below its context: what the escape leaves is shared by the others.
-        left = np.where(gram > 0, 0.0, lower)
-        rest = left.sum(axis=1, keepdims=True)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            escape = np.where(d < width, d / (n + d), 0.0)
-            seen = np.where(d < width, gram / (n + d), gram / n)
-            p = np.where(n > 0, np.where(gram > 0, seen, escape * left / rest), lower)
-    return -np.log2(p).reshape(-1)
+        lower = below[_found(levels[-1][0], grams % SYMBOLS ** order)[0]] if order else np.full(len(grams), 1.0 / SYMBOLS)
+        rest = np.maximum(1.0 - np.add.reduceat(lower, first), 1e-12)
+        levels.append((grams, -np.log2(p), contexts, np.log2(rest) - np.log2(d / (n + d))))
+        below = p
+    return levels
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           rows: int = TRAIN_ROWS) -> Model | None:
-    """Model from the labelled ``docs``. The sample is bounded by rows * LANGUAGES texts; counting
-    the sample's n-grams is done in the tasks, and the driver gets at most SYMBOLS ** (ORDER + 1)
-    counts of a language."""
+    """Model from the labelled ``docs``. The sample is bounded by ``rows`` texts a language; counting
+    the sample's n-grams is done in the tasks, and the driver gets the grams that occur in it."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = labelled.groupBy(F.col(lang_col).alias("l")).count().orderBy(F.desc("count"), "l").limit(LANGUAGES).collect()
+    sizes = labelled.groupBy(F.col(lang_col).alias("l")).count().collect()  # a row a language
     if not sizes:
         return None
     grain = 1 << 30
@@ -154,34 +196,29 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     counted = sample.mapInArrow(bytes_of, "b int, n long").groupBy("b").agg(F.sum("n").alias("n")).collect()  # 256 rows at most
     common = [r["b"] for r in sorted(counted, key=lambda r: (-r["n"], r["b"]))][:SYMBOLS - 1]
-    classes = np.zeros(256, np.uint8)  # class 0: all other bytes
+    classes = np.zeros(256, np.uint16)  # class 0: all other bytes
     for k, b in enumerate(sorted(common), 1):
         classes[b] = k
 
+    labels = sorted(share)
+    number = {lang: i for i, lang in enumerate(labels)}
+
     def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, list[np.ndarray]] = {}
+        found: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                symbol = classes[_joined([text])[0]].astype(np.int32)
-                code = symbol[ORDER:].copy()
-                for back in range(1, ORDER + 1):
-                    code += symbol[ORDER - back:len(symbol) - back] * SYMBOLS ** back
-                found.setdefault(lang, []).append(code)
+                found.setdefault(number[lang], []).append(_codes(classes[_joined([text])[0]], SYMBOLS))
         for lang, codes in found.items():
             seen, counts = np.unique(np.concatenate(codes), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), pa.array(seen, pa.int32()),
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), lang), pa.int32()), pa.array(seen, pa.int64()),
                                               pa.array(counts, pa.int64())], ["l", "c", "n"])
 
-    grams = sample.mapInArrow(grams_of, "l string, c int, n long").groupBy("l", "c").agg(F.sum("n").alias("n")).toArrow()
-    lang_of, code_of, count_of = (np.asarray(grams.column(i).to_pylist() if i == 0 else grams.column(i)) for i in range(3))
-    languages, cost = [x for x in sorted(share) if (lang_of == x).any()], []
-    uniform = np.log2(max(2, 256 - len(common)))
-    for lang in languages:
-        own = lang_of == lang
-        one = _costs(code_of[own], count_of[own], SYMBOLS)
-        one.reshape(-1, SYMBOLS)[:, 0] += uniform
-        cost.append(one.astype(np.float32))
-    return Model(languages, classes, np.stack(cost, axis=1)) if cost else None
+    grams = sample.mapInArrow(grams_of, "l int, c long, n long").groupBy("l", "c").agg(F.sum("n").alias("n")).toArrow()
+    lang_of, code_of, count_of = (grams.column(i).to_numpy() for i in range(3))
+    order = np.argsort(lang_of, kind="stable")
+    seen, first = np.unique(lang_of[order], return_index=True)
+    tables = [_tables(code_of[own], count_of[own]) for own in np.split(order, first[1:])] if len(seen) else []
+    return Model([labels[i] for i in seen], classes, tables) if tables else None
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -194,7 +231,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry:
     cols = docs.select(row, known.alias("known"), *([] if text_col in carry else [F.when(known, F.col(text_col)).alias("t")]))
     if model is None:
         return cols.select("row.*", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.classes, model.cost))
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.classes, model.tables))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*sent.value)
