@@ -105,3 +105,9 @@ def test_every_language_with_rows_is_learned(rows):
     model = langid.train(df)
     assert len(model.languages) == 80
     assert all(r.lang == r.lang_pred for r in langid.predict(df, model).collect())
+
+
+def test_unlabelled_corpus_is_not_deleted(rows):
+    data = [(1, "abc", None), (2, "Des mots.", None), (3, "12 !", None), (4, None, None), (None, "x", None), (1, "abc", None)]
+    got = langid.accepted(rows(data, "doc_id long, text string, lang string")).collect()
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(str(r) for r in data if r[1] and r[1] != "12 !")

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -221,11 +221,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Model([labels[i] for i in seen], classes, tables) if tables else None
 
 
+def _lettered(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` (default: all) with lang_pred and score of every row; a map over the
     rows, without a shuffle. Own columns of those names are left out."""
     carry = [c for c in (docs.columns if carry is None else carry) if c not in ("lang_pred", "score")]
-    known = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    known = _lettered(text_col)
     row = F.struct(*carry).alias("row")
     # The text goes to the workers once: within the row if it is carried, else beside it.
     cols = docs.select(row, known.alias("known"), *([] if text_col in carry else [F.when(known, F.col(text_col)).alias("t")]))
@@ -274,9 +278,13 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              least: float = 0.0) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose language can be told (with a score of ``least`` or more)."""
+    """The rows of ``docs``, unchanged, whose language can be told (with a score of ``least`` or more). Without
+    a row to learn from nothing is told by a model: all texts with a letter stay."""
     learn = docs.where(fold(id_col, FOLDS) != HELD_OUT)
-    found = predict(docs, train(learn, id_col, text_col, lang_col), text_col)
+    model = train(learn, id_col, text_col, lang_col)
+    if model is None:
+        return docs.where(_lettered(text_col))
+    found = predict(docs, model, text_col)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
 
 
