@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, html_text, langid, lm_score, near_dedup, quality, substring_dedup, suffix_dedup, url_filter
+from . import (bpe, collocations, decontaminate, html_text, langid, lm_score, near_dedup, periodic_runs, quality, sharding, substring_dedup,
+               suffix_dedup, url_filter)
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
@@ -15,11 +16,15 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_langid": langid.op10_langid,
+    "op11_sharding": sharding.op11_sharding,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_collocations": collocations.op13_collocations,
 }
 ORACLES: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
     "op9_suffix_dedup": suffix_dedup.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
 
 
