@@ -74,8 +74,22 @@ def test_not_everything_is_expanded(spark):
     finally:
         collocations._triples = whole
     assert [tuple(r) for r in got] == brute(rows, 10, 1)
-    counted = {tuple(r["words"]) for df in seen for r in df.collect()}
-    assert ("w1", "of", "the") not in counted
+    assert [df.count() for df in seen] == [0]
+
+
+def test_words_that_share_a_number_get_another_seed(spark, monkeypatch):
+    whole = collocations._phrases
+    calls = []
+
+    def first_time_alike(docs, seed, chunk_bytes):
+        calls.append(seed)
+        found = whole(docs, seed, chunk_bytes)
+        return found.selectExpr("lang", "word", "IF(w2 IS NULL, 0, w1) AS w1", "w2", "f") if seed == 0 else found
+
+    monkeypatch.setattr(collocations, "_phrases", first_time_alike)
+    rows = [("a b c d", "en")] * 12
+    got = collocations.mine(spark.createDataFrame(rows, "text string, lang string")).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 10, 2000) and calls == [0, 1]
 
 
 def test_nulls_empty_long_repeated_and_clashing_columns(spark):

@@ -17,12 +17,13 @@ for then nothing that wasn't expanded can be among them; for the others ``ahead`
 threshold is 0 and all nodes are expanded. A round counts only what earlier rounds did not.
 
 At scale: chunks count their phrases by themselves, Spark adds the counts up by phrase (partial aggregation on
-the map side), so frequent words, phrases and languages leave a task as one row a chunk. Open nodes reach the
-tasks as a Bloom filter of at most ``filter_bits`` bits (16 MB); it is made in blocks, by a shuffle. What it
-passes wrongly is counted in full as well, and so does no harm. Scores are exact decimals. Triples meet
-their pairs in joins, whose skewed keys AQE splits. The last ranking keeps at most ``limit`` rows a
-language and task before they meet. Only the rounds' verdict (how many languages are open) and the filter go
-to the driver.
+the map side), so frequent words, phrases and languages leave a task as one row a chunk. Pairs and triples are
+named by the 64-bit numbers of their words; that no two words (of one or two languages) share a number is checked
+on the whole vocabulary, and another seed is taken if they do. Open nodes reach the tasks as a Bloom filter of at
+most ``filter_bits`` bits (16 MB); it is made in blocks, by a shuffle. What it passes wrongly is counted in full as
+well, and so does no harm. Scores are exact decimals. Triples meet their pairs in joins, whose skewed keys AQE
+splits. Thresholds come from a histogram of scores (at most SCALE + 1 of them a language). Only the rounds' verdict
+(how many languages are open) and the filter go to the driver.
 
 Defined results: a null text is empty, a null language is `und`. Repeated rows and rows with null ids count
 each time. Pieces and words of any length count whole. Languages without candidates, and empty tables,
@@ -56,11 +57,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def _seeded(names: list[str], seed: int) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(x, seed) for x in names], np.uint64)
+
+
 class Pieces:
-    """Words of a chunk: ``word`` numbers (language, word) exactly, ``follows`` says that a word has the same
-    piece as the one before it."""
+    """Words of a chunk: ``word`` is the place of each in the chunk's vocabulary (``lang_of``, ``spelling``, and
+    ``ids``, the words' numbers in the corpus), ``follows`` says that a word has the piece of the one before it."""
 
-    def __init__(self, texts: list[bytes], langs: list[str]):
+    def __init__(self, texts: list[bytes], langs: list[str], seed: int):
         data = _LOWER[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
         kind = _KIND[data]
         edge = np.flatnonzero(np.diff(np.concatenate(([False], kind == 0)).view(np.int8)))
@@ -68,14 +73,16 @@ class Pieces:
         piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
         text_ends = np.cumsum(np.array([len(t) + 1 for t in texts], np.int64))
         self.langs, code = np.unique(np.array(langs, object), return_inverse=True)
-        self.lang = code[np.searchsorted(text_ends, starts, "right")]
+        lang = code[np.searchsorted(text_ends, starts, "right")]
         lengths = ends - starts
         packed, offsets = data[ranges(starts, lengths)], np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
+        del data, kind, edge, starts, ends
         coded = pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]).dictionary_encode()
-        self.spelled = coded.dictionary
-        both, self.word = np.unique(self.lang * max(len(self.spelled), 1) + coded.indices.to_numpy(), return_inverse=True)
-        self.lang_of, self.spelling = both // max(len(self.spelled), 1), both % max(len(self.spelled), 1)
+        self.spelled, n = coded.dictionary, max(len(coded.dictionary), 1)
+        both, self.word = np.unique(lang * n + coded.indices.to_numpy(), return_inverse=True)
+        self.lang_of, self.spelling = both // n, both % n
         self.follows = np.concatenate(([False], piece[1:] == piece[:-1])) if len(piece) else np.empty(0, bool)
+        self.ids = mix64(_seeded(self.spelled.to_pylist(), seed)[self.spelling] ^ mix64(_seeded(self.langs.tolist(), seed))[self.lang_of])
 
     def __len__(self) -> int:
         return len(self.word)
@@ -88,72 +95,65 @@ class Pieces:
         """Positions of the last words of the triples."""
         return np.flatnonzero(self.follows[1:] & self.follows[:-1]) + 1
 
-    def counted(self, last: np.ndarray, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """The distinct phrases of ``width`` words that end at ``last`` (word numbers, one array a place), and their counts."""
-        code, n = self.word[last - (width - 1)], max(len(self.lang_of), 1)
+    def counted(self, last: np.ndarray, width: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """Numbers of the words of the distinct phrases of ``width`` words that end at ``last``, and the phrases' counts."""
+        code, n = self.word[last - (width - 1)], max(len(self.ids), 1)
         for back in reversed(range(width - 1)):
             if back < width - 2:  # the words so far are numbered anew, so that codes stay small
                 code = np.unique(code, return_inverse=True)[1]
             code = code * n + self.word[last - back]
         _, first, count = np.unique(code, return_index=True, return_counts=True)
-        return [self.word[last[first] - back] for back in reversed(range(width))], count
-
-    def hashes(self, langs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each word number: its spelling's hash, and its language's."""
-        own = np.array([xxhash.xxh3_64_intdigest(w) for w in self.spelled.to_pylist()], np.uint64)
-        of = np.array([xxhash.xxh3_64_intdigest(x) for x in langs], np.uint64)
-        return own[self.spelling], of[self.lang_of]
-
+        return [self.ids[self.word[last[first] - back]] for back in reversed(range(width))], count
 
-def _pair_hash(lang: np.ndarray, one: np.ndarray, two: np.ndarray, flag: int) -> np.ndarray:
-    return mix64(mix64(mix64(lang + np.uint64(flag)) + one) + two)
 
+def _signed(ids: np.ndarray) -> pa.Array:
+    return pa.array(ids.view(np.int64))
 
-_COUNTS = "lang string, words array<string>, count long"
 
+def _phrases(docs: DataFrame, seed: int, chunk_bytes: int) -> DataFrame:
+    """Counts f of the words (lang, word, w1: its number) and of the pairs (w1, w2: the words' numbers)."""
+    kinds = "lang string, word string, w1 long, w2 long, count long"
+    names = [c.split()[0] for c in kinds.split(", ")]
 
-def _rows(x: Pieces, places: list[np.ndarray], count: np.ndarray) -> pa.RecordBatch:
-    spelled = [x.spelled.take(pa.array(x.spelling[p])) for p in places]
-    width = len(places)
-    values = pa.concat_arrays(spelled).take(pa.array(np.arange(len(count) * width).reshape(width, -1).T.reshape(-1)))
-    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(count) + 1) * width, pa.int32()), values.cast(pa.string()))
-    langs = pa.array(x.langs, pa.string()).take(pa.array(x.lang_of[places[0]]))
-    return pa.RecordBatch.from_arrays([langs, lists, pa.array(count, pa.int64())], ["lang", "words", "count"])
-
-
-def _words_and_pairs(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, 1, chunk_bytes):
-            x = Pieces(texts, batch.column(0).to_pylist())
-            if len(x):
-                yield _rows(x, [np.arange(len(x.lang_of))], np.bincount(x.word))
-                yield _rows(x, *x.counted(x.pairs(), 2))
+            x = Pieces(texts, batch.column(0).to_pylist(), seed)
+            if not len(x):
+                continue
+            yield pa.RecordBatch.from_arrays([pa.array(x.langs, pa.string()).take(pa.array(x.lang_of)), x.spelled.take(pa.array(x.spelling)).cast(pa.string()),
+                                              _signed(x.ids), pa.nulls(len(x.ids), pa.int64()), pa.array(np.bincount(x.word))], names)
+            (one, two), count = x.counted(x.pairs(), 2)
+            none = pa.nulls(len(count), pa.string())
+            yield pa.RecordBatch.from_arrays([none, none, _signed(one), _signed(two), pa.array(count)], names)
 
-    return docs.mapInArrow(run, _COUNTS).groupBy("lang", "words").agg(F.sum("count").alias("f"))
+    return docs.mapInArrow(run, kinds).groupBy("lang", "word", "w1", "w2").agg(F.sum("count").alias("f"))
 
 
-def _triples(docs: DataFrame, old, new, least: int, chunk_bytes: int) -> DataFrame:
-    """Counts of the triples that the filter ``new`` passes and ``old`` doesn't (broadcasts of bits)."""
+def _triples(docs: DataFrame, seed: int, old, new, least: int, chunk_bytes: int) -> DataFrame:
+    """Triples (w1, w2, w3, a) of ``least`` occurrences that the filter ``new`` passes and ``old`` doesn't
+    (broadcasts of bits)."""
+    kinds = "w1 long, w2 long, w3 long, count long"
+    names = [c.split()[0] for c in kinds.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [(np.frombuffer(f.value, np.uint8), keep) for f, keep in ((new, True), (old, False)) if f is not None]
         for batch, texts in chunks(batches, 1, chunk_bytes):
-            x = Pieces(texts, batch.column(0).to_pylist())
-            last = x.triples()
-            if not len(last):
-                continue
-            places, count = x.counted(last, 3)
-            own, of = x.hashes(x.langs)
+            x = Pieces(texts, batch.column(0).to_pylist(), seed)
+            words, count = x.counted(x.triples(), 3)
             take = np.ones(len(count), bool)
             for bits, keep in filters:
-                # Every pair of a triple is tested once for each flag, then looked up by the triple.
-                seen = [[_passes(bits, _pair_hash(of[a], own[a], own[b], flag)) for flag in (OPENS, CLOSES, NAMED)]
-                        for a, b in zip(places, places[1:])]
-                passed = (seen[0][0] & seen[1][1]) | seen[0][2] | seen[1][2]
+                opens, first = (_passes(bits, _pair_hash(words[0], words[1], flag)) for flag in (OPENS, NAMED))
+                closes, second = (_passes(bits, _pair_hash(words[1], words[2], flag)) for flag in (CLOSES, NAMED))
+                passed = (opens & closes) | first | second
                 take &= passed if keep else ~passed
             if take.any():
-                yield _rows(x, [p[take] for p in places], count[take])
+                yield pa.RecordBatch.from_arrays([*[_signed(w[take]) for w in words], pa.array(count[take])], names)
+
+    return docs.mapInArrow(run, kinds).groupBy("w1", "w2", "w3").agg(F.sum("count").alias("a")).where(F.col("a") >= least)
+
 
-    return docs.mapInArrow(run, _COUNTS).groupBy("lang", "words").agg(F.sum("count").alias("a")).where(F.col("a") >= least)
+def _pair_hash(one: np.ndarray, two: np.ndarray, flag: int) -> np.ndarray:
+    return mix64(mix64(one + np.uint64(flag)) + two)
 
 
 def _bit_places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,18 +169,17 @@ def _passes(filter_: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def _filter(open_pairs: DataFrame, bits: int) -> np.ndarray:
-    """The filter of (lang, words, flags), bit flag - 1 of ``flags`` for each of its kinds. A block of bits is put
+    """The filter of (w1, w2, flags), bit flag - 1 of ``flags`` for each of its kinds. A block of bits is put
     together by one task from positions that were made distinct; the driver gets ``bits`` at most."""
     block = 8 * min(BLOCK_BYTES, bits // 8)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            h = np.array([[xxhash.xxh3_64_intdigest(s) for s in (lang, *words)] + [flags] for lang, words, flags in rows], np.uint64)
+            one, two, flags = (batch.column(i).to_numpy() for i in range(3))
             found = []
             for flag in (OPENS, CLOSES, NAMED):
-                own = h[h[:, 3] >> np.uint64(flag - 1) & np.uint64(1) > 0]
-                found += _bit_places(_pair_hash(own[:, 0], own[:, 1], own[:, 2], flag), bits)
+                own = flags >> (flag - 1) & 1 > 0
+                found += _bit_places(_pair_hash(one[own].view(np.uint64), two[own].view(np.uint64), flag), bits)
             at = np.unique(np.concatenate(found)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array((at // block).astype(np.int32)), pa.array((at % block).astype(np.int32))], ["block", "bit"])
 
@@ -203,45 +202,51 @@ def _score(a: str, left: str, right: str) -> Column:
     return F.expr(f"(CAST({SCALE} * CAST({a} AS {big}) AS DECIMAL(22, 0)) * CAST({a} AS {big})) DIV (CAST({left} AS {big}) * CAST({right} AS {big}))")
 
 
-def _pair_table(counts: DataFrame, least: int) -> DataFrame:
-    """Pairs that are candidates: lang, words, a, l, r, score and the bounds of their growth."""
-    words = counts.where((F.size("words") == 1) & (F.col("f") >= least))
-    pairs = counts.where((F.size("words") == 2) & (F.col("f") >= least)).select("lang", "words", F.col("f").alias("a"))
-    for i, name in ((1, "l"), (2, "r")):
-        own = words.select("lang", F.element_at("words", 1).alias("w"), F.col("f").alias(name))
-        pairs = pairs.withColumn("w", F.element_at("words", i)).join(own, ["lang", "w"]).drop("w")
-    return pairs.select("*", _score("a", "l", "r").alias("score"),
+def _vocabulary(docs: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
+    """The counted phrases, and the seed under which no two words share a number."""
+    for seed in range(16):
+        phrases = stored(_phrases(docs, seed, chunk_bytes), "phrases")
+        if not phrases.where("w2 IS NULL").groupBy("w1").count().where("count > 1").limit(1).count():
+            return phrases, seed
+    raise RuntimeError("words share their 64-bit numbers under 16 seeds")
+
+
+def _pair_table(phrases: DataFrame, least: int) -> DataFrame:
+    """Pairs that are candidates: lang, w1, w2, a, l, r, score and the bounds of their growth."""
+    words = phrases.where((F.col("f") >= least) & F.col("w2").isNull())
+    pairs = phrases.where((F.col("f") >= least) & F.col("w2").isNotNull()).select("w1", "w2", F.col("f").alias("a"))
+    pairs = (pairs.join(words.select("w1", "lang", F.col("f").alias("l")), "w1")
+             .join(words.select(F.col("w1").alias("w2"), F.col("f").alias("r")), "w2"))
+    return pairs.select("lang", "w1", "w2", "a", "l", "r", _score("a", "l", "r").alias("score"),
                         F.expr(f"{SCALE} * CAST(a AS DECIMAL(16, 0)) DIV l").alias("opens"),
                         F.expr(f"{SCALE} * CAST(a AS DECIMAL(16, 0)) DIV r").alias("closes"))
 
 
 def _thresholds(pairs: DataFrame, open_langs: DataFrame, rank: int) -> DataFrame:
     """(lang, least): the score of each open language's ``rank``-th best pair, 0 if it has fewer."""
-    best = Window.partitionBy("lang").orderBy(F.desc("score"))
-    at = pairs.join(open_langs, "lang", "left_semi").select("lang", "score", F.row_number().over(best).alias("n")).where(F.col("n") <= rank)
-    return at.groupBy("lang").agg(F.when(F.max("n") == rank, F.min("score")).otherwise(F.lit(0).cast("long")).alias("least"))
+    levels = pairs.join(open_langs, "lang", "left_semi").groupBy("lang", "score").count()
+    above = levels.withColumn("n", F.sum("count").over(Window.partitionBy("lang").orderBy(F.desc("score"))))
+    return above.groupBy("lang").agg(F.coalesce(F.max(F.when(F.col("n") >= rank, F.col("score"))), F.lit(0).cast("long")).alias("least"))
 
 
 def _scored(triples: DataFrame, pairs: DataFrame) -> DataFrame:
     """Triples with the lesser of their two cuts (ties: the first)."""
-    def with_pair(df: DataFrame, at: int, whole: str, part: str, name: str) -> DataFrame:
-        own = pairs.select("lang", F.col("words").alias("pair"), F.col("a").alias(whole), F.col(part).alias(name))
-        return df.withColumn("pair", F.slice("words", at, 2)).join(own, ["lang", "pair"]).drop("pair")
-
-    both = with_pair(with_pair(triples, 1, "f12", "l", "f1"), 2, "f23", "r", "f3")
+    front = pairs.select("lang", "w1", "w2", F.col("a").alias("f12"), F.col("l").alias("f1"))
+    back = pairs.select(F.col("w1").alias("w2"), F.col("w2").alias("w3"), F.col("a").alias("f23"), F.col("r").alias("f3"))
+    both = triples.join(front, ["w1", "w2"]).join(back, ["w2", "w3"])
     cut = F.least(F.struct(_score("a", "f1", "f23").alias("score"), F.lit(1).alias("k"), F.col("f1").alias("l"), F.col("f23").alias("r")),
                   F.struct(_score("a", "f12", "f3").alias("score"), F.lit(2).alias("k"), F.col("f12").alias("l"), F.col("f3").alias("r")))
-    return both.select("lang", "words", "a", cut.alias("cut")).select("lang", "words", "a", "cut.l", "cut.r", "cut.score")
+    return both.select("lang", "w1", "w2", "w3", "a", cut.alias("cut")).select("lang", "w1", "w2", "w3", "a", "cut.l", "cut.r", "cut.score")
 
 
 def _survivors(pairs: DataFrame, triples: DataFrame, thresholds: DataFrame, holds: int) -> DataFrame:
     """Candidates that score their language's threshold at least and aren't dropped."""
     reached = pairs.join(thresholds, "lang").where("score >= least")
-    holders = triples.select("lang", F.slice("words", 1, 2).alias("words"), F.col("a").alias("held")).unionByName(
-        triples.select("lang", F.slice("words", 2, 2).alias("words"), F.col("a").alias("held")))
-    held = holders.groupBy("lang", "words").agg(F.max("held").alias("held"))
-    left = reached.join(held, ["lang", "words"], "left").where(f"held IS NULL OR 100 * held < {holds} * a")
-    cols = ["lang", "words", "a", "l", "r", "score"]
+    holders = triples.select("w1", "w2", F.col("a").alias("held")).unionByName(
+        triples.select(F.col("w2").alias("w1"), F.col("w3").alias("w2"), F.col("a").alias("held")))
+    held = holders.groupBy("w1", "w2").agg(F.max("held").alias("held"))
+    left = reached.join(held, ["w1", "w2"], "left").where(f"held IS NULL OR 100 * held < {holds} * a").withColumn("w3", F.lit(None).cast("long"))
+    cols = ["lang", "w1", "w2", "w3", "a", "l", "r", "score"]
     return left.select(*cols).unionByName(triples.join(thresholds, "lang").where("score >= least").select(*cols))
 
 
@@ -250,32 +255,31 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least:
     """Each language's best ``limit`` phrases: lang, rank, phrase, a, l, r, n, score. ``filter_bits`` is a power of two."""
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    counts = stored(_words_and_pairs(docs, chunk_bytes), "phrases")
-    totals = counts.where(F.size("words") == 1).groupBy("lang").agg(F.sum("f").alias("n"))
-    pairs = stored(_pair_table(counts, least), "phrase-pairs")
+    phrases, seed = _vocabulary(docs, chunk_bytes)
+    words = phrases.where("w2 IS NULL")
+    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    pairs = stored(_pair_table(phrases, least), "phrase-pairs")
     bits = min(filter_bits, 1 << max(10, (PAIR_BITS * pairs.count()).bit_length()))
-    triples, old, rank = None, None, ahead * limit
     open_langs = stored(pairs.select("lang").distinct(), "phrase-langs")
-    filter_ = np.zeros(bits // 8, np.uint8)
-    found = []
+    filter_, triples, old, rank = np.zeros(bits // 8, np.uint8), None, None, ahead * limit
+    rows = spark.createDataFrame([], "lang string, w1 long, w2 long, w3 long, a long, l long, r long, score long")
     while open_langs.count():
         thresholds = stored(_thresholds(pairs, open_langs, rank), "phrase-least")
         flags = sum(F.when(F.col(c) >= F.col("least"), 1 << (flag - 1)).otherwise(0) for flag, c in ((OPENS, "opens"), (CLOSES, "closes"), (NAMED, "score")))
-        frontier = pairs.join(thresholds, "lang").select("lang", "words", flags.alias("flags")).where("flags > 0")
+        frontier = pairs.join(thresholds, "lang").select("w1", "w2", flags.alias("flags")).where("flags > 0")
         filter_ = filter_ | _filter(frontier, bits)
         new = spark.sparkContext.broadcast(filter_.tobytes())
-        more = stored(_scored(_triples(docs.join(open_langs, "lang", "left_semi"), old, new, least, chunk_bytes), pairs), "phrase-triples")
+        more = stored(_scored(_triples(docs.join(open_langs, "lang", "left_semi"), seed, old, new, least, chunk_bytes), pairs), "phrase-triples")
         triples, old = more if triples is None else triples.unionByName(more), new
         left = stored(_survivors(pairs, triples.join(open_langs, "lang", "left_semi"), thresholds, holds), "phrase-survivors")
         enough = left.groupBy("lang").count().where(F.col("count") >= limit)
         done = thresholds.join(enough, "lang", "left").where("least = 0 OR count IS NOT NULL").select("lang")
-        found.append(left.join(done, "lang", "left_semi"))
+        rows = rows.unionByName(left.join(done, "lang", "left_semi"))
         open_langs = stored(open_langs.join(done, "lang", "left_anti"), "phrase-langs")
         rank *= GROWTH
-    rows = spark.createDataFrame([], "lang string, words array<string>, a long, l long, r long, score long")
-    for part in found:
-        rows = rows.unionByName(part)
-    rows = rows.withColumn("phrase", F.array_join("words", " "))
+    for i in (1, 2, 3):
+        rows = rows.join(words.select(F.col("w1").alias(f"w{i}"), F.col("word").alias(f"s{i}")), f"w{i}", "left")
+    rows = rows.withColumn("phrase", F.concat_ws(" ", "s1", "s2", "s3"))
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= limit)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
