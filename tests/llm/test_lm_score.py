@@ -111,3 +111,62 @@ def test_model_grows_and_rare_words_depend_on_their_history():
     assert after[rare].mean() > before[rare].mean() + 3
     one = features[:, 5:6]
     assert sum(np.exp(model.log_probabilities(np.array([i]), one))[0] for i in [0, *range(L.TOP, L.TOP + 4096)]) == pytest.approx(1, abs=1e-3)
+
+
+def test_one_round_of_updates_against_single_steps(spark):
+    """Every task's AdaGrad steps row by row in plain Python, and the mean of each row over the tasks that changed it."""
+    texts = [" ".join(f"{c}{(i * k) % 11}" for k in range(1, 260) for c in "ab") for i in range(36)]
+    stream, _ = L.tokens([t.encode() for t in texts])
+    words, counts = np.unique(stream, return_counts=True)
+    leaves = np.zeros((2, 1024), np.int64)
+    np.add.at(leaves[0], L.leaf_of(words, 1024), counts)
+    np.add.at(leaves[1], L.leaf_of(words, 1024), 1)
+    top = np.argsort(-counts, kind="stable")[:9]
+    frame = L.Frame(int(counts.sum()), len(words), [(int(words[i].astype(np.int64)), int(counts[i])) for i in top], leaves)
+    made = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts)], "part int, text string").repartitionByRange(3, "part").sortWithinPartitions("text").select("text")
+    shares = [[r[0] for r in p] for p in made.rdd.glom().collect()]
+    model = L.train(made, frame, 3)
+
+    def softmax(z):
+        e = np.exp(z - z.max())
+        return e / e.sum()
+
+    sums = [{}, {}]
+    for share in shares:
+        weights, squares = [{}, {}], [{}, {}]
+        size = [frame.class_rows, frame.word_rows]
+        width = [L.CLASSES + 1, L.WIDTH]
+        stream, sizes = L.tokens([t.encode() for t in share])
+        ids, features = frame.ids(stream), L.Model.history(stream, sizes)
+        assert len(ids) > L.BATCH
+        for at in range(0, len(ids), L.BATCH):
+            for kind in (0, 1):
+                steps = {}
+                for j in range(at, min(at + L.BATCH, len(ids))):
+                    i = int(ids[j])
+                    if kind == 0:
+                        decisions = [(None, min(i // L.WIDTH, L.CLASSES), frame.class_bias)]
+                    elif i < L.TOP:
+                        decisions = [(i // L.WIDTH, i % L.WIDTH, frame.word_bias[i // L.WIDTH])]
+                    else:
+                        leaf = i - L.TOP
+                        decisions = [(L.CLASSES, leaf >> 5, frame.word_bias[L.CLASSES]),
+                                     (L.CLASSES + 1 + (leaf >> 5), leaf & 31, frame.word_bias[L.CLASSES + 1 + (leaf >> 5)])]
+                    for node, child, bias in decisions:
+                        f = features[:, j] if node is None else L.mix64(features[:, j] + np.uint64(node))
+                        rows = [int(x % np.uint64(size[kind])) for x in f]
+                        z = bias.astype(np.float64) + sum(weights[kind].get(r, np.zeros(width[kind])) for r in rows)
+                        g = softmax(z)
+                        g[child] -= 1
+                        for r in rows:
+                            steps[r] = steps.get(r, 0) + g
+                for r, g in steps.items():
+                    squares[kind][r] = squares[kind].get(r, 0) + (g * g).sum()
+                    weights[kind][r] = weights[kind].get(r, np.zeros(width[kind])) - L.RATE * g / np.sqrt(squares[kind][r] + L.DAMPING)
+        for kind in (0, 1):
+            for r, w in weights[kind].items():
+                sums[kind].setdefault(r, []).append(w)
+    for table, want in zip((model.classes, model.words), sums):
+        assert set(np.flatnonzero(np.abs(table).sum(axis=1)).tolist()) <= set(want)
+        for r, w in want.items():
+            assert table[r] == pytest.approx(np.mean(w, axis=0), abs=2e-4)

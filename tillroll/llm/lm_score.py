@@ -11,11 +11,15 @@ P(rare | history) * P(child | node, history) down to the leaf; all are softmaxes
 of the history: the word before (n-gram of 2), the two before (n-gram of 3) and the one before that
 (skip). Within a leaf words have their smoothed unigram share, unseen ones included, so the
 probabilities sum to one over all words. Weights start at zero, where the model equals the base model.
-The leaves and the rows of the weight tables grow with the square root of the counted tokens.
+The leaves and the rows of the weight tables grow with the square root of the counted tokens; a table's rows
+up to MOST_ROWS, which is the size of the model: whatever the corpus, all of it is counted and trained on.
 
-Training: distributed gradient updates. In each round every task makes AdaGrad steps over its share
-of all training texts, starting from the same weights; the results are averaged, block of weights by
-block, in Spark. Only weights and leaves go to the driver and to the tasks.
+Training: distributed gradient updates, one round over all training texts. Every task starts from the same
+weights and makes AdaGrad steps over its share of the texts (one step size a row of weights). It sends
+the rows it has changed, by blocks of rows; Spark takes each row's mean over the tasks that changed it, in two
+levels, so that no group grows with more than the root of the tasks. A task trains on TRAIN_BYTES of text
+and sends MOST_ROWS rows at most, so the exchange is linear in the input. Only weights (162 MB at most,
+by MOST_ROWS) and leaves go to the driver and to the tasks.
 
 Scoring: texts are scored in numpy batches. Rare words need their corpus counts, which don't fit in
 a task; each chunk sends its distinct rare words with the texts they occur in to the word's hash
@@ -34,10 +38,11 @@ from math import log10
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, fold, mix64, read, release, stored
+from .common import Words, chunks, fold, mix64, ranges, read, release, stored
 from .packed import LAST, column, named, planes, unplanes
 
 FOLDS, HELD_OUT = 10, 0
@@ -47,11 +52,14 @@ TOP = WIDTH * CLASSES
 #: Least leaves of the rare class and rows of the two weight tables; and their number for each root of the tokens.
 LEAVES, CLASS_ROWS, WORD_ROWS = 1 << 10, 1 << 14, 1 << 16
 LEAVES_ROOT, CLASS_ROOT, WORD_ROOT = 1, 2, 8
-#: Bytes of training text of a task, the least tasks and the rounds of updates.
-TRAIN_BYTES, TASKS, ROUNDS = 128 << 20, 6, 2
-RATE, BATCH = 0.15, 2048
+#: The most rows of the two tables together are 5 / 4 of this.
+MOST_ROWS = 1 << 20
+#: Bytes of training text of a task, and the least tasks.
+TRAIN_BYTES, TASKS = 256 << 20, 6
+RATE, DAMPING, BATCH = 0.6, 1e-2, 4096
 CHUNK_BYTES, RANGE_BYTES = 2 << 20, 24 << 20
-BLOCK = 1 << 18  # weights of one block of the exchange
+BLOCK = 1 << 16  # leaves of one block of the exchange
+BLOCK_ROWS = 1 << 11  # rows of weights of one block
 END, START = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
 _SALT = [np.uint64(x) for x in (0x44DB015024623547, 0x9C15F73E62A76AE2, 0x75834465489C0C89)]
 
@@ -93,9 +101,15 @@ def count_words(rows: DataFrame, parts: int) -> DataFrame:
     return rows.select("text").mapInArrow(partial, kinds).groupBy("part").applyInArrow(total, kinds)
 
 
-def sized(total: int, root: int, least: int) -> int:
-    """A power of two, ``least`` or more, that grows with the square root of the tokens."""
-    return max(least, 1 << max(0, int(root * total ** 0.5) - 1).bit_length())
+def sized(total: int, root: int, least: int, most: int = 1 << 40) -> int:
+    """A power of two, ``least`` or more, that grows with the square root of the tokens (to ``most``)."""
+    return min(most, max(least, 1 << max(0, int(root * total ** 0.5) - 1).bit_length()))
+
+
+def leaves_for(total: int) -> int:
+    """Leaves of a tree whose nodes have WIDTH children each, so that no level is wider than it needs."""
+    bits = WIDTH.bit_length() - 1
+    return 1 << bits * ((sized(total, LEAVES_ROOT, LEAVES).bit_length() - 1) // bits)
 
 
 def leaf_of(words: np.ndarray, leaves: int) -> np.ndarray:
@@ -108,7 +122,8 @@ class Frame:
 
     def __init__(self, total: int, distinct: int, top: list[tuple[int, int]], leaves: np.ndarray | None = None):
         self.total, self.distinct = total, distinct
-        self.class_rows, self.word_rows = sized(total, CLASS_ROOT, CLASS_ROWS), sized(total, WORD_ROOT, WORD_ROWS)
+        self.class_rows = sized(total, CLASS_ROOT, CLASS_ROWS, MOST_ROWS // 4)
+        self.word_rows = sized(total, WORD_ROOT, WORD_ROWS, MOST_ROWS)
         top = sorted(top, key=lambda x: (-x[1], x[0]))
         self.counts = np.array([c for _, c in top], np.int64)
         hashes = np.array([h for h, _ in top], np.int64).view(np.uint64)
@@ -186,7 +201,7 @@ def frame_of(counted: DataFrame) -> Frame:
     end = int(END.astype(np.int64))
     rows = found.orderBy((F.col("word") == end).desc(), F.col("c").desc(), "word").limit(TOP).collect()  # the model's vocabulary
     total = sums[0] or 0
-    return Frame(total, sums[1] or 0, [(r["word"], r["c"]) for r in rows], _leaves(counted, sized(total, LEAVES_ROOT, LEAVES)))
+    return Frame(total, sums[1] or 0, [(r["word"], r["c"]) for r in rows], _leaves(counted, leaves_for(total)))
 
 
 def _leaves(counted: DataFrame, leaves: int) -> np.ndarray:
@@ -234,10 +249,10 @@ class Model:
         return np.stack([mix64(one ^ _SALT[0]), mix64(mix64(two + _SALT[1]) ^ one), mix64(two ^ _SALT[2])])
 
     def class_logits(self, rows: np.ndarray) -> np.ndarray:
-        return self.classes[rows[0]] + self.classes[rows[1]] + self.classes[rows[2]] + self.frame.class_bias
+        return _logits(self.classes, rows, self.frame.class_bias)
 
     def word_logits(self, rows: np.ndarray, own: np.ndarray) -> np.ndarray:
-        return self.words[rows[0]] + self.words[rows[1]] + self.words[rows[2]] + self.frame.word_bias[own]
+        return _logits(self.words, rows, np.take(self.frame.word_bias, own, axis=0))
 
     def rows(self, features: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
         if own is None:
@@ -252,89 +267,129 @@ class Model:
             part = _chosen(self.class_logits(self.rows(f)), np.minimum(i // WIDTH, CLASSES))
             place, node, child = self.frame.decisions(i)
             if len(place):
-                below = _chosen(self.word_logits(self.rows(f[:, place], node), node), child)
+                below = _chosen(self.word_logits(self.rows(np.take(f, place, axis=1), node), node), child)
                 part = part + np.bincount(place, below, len(i))
             out[at:at + len(i)] = part
         return out
 
     def learn(self, ids: np.ndarray, features: np.ndarray, state: list[np.ndarray]) -> None:
-        """AdaGrad steps over batches of tokens."""
+        """AdaGrad steps over batches of tokens; ``state`` is the sum of squared gradients of each row of the tables."""
         for at in range(0, len(ids), BATCH):
             i, f = ids[at:at + BATCH], features[:, at:at + BATCH]
             rows = self.rows(f)
             _step(self.classes, state[0], rows, _gradient(self.class_logits(rows), np.minimum(i // WIDTH, CLASSES)))
             place, node, child = self.frame.decisions(i)
             if len(place):
-                rows = self.rows(f[:, place], node)
+                rows = self.rows(np.take(f, place, axis=1), node)
                 _step(self.words, state[1], rows, _gradient(self.word_logits(rows, node), child))
 
 
+def _logits(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    out = np.take(weights, rows[0], axis=0)
+    for own in rows[1:]:
+        out += np.take(weights, own, axis=0)
+    out += bias
+    return out
+
+
 def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    high = logits.max(axis=1)
-    return logits[np.arange(len(at)), at] - high - np.log(np.exp(logits - high[:, None]).sum(axis=1, dtype=np.float64))
+    """Log probabilities; uses up ``logits``."""
+    logits -= logits.max(axis=1, keepdims=True)
+    own = logits[np.arange(len(at)), at]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=1, dtype=np.float64))
 
 
 def _gradient(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    """Probabilities less the chosen ones; uses up ``logits``."""
+    logits -= logits.max(axis=1, keepdims=True)
+    p = np.exp(logits, out=logits)
     p /= p.sum(axis=1, keepdims=True)
     p[np.arange(len(at)), at] -= 1
     return p
 
 
 def _step(weights: np.ndarray, state: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
+    """One step of every row in ``rows`` (three a decision) by the sum of its decisions' gradients."""
     n = rows.shape[1]
     bits = np.int64((3 * n).bit_length())
     # Row and place in one number: one sort brings the gradients of a row together, in the order of the tokens.
-    keys = np.sort(rows.reshape(-1) << bits | np.arange(3 * n))
+    keys = rows.reshape(-1) << bits
+    keys |= np.arange(3 * n)
+    keys.sort()
     row = keys >> bits
-    first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
-    where, times = row[first], np.diff(np.concatenate((first, [3 * n])))
     place = (keys & ((1 << bits) - 1)) % n
-    total = gradient[place[first]]
-    many = np.flatnonzero(times > 1)  # the sums are slow: most rows come once
-    if len(many):
-        own = times[many]
-        total[many] = np.add.reduceat(gradient[place[np.repeat(times > 1, times)]], np.cumsum(own) - own, axis=0)
-    seen = state[where] + total * total
-    state[where] = seen
-    weights[where] -= RATE * total / np.sqrt(seen + 1e-2)
+    first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+    where, times = row[first], np.diff(first, append=3 * n)
+    total = np.take(gradient, place[first], axis=0)
+    # Most rows come once; second and third decisions are added for all rows at once, the rest by row.
+    seen, more = 1, np.flatnonzero(times > 1)
+    while len(more) and seen < 4:
+        total[more] += np.take(gradient, place[first[more] + seen], axis=0)
+        seen += 1
+        more = more[times[more] > seen]
+    if len(more):
+        own = times[more] - seen
+        total[more] += np.add.reduceat(np.take(gradient, place[ranges(first[more] + seen, own)], axis=0), np.cumsum(own) - own, axis=0)
+    squares = state.reshape(len(state), -1)[:, 0]
+    norm = squares[where] + np.einsum("ij,ij->i", total, total)
+    squares[where] = norm
+    total *= (RATE / np.sqrt(norm + DAMPING))[:, None].astype(np.float32)
+    weights[where] = np.take(weights, where, axis=0) - total
+
+
+_PART = "kind int, block int, slot int, rows binary, times binary, weights binary"
+
+
+def _changed(model: Model, state: list[np.ndarray], slot: int) -> Iterator[pa.RecordBatch]:
+    """The changed rows of both tables, a record for each block of rows."""
+    for kind, (table, seen) in enumerate(zip((model.classes, model.words), state)):
+        rows = np.flatnonzero(seen)
+        for own in np.split(rows, np.flatnonzero(np.diff(rows // BLOCK_ROWS)) + 1) if len(rows) else []:
+            yield _part_row(kind, int(own[0] // BLOCK_ROWS), slot, own % BLOCK_ROWS, np.ones(len(own)), table[own])
+
+
+def _part_row(kind: int, block: int, slot: int, rows: np.ndarray, times: np.ndarray, weights: np.ndarray) -> pa.RecordBatch:
+    values = (kind, block, slot, rows.astype("<u2").tobytes(), times.astype("<i4").tobytes(), weights.astype("<f4").tobytes())
+    return pa.RecordBatch.from_arrays([pa.array([v], pa.binary() if i > 2 else pa.int32()) for i, v in enumerate(values)],
+                                      [c.split()[0] for c in _PART.split(", ")])
+
+
+def _mean(table: pa.Table) -> pa.Table:
+    """The mean of each row of a block over the tasks that changed it, and their number."""
+    kind, block = (table.column(c)[0].as_py() for c in ("kind", "block"))
+    width = (CLASSES + 1, WIDTH)[kind]
+    times, total = np.zeros(BLOCK_ROWS, np.int64), np.zeros((BLOCK_ROWS, width))
+    for r, t, w in zip(*(table.column(c) for c in ("rows", "times", "weights"))):
+        rows, own = np.frombuffer(r.as_py(), "<u2"), np.frombuffer(t.as_py(), "<i4")
+        times[rows] += own
+        total[rows] += own[:, None] * np.frombuffer(w.as_py(), "<f4").reshape(-1, width)
+    rows = np.flatnonzero(times)
+    return pa.Table.from_batches([_part_row(kind, block, 0, rows, times[rows], total[rows] / times[rows, None])])
 
 
 def train(texts: DataFrame, frame: Frame, tasks: int = TASKS) -> Model:
-    """Rounds of updates over all ``texts`` (text); each task's weights are averaged in Spark."""
+    """One round of updates over all ``texts`` (text)."""
     spark = texts.sparkSession
     model = Model(frame)
     texts = texts.select("text")
     # Many splits are put together without a shuffle; too few are dealt out anew.
     texts = texts.coalesce(tasks) if texts.rdd.getNumPartitions() >= tasks else stored(texts.repartition(tasks), "lm-texts")
-    for _ in range(ROUNDS):
-        sent = spark.sparkContext.broadcast((frame, model.classes, model.words))
-
-        def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = Model(sent.value[0], sent.value[1].copy(), sent.value[2].copy())  # noqa: B023
-            state, seen = [np.zeros_like(own.classes), np.zeros_like(own.words)], 0
-            for _, texts in chunks(batches, 0, 1 << 20):
-                stream, sizes = tokens(texts)
-                own.learn(own.frame.ids(stream), Model.history(stream, sizes), state)
-                seen += len(stream)
-            if seen:
-                flat = np.concatenate((own.classes.reshape(-1), own.words.reshape(-1)))
-                for b, at in enumerate(range(0, len(flat), BLOCK)):
-                    yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([flat[at:at + BLOCK].tobytes()], pa.binary())],
-                                                     ["block", "w"])
-
-        def average(table: pa.Table) -> pa.Table:
-            total = np.mean([np.frombuffer(x, np.float32) for x in table.column("w").to_pylist()], axis=0, dtype=np.float64)
-            return pa.table({"block": table.column("block").slice(0, 1).cast(pa.int32()),
-                             "w": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
-
-        kinds = "block int, w binary"
-        blocks = {r["block"]: r["w"] for r in texts.mapInArrow(update, kinds).groupBy("block")
-                  .applyInArrow(average, kinds).collect()}  # the weights
-        if blocks:
-            flat = np.frombuffer(b"".join(bytes(blocks[b]) for b in sorted(blocks)), np.float32)
-            cut = model.classes.size
-            model = Model(frame, flat[:cut].reshape(-1, CLASSES + 1).copy(), flat[cut:].reshape(-1, WIDTH).copy())
+    slots = max(1, round(tasks ** 0.5))
+    sent = spark.sparkContext.broadcast(frame)
+
+    def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(sent.value)
+        state = [np.zeros(len(own.classes), np.float32), np.zeros(len(own.words), np.float32)]
+        for _, texts in chunks(batches, 0, 1 << 20):
+            stream, sizes = tokens(texts)
+            own.learn(own.frame.ids(stream), Model.history(stream, sizes), state)
+        yield from _changed(own, state, TaskContext.get().partitionId() % slots)
+
+    parts = texts.mapInArrow(update, _PART).groupBy("kind", "block", "slot").applyInArrow(_mean, _PART)
+    for row in parts.groupBy("kind", "block").applyInArrow(_mean, _PART).toLocalIterator():  # the weights: MOST_ROWS bounds them
+        table = model.words if row["kind"] else model.classes
+        rows = np.frombuffer(row["rows"], "<u2").astype(np.int64) + row["block"] * BLOCK_ROWS
+        table[rows] = np.frombuffer(row["weights"], "<f4").reshape(len(rows), -1)
     return model
 
 

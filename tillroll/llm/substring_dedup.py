@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Rolling, Words, chunks, ranges, read, release
+from .common import Rolling, Words, chunks, mix64, ranges, read, release
 from .packed import REPLY, SEGMENT, SEGMENTS, Segments, column, gathered, named, opened, replies, segments
 
 WINDOW = 13
@@ -77,7 +77,9 @@ def _sent(docs: DataFrame, k: int, parts: int, chunk_bytes: int) -> DataFrame:
             known = np.flatnonzero(~same_document)
             if len(known):
                 own = known[np.lexsort((at[known], doc[known]))]
-                rows.append((int(part[own[0]]), *segments(rank, uid, doc[own], at[own]), b""))
+                # They only pass through a range, any: by a document, as chunks may all begin with the same passage.
+                to = int(mix64(uid[doc[own[:1]]].astype(np.uint64))[0] % np.uint64(parts))
+                rows.append((to, *segments(rank, uid, doc[own], at[own]), b""))
             left = np.flatnonzero(same_document)
             left = left[np.lexsort((at[left], doc[left], part[left]))]
             for own in np.split(left, np.flatnonzero(np.diff(part[left])) + 1):

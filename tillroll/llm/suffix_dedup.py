@@ -111,14 +111,14 @@ def _rows(rank, uid, groups: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [c.split()[0] for c in _ROW.split(", ")])
 
 
-def _groups(kind: int, parts: int, chosen: np.ndarray, doc, at, count, a, b) -> list[tuple]:
-    """What goes to each range, by the first hash. Answers need no range of their own: they go by the
-    first one's, without hashes."""
+def _groups(kind: int, parts: int, chosen: np.ndarray, uid, doc, at, count, a, b) -> list[tuple]:
+    """What goes to each range, by the first hash. Answers only pass through a range, any: they go by one of
+    their documents, as chunks may all begin with the same passage, without hashes."""
     if not len(chosen):
         return []
     part = (mix64(a[chosen]) % np.uint64(parts)).astype(np.int64)
     if kind != ASKED:
-        part[:] = part[0]
+        part[:] = (mix64(uid[doc[chosen[:1]]].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
     order = np.lexsort((at[chosen], doc[chosen], part))
     part, chosen = part[order], chosen[order]
     none = np.empty(0, np.uint64)
@@ -191,9 +191,9 @@ def _phrases(docs: DataFrame, parts: int, chunk_bytes: int) -> DataFrame:
             many = np.bincount(group)[group] > 1
             marked = count.copy()
             marked[entries[many]] = 0  # a key whose entries are compared anyway
-            groups = (_groups(REPEATED, parts, order[~first & ~twin], doc, at, count, key, entry)
-                      + _groups(COMPARE, parts, entries[many], doc, at, count, key, entry)
-                      + _groups(ASKED, parts, entries[~many | head], doc, at, marked, key, entry))
+            groups = (_groups(REPEATED, parts, order[~first & ~twin], uid, doc, at, count, key, entry)
+                      + _groups(COMPARE, parts, entries[many], uid, doc, at, count, key, entry)
+                      + _groups(ASKED, parts, entries[~many | head], uid, doc, at, marked, key, entry))
             yield _rows(rank, uid, groups)
 
     return docs.mapInArrow(run, _ROW)
@@ -239,8 +239,8 @@ def _strings(docs: DataFrame, parts: int, chunk_bytes: int) -> DataFrame:
             lead = order[np.flatnonzero(first)[np.cumsum(first) - 1]]
             twin = (number[doc[order]] == number[doc[lead]]) & (at[order] == at[lead])
             one = np.ones(len(at), np.int64)
-            yield _rows(rank, uid, _groups(REPEATED, parts, order[~first & ~twin], doc, at, one, a, b)
-                        + _groups(ASKED, parts, order[first], doc, at, one, a, b))
+            yield _rows(rank, uid, _groups(REPEATED, parts, order[~first & ~twin], uid, doc, at, one, a, b)
+                        + _groups(ASKED, parts, order[first], uid, doc, at, one, a, b))
 
     return docs.mapInArrow(run, _ROW)
 
