@@ -39,6 +39,37 @@ def test_article_in_several_sections():
     assert main_text(page) == f"One {text('a')} {text('b')} {text('c')}"
 
 
+@pytest.mark.parametrize("mark", ["ad-free", "entry-content ad-free", "with-sidebar", "promo-code-guide", "comment-policy", "navigation-history",
+                                  "reply-to-critics", "post subscription-required", "menu-planning", "adFree"])
+def test_compound_classes_of_article_parts(mark):
+    assert main_text(f"<article><h1>T</h1><div class='{mark}'><p>{P}</p><p>{P}</p></div></article>") == f"T {P} {P}"
+    page = f"<article><p>{P}</p><p>{P}</p><section class='{mark}'><p>{P}</p></section></article>"
+    assert main_text(page) == f"{P} {P} {P}"
+
+
+@pytest.mark.parametrize("mark", ["comment-list", "site-footer", "cookieNotice", "ad-slot-3", "related-posts", "share_buttons", "nav-main"])
+def test_compound_classes_of_other_parts(mark):
+    assert main_text(f"<article><p>{P}</p><p>{P}</p><div class='{mark}'><p>Some words.</p></div></article>") == f"{P} {P}"
+
+
+def test_several_articles_and_sections_around_the_article():
+    text = f"{P} {P}"
+    part = f"<p>{P}</p><p>{P}</p>"
+    assert main_text(f"<body><main><article>{part}</article><article>{part}</article></main></body>") == f"{text} {text}"
+    assert main_text(f"<body><article>{part}</article><article>{part}</article><footer>f</footer></body>") == f"{text} {text}"
+    assert main_text(f"<body><article>{part}</article><section><h2>More</h2>{part}</section></body>") == f"{text} More {text}"
+    teasers = "".join(f"<article><a href=x>Read about {i}</a></article>" for i in range(5))
+    assert main_text(f"<body><article>{part}</article><div>{teasers}</div></body>") == text
+
+
+def test_lists_of_links_inside_the_article():
+    links = "".join(f"<li><a href=x{i}>Another page {i}</a></li>" for i in range(6))
+    part = f"<p>{P} <a href=y>with a link</a></p><p>{P}</p>"
+    want = f"{P} with a link {P}"
+    assert main_text(f"<main><ul>{links}</ul>{part}</main>") == want
+    assert main_text(f"<main>{part}<ul><li>{P}</li><li><a href=z>one link</a></li></ul></main>") == f"{want} {P} one link"
+
+
 def test_query_keeps_articles_whole(spark):
     """Brute force for this table: all that stands in the article element, block by block."""
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}

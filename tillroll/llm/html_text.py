@@ -7,11 +7,14 @@ the body to the node with the largest density sum (the path thresholds); of ever
 reach it all the way down, the subtree with the largest sum is content, joined in page order. Text that is no article text wherever it
 stands (scripts, styles, forms, menus, headers, footers, sidebars, notices, adverts, comments of
 readers) is taken out by tag, role and class before, so it counts in no density. A class or id
-only counts as such a mark if the element doesn't hold the article itself.
+only counts as such a mark if the element doesn't hold the article itself, and a compound one only if all
+its parts are marks or name a place (``comment-list``; not ``ad-free`` or ``menu-planning``).
 
-If an ``article`` or ``main`` element holds the densest subtree, all of that element's blocks are
-kept: a short paragraph or heading beside long ones is article text too. Without such an element
-the headings and paragraphs right beside the chosen subtrees are added.
+If an ``article`` or ``main`` element holds the densest subtree, all of that element's blocks but its
+lists of links are kept: a short paragraph or heading beside long ones is article text too. The threshold then
+is the smallest density on the path from the body to that element, and what else reaches it, further
+articles and sections, is joined in page order. Without such an element the headings and paragraphs
+right beside the chosen subtrees are added.
 
 Defined results: null or empty html and a page without content give an empty text and 0
 characters. Malformed markup is read as browsers do (implied ends of p, li, td and so on,
@@ -61,12 +64,14 @@ WEAK = ("header banner side rail widget widgets notice notices alert alerts moda
         "copyright legal disclaimer tag tags").split()
 
 
-def _words(words: list[str]) -> re.Pattern:
-    return re.compile(rf"(?:^|[\s_-])(?:{'|'.join(words)})(?:$|[\s_-]|\d)", re.I)
-
-
-STRONG_MARKS, WEAK_MARKS = _words(STRONG), _words(WEAK)
+#: What else a compound class or id may consist of: places, containers, kinds of blocks.
+PLACES = frozenset("site page main top bottom left right inner outer list lists area section sections wrapper wrap box bar container block "
+                   "blocks item items button buttons link links icon icons posts post articles panel group row col column content body title "
+                   "head thread tree text image img unit slot zone region holder sticky fixed mobile desktop primary secondary global".split())
+STRONG_MARKS, WEAK_MARKS = frozenset(STRONG), frozenset(WEAK)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: Containers that are menus if they hold nothing but links.
+LINK_LISTS = frozenset("ul ol div section dl table p".split())
 #: Elements that hold the page or the article are never dropped for a mark.
 KEPT = frozenset("html body main article".split())
 
@@ -105,11 +110,20 @@ def _marks(tag: str, attributes: str) -> tuple[bool, int]:
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             gone = True
         elif name in ("class", "id"):
-            value = CAMEL.sub("-", value)
-            marked = max(marked, 2 if STRONG_MARKS.search(value) else 1 if WEAK_MARKS.search(value) else 0)
+            marked = max([marked, *(_mark(token) for token in CAMEL.sub("-", value).lower().split())])
     return gone, marked
 
 
+def _mark(token: str) -> int:
+    """0, 1 or 2 for one class or id. Other parts than marks and places give it another meaning."""
+    if token in STRONG_MARKS:
+        return 2
+    parts = {part.rstrip("0123456789") for part in re.split(r"[-_]+", token)} - {""}
+    if not parts <= STRONG_MARKS | WEAK_MARKS | PLACES:
+        return 0
+    return 2 if parts & STRONG_MARKS else 1 if parts & WEAK_MARKS else 0
+
+
 def parse(page: str) -> Node:
     """DOM of a page without the dropped elements. Void elements and comments make no node."""
     root = Node("html", None)
@@ -299,13 +313,59 @@ def content(root: Node) -> list[Node | str]:
         if here.tag == "article" or here.tag == "main" and holder is None:
             holder = here
         here = here.parent
-    if holder is not None:
-        return [holder]
-    limit, here = best.density, best
+    limit, here = (best if holder is None else holder).density, best if holder is None else holder
     while here is not body:  # the thresholds on the way from the body
         here = here.parent
         limit = min(limit, here.density)
-    return _in_order(body, [best, *_dense(inner, body, limit)])
+    if holder is None:
+        return _in_order(body, [best, *_dense(inner, body, limit)])
+    _cut_link_lists(holder)
+    others = [_section(n, body) for n in _dense(inner, body, limit) if 2 * n.link_chars <= n.chars]
+    return _outermost(body, [holder, *others])
+
+
+def _section(node: Node, body: Node) -> Node:
+    """The largest article or section around ``node`` that holds no other one's text, else the node."""
+    here, found = node, node
+    while here is not body and here is not None:
+        if here.tag in ("article", "section"):
+            found = here
+            if here.tag == "article":
+                break
+        here = here.parent
+    return found
+
+
+def _cut_link_lists(holder: Node) -> None:
+    """Empty the lists and containers in ``holder`` whose text is links: menus without a mark."""
+    stack = [holder]
+    while stack:
+        node = stack.pop()
+        if node is not holder and node.tag in LINK_LISTS and 10 * node.link_chars >= 9 * node.chars > 0 and _links(node) >= 3 \
+                and 2 * node.chars < holder.chars:
+            node.items = []
+        stack.extend(x for x in node.items if isinstance(x, Node))
+
+
+def _links(node: Node) -> int:
+    n, stack = 0, [node]
+    while stack:
+        here = stack.pop()
+        n += here.tag == "a"
+        stack.extend(x for x in here.items if isinstance(x, Node))
+    return n
+
+
+def _outermost(body: Node, chosen: list[Node]) -> list[Node]:
+    """The chosen nodes that lie in no other one, in page order."""
+    taken, out, stack = {id(n) for n in chosen}, [], [body]
+    while stack:
+        node = stack.pop()
+        if id(node) in taken:
+            out.append(node)
+        else:
+            stack.extend(x for x in reversed(node.items) if isinstance(x, Node))
+    return out
 
 
 def _dense(inner: list[Node], body: Node, limit: float) -> list[Node]:
