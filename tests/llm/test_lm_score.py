@@ -153,7 +153,7 @@ def test_one_round_of_updates_against_single_steps(spark):
                         decisions = [(L.CLASSES, leaf >> 5, frame.word_bias[L.CLASSES]),
                                      (L.CLASSES + 1 + (leaf >> 5), leaf & 31, frame.word_bias[L.CLASSES + 1 + (leaf >> 5)])]
                     for node, child, bias in decisions:
-                        f = features[:, j] if node is None else L.mix64(features[:, j] + np.uint64(node))
+                        f = features[:, j] if node is None else L.mix64(features[:L.BELOW, j] + np.uint64(node))
                         rows = [int(x % np.uint64(size[kind])) for x in f]
                         z = bias.astype(np.float64) + sum(weights[kind].get(r, np.zeros(width[kind])) for r in rows)
                         g = softmax(z)

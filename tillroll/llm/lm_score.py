@@ -9,7 +9,7 @@ frequency; all others form the rare class, a tree of WIDTH children a node whose
 the word's hash. P(word | history) = P(class | history) * P(word | class, history), and for rare words
 P(rare | history) * P(child | node, history) down to the leaf; all are softmaxes over hashed features
 of the history: the word before (n-gram of 2), the two before (n-gram of 3) and the one before that
-(skip). Within a leaf words have their smoothed unigram share, unseen ones included, so the
+(skip, for classes only). Within a leaf words have their smoothed unigram share, unseen ones included, so the
 probabilities sum to one over all words. Weights start at zero, where the model equals the base model.
 The leaves and the rows of the weight tables grow with the square root of the counted tokens; a table's rows
 up to MOST_ROWS, which is the size of the model: whatever the corpus, all of it is counted and trained on.
@@ -57,6 +57,8 @@ MOST_ROWS = 1 << 20
 #: Bytes of training text of a task, and the least tasks.
 TRAIN_BYTES, TASKS = 256 << 20, 6
 RATE, DAMPING, BATCH = 0.6, 1e-2, 4096
+HIGHEST = np.float32(60)  # of a logit, far beyond what is learned
+BELOW = 2  # features of the choices below the classes: the skip feature only chooses classes
 CHUNK_BYTES, RANGE_BYTES = 2 << 20, 24 << 20
 BLOCK = 1 << 16  # leaves of one block of the exchange
 BLOCK_ROWS = 1 << 11  # rows of weights of one block
@@ -267,7 +269,7 @@ class Model:
             part = _chosen(self.class_logits(self.rows(f)), np.minimum(i // WIDTH, CLASSES))
             place, node, child = self.frame.decisions(i)
             if len(place):
-                below = _chosen(self.word_logits(self.rows(np.take(f, place, axis=1), node), node), child)
+                below = _chosen(self.word_logits(self.rows(np.take(f[:BELOW], place, axis=1), node), node), child)
                 part = part + np.bincount(place, below, len(i))
             out[at:at + len(i)] = part
         return out
@@ -280,7 +282,7 @@ class Model:
             _step(self.classes, state[0], rows, _gradient(self.class_logits(rows), np.minimum(i // WIDTH, CLASSES)))
             place, node, child = self.frame.decisions(i)
             if len(place):
-                rows = self.rows(np.take(f, place, axis=1), node)
+                rows = self.rows(np.take(f[:BELOW], place, axis=1), node)
                 _step(self.words, state[1], rows, _gradient(self.word_logits(rows, node), child))
 
 
@@ -294,32 +296,32 @@ def _logits(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarr
 
 def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log probabilities; uses up ``logits``."""
-    logits -= logits.max(axis=1, keepdims=True)
-    own = logits[np.arange(len(at)), at]
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1, dtype=np.float64))
+    np.minimum(logits, HIGHEST, out=logits)
+    own = logits[np.arange(len(at)), at].astype(np.float64)
+    return own - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], np.float32))
 
 
 def _gradient(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Probabilities less the chosen ones; uses up ``logits``."""
-    logits -= logits.max(axis=1, keepdims=True)
+    np.minimum(logits, HIGHEST, out=logits)
     p = np.exp(logits, out=logits)
-    p /= p.sum(axis=1, keepdims=True)
+    p *= (1 / (p @ np.ones(p.shape[1], np.float32)))[:, None]
     p[np.arange(len(at)), at] -= 1
     return p
 
 
 def _step(weights: np.ndarray, state: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-    """One step of every row in ``rows`` (three a decision) by the sum of its decisions' gradients."""
-    n = rows.shape[1]
-    bits = np.int64((3 * n).bit_length())
+    """One step of every row in ``rows`` (a line a feature) by the sum of its decisions' gradients."""
+    n, all_ = rows.shape[1], rows.size
+    bits = np.int64(all_.bit_length())
     # Row and place in one number: one sort brings the gradients of a row together, in the order of the tokens.
     keys = rows.reshape(-1) << bits
-    keys |= np.arange(3 * n)
+    keys |= np.arange(all_)
     keys.sort()
     row = keys >> bits
     place = (keys & ((1 << bits) - 1)) % n
     first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
-    where, times = row[first], np.diff(first, append=3 * n)
+    where, times = row[first], np.diff(first, append=all_)
     total = np.take(gradient, place[first], axis=0)
     # Most rows come once; second and third decisions are added for all rows at once, the rest by row.
     seen, more = 1, np.flatnonzero(times > 1)
