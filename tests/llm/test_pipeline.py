@@ -42,7 +42,8 @@ def test_each_stage_on_its_own_input(staged, spark):
     rows = {r.doc_id: r for r in d0.collect()}
     told = {r.doc_id: r for r in langid.identify(d0).collect()}
     assert {r.doc_id for r in d1.collect()} == {i for i, r in told.items() if r.lang_pred != "und"}
-    assert all(tuple(r) == tuple(rows[r.doc_id]) for r in d1.collect())
+    assert all(tuple(r) == tuple(rows[r.doc_id]) for r in d1.collect() if rows[r.doc_id].lang is not None)
+    assert all(r.lang == told[r.doc_id].lang_pred for r in d1.collect() if rows[r.doc_id].lang is None)
     data = [(r.doc_id, r.text) for r in d1.collect()]
     want = {eval(x)[0] for x in components(data, 5) if eval(x)[3]}
     assert {r.doc_id for r in d2.collect()} == want
@@ -84,5 +85,22 @@ def test_null_ids_repeated_rows_and_extra_columns(spark, tmp_path):
         pq.write_table(pa.table({"item_id": pa.array([], pa.int64()), "text": pa.array([], pa.string())}), tmp_path / "benchmark.parquet")
         got = P.run(spark, str(tmp_path)).collect()
         ids = [r.doc_id for r in got]
-        assert not n and not got or {50, 51, 52}.isdisjoint(ids) and ids.count(1) == 2 and ids.count(None) == 1
+        assert not n and not got or {50, 51, 52}.isdisjoint(ids) and ids.count(1) == 1 and None not in ids
     del docs
+
+
+def test_predicted_language_fills_null_and_one_row_of_equals_stays(spark):
+    from pyspark.sql import functions as F
+    from tillroll.llm import langid, near_dedup
+    docs = read(spark, SF, "documents").withColumn("score", F.lit("own")).withColumn("lang_pred", F.lit(7))
+    gone = docs.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang")))
+    got = {r.doc_id: r for r in P.language(spark, gone, SF).collect()}
+    told = {r.doc_id: r.lang_pred for r in langid.identify(gone).collect()}
+    for r in gone.collect():
+        if r.doc_id in got:
+            assert tuple(got[r.doc_id]) == tuple({**r.asDict(), "lang": r.lang or told[r.doc_id]}.values())
+    text = "one two three four five six seven eight"
+    rows = [(3, text, "a"), (3, text, "b"), (None, text, "c"), (None, text, "d"), (None, "other words stand here and here alone", "e"),
+            (None, "other words stand here and here alone", "f"), (9, None, "g"), (9, None, "h"), (None, "", "i")]
+    kept = near_dedup.kept_rows(spark.createDataFrame(rows, "doc_id long, text string, mark string")).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in kept) == sorted(str(r[:2]) for r in [rows[0], rows[4], *rows[6:]])

@@ -278,14 +278,17 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              least: float = 0.0) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose language can be told (with a score of ``least`` or more). Without
-    a row to learn from nothing is told by a model: all texts with a letter stay."""
+    """The rows of ``docs`` whose language can be told (with a score of ``least`` or more); a null language becomes
+    the predicted one, all else is unchanged. Without a row to learn from nothing is told by a model: all texts
+    with a letter stay."""
     learn = docs.where(fold(id_col, FOLDS) != HELD_OUT)
     model = train(learn, id_col, text_col, lang_col)
     if model is None:
         return docs.where(_lettered(text_col))
-    found = predict(docs, model, text_col)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+    own = {c: f"__own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
+    found = predict(docs.withColumnsRenamed(own), model, text_col).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    lang = F.coalesce(lang_col, F.col("lang_pred").cast(docs.schema[lang_col].dataType))
+    return found.select(*[lang.alias(c) if c == lang_col else F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -210,10 +210,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, unchanged, of one document of each group."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(
-        F.col(id_col).alias("__near_id"), F.col("text_hash").alias("__near_hash")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__near_id")) & (_text_hash(text_col) == F.col("__near_hash")), "left_semi")
+    """One row of each group, unchanged: that with the smallest id, null ids last (then by the text's hash), and
+    one of rows equal in id and text. Here rows without an id are linked like others. Rows without words are
+    in no group: all of them stay."""
+    def key(df: DataFrame) -> Column:
+        return F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), _text_hash(text_col))
+
+    found = stored(near_duplicates(docs.select(key(docs).alias("key"), text_col), "key", text_col, **options)
+                   .where("kept").groupBy("key").agg(F.count(F.lit(1)).alias("times"), F.max("n_shingles").alias("n")), "near-kept")
+
+    def rows(which: str) -> DataFrame:
+        kept = found.where(which).select(F.col("key").alias("__near_key"))
+        return docs.withColumn("__near_own", key(docs)).join(kept, F.col("__near_own") == F.col("__near_key"), "left_semi")
+
+    # Rows equal in id and text are few: only they are brought together, and only one of each task leaves it.
+    once = rows("times = 1 OR n = 0")
+    repeated = rows("times > 1 AND n > 0").dropDuplicates(["__near_own"])
+    return once.unionByName(repeated).drop("__near_own")
 
 
 def _alike(n: str, m: str, threshold: tuple[int, int]) -> Column:
