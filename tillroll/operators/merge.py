@@ -7,9 +7,8 @@ and re-applying the same batch changes nothing (idempotent). The batch is reduce
 (``max_by`` over a struct, with partial aggregation on the map side, so a hot key crosses the
 shuffle as one row per map task), then one null-safe full outer join picks the newer side.
 
-``MergedTable`` stores a table in hash buckets of its key. A load rewrites only the buckets it
-touches: their rows are read once and meet the batch in one exchange by bucket, which is also the
-layout they are written in; all other buckets are carried over by reference.
+``MergedTable`` stores a table as runs of rows. A load writes the rows it changes and nothing else; runs are
+put together when they have grown alike, so every row is rewritten a logarithmic number of times.
 """
 
 from __future__ import annotations
@@ -17,8 +16,10 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +27,6 @@ LOAD_ID = "_load_id"
 ROW_ID = "_row_id"
 LOAD_SEQ = "_load_seq"
 METADATA = (LOAD_ID, ROW_ID, LOAD_SEQ)
-BUCKET = "_bucket"
 
 
 def with_load_metadata(batch: DataFrame, load_id: str, load_seq: int, pk: list[str]) -> DataFrame:
@@ -103,18 +103,31 @@ def merge_latest(target: DataFrame | None, batch: DataFrame, pk: list[str], curs
 # --------------------------------------------------------------------------- the merged table
 
 
-class MergedTable:
-    """A table merged load by load: ``<root>/data/v=<n>/_bucket=<b>`` and one manifest a version.
+#: Runs that a table may have before runs of like size are put together, and how much larger a run is left alone.
+MOST_RUNS, LARGER = 8, 2
+#: How often a load is merged again because another writer was faster.
+ATTEMPTS = 20
+
 
-    A manifest (``<root>/versions/<n>-<load>.json``) names the load, the folder and row count of each
-    bucket, and the cursor after the load. It is written under another name and renamed when all data
-    is there, so readers see whole versions, and the cursor and the data change together. A load is
-    known by its id: applying it again changes nothing, whichever process stopped where. ``keep``
-    versions stay readable; data folders that none of them uses are removed.
+class MergedTable:
+    """A table merged load by load: folders of rows (``<root>/data/<run>``) and a pointer a version
+    (``<root>/versions/<n>.json``: the runs, their keys' number, the load and the cursor).
+
+    A load's batch is reduced to one row per key and written once; of these the rows that are newer than
+    the table's become a run. So the rows of a later run always replace those of an earlier one, and to merge
+    200 rows writes 200 rows: the table's keys and cursors are read, its other columns and files are not touched.
+    With more than MOST_RUNS runs the last ones are put together, as long as the one before is not LARGER times as
+    large: a table has about log2(table / load) runs, and reading it is one anti-join of the first run with the
+    keys of the later ones.
+
+    A pointer is written under another name and renamed where no file of its name may be, so data and
+    cursor change together, and of two writers that merged into the same version one is refused: it takes the
+    new version and merges its rows again. A load is known by its id (``<root>/loads``): applying it again
+    changes nothing. ``keep`` versions stay readable; runs that only older ones used are removed.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, keep: int = 3):
-        self.spark, self.root, self.buckets, self.keep = spark, root.rstrip("/"), buckets, keep
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
 
     def _path(self, name: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
@@ -122,37 +135,52 @@ class MergedTable:
     def _fs(self):
         return self._path("versions").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _manifests(self) -> dict[int, str]:
-        """Version -> file name, of the versions written in full."""
+    def versions(self) -> list[int]:
         fs, at = self._fs(), self._path("versions")
         if not fs.exists(at):
-            return {}
+            return []
         names = [s.getPath().getName() for s in fs.listStatus(at)]
-        return {int(n.split("-")[0]): n for n in names if n.endswith(".json")}
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
-    def _load(self, name: str) -> dict:
-        stream = self._fs().open(self._path(f"versions/{name}"))
+    def current_version(self) -> int | None:
+        return max(self.versions(), default=None)
+
+    def manifest(self, version: int | None = None) -> dict | None:
+        there = self.versions()
+        version = max(there, default=None) if version is None else version
+        if version not in there:
+            return None
+        stream = self._fs().open(self._path(f"versions/{version:08d}.json"))
         try:
             return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def versions(self) -> list[int]:
-        return sorted(self._manifests())
-
-    def current_version(self) -> int | None:
-        return max(self._manifests(), default=None)
-
-    def manifest(self, version: int | None = None) -> dict | None:
-        names = self._manifests()
-        version = max(names, default=None) if version is None else version
-        return self._load(names[version]) if version in names else None
-
-    def _frame(self, manifest: dict, buckets: list[int] | None = None) -> DataFrame:
-        folders = [f"{self.root}/data/v={b['version']}/{BUCKET}={k}" for k, b in sorted(manifest["buckets"].items(), key=lambda x: int(x[0]))
-                   if buckets is None or int(k) in buckets]
-        schema = T.StructType.fromJson(manifest["schema"])
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+    def _run(self, run: dict, schema: T.StructType) -> DataFrame:
+        """A run's rows in the table's columns: those that came later are null, narrower types are widened."""
+        own = T.StructType.fromJson(run["schema"])
+        rows = self.spark.read.schema(own).parquet(f"{self.root}/data/{run['name']}")
+        return rows.select(*[(F.col(f.name) if f.name in own.names else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+    def _rows(self, runs: list[dict], schema: T.StructType, pk: list[str]) -> DataFrame:
+        """Of every key the row of the latest run that has it."""
+        if not runs:
+            return self.spark.createDataFrame([], schema)
+        first, *later = [self._run(r, schema) for r in runs]
+        if not later:
+            return first
+        newer = later[0]
+        if len(later) > 1:
+            for number, rows in enumerate(later):
+                rows = rows.withColumn("__run", F.lit(number))
+                newer = newer.unionByName(rows) if number else rows
+            newest = F.max_by(F.struct(*schema.names), F.col("__run"))
+            newer = newer.groupBy(*pk).agg(newest.alias("__row")).select("__row.*")
+        keys = newer.select(*[F.col(k).alias(f"__{k}") for k in pk])
+        return first.join(keys, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in pk], "left_anti").unionByName(newer)
+
+    def _frame(self, manifest: dict) -> DataFrame:
+        return self._rows(manifest["runs"], T.StructType.fromJson(manifest["schema"]), manifest["pk"])
 
     def read(self, version: int | None = None) -> DataFrame | None:
         found = self.manifest(version)
@@ -160,89 +188,134 @@ class MergedTable:
 
     def row_count(self) -> int:
         found = self.manifest()
-        return sum(b["rows"] for b in found["buckets"].values()) if found else 0
+        return found["rows"] if found else 0
 
     def cursor_micros(self) -> int | None:
         """The largest cursor applied, in microseconds since the epoch (no table yet: None)."""
         found = self.manifest()
         return found["cursor"] if found else None
 
-    def _tag(self, load_id: str) -> str:
-        return hashlib.sha1(load_id.encode()).hexdigest()[:16]
+    def _mark(self, load_id: str):
+        return self._path(f"loads/{hashlib.sha1(load_id.encode()).hexdigest()}")
 
-    def applied(self, load_id: str) -> int | None:
-        """The version that ``load_id`` made."""
-        return next((v for v, n in self._manifests().items() if n.split("-")[1].removesuffix(".json") == self._tag(load_id)), None)
+    def applied(self, load_id: str) -> bool:
+        """Whether a load is part of the table."""
+        last = self.manifest()
+        return last is not None and (last["load_id"] == load_id or self._fs().exists(self._mark(load_id)))
 
     def upsert(self, batch: DataFrame, pk: list[str], load_id: str, load_seq: int | None = None, cursor: str = "updated_at") -> DataFrame:
         """Merge one load and publish it as the next version; a load applied before changes nothing.
-        ``load_seq`` orders loads (default: the version); another load that has it is an error."""
-        names = self._manifests()
-        last = self.manifest()
-        if self.applied(load_id) is not None:
-            return self.read()
-        version = max(names, default=0) + 1
-        load_seq = version if load_seq is None else int(load_seq)
-        if last and load_seq <= last["load_seq"]:
-            raise ValueError(f"load {load_id}: sequence {load_seq} is not after that of {last['load_id']} ({last['load_seq']})")
-        batch = with_load_metadata(batch, load_id, load_seq, pk)
-        if last:
-            evolve(self._frame(last, []), batch)  # raises before anything is read
-        n = last["bucket_count"] if last else self.buckets
-        before = last["buckets"] if last else {}
-        bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in pk]), F.lit(n)).cast("int")
-        winners = latest_per_key(batch, pk, cursor)
-        facts = batch.agg(F.collect_set(bucket).alias("touched"),  # at most n numbers
-                          F.max(F.unix_micros(F.col(cursor).cast("timestamp"))).alias("cursor")).first()
-        touched = sorted(facts["touched"])
+        ``load_seq`` orders loads (default: the version); another load that has it, or a later one, is an error.
+        The batch is evaluated once."""
+        given, latest = None, None
+        for _ in range(ATTEMPTS):
+            last = self.manifest()
+            if self.applied(load_id):
+                self._drop(given)
+                return self.read()
+            version = last["version"] + 1 if last else 1
+            seq = version if load_seq is None else int(load_seq)
+            if last and seq <= last["load_seq"]:
+                self._drop(given)
+                raise ValueError(f"load {load_id}: sequence {seq} is not after that of {last['load_id']} ({last['load_seq']})")
+            if given is None:
+                if last:
+                    evolve(self._frame(last), with_load_metadata(batch, load_id, seq, pk))  # raises before anything is written
+                seen = Observation()
+                reduced = latest_per_key(batch.observe(seen, F.max(F.unix_micros(F.col(cursor).cast("timestamp"))).alias("cursor")), pk, cursor)
+                given = self._written(reduced)
+                latest = seen.get["cursor"]
+            manifest = self._merged(last, given, pk, load_id, seq, cursor, latest) | {"version": version, "load_id": load_id, "load_seq": seq}
+            if self._publish(manifest):
+                self._drop(given)
+                self._fs().create(self._mark(load_id), True).close()
+                self._retire()
+                return self.read(version)
+            # Another writer was faster: what was merged into the version before is merged into the new one.
+            for run in manifest["runs"]:
+                if run not in (last["runs"] if last else []):
+                    self._drop(run)
+        raise RuntimeError(f"load {load_id}: {ATTEMPTS} other loads were published first")
+
+    def _written(self, rows: DataFrame) -> dict:
+        """``rows`` as a new folder. Its name is nobody else's: a writer never meets another one's files."""
+        name = uuid.uuid4().hex
+        rows.write.parquet(f"{self.root}/data/{name}")
+        return {"name": name, "bytes": self._fs().getContentSummary(self._path(f"data/{name}")).getLength(), "schema": rows.schema.jsonValue()}
+
+    def _drop(self, run: dict | None) -> None:
+        if run is not None:
+            self._fs().delete(self._path(f"data/{run['name']}"), True)
+
+    def _merged(self, last: dict | None, given: dict, pk: list[str], load_id: str, seq: int, cursor: str, latest: int | None) -> dict:
+        """What the table is after the rows of ``given``: its pointer, but for version and load."""
+        rows = with_load_metadata(self._run(given, T.StructType.fromJson(given["schema"])), load_id, seq, pk)
+        counts = Observation()
         if last:
-            old, new = evolve(self._frame(last, touched), winners)
-            rows = old.unionByName(new)
+            old, rows = evolve(self._frame(last), rows)
+            there = old.select(*[F.col(k).alias(f"__{k}") for k in pk], F.col(cursor).alias("__cursor"))
+            key = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in pk]
+            # Only keys and cursors are read of the table; a small batch is sent to them, not they to it.
+            met = rows.select(*pk).join(there, key).select(*[F.col(f"__{k}") for k in pk], "__cursor", F.lit(True).alias("__met"))
+            newer = F.col("__met").isNull() | F.col("__cursor").isNull() | F.coalesce(F.col("__cursor") <= F.col(cursor), F.lit(False))
+            rows = rows.join(met, key, "left").where(newer).withColumn("__new", F.col("__met").isNull()).select(*rows.columns, "__new")
         else:
-            rows = winners
-        columns = rows.columns
-        if touched:
-            self._merged(rows, bucket, pk, cursor).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/data/v={version}")
-        buckets = dict(before)
-        if touched:
-            counts = self.spark.read.parquet(f"{self.root}/data/v={version}").groupBy(BUCKET).count().collect()  # at most n rows
-            buckets |= {str(r[BUCKET]): {"version": version, "rows": int(r["count"])} for r in counts}
-        known = [c for c in (facts["cursor"], last["cursor"] if last else None) if c is not None]
-        self._publish({"version": version, "load_id": load_id, "load_seq": load_seq, "bucket_count": n, "buckets": buckets,
-                       "cursor": max(known, default=None), "schema": rows.select(columns).schema.jsonValue()})
-        self._retire()
-        return self.read(version)
-
-    @staticmethod
-    def _merged(rows: DataFrame, bucket: F.Column, pk: list[str], cursor: str) -> DataFrame:
-        """The newest row of each key. One exchange, by bucket: it serves the choice and the layout."""
-        columns = rows.columns
-        order = [c.desc_nulls_last() for c in (F.col(cursor), F.col(LOAD_SEQ), F.xxhash64(*[F.col(c) for c in columns]))]
-        newest = Window.partitionBy(BUCKET, *pk).orderBy(*order)
-        return (rows.withColumn(BUCKET, bucket).repartition(BUCKET)
-                .withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n"))
-
-    def _publish(self, manifest: dict) -> None:
-        fs = self._fs()
-        name = f"versions/{manifest['version']:08d}-{self._tag(manifest['load_id'])}"
-        stream = fs.create(self._path(name + ".tmp"), True)
+            rows = rows.withColumn("__new", F.lit(True))
+        schema = rows.drop("__new").schema
+        rows = rows.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if("__new").alias("new")).drop("__new")
+        run = self._written(rows)
+        runs = list(last["runs"]) if last else []
+        if counts.get["rows"]:
+            runs = self._folded([*runs, run], schema, pk)
+        else:
+            self._drop(run)
+        known = [c for c in (latest, last["cursor"] if last else None) if c is not None]
+        return {"runs": runs, "pk": list(pk), "rows": (last["rows"] if last else 0) + counts.get["new"], "cursor": max(known, default=None),
+                "schema": schema.jsonValue()}
+
+    def _folded(self, runs: list[dict], schema: T.StructType, pk: list[str]) -> list[dict]:
+        """``runs``, the last ones put together if there are many."""
+        if len(runs) <= MOST_RUNS:
+            return runs
+        at, size = len(runs) - 1, runs[-1]["bytes"]
+        while at and runs[at - 1]["bytes"] < LARGER * size:
+            at -= 1
+            size += runs[at]["bytes"]
+        if at == len(runs) - 1:
+            return runs
+        folded = self._written(self._rows(runs[at:], schema, pk).hint("rebalance"))
+        self._drop(runs[-1])  # written for this load: no version has it
+        return [*runs[:at], folded]
+
+    def _publish(self, manifest: dict) -> bool:
+        """Whether the pointer could be put in place: not if another writer's is there."""
+        if self.current_version() not in (None, manifest["version"] - 1):
+            return False
+        fs, jvm = self._fs(), self.spark.sparkContext._jvm
+        made, name = self._path(f"versions/{uuid.uuid4().hex}.tmp"), self._path(f"versions/{manifest['version']:08d}.json")
+        stream = fs.create(made, False)
         stream.write(bytearray(json.dumps(manifest).encode()))
         stream.close()
-        if not fs.rename(self._path(name + ".tmp"), self._path(name + ".json")):
-            raise RuntimeError(f"version {manifest['version']} of {self.root} was published by another writer")
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(made.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            # Without the option to overwrite: one of two writers succeeds.
+            files.rename(made, name, self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in str(error.java_exception):
+                raise
+            fs.delete(made, False)
+            return False
+        return True
 
     def _retire(self) -> None:
-        """Remove the data folders that none of the last ``keep`` versions uses. Manifests stay: they
-        are small, and they are the list of the loads applied."""
-        names = self._manifests()
-        kept = sorted(names)[-self.keep:]
-        used = {b["version"] for v in kept for b in self._load(names[v])["buckets"].values()}
-        fs, at = self._fs(), self._path("data")
-        if fs.exists(at):
-            for s in fs.listStatus(at):
-                v = int(s.getPath().getName().removeprefix("v="))
-                if v not in used and v < kept[0]:
-                    fs.delete(s.getPath(), True)
+        """Remove the pointers before the last ``keep``, and the runs that only they used."""
+        there = self.versions()
+        used = {r["name"] for v in there[-self.keep:] for r in (self.manifest(v) or {"runs": []})["runs"]}
+        for v in there[:-self.keep]:
+            for run in (self.manifest(v) or {"runs": []})["runs"]:
+                if run["name"] not in used:
+                    self._drop(run)
+            self._fs().delete(self._path(f"versions/{v:08d}.json"), False)
 
 
 # --------------------------------------------------------------------------- cursor state
