@@ -554,6 +554,29 @@ def o_pages_evolution() -> str:
           CASE WHEN id % 10 = 0 THEN 'tier-' || CAST(id % 3 AS VARCHAR) END AS loyalty_tier FROM raw_customers""", ["raw_customers"])
 
 
+def q_page_faults(spark, sf_dir):
+    """Four extracts of orders: a whole one, one without its inner pages, one with its last page twice, and
+    one with the last page of another listing."""
+    from tillroll.schemas import page_envelope
+    from tillroll.sources import feeds
+    spec, root = feeds.feed("orders"), _scratch(spark, "page-faults")
+    orders = fx.raw_feed(spark, sf_dir, "orders")
+    fx.write_pages(orders, f"{root}/all/whole", spec.pk)
+    fx.write_pages(orders.where("id % 2 = 0"), f"{root}/other", spec.pk)
+    pages, other = (spark.read.schema(page_envelope(spec.row_schema)).json(f"{root}/{d}") for d in ("all/whole", "other"))
+    pages.where("page = 1 OR page = total_pages").write.json(f"{root}/all/gap")
+    pages.unionByName(pages.where("page = total_pages")).write.json(f"{root}/all/twice")
+    pages.unionByName(other.where("page = total_pages")).write.json(f"{root}/all/mixed")
+    return feeds.page_faults(spark, f"{root}/all/*", spec)
+
+
+def o_page_faults() -> str:
+    return O.with_views("""SELECT extract, fault, CAST(first_page AS INTEGER) AS first_page, CAST(last_page AS INTEGER) AS last_page FROM (
+          SELECT ceil(count(*) / 500) AS n, ceil(count_if(id % 2 = 0) / 500) AS m FROM raw_orders),
+          LATERAL (VALUES ('gap', 'missing', 2, n - 1), ('twice', 'doubled', n, n), ('mixed', 'foreign', m, m))
+          f(extract, fault, first_page, last_page) WHERE first_page <= last_page""", ["raw_orders"])
+
+
 LANDED_FILES = 4
 
 
@@ -609,6 +632,41 @@ def q_stream_replay(spark, sf_dir):
     return table.read().drop(*merge.METADATA)
 
 
+def q_stream_evolution(spark, sf_dir):
+    """T1 with K3: a column appears in the third of four landed files; it reaches the table with it."""
+    root = _scratch(spark, "stream-evolution")
+    feed = _change_feed(spark, sf_dir)
+    for k in range(LANDED_FILES):
+        part = feed.where(F.col("event_id") % LANDED_FILES == k).coalesce(1)
+        if k >= 2:
+            part = part.withColumn("channel", F.concat(F.lit("c"), (F.col("event_id") % 5).cast("string")))
+        part.write.mode("append").parquet(f"{root}/landing")
+    return _stream(spark, root, feed.schema).read().drop(*merge.METADATA)
+
+
+def o_stream_evolution() -> str:
+    return O.with_views("""SELECT id, status, amount, event_id, created_at, updated_at,
+          CASE WHEN event_id % 4 >= 2 THEN 'c' || CAST(event_id % 5 AS VARCHAR) END AS channel FROM raw_change_feed
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC, event_id DESC) = 1""", ["raw_change_feed"])
+
+
+def q_merge_two_writers(spark, sf_dir):
+    """K1: two writers start from the same version of a table; the one that publishes later merges again."""
+    root, feed = _scratch(spark, "writers"), _change_feed(spark, sf_dir)
+    parts = [feed.where(F.col("event_id") % 3 == k) for k in range(3)]
+    table = merge.MergedTable(spark, f"{root}/table")
+    table.upsert(parts[0], ["id"], "load-0")
+
+    class Overtaken(merge.MergedTable):
+        def _publish(self, manifest):
+            if manifest["version"] == 2:
+                table.upsert(parts[2], ["id"], "load-2")
+            return super()._publish(manifest)
+
+    Overtaken(spark, f"{root}/table").upsert(parts[1], ["id"], "load-1")
+    return table.read().drop(*merge.METADATA)
+
+
 def _full_run(spark, sf_dir, tag, transforms=False, **options):
     from tillroll.plans import run
     root = _scratch(spark, tag)
@@ -661,13 +719,15 @@ def q_full_run_raw(spark, sf_dir):
     return out
 
 
+def _digest_sql(name: str) -> str:
+    number, text = RUN_DIGESTS[name]
+    chars = "0" if text == "_none" else f"sum(length(coalesce({text}, '')))"
+    return (f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST(sum(CAST({number} AS DECIMAL(38,6))) AS DECIMAL(38,6)) AS amount, "
+            f"CAST({chars} AS BIGINT) AS text_chars, max(updated_at) AS last_update FROM raw_{name}")
+
+
 def o_full_run_raw() -> str:
-    parts = []
-    for name, (number, text) in RUN_DIGESTS.items():
-        chars = "0" if text == "_none" else f"sum(length(coalesce({text}, '')))"
-        parts.append(f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST(sum(CAST({number} AS DECIMAL(38,6))) AS DECIMAL(38,6)) AS amount, "
-                     f"CAST({chars} AS BIGINT) AS text_chars, max(updated_at) AS last_update FROM raw_{name}")
-    return O.with_views(" UNION ALL ".join(parts), [f"raw_{n}" for n in RUN_DIGESTS])
+    return O.with_views(" UNION ALL ".join(map(_digest_sql, RUN_DIGESTS)), [f"raw_{n}" for n in RUN_DIGESTS])
 
 
 def q_full_run_marts(spark, sf_dir):
@@ -687,6 +747,37 @@ def q_full_run_snapshot(spark, sf_dir):
     return run.take_product_snapshot(spark, root, stg_products(v2), SNAPSHOT_TS[1])  # taken again: the same
 
 
+def q_snapshot_any_order(spark, sf_dir):
+    """M6: the extracts arrive in the order third, first, second; the history is that of the right order."""
+    from tillroll.plans import run
+    root = _scratch(spark, "snapshot-order")
+    versions = fx.product_versions(fx.DriverTables(spark, sf_dir))
+    for k in (2, 0, 1):
+        out = run.take_product_snapshot(spark, root, stg_products(versions[k]), SNAPSHOT_TS[k])
+    return out
+
+
+def q_job_selections(spark, sf_dir):
+    """The jobs of single domains, each on a root of its own; content of the raw tables that each has loaded."""
+    from tillroll.plans import run
+    out = None
+    for job in ("commerce", "marketing", "inventory"):
+        root = _scratch(spark, f"job-{job}")
+        run.run_job(spark, job, fx.raw_feeds(spark, sf_dir), root, 1, RUN_TS)
+        for name, df in run.read_raw(spark, root).items():
+            part = _digest(df.withColumn("_none", F.lit(None).cast("string")), name).withColumn("job", F.lit(job))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def o_job_selections() -> str:
+    jobs = {"commerce": ["customers", "products", "orders", "order_items", "payments", "refunds"],
+            "marketing": ["campaigns", "ad_sets", "ads", "daily_performance"],
+            "inventory": ["inventory_snapshots", "inventory_movements"]}
+    parts = [f"SELECT *, '{job}' AS job FROM ({_digest_sql(name)})" for job, names in jobs.items() for name in names]
+    return O.with_views(" UNION ALL ".join(parts), [f"raw_{n}" for n in RUN_DIGESTS])
+
+
 def q_audit_current_state(spark, sf_dir):
     """K7-K9: what the audit tables say after a marketing run, a failed inventory run and one never ended."""
     from tillroll.operators.audit import AuditLog
@@ -817,6 +908,11 @@ def registry() -> dict:
         "stream_late_rows": (q_stream_late_rows, o_latest_change_feed()),
         "stream_backfill": (q_stream_backfill, o_latest_change_feed()),
         "stream_replay": (q_stream_replay, o_latest_change_feed()),
+        "stream_evolution": (q_stream_evolution, o_stream_evolution()),
+        "merge_two_writers": (q_merge_two_writers, o_latest_change_feed()),
+        "page_faults": (q_page_faults, o_page_faults()),
+        "snapshot_any_order": (q_snapshot_any_order, o_product_snapshot()),
+        "job_selections": (q_job_selections, o_job_selections()),
         "full_run_raw": (q_full_run_raw, o_full_run_raw()),
         "full_run_marts": (q_full_run_marts, O.view_sql("fct_orders")),
         "full_run_snapshot": (q_full_run_snapshot, o_product_snapshot(2)),

@@ -70,6 +70,20 @@ def evolve(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     return aligned(target, old), aligned(batch, new)
 
 
+def aligned(frames: list[DataFrame]) -> DataFrame:
+    """The rows of all ``frames`` in the union of their columns: a column that a frame lacks is null in its
+    rows, types are widened as in ``evolve``."""
+    kinds: dict[str, T.DataType] = {}
+    for df in frames:
+        for f in df.schema:
+            kinds[f.name] = _common_type(f.name, kinds[f.name], f.dataType) if f.name in kinds else f.dataType
+    out = None
+    for df in frames:
+        part = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _order(columns: list[str], cursor: str) -> list[F.Column]:
     """What makes a version newer, in order."""
     seq = F.col(LOAD_SEQ) if LOAD_SEQ in columns else F.lit(0).cast("long")

@@ -16,7 +16,7 @@ from tillroll.operators import merge, quality, quarantine, scd2
 from tillroll.operators.audit import AuditLog
 from tillroll.plans import suites
 from tillroll.plans.models import RetailModels
-from tillroll.sources.feeds import DOMAINS
+from tillroll.sources.feeds import DOMAINS, scan
 
 # Record rules applied before the merge, per feed.
 DEFAULT_RULES: dict[str, list[quarantine.ValidationRule]] = {
@@ -110,7 +110,7 @@ MART_PARTITIONS = {"fct_orders": ["order_year", "order_month"], "fct_daily_marke
 def read_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The marts of the published version."""
     row = spark.read.parquet(layer_path(root, "mart", "_published")).agg(F.max("version")).first()
-    return {n: spark.read.parquet(layer_path(root, "mart", f"v={row[0]}/{n}")) for n in RetailModels.MART_NAMES}
+    return {n: scan(spark, layer_path(root, "mart", f"v={row[0]}/{n}")) for n in RetailModels.MART_NAMES}
 
 
 def run_transforms(spark: SparkSession, root: str, run_ts: str | None = None, fail_on_test: bool = True,
@@ -146,23 +146,47 @@ def run_transforms(spark: SparkSession, root: str, run_ts: str | None = None, fa
     return report
 
 
-def take_product_snapshot(spark: SparkSession, root: str, stg_products: DataFrame, run_ts: str) -> DataFrame:
-    """M6 within a run: the history after ``run_ts`` is written beside the one before; taking the same
-    time again reads the same predecessor and writes the same rows."""
-    at = layer_path(root, "snapshot", "product_snapshot")
-    stamp = "".join(c for c in run_ts if c.isdigit())
-    before = [v for v in _snapshots(spark, at) if v < stamp]
-    old = spark.read.parquet(f"{at}/v={before[-1]}") if before else None
-    scd2.product_snapshot(old, stg_products, run_ts).write.mode("overwrite").parquet(f"{at}/v={stamp}")
-    return spark.read.parquet(f"{at}/v={stamp}")
+def product_history(spark: SparkSession, root: str, state: int | None = None) -> DataFrame | None:
+    """M6: the product versions of all extracts taken (at an earlier ``state`` of the table)."""
+    found = _history(spark, root).read(state)
+    return None if found is None else found.where(~F.col(scd2.REMOVED)).drop(scd2.REMOVED, "_epoch", *merge.METADATA)
+
 
+def _history(spark: SparkSession, root: str) -> merge.MergedTable:
+    return merge.MergedTable(spark, layer_path(root, "snapshot", "product_snapshot"))
 
-def _snapshots(spark: SparkSession, at: str) -> list[str]:
+
+def take_product_snapshot(spark: SparkSession, root: str, stg_products: DataFrame, run_ts: str) -> DataFrame:
+    """M6 within a run: the extract of the time ``run_ts`` becomes part of the history, also if it is older than
+    others. The history is a merged table of versions, so only changed versions are written, and taking the same
+    time again changes nothing. Extracts are kept, as sightings of their keys."""
+    table, at = _history(spark, root), layer_path(root, "snapshot", "extracts")
+    stamp = "".join(c for c in run_ts if c.isdigit())
+    load_id = f"extract-{stamp}"
+    if not table.applied(load_id):
+        path = f"{at}/at={stamp}"
+        stg_products.select(scd2.PRODUCT_COLUMNS).write.mode("overwrite").parquet(path)
+        source = spark.read.parquet(path)
+        taken = [v for v in _extracts(spark, at) if v > stamp and table.applied(f"extract-{v}")]
+        later = None
+        for v in taken:
+            part = spark.read.parquet(f"{at}/at={v}").withColumn("seen_at", F.to_timestamp(F.lit(v), "yyyyMMddHHmmss"))
+            later = part if later is None else later.unionByName(part)
+        # The versions are worked out from one state of the history; should another extract be published
+        # meanwhile, the sequence is used up and the load raises.
+        last = table.current_version()
+        changed = scd2.changed_versions(product_history(spark, root, last), later, source, "product_id", scd2.PRODUCT_CHECK_COLUMNS, run_ts)
+        table.upsert(changed.withColumn("_epoch", F.timestamp_seconds(F.lit(0))), ["product_id", scd2.VALID_FROM], load_id,
+                     (last or 0) + 1, cursor="_epoch")
+    return product_history(spark, root)
+
+
+def _extracts(spark: SparkSession, at: str) -> list[str]:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return []
-    return sorted(s.getPath().getName()[2:] for s in fs.listStatus(path) if s.getPath().getName().startswith("v="))
+    return sorted(s.getPath().getName()[3:] for s in fs.listStatus(path) if s.getPath().getName().startswith("at="))
 
 
 # Job selections
