@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 REASONS = "_quarantine_reasons"
@@ -99,9 +99,15 @@ def validate_and_split(df: DataFrame, rules: list[ValidationRule], run_ts=None)
 
 def write_quarantine(bad: DataFrame, root: str, source_table: str, load_id: str) -> int:
     """The rejected rows of one load, under ``<root>/<table>_quarantine/load_id=<id>`` (schema merged
-    on read). A load that is run again replaces its own rows; a load without any leaves no folder."""
-    if bad.isEmpty():
-        return 0
-    path = f"{root.rstrip('/')}/{source_table}_quarantine/load_id={load_id}"
-    bad.write.mode("overwrite").parquet(path)
-    return bad.sparkSession.read.parquet(path).count()
+    on read). A load that is run again replaces its own rows; a load without any leaves no folder. The rows
+    are counted as they are written: the load's source is read once for them."""
+    spark, path = bad.sparkSession, f"{root.rstrip('/')}/{source_table}_quarantine/load_id={load_id}"
+    seen = Observation()
+    bad.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    if not seen.get["n"]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(at, True)
+        if not fs.listStatus(at.getParent()):  # the table's first load: no empty folder stays
+            fs.delete(at.getParent(), False)
+    return int(seen.get["n"])

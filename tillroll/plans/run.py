@@ -1,14 +1,19 @@
 """Run composition (O1-O4): load domains into versioned raw tables with audit, quarantine and
 cursor state; then build staging, facts and reconciliation and run every declared test.
 
-Plain Python sequencing of Spark jobs, no scheduler: each step is one or a few Spark actions.
+Plain Python sequencing of Spark jobs: each step is one or a few Spark actions. The feeds of a domain
+don't depend on each other and are loaded side by side; Spark schedules their jobs.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,44 +40,87 @@ def raw_table(spark: SparkSession, root: str, name: str) -> merge.MergedTable:
     return merge.MergedTable(spark, layer_path(root, "raw", name))
 
 
+@dataclass
+class Loaded:
+    """What became of one feed of a run."""
+    name: str
+    rows: int = 0
+    seconds: float = 0.0
+    error: str | None = None
+    cause: Exception | None = None
+
+
+def _load_feed(spark: SparkSession, spec, source: Callable[[], DataFrame], root: str, load_seq: int, load_id: str, rules: list,
+               full_refresh: bool) -> Loaded:
+    """One feed: cut, split, quarantine, merge. The source is read at most twice: for the rejected rows if
+    there are rules, and for the merge."""
+    started, out = time.time(), Loaded(spec.name)
+    try:
+        table = raw_table(spark, root, spec.name)
+        since = None if full_refresh else merge.parse_cursor(table.cursor_micros())
+        batch = merge.incremental_cut(source(), since, spec.cursor)
+        if rules:
+            batch, bad = quarantine.validate_and_split(batch, rules)
+            quarantine.write_quarantine(bad, layer_path(root, "quarantine", ""), spec.name, load_id)
+        table.upsert(batch, list(spec.pk), f"{load_id}-{spec.name}", load_seq, spec.cursor)
+        out.rows = table.row_count()
+    except Exception as exc:  # noqa: BLE001  recorded with the run, raised by it
+        out.error = str(exc).splitlines()[0][:500] if str(exc) else type(exc).__name__
+        out.cause = exc
+    out.seconds = time.time() - started
+    return out
+
+
+#: Feeds that are loaded at once. Their jobs run side by side and share the executors.
+FEEDS_AT_ONCE = 4
+
+
 def run_domain_pipeline(spark: SparkSession, domain: str, sources: dict[str, DataFrame], root: str,
                         load_seq: int, rules: dict | None = None, audit: AuditLog | None = None,
-                        full_refresh: bool = False, load_id: str | None = None, checks: dict | None = None) -> DataFrame:
+                        full_refresh: bool = False, load_id: str | None = None, checks: dict | None = None,
+                        at_once: int = FEEDS_AT_ONCE) -> DataFrame:
     """O1: load every feed of ``domain`` from ``sources``; returns the resource report.
 
-    A load is named by ``load_id`` (default: domain and sequence): running it again after a crash
-    overwrites its own quarantine rows and skips the feeds it has merged. ``checks`` (feed -> quality
-    checks) run on the merged table, and their results are stored with the audit tables (K12)."""
+    ``at_once`` feeds are loaded side by side, each under its own job group and, with the FAIR scheduler, in its
+    own pool. All are tried; those that fail are logged, and the first of them fails the run. A load is named by
+    ``load_id`` (default: domain and sequence): running it again after a crash overwrites its own quarantine
+    rows and skips the feeds it has merged. ``checks`` (feed -> quality checks) run on the merged tables when
+    all are there, and their results are stored with the audit tables (K12)."""
     rules = DEFAULT_RULES if rules is None else rules
     audit = audit or AuditLog(spark, layer_path(root, "audit", ""))
     load_id = load_id or f"{domain}-{load_seq}"
     run_id = audit.start_run(DOMAINS[domain]["pipeline_name"], "ingestion")
-    started, total = time.time(), 0
-    spec, t0 = None, started
+    started, feeds = time.time(), DOMAINS[domain]["feeds"]
+
+    def load(spec) -> Loaded:
+        sc = spark.sparkContext
+        sc.setJobGroup(f"{load_id}-{spec.name}", f"load of {spec.name}", interruptOnCancel=True)
+        sc.setLocalProperty("spark.scheduler.pool", spec.name)
+        try:
+            return _load_feed(spark, spec, lambda: sources[spec.name], root, load_seq, load_id, rules.get(spec.name, []), full_refresh)
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
+            sc.setLocalProperty("spark.jobGroup.id", None)
+            sc.setLocalProperty("spark.job.description", None)
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        loaded = list(pool.map(inheritable_thread_target(spark)(load), feeds))
+    failed = [x for x in loaded if x.error is not None]
     try:
-        for spec in DOMAINS[domain]["feeds"]:
-            t0 = time.time()
-            table = raw_table(spark, root, spec.name)
-            since = None if full_refresh else merge.parse_cursor(table.cursor_micros())
-            batch = merge.incremental_cut(sources[spec.name], since, spec.cursor)
-            if spec.name in rules:
-                batch, bad = quarantine.validate_and_split(batch, rules[spec.name])
-                quarantine.write_quarantine(bad, layer_path(root, "quarantine", ""), spec.name, load_id)
-            merged = table.upsert(batch, list(spec.pk), f"{load_id}-{spec.name}", load_seq, spec.cursor)
-            n = table.row_count()
-            if checks and spec.name in checks:
-                refs = {name: raw_table(spark, root, name).read() for name in spec_names(domain)}
-                found = quality.run_checks(spark, spec.name, merged, checks[spec.name], refs={k: v for k, v in refs.items() if v is not None})
-                audit.store_results(quality.results_frame(spark, found))
-            total += n
-            audit.log_resource(run_id, spec.name, n, "success", time.time() - t0)
-        audit.end_run(run_id, "success", total, time.time() - started)
-    except Exception as exc:
-        message = str(exc).splitlines()[0][:500] if str(exc) else type(exc).__name__
-        if spec is not None:
-            audit.log_resource(run_id, spec.name, 0, "failed", time.time() - t0, message)
-        audit.end_run(run_id, "failed", total, time.time() - started, message)
-        raise
+        if not failed and checks:
+            tables = {name: raw_table(spark, root, name).read() for name in spec_names(domain)}
+            refs = {k: v for k, v in tables.items() if v is not None}
+            for name in (n for n in spec_names(domain) if n in checks and n in refs):
+                audit.store_results(quality.results_frame(spark, quality.run_checks(spark, name, refs[name], checks[name], refs=refs)))
+    except Exception as exc:  # noqa: BLE001
+        failed.append(Loaded("checks", 0, 0.0, str(exc).splitlines()[0][:500] if str(exc) else type(exc).__name__, exc))
+    for x in loaded:
+        audit.log_resource(run_id, x.name, x.rows, "success" if x.error is None else "failed", x.seconds, x.error)
+    total = sum(x.rows for x in loaded)
+    if failed:
+        audit.end_run(run_id, "failed", total, time.time() - started, failed[0].error)
+        raise failed[0].cause
+    audit.end_run(run_id, "success", total, time.time() - started)
     return (audit.events("pipeline_resource_runs").filter(F.col("run_id") == run_id)
             .select("resource_name", "row_count", "status", "duration_seconds", "error_message"))
 
