@@ -56,3 +56,13 @@ def test_a_source_is_read_twice_at_most(spark, scratch):
     assert out.error is None and reads.value == 2
     bad = spark.read.parquet(f"{scratch}/quarantine/ads_quarantine").count() if out.rows < ads.count() else 0
     assert out.rows + bad == ads.count()
+
+
+def test_marts_of_old_versions_go(spark, scratch):
+    import os
+    run.run_pipeline(spark, fx.raw_feeds(spark, SF), scratch, 1)
+    for _ in range(run.KEPT_MARTS + 1):
+        run.run_transforms(spark, scratch, "2024-01-01 00:00:00", fail_on_test=False)
+    kept = sorted(x for x in os.listdir(f"{scratch}/mart") if x.startswith("v="))
+    assert len(kept) == run.KEPT_MARTS
+    assert run.read_marts(spark, scratch)["fct_orders"].count() == run.read_raw(spark, scratch)["orders"].count()

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.plans import marts, recon
+from tillroll.plans.parallel import side_by_side
 from tillroll.plans.staging import build_staging
 from tillroll.sources.fixtures import raw_feeds
 
@@ -55,22 +56,27 @@ class RetailModels:
     MART_NAMES = ("fct_orders", "fct_daily_marketing_performance", "recon_orders_vs_items",
                   "recon_payments_vs_refunds", "recon_marketing_spend_vs_revenue")
 
+    #: Marts that read another mart.
+    AFTER = ("recon_marketing_spend_vs_revenue",)
+
     def materialized(self, root: str) -> "RetailModels":
         """Write raw tables and marts once (Parquet under ``root``) and rebuild the graph over them.
 
-        Staging stays a view over the written raw tables; facts are written in dependency order
-        (the marketing reconciliation reads the written fact). Tests and reports then scan
+        Staging stays a view over the written raw tables; tables that don't read each other are written side
+        by side, the marketing reconciliation after the fact that it reads. Tests and reports then scan
         tables instead of re-deriving the whole lineage per test."""
         spark = next(iter(self.raw.values())).sparkSession
         root = root.rstrip("/")
-        raw = {}
-        for name, df in self.raw.items():
-            df.write.mode("overwrite").parquet(f"{root}/raw/{name}")
-            raw[name] = spark.read.parquet(f"{root}/raw/{name}")
-        out = RetailModels(raw, self.run_ts)
-        for name in self.MART_NAMES:
-            out.model(name).write.mode("overwrite").parquet(f"{root}/mart/{name}")
-            out.__dict__[name] = spark.read.parquet(f"{root}/mart/{name}")
+        def written(df: DataFrame, path: str) -> DataFrame:
+            df.write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+
+        names = list(self.raw)
+        raw = side_by_side(spark, lambda name: written(self.raw[name], f"{root}/raw/{name}"), names, "raw tables")
+        out = RetailModels(dict(zip(names, raw)), self.run_ts)
+        for marts in ([n for n in self.MART_NAMES if n not in self.AFTER], list(self.AFTER)):
+            made = side_by_side(spark, lambda name: written(out.model(name), f"{root}/mart/{name}"), marts, "marts")
+            out.__dict__.update(zip(marts, made))
         return out
 
     def tables(self) -> dict[str, DataFrame]:

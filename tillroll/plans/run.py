@@ -10,10 +10,8 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +19,7 @@ from tillroll.operators import merge, quality, quarantine, scd2
 from tillroll.operators.audit import AuditLog
 from tillroll.plans import suites
 from tillroll.plans.models import RetailModels
+from tillroll.plans.parallel import AT_ONCE, side_by_side
 from tillroll.sources.feeds import DOMAINS, scan
 
 # Record rules applied before the merge, per feed.
@@ -71,14 +70,10 @@ def _load_feed(spark: SparkSession, spec, source: Callable[[], DataFrame], root:
     return out
 
 
-#: Feeds that are loaded at once. Their jobs run side by side and share the executors.
-FEEDS_AT_ONCE = 4
-
-
 def run_domain_pipeline(spark: SparkSession, domain: str, sources: dict[str, DataFrame], root: str,
                         load_seq: int, rules: dict | None = None, audit: AuditLog | None = None,
                         full_refresh: bool = False, load_id: str | None = None, checks: dict | None = None,
-                        at_once: int = FEEDS_AT_ONCE) -> DataFrame:
+                        at_once: int = AT_ONCE) -> DataFrame:
     """O1: load every feed of ``domain`` from ``sources``; returns the resource report.
 
     ``at_once`` feeds are loaded side by side, each under its own job group and, with the FAIR scheduler, in its
@@ -93,18 +88,9 @@ def run_domain_pipeline(spark: SparkSession, domain: str, sources: dict[str, Dat
     started, feeds = time.time(), DOMAINS[domain]["feeds"]
 
     def load(spec) -> Loaded:
-        sc = spark.sparkContext
-        sc.setJobGroup(f"{load_id}-{spec.name}", f"load of {spec.name}", interruptOnCancel=True)
-        sc.setLocalProperty("spark.scheduler.pool", spec.name)
-        try:
-            return _load_feed(spark, spec, lambda: sources[spec.name], root, load_seq, load_id, rules.get(spec.name, []), full_refresh)
-        finally:
-            sc.setLocalProperty("spark.scheduler.pool", None)
-            sc.setLocalProperty("spark.jobGroup.id", None)
-            sc.setLocalProperty("spark.job.description", None)
-
-    with ThreadPoolExecutor(max(1, at_once)) as pool:
-        loaded = list(pool.map(inheritable_thread_target(spark)(load), feeds))
+        return _load_feed(spark, spec, lambda: sources[spec.name], root, load_seq, load_id, rules.get(spec.name, []), full_refresh)
+
+    loaded = side_by_side(spark, load, feeds, load_id, at_once)
     failed = [x for x in loaded if x.error is not None]
     try:
         if not failed and checks:
@@ -152,6 +138,8 @@ def read_raw(spark: SparkSession, root: str, metadata: bool = False) -> dict[str
     return raw
 
 
+#: Versions of the marts that stay readable.
+KEPT_MARTS = 3
 MART_PARTITIONS = {"fct_orders": ["order_year", "order_month"], "fct_daily_marketing_performance": ["year", "month"]}
 
 
@@ -170,17 +158,21 @@ def run_transforms(spark: SparkSession, root: str, run_ts: str | None = None, fa
     before until then. With ``snapshot_ts`` the product history (M6) takes this run's products too."""
     m = RetailModels(read_raw(spark, root), run_ts)
     version = f"{uuid.uuid1().time:020d}"
-    built = {}
-    for name in RetailModels.MART_NAMES:  # recon_marketing reads the fact written just before
+    def build(name: str) -> DataFrame:
         path = layer_path(root, "mart", f"v={version}/{name}")
         df = m.model(name)
         if name in MART_PARTITIONS:
-            df.hint("rebalance", *MART_PARTITIONS[name]).write.partitionBy(*MART_PARTITIONS[name]).parquet(path)
+            df = df.hint("rebalance", *MART_PARTITIONS[name])
+            df.write.partitionBy(*MART_PARTITIONS[name]).parquet(path)
         else:
             df.write.parquet(path)
-        built[name] = spark.read.parquet(path)
-        if name == "fct_daily_marketing_performance":
-            m.__dict__[name] = built[name]
+        return scan(spark, path)
+
+    # recon_marketing reads the fact that the first group writes; within a group no mart reads another.
+    built = {}
+    for group in ([n for n in RetailModels.MART_NAMES if n not in m.AFTER], list(m.AFTER)):
+        built |= dict(zip(group, side_by_side(spark, build, group, f"marts-{version}")))
+        m.__dict__["fct_daily_marketing_performance"] = built["fct_daily_marketing_performance"]
     models = {**m.raw, **m.stg, **built}
     results = suites.run_declared_tests(models).collect()
     failed = [r["test_name"] for r in results if not r["passed"]]
@@ -188,12 +180,33 @@ def run_transforms(spark: SparkSession, root: str, run_ts: str | None = None, fa
               "tests_failed": failed}
     if fail_on_test and failed:
         raise RuntimeError(f"{len(failed)} data tests failed: {failed[:10]}")
-    spark.createDataFrame([(version,)], "version string").write.mode("append").parquet(layer_path(root, "mart", "_published"))
+    published = layer_path(root, "mart", "_published")
+    spark.createDataFrame([(version,)], "version string").write.mode("append").parquet(published)
+    _retire_marts(spark, root, [r[0] for r in spark.read.parquet(published).orderBy(F.desc("version")).limit(KEPT_MARTS).collect()])
     if snapshot_ts is not None:
         take_product_snapshot(spark, root, m.stg["stg_products"], snapshot_ts)
     return report
 
 
+def _folders(spark: SparkSession, at: str, prefix: str) -> list[str]:
+    """What follows ``prefix`` in the names of the folders in ``at``, sorted."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+
+
+def _retire_marts(spark: SparkSession, root: str, kept: list[str]) -> None:
+    """Remove the marts older than the oldest kept version; newer ones may be a run's that isn't through."""
+    at = layer_path(root, "mart", "")
+    for version in _folders(spark, at, "v="):
+        if version < min(kept):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{at}v={version}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def product_history(spark: SparkSession, root: str, state: int | None = None) -> DataFrame | None:
     """M6: the product versions of all extracts taken (at an earlier ``state`` of the table)."""
     found = _history(spark, root).read(state)
@@ -215,7 +228,7 @@ def take_product_snapshot(spark: SparkSession, root: str, stg_products: DataFram
         path = f"{at}/at={stamp}"
         stg_products.select(scd2.PRODUCT_COLUMNS).write.mode("overwrite").parquet(path)
         source = spark.read.parquet(path)
-        taken = [v for v in _extracts(spark, at) if v > stamp and table.applied(f"extract-{v}")]
+        taken = [v for v in _folders(spark, at, "at=") if v > stamp and table.applied(f"extract-{v}")]
         later = None
         for v in taken:
             part = spark.read.parquet(f"{at}/at={v}").withColumn("seen_at", F.to_timestamp(F.lit(v), "yyyyMMddHHmmss"))
@@ -229,14 +242,6 @@ def take_product_snapshot(spark: SparkSession, root: str, stg_products: DataFram
     return product_history(spark, root)
 
 
-def _extracts(spark: SparkSession, at: str) -> list[str]:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    return sorted(s.getPath().getName()[3:] for s in fs.listStatus(path) if s.getPath().getName().startswith("at="))
-
-
 # Job selections
 JOBS = {
     "full": {"domains": ["commerce", "marketing", "inventory"], "transforms": True, "full_refresh": False},
