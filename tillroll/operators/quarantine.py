@@ -101,13 +101,16 @@ def write_quarantine(bad: DataFrame, root: str, source_table: str, load_id: str)
     """The rejected rows of one load, under ``<root>/<table>_quarantine/load_id=<id>`` (schema merged
     on read). A load that is run again replaces its own rows; a load without any leaves no folder. The rows
     are counted as they are written: the load's source is read once for them."""
-    spark, path = bad.sparkSession, f"{root.rstrip('/')}/{source_table}_quarantine/load_id={load_id}"
-    seen = Observation()
-    bad.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    if not seen.get["n"]:
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(at, True)
-        if not fs.listStatus(at.getParent()):  # the table's first load: no empty folder stays
-            fs.delete(at.getParent(), False)
+    spark, table = bad.sparkSession, f"{root.rstrip('/')}/{source_table}_quarantine"
+    made, seen = f"{table}/_writing-{load_id}", Observation()
+    bad.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(made)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(made).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if seen.get["n"]:  # a load run again without new rows leaves those of its first run
+        fs.delete(path(f"{table}/load_id={load_id}"), True)
+        fs.rename(path(made), path(f"{table}/load_id={load_id}"))
+    else:
+        fs.delete(path(made), True)
+        if not fs.listStatus(path(table)):  # no empty folder stays
+            fs.delete(path(table), False)
     return int(seen.get["n"])
