@@ -757,6 +757,36 @@ def q_snapshot_any_order(spark, sf_dir):
     return out
 
 
+def order_loads(feeds) -> list[dict[str, DataFrame]]:
+    """Three loads of the tables behind the order fact. What the first one has wrong or lacks, rows of other orders and
+    payments of other orders among it, the others bring right; together they are the feeds."""
+    def every(n):
+        return F.col("id") % n == 0
+
+    def first(name, n, column, value):
+        return feeds[name].withColumn(column, F.when(every(n), value).otherwise(F.col(column)))
+
+    orders = first("orders", 5, "status", F.lit("pending")).where(~every(7))
+    return [{"customers": first("customers", 17, "city", F.lit("Elsewhere")), "orders": orders,
+             "order_items": first("order_items", 11, "order_id", F.col("order_id") + 1),
+             "payments": first("payments", 13, "order_id", F.col("order_id") + 1), "refunds": feeds["refunds"].where(~every(3))},
+            {"customers": feeds["customers"].where(every(17)), "orders": feeds["orders"].where(every(5) | every(7))},
+            {"order_items": feeds["order_items"].where(every(11)), "payments": feeds["payments"].where(every(13)),
+             "refunds": feeds["refunds"].where(every(3))}]
+
+
+def q_orders_mart_incremental(spark, sf_dir):
+    """M1, K5: the order fact after three loads, each followed by a refresh of the orders that it affects."""
+    from tillroll.plans import order_facts, run
+    from tillroll.plans.parallel import side_by_side
+    root = _scratch(spark, "order-facts")
+    for number, load in enumerate(order_loads(fx.raw_feeds(spark, sf_dir)), 1):
+        side_by_side(spark, lambda name: run.raw_table(spark, root, name).upsert(load[name], ["id"], f"{name}-{number}", number),
+                     list(load), f"load-{number}")
+        out = order_facts.refresh_order_facts(spark, root)
+    return out
+
+
 def q_job_selections(spark, sf_dir):
     """The jobs of single domains, each on a root of its own; content of the raw tables that each has loaded."""
     from tillroll.plans import run
@@ -915,6 +945,7 @@ def registry() -> dict:
         "job_selections": (q_job_selections, o_job_selections()),
         "full_run_raw": (q_full_run_raw, o_full_run_raw()),
         "full_run_marts": (q_full_run_marts, O.view_sql("fct_orders")),
+        "orders_mart_incremental": (q_orders_mart_incremental, O.view_sql("fct_orders")),
         "full_run_snapshot": (q_full_run_snapshot, o_product_snapshot(2)),
         "audit_current_state": (q_audit_current_state, o_audit_current_state()),
         "commerce_pipeline_run": (q_commerce_pipeline_run, o_commerce_pipeline_run()),

@@ -44,7 +44,8 @@ def refund_totals(stg_refunds: DataFrame) -> DataFrame:
 
 
 def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items: DataFrame,
-               stg_payments: DataFrame, stg_refunds: DataFrame) -> DataFrame:
+               stg_payments: DataFrame, stg_refunds: DataFrame, with_payment_id: bool = False) -> DataFrame:
+    """M1. ``with_payment_id`` adds the payment's id, which with the order's tells the rows apart."""
     o = stg_orders.alias("o")
     c = stg_customers.select("customer_id", "full_name", "email", "city", "state", "country").alias("c")
     oi = item_totals(stg_order_items).alias("oi")
@@ -63,7 +64,7 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items:
                 *[F.col(f"r.{x}").alias(f"r_{x}") for x in ("refund_count", "total_refund_amount")])
     )
     pays = stg_payments.select(F.col("order_id").alias("p_order_id"), *[F.col(x).alias(f"p_{x}") for x in (
-        "payment_method", "payment_status", "payment_amount", "paid_at")])
+        "payment_id", "payment_method", "payment_status", "payment_amount", "paid_at")])
     joined = (by_order.join(pays, F.col("order_id") == F.col("p_order_id"), "left").alias("o")
               .join(c, F.col("o.customer_id") == F.col("c.customer_id"), "left"))
     return joined.select(
@@ -103,6 +104,7 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items:
         F.year(F.col("o.ordered_at")).alias("order_year"),
         F.month(F.col("o.ordered_at")).alias("order_month"),
         day_of_week(F.col("o.ordered_at")).alias("order_day_of_week"),
+        *([F.col("o.p_payment_id").alias("payment_id")] if with_payment_id else []),
     )
 
 
