@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle as O
-from tillroll.operators import listing, merge, quality, quarantine, scd2
+from tillroll.operators import listing, merge, page_index, quality, quarantine, scd2
 from tillroll.plans import suites
 from tillroll.plans.models import RUN_TS, RetailModels
 from tillroll.plans.staging import stg_products
@@ -475,6 +475,26 @@ def o_list_movements_page() -> str:
                         ["raw_inventory_movements"])
 
 
+DEEP_PAGES = {"pages": [1, 3, 6, 99999], "page_size": 900}
+
+
+def q_list_movements_deep_pages(spark, sf_dir):
+    """L0 by index: pages of a stored listing, the first, some that cross ranges, and one behind the last."""
+    stored = page_index.store_listing(fx.raw_feed(spark, sf_dir, "inventory_movements"), _scratch(spark, "listing"), "inventory_movements",
+                                      {"date_from": "1992-06-01"}, range_rows=1000)
+    out = None
+    for page in DEEP_PAGES["pages"]:
+        part = stored.page(page, DEEP_PAGES["page_size"]).with_envelope()
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def o_list_movements_deep_pages() -> str:
+    pages = (f"SELECT * FROM ({_page_sql('raw_inventory_movements', where, page, DEEP_PAGES['page_size'])})"
+             for where in ["movement_date >= '1992-06-01'"] for page in DEEP_PAGES["pages"])
+    return O.with_views(" UNION ALL ".join(pages), ["raw_inventory_movements"])
+
+
 # One page per remaining feed listing (L1, L2, L4-L9, L11): feed, filters, page, size, oracle WHERE clause.
 LISTING_CASES = {
     "list_customers_page": ("customers", {"is_active": True, "state": "EUROPE", "city": None}, 2, 100,
@@ -930,6 +950,7 @@ def registry() -> dict:
         "list_orders_after": (q_list_orders_after, o_list_orders_after()),
         "list_daily_performance_page": (q_list_daily_performance_page, o_list_daily_performance_page()),
         "list_movements_page": (q_list_movements_page, o_list_movements_page()),
+        "list_movements_deep_pages": (q_list_movements_deep_pages, o_list_movements_deep_pages()),
         "get_order_by_id": (q_get_order_by_id, o_get_order_by_id()),
         **{n: (_listing_query(n), _listing_oracle(n)) for n in LISTING_CASES},
         "feed_pages_roundtrip": (q_feed_pages_roundtrip, o_feed_pages_roundtrip()),
