@@ -828,7 +828,12 @@ def o_job_selections() -> str:
     return O.with_views(" UNION ALL ".join(parts), [f"raw_{n}" for n in RUN_DIGESTS])
 
 
-def q_audit_current_state(spark, sf_dir):
+def q_audit_compacted(spark, sf_dir):
+    """K7-K9: the same, with the audit tables compacted between the runs and after them."""
+    return q_audit_current_state(spark, sf_dir, compact=True)
+
+
+def q_audit_current_state(spark, sf_dir, compact=False):
     """K7-K9: what the audit tables say after a marketing run, a failed inventory run and one never ended."""
     from tillroll.operators.audit import AuditLog
     from tillroll.plans import run
@@ -836,12 +841,16 @@ def q_audit_current_state(spark, sf_dir):
     feeds = dict(fx.raw_feeds(spark, sf_dir))
     audit = AuditLog(spark, run.layer_path(root, "audit", ""))
     run.run_domain_pipeline(spark, "marketing", feeds, root, 1, audit=audit)
+    if compact:
+        audit.compact()
     broken = {**feeds, "inventory_movements": feeds["inventory_movements"].drop("updated_at")}
     try:
         run.run_domain_pipeline(spark, "inventory", broken, root, 1, audit=audit)
     except Exception:  # the run is meant to fail; its audit rows are the result
         pass
     audit.start_run("inventory", "ingestion")
+    if compact:
+        audit.compact()
     runs = audit.current_runs().select("pipeline_name", "pipeline_type", "status", "total_rows", F.col("run_id"),
                                        F.col("completed_at").isNotNull().alias("completed"),
                                        F.col("error_message").isNotNull().alias("has_error"))
@@ -969,6 +978,7 @@ def registry() -> dict:
         "orders_mart_incremental": (q_orders_mart_incremental, O.view_sql("fct_orders")),
         "full_run_snapshot": (q_full_run_snapshot, o_product_snapshot(2)),
         "audit_current_state": (q_audit_current_state, o_audit_current_state()),
+        "audit_compacted": (q_audit_compacted, o_audit_current_state()),
         "commerce_pipeline_run": (q_commerce_pipeline_run, o_commerce_pipeline_run()),
     }
 

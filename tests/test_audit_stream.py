@@ -23,6 +23,50 @@ def test_audit_fold(spark, scratch):
     assert a.events("pipeline_resource_runs").count() == 1
 
 
+def test_compaction_keeps_the_state(spark, scratch):
+    import os
+    a = AuditLog(spark, f"{scratch}/audit")
+    rows = lambda df: sorted(map(str, df.collect()))
+    files = lambda t: sum(f.endswith(".parquet") for _, _, names in os.walk(f"{scratch}/audit/{t}") for f in names)
+    runs = [a.start_run(f"p{i}", "ingestion") for i in range(4)]
+    for i, r in enumerate(runs[:3]):
+        a.log_resource(r, "orders", i)
+        a.end_run(r, "failed" if i == 1 else "success", i, 0.5, "boom" if i == 1 else None)
+    state, resources = rows(a.current_runs()), rows(a.events("pipeline_resource_runs"))
+    assert a.compact() == {"pipeline_runs": 6, "pipeline_resource_runs": 3}
+    assert files("pipeline_runs") == 1 and files("pipeline_resource_runs") == 0
+    assert rows(a.current_runs()) == state and rows(a.events("pipeline_resource_runs")) == resources
+    assert a.compact() == {"pipeline_runs": 0, "pipeline_resource_runs": 0}
+    # A run that ended says more: what it doesn't say stays. The open one ends.
+    a.end_run(runs[0], "failed", 9, 0.7, "found later")
+    a.end_run(runs[3], "success", 5)
+    state = rows(a.current_runs())
+    assert a.compact()["pipeline_runs"] == 3 and rows(a.current_runs()) == state
+    got = {r.run_id: r for r in a.current_runs().collect()}
+    assert len(got) == 4 and got[runs[0]].pipeline_name == "p0" and got[runs[0]].error_message == "found later"
+    assert got[runs[3]].status == "success" and got[runs[3]].pipeline_name == "p3"
+
+
+def test_compaction_that_broke_off(spark, scratch):
+    import shutil
+    a = AuditLog(spark, f"{scratch}/audit")
+    r = a.start_run("p", "ingestion")
+    a.log_resource(r, "orders", 1)
+    a.end_run(r, "success", 1)
+    rows = lambda df: sorted(map(str, df.collect()))
+    state, resources = rows(a.current_runs()), rows(a.events("pipeline_resource_runs").select("id", "row_count"))
+    # Folded but not removed: the rows are there twice and count once.
+    for table in ("pipeline_runs", "pipeline_resource_runs"):
+        shutil.copytree(f"{scratch}/audit/{table}", f"{scratch}/kept/{table}")
+    a.compact()
+    for table in ("pipeline_runs", "pipeline_resource_runs"):
+        shutil.copytree(f"{scratch}/kept/{table}", f"{scratch}/audit/{table}", dirs_exist_ok=True)
+    assert a._single("pipeline_runs").count() == 2
+    assert rows(a.current_runs()) == state and rows(a.events("pipeline_resource_runs").select("id", "row_count")) == resources
+    a.compact()
+    assert rows(a.current_runs()) == state and rows(a.events("pipeline_resource_runs").select("id", "row_count")) == resources
+
+
 def test_stream_merge_is_idempotent(spark, scratch):
     schema = "id long, status string, updated_at timestamp"
     t = lambda h: dt.datetime(2024, 1, 1, h)

@@ -3,11 +3,18 @@
 ``end_run`` is an update by key in a warehouse; on Parquet it is an appended event and the
 current state of a run is, per column, the last non-null value by event sequence. Fold with
 ``max_by`` (partial aggregation; the audit tables are small but the fold is distributed anyway).
+
+Every event is a small file. ``compact`` folds the events of ended runs into a merged table beside the events, one row a
+run, resource rows likewise, and removes the files that hold nothing else; open runs' events stay. A folded row
+is an event with the number of its run's last one, so folding it again with events that were not removed yet, or that
+come later, gives the same state, and a compaction that broke off is made up for by the next. (A reader that has listed
+files which are then removed has to read again.)
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import itertools
 import uuid
 
@@ -15,8 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.operators import merge
 from tillroll.schemas import AUDIT_SCHEMAS
 
+#: Compacted tables and their keys.
+FOLDED = {"pipeline_runs": "run_id", "pipeline_resource_runs": "id"}
 _EVENT = [T.StructField("_event_seq", T.LongType(), False)]
 
 
@@ -42,7 +52,7 @@ class AuditLog:
         if with_event:
             schema = T.StructType(schema.fields + _EVENT)
             rows = [r + (next(self._seq),) for r in rows]
-        self.spark.createDataFrame(rows, schema).write.mode("append").parquet(self._path(table))
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(self._path(table))
 
     def start_run(self, pipeline_name: str, pipeline_type: str, run_id: str | None = None) -> str:
         """K7: append a 'running' row and return the run id."""
@@ -74,15 +84,70 @@ class AuditLog:
             .write.mode("append").parquet(self._path("quality_check_results"))
 
     def events(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self._path(table))
+        """The rows of an audit table, folded ones included."""
+        folded = self._folded(table).read() if table in FOLDED else None
+        if folded is None:
+            return self.spark.read.parquet(self._path(table))
+        single = self._single(table)
+        rows = single.unionByName(folded.select(single.columns))
+        return rows.dropDuplicates([FOLDED[table]]) if table == "pipeline_resource_runs" else rows
+
+    def _single(self, table: str) -> DataFrame:
+        """What is not folded yet, also if that is nothing."""
+        return self.spark.read.schema(T.StructType(AUDIT_SCHEMAS[table].fields + _EVENT)).parquet(self._path(table))
+
+    def _folded(self, table: str) -> merge.MergedTable:
+        return merge.MergedTable(self.spark, f"{self.root}/folded/{table}")
+
+    def _has(self, table: str) -> bool:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._path(table))
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    def compact(self) -> dict[str, int]:
+        """Fold what ended runs have left; returns the number of files removed for each table."""
+        return {table: self._compact(table) for table in FOLDED if self._has(table)}
+
+    def _compact(self, table: str) -> int:
+        # The files are listed once: events that arrive meanwhile are in none of them.
+        listed = self._single(table).inputFiles()
+        if not listed:
+            return 0
+        here = self.spark.read.schema(self._single(table).schema).parquet(*listed).withColumn("_file", F.input_file_name())
+        if table == "pipeline_runs":
+            runs = here.groupBy("run_id").agg(F.max(F.col("completed_at").isNotNull()).alias("_ended"))
+            known = self._folded(table).read()
+            if known is not None:  # a later event of a run that is folded already
+                runs = runs.join(known.select("run_id", F.lit(True).alias("_known")), "run_id", "left")
+                runs = runs.select("run_id", (F.col("_ended") | F.col("_known").isNotNull()).alias("_ended"))
+            here = here.join(runs, "run_id")
+            ended = here.where("_ended").drop("_ended", "_file")
+            if known is not None:
+                ended = ended.unionByName(known.join(ended.select("run_id"), "run_id", "left_semi").select(ended.columns))
+            rows = current_state(ended, keep_seq=True)
+        else:
+            here = here.withColumn("_ended", F.lit(True))
+            rows = here.drop("_ended", "_file")
+        # Names of small files; part names are unique. Files without rows go too.
+        needed = {r["_file"].rsplit("/", 1)[-1] for r in here.where(~F.col("_ended")).select("_file").distinct().collect()}
+        removable = sorted(f for f in listed if f.rsplit("/", 1)[-1] not in needed)
+        if removable:
+            name = hashlib.sha1("\n".join(removable).encode()).hexdigest()
+            # The rows are whole: those of a later compaction replace earlier ones.
+            self._folded(table).upsert(rows.withColumn("_epoch", F.timestamp_seconds(F.lit(0))), [FOLDED[table]], f"files-{name}", cursor="_epoch")
+            jvm = self.spark.sparkContext._jvm
+            for file in removable:
+                at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+                at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, False)
+        return len(removable)
 
     def current_runs(self) -> DataFrame:
         return current_state(self.events("pipeline_runs"))
 
 
-def current_state(events: DataFrame) -> DataFrame:
+def current_state(events: DataFrame, keep_seq: bool = False) -> DataFrame:
     """Fold run events into one row per run: last non-null value of each column by event seq;
-    name, type and start time come from the first (start) event."""
+    name, type and start time come from the first (start) event. With ``keep_seq`` the row is an event
+    again, with the number of its last one."""
     seq = F.col("_event_seq")
     first_cols = {"pipeline_name", "pipeline_type", "started_at"}
     aggs = []
@@ -94,4 +159,7 @@ def current_state(events: DataFrame) -> DataFrame:
             aggs.append(F.min_by(c, seq).alias(f.name))
         else:
             aggs.append(F.max_by(c, F.when(c.isNotNull(), seq)).alias(f.name))
-    return events.groupBy("run_id").agg(*aggs).select([f.name for f in AUDIT_SCHEMAS["pipeline_runs"].fields])
+    names = [f.name for f in AUDIT_SCHEMAS["pipeline_runs"].fields]
+    if keep_seq:
+        aggs.append(F.max(seq).alias("_event_seq"))
+    return events.groupBy("run_id").agg(*aggs).select(*names, *(["_event_seq"] if keep_seq else []))

@@ -253,10 +253,14 @@ JOBS = {
 
 
 def run_job(spark: SparkSession, job: str, sources: dict[str, DataFrame], root: str, load_seq: int,
-            run_ts: str | None = None, **options) -> dict:
+            run_ts: str | None = None, compact_audit: bool = False, **options) -> dict:
+    """The loads, and for some jobs the transforms, of a selection. ``compact_audit`` folds the audit
+    events of ended runs afterwards."""
     sel = JOBS[job]
     loads = run_pipeline(spark, sources, root, load_seq, sel["domains"], full_refresh=sel["full_refresh"], **options)
     out = {"loads": {d: [r.asDict() for r in df.collect()] for d, df in loads.items()}}
     if sel["transforms"]:
         out["transforms"] = run_transforms(spark, root, run_ts, fail_on_test=False)
+    if compact_audit:
+        AuditLog(spark, layer_path(root, "audit", "")).compact()
     return out
