@@ -64,7 +64,7 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame, stg_order_items:
                 *[F.col(f"r.{x}").alias(f"r_{x}") for x in ("refund_count", "total_refund_amount")])
     )
     pays = stg_payments.select(F.col("order_id").alias("p_order_id"), *[F.col(x).alias(f"p_{x}") for x in (
-        "payment_id", "payment_method", "payment_status", "payment_amount", "paid_at")])
+        *(["payment_id"] if with_payment_id else []), "payment_method", "payment_status", "payment_amount", "paid_at")])
     joined = (by_order.join(pays, F.col("order_id") == F.col("p_order_id"), "left").alias("o")
               .join(c, F.col("o.customer_id") == F.col("c.customer_id"), "left"))
     return joined.select(
