@@ -487,6 +487,10 @@ order_items.product_id -> products.id
 payments.order_id -> orders.id
 refunds.order_id -> orders.id
 refunds.payment_id -> payments.id""".splitlines()
+RAW_TABLES = ["customers", "products", "orders", "order_items", "payments", "refunds", "campaigns", "ad_sets", "ads", "daily_performance",
+              "inventory_snapshots", "inventory_movements"]
+MARTS = ["fct_orders", "fct_daily_marketing_performance", "recon_orders_vs_items", "recon_payments_vs_refunds",
+         "recon_marketing_spend_vs_revenue"]
 LAYERS = {
     "commerce": "customers products orders order_items payments refunds",
     "marketing": "campaigns ad_sets ads daily_performance",

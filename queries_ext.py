@@ -162,13 +162,11 @@ def q_e2e_summary(spark, sf_dir):
 
 
 def o_e2e_summary() -> str:
-    from tillroll.plans.staging import STAGING
-    parts = [f"SELECT 'raw' AS layer, '{n}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM raw_{n}"
-             for n in RAW_NAMES]
-    parts += [f"SELECT 'staging', '{n}', CAST(count(*) AS BIGINT) FROM {n}" for n in STAGING]
-    parts += [f"SELECT 'mart', '{n}', CAST(count(*) AS BIGINT) FROM {n}" for n in RetailModels.MART_NAMES]
+    parts = [f"SELECT 'raw' AS layer, '{n}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM raw_{n}" for n in O.RAW_TABLES]
+    parts += [f"SELECT 'staging', 'stg_{n}', CAST(count(*) AS BIGINT) FROM stg_{n}" for n in O.RAW_TABLES]
+    parts += [f"SELECT 'mart', '{n}', CAST(count(*) AS BIGINT) FROM {n}" for n in O.MARTS]
     body = "SELECT *, row_count > 0 AS populated FROM (" + " UNION ALL ".join(parts) + ")"
-    return O.with_views(body, [f"raw_{n}" for n in RAW_NAMES] + list(STAGING) + list(RetailModels.MART_NAMES))
+    return O.with_views(body, [f"raw_{n}" for n in O.RAW_TABLES] + [f"stg_{n}" for n in O.RAW_TABLES] + O.MARTS)
 
 
 def q_order_status_domain(spark, sf_dir):
@@ -732,9 +730,8 @@ def q_full_run_raw(spark, sf_dir):
     from tillroll.plans.run import read_raw
     raw = read_raw(spark, _full_run(spark, sf_dir, "full"))
     out = None
-    for name in RUN_DIGESTS:
-        df = raw[name].withColumn("_none", F.lit(None).cast("string"))
-        part = _digest(df, name)
+    for name, df in raw.items():
+        part = _digest(df.withColumn("_none", F.lit(None).cast("string")), name)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -747,7 +744,7 @@ def _digest_sql(name: str) -> str:
 
 
 def o_full_run_raw() -> str:
-    return O.with_views(" UNION ALL ".join(map(_digest_sql, RUN_DIGESTS)), [f"raw_{n}" for n in RUN_DIGESTS])
+    return O.with_views(" UNION ALL ".join(map(_digest_sql, O.RAW_TABLES)), [f"raw_{n}" for n in O.RAW_TABLES])
 
 
 def q_full_run_marts(spark, sf_dir):
@@ -922,14 +919,17 @@ def o_quality_results_stored() -> str:
 def q_schema_inventory(spark, sf_dir):
     """Q27 over the raw feeds."""
     return suites.schema_inventory({n: df for n, df in fx.raw_feeds(spark, sf_dir).items() if n in suites.RAW_TABLES}).select(
-        "table_name", "column_name", "references")
+        "table_name", "column_name", "references", "row_count", "filled")
 
 
 def o_schema_inventory() -> str:
     keys = dict(x.split(" -> ") for x in O.RAW_FOREIGN_KEYS)
     cases = " ".join(f"WHEN table_name || '.' || column_name = '{k}' THEN '{v}'" for k, v in keys.items())
-    parts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, column_name FROM (DESCRIBE SELECT * FROM raw_{t})" for t in O.RAW_NOT_NULL)
-    return O.with_views(f'SELECT table_name, column_name, CASE {cases} END AS "references" FROM ({parts})', [f"raw_{t}" for t in O.RAW_NOT_NULL])
+    parts = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, column_name, filled, (SELECT count(*) FROM raw_{t}) AS row_count FROM "
+        f"(UNPIVOT (SELECT count(COLUMNS(*)) AS \"\\0\" FROM raw_{t}) ON COLUMNS(*) INTO NAME column_name VALUE filled)" for t in O.RAW_NOT_NULL)
+    return O.with_views(f'SELECT table_name, column_name, CASE {cases} END AS "references", row_count, filled FROM ({parts})',
+                        [f"raw_{t}" for t in O.RAW_NOT_NULL])
 
 
 def registry() -> dict:

@@ -30,7 +30,7 @@ def test_every_query_has_oracle():
 @pytest.mark.parametrize("name", ["fct_orders", "fct_daily_marketing_performance", "recon_marketing_spend_vs_revenue",
                                   "stg_products", "product_snapshot", "quarantine_products", "merge_change_feed",
                                   "list_orders_page", "raw_suite", "stream_evolution", "page_faults", "snapshot_any_order",
-                                  "merge_two_writers"])
+                                  "merge_two_writers", "list_movements_deep_pages", "schema_inventory"])
 def test_against_oracle(spark, name):
     con = duckdb.connect()
     for t in TABLES:
