@@ -264,3 +264,35 @@ print("IDS", sorted(r.id for r in t.read().collect()), t.cursor_micros())
                              env={**os.environ, "TZ": zone}, timeout=300)
         got.append([x for x in out.stdout.splitlines() if x.startswith("IDS")])
     assert got[0] == got[1] == ["IDS [1, 2] 1704121200000000"]
+
+
+def test_a_load_writes_its_rows_once(spark, scratch):
+    """What was handed over is the run; only repeats of a key or rows older than the table's make it write again."""
+    written = []
+
+    class Counting(merge.MergedTable):
+        def _written(self, frame):
+            written.append(super()._written(frame))
+            return written[-1]
+
+    table = Counting(spark, f"{scratch}/t")
+
+    def load(rows_, name, writes):
+        written.clear()
+        batch = spark.createDataFrame(rows_, SCHEMA)
+        table.upsert(batch, ["id"], name)
+        assert len(written) == writes
+        assert merge.ROW_ID not in {f["name"] for w in written for f in w["schema"]["fields"]}
+
+    load([(i, "a", ts(1)) for i in range(20)], "l1", 1)
+    load([(5, "b", ts(2)), (30, "b", ts(2))], "l2", 1)
+    load([(5, "c", ts(1)), (6, "c", ts(3))], "l3", 2)  # 5 is older than the table's
+    load([(7, "d", ts(3)), (7, "e", ts(4)), (7, "f", ts(2))], "l4", 2)  # all repeat
+    load([(8, "g", ts(4)), (8, "h", ts(5)), *[(i, "h", ts(5)) for i in range(9, 19)]], "l5", 2)  # one repeats
+    load([(5, "i", ts(1))], "l6", 1)  # nothing newer
+    want = {i: ("a", 1, "l1") for i in range(20)} | {5: ("b", 2, "l2"), 30: ("b", 2, "l2"), 6: ("c", 3, "l3"), 7: ("e", 4, "l4")}
+    want |= {i: ("h", 5, "l5") for i in range(8, 19)}
+    got = table.read()
+    assert {r[0]: (r[1], r[2].hour, r[merge.LOAD_ID]) for r in got.collect()} == want and table.row_count() == 21
+    ids = got.select(merge.ROW_ID, merge.row_id(["id"]).alias("again"), merge.LOAD_SEQ, merge.LOAD_ID).collect()
+    assert all(r[0] == r[1] and f"l{r[2]}" == r[3] for r in ids)

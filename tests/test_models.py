@@ -112,3 +112,12 @@ def test_recon_marketing_beyond_1e11(spark):
                               "clicks int, purchases int")
     r = recon.recon_marketing_spend_vs_revenue(f, "2024-01-01 00:00:00").first()
     assert r["roas"] == D("3") and r["cpa"] == D("500000000000")
+
+
+def test_lines_are_numbered_once_for_all_feeds_of_a_run(spark, scratch):
+    from tillroll.sources import fixtures as fx
+    plain, landed = fx.raw_feeds(spark, "/root/testdata/sf0.001"), fx.raw_feeds(spark, "/root/testdata/sf0.001", f"{scratch}/lines")
+    for name in ("order_items", "refunds", "inventory_movements"):
+        assert "Window" not in landed[name]._jdf.queryExecution().executedPlan().toString()
+        assert landed[name].dtypes == plain[name].dtypes
+        assert landed[name].exceptAll(plain[name]).isEmpty() and landed[name].count() == plain[name].count()
