@@ -496,9 +496,9 @@ def write_pages(df: DataFrame, path: str, pk: tuple[str, ...], page_size: int =
 
     Page numbers come from a global rank on the key; each page holds at most ``page_size``
     rows, so every ``collect_list`` group is bounded."""
-    n = df.count()
-    total_pages = max(1, -(-n // page_size))
     numbered = row_index(df, list(pk), "_rn")
+    n = numbered.count()  # of the rows that were put in order, not of the feed's plan again
+    total_pages = max(1, -(-n // page_size))
     pages = (numbered.groupBy((F.col("_rn") / page_size).cast("long").alias("_p"))
              .agg(F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.struct(*[F.col(c) for c in df.columns]).alias("row"))))
                   .alias("_rows")))
@@ -511,4 +511,4 @@ def write_pages(df: DataFrame, path: str, pk: tuple[str, ...], page_size: int =
         (F.col("_p") + 1 < total_pages).alias("has_next"),
         (F.col("_p") > 0).alias("has_previous"),
     )
-    out.write.mode("overwrite").json(path)
+    out.write.mode("overwrite").option("compression", "gzip").json(path)
