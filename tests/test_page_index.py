@@ -40,3 +40,17 @@ def test_a_page_reads_its_ranges_only(spark, scratch):
     data = StoredListing(spark, scratch).page(150, 100).data
     plan = data._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(id" in plan and "LessThanOrEqual(id" in plan
+
+
+def test_files_go_by_rows_and_equal_keys_stay_in_one_range(spark, scratch):
+    import os
+    ids = [i // 7 for i in range(700)] + [None] * 15
+    df = spark.createDataFrame([(i, 1) for i in ids], "id long, customer_id long")
+    store_listing(df, scratch, "orders", {"customer_id": 1}, range_rows=10)
+    assert sum(n.endswith(".parquet") for n in os.listdir(f"{scratch}/rows")) == 1  # 72 before, one a range
+    stored = StoredListing(spark, scratch)
+    ranges = stored.index.orderBy("before").collect()
+    assert len(ranges) > 40 and ranges[0].last_key is None and sum(r.rows for r in ranges) == 715
+    assert all(r.rows == 7 * (r.last_key - (-1 if r.after_key is None else r.after_key)) for r in ranges[1:])
+    for page, size in ((1, 20), (3, 20), (30, 20), (36, 20), (37, 20)):
+        both(df, stored, page, size)
