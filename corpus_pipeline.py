@@ -10,7 +10,7 @@ written as Parquet in between. All but the last return the columns of ``document
 3. repeats: long byte strings that occur earlier in the corpus are cut out; n_chars follows. A row
    whose text is all repeats stays, with an empty text.
 4. benchmark: documents contaminated with benchmark passages go.
-5. tokens: token ids of each document, with the digests of ids and decoded text.
+5. tokens: token ids of each document, with the digests of ids and decoded text, and its language, given or predicted.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(docs, bpe.vocabulary_text(), with_ids=True)
+    return bpe.encode_documents(docs, bpe.vocabulary_text(), with_ids=True, carry=("lang",))
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("repeats", repeats), ("benchmark", benchmark),

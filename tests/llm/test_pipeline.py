@@ -104,3 +104,15 @@ def test_predicted_language_fills_null_and_one_row_of_equals_stays(spark):
             (None, "other words stand here and here alone", "f"), (9, None, "g"), (9, None, "h"), (None, "", "i")]
     kept = near_dedup.kept_rows(spark.createDataFrame(rows, "doc_id long, text string, mark string")).collect()
     assert sorted(str((r.doc_id, r.text)) for r in kept) == sorted(str(r[:2]) for r in [rows[0], rows[4], *rows[6:]])
+
+
+def test_the_predicted_language_reaches_the_result(spark, tmp_path):
+    table = pq.read_table(f"{SF}/documents.parquet")
+    ids, langs = table["doc_id"].to_pylist(), table["lang"].to_pylist()
+    shown = pa.array([x if i % 3 else None for i, x in zip(ids, langs)], pa.string())
+    pq.write_table(table.set_column(table.column_names.index("lang"), "lang", shown), tmp_path / "documents.parquet")
+    pq.write_table(pq.read_table(f"{SF}/benchmark.parquet"), tmp_path / "benchmark.parquet")
+    got = {r.doc_id: r.lang for r in P.run(spark, str(tmp_path)).collect()}
+    given = dict(zip(ids, langs))
+    assert any(i % 3 == 0 for i in got) and all(got.values())
+    assert sum(got[i] == given[i] for i in got) >= 0.95 * len(got)

@@ -232,9 +232,9 @@ def _table(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-                     with_ids: bool = False, with_text: bool = False) -> DataFrame:
-    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, and on demand token_ids and
-    decoded_text. ``vocabulary`` is the text of a tokenizer file (fixed size, so it
+                     with_ids: bool = False, with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, and on demand token_ids,
+    decoded_text and the columns ``carry`` as they are. ``vocabulary`` is the text of a tokenizer file (fixed size, so it
     is sent to the workers). Each task streams its rows; nothing is shuffled. A null id stays null."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(vocabulary)
@@ -266,12 +266,14 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                     at += 1
                 kinds = [pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32())] * with_ids + [pa.string()] * with_text
                 cols = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at - len(rows), len(rows)), *cols], names)
+                own = [batch.column(i).slice(at - len(rows), len(rows)) for i in (0, *range(2, 2 + len(carry)))]
+                yield pa.RecordBatch.from_arrays([own[0], *cols, *own[1:]], names)
 
     schema = f"`{id_col}` {id_type.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     schema += ", token_ids array<int>" * with_ids + ", decoded_text string" * with_text
-    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * with_ids + ["decoded_text"] * with_text
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * with_ids + ["decoded_text"] * with_text + list(carry)
+    return docs.select(id_col, text_col, *carry).mapInArrow(run, schema)
 
 
 def vocabulary_text(path: str | None = None) -> str:
