@@ -61,3 +61,21 @@ def test_query_rows_nulls_and_clashing_columns(rows, library):
 def test_empty_table(rows):
     df = rows([], "doc_id long, text string")
     assert bpe.encode_documents(df, bpe.vocabulary_text()).count() == 0
+
+
+def test_a_new_word_costs_no_second_look_up_of_the_others():
+    from tillroll.llm import bpe
+
+    class Counted(dict):
+        gets = 0
+
+        def get(self, *a):
+            Counted.gets += 1
+            return dict.get(self, *a)
+
+    b = bpe.Bpe(bpe.vocabulary_text())
+    b.words = Counted()
+    text, long = "one two three " * 500, "x" * (bpe.MAX_WORD + 9)
+    first = b.encode(text)
+    assert b.encode(text + long) and Counted.gets == 0 and long not in b.words and " " + long not in b.words
+    assert b.decode(first) == text

@@ -78,6 +78,8 @@ class Bpe:
             key, out = (self.ids[a], self.ids[b]), self.ids[a + b]
             self.merged.setdefault(key, (rank, out))
             self.parts.setdefault(out, (rank, *key))
+        self.halves = [self.parts.get(i) for i in range(size)]
+        self.lengths = [len(t) for t in texts]
         self.automaton = ahocorasick.Automaton()
         for t, i in self.ids.items():
             self.automaton.add_word(t, i)
@@ -101,21 +103,24 @@ class Bpe:
         got = self.fits.get((a, b))
         if got is not None:
             return got
+        merged, halves = self.merged.get, self.halves
         x, y, ok = a, b, True
-        limit = None  # (rank, 0 or 1): merges of a lower rank happen before; 1 when equal ranks count as before
+        limit, ties = float("inf"), False  # merges of a lower rank happen before; with ties those of this rank, too
+        px, py = halves[x], halves[y]
         while True:
-            m = self.merged.get((x, y))
-            if m is not None and (limit is None or m[0] < limit[0] or (m[0] == limit[0] and limit[1])):
+            m = merged((x, y))
+            if m is not None and (m[0] < limit or ties and m[0] == limit):
                 ok = False
                 break
-            px, py = self.parts.get(x), self.parts.get(y)
-            if px is None and py is None:
-                break
             # Of equal ranks the left one merges first, so the right one is undone first.
-            if py is None or (px is not None and px[0] > py[0]):
-                limit, x = (px[0], 0), px[2]
+            if px is not None and (py is None or px[0] > py[0]):
+                limit, ties, x = px[0], False, px[2]
+                px = halves[x]
+            elif py is not None:
+                limit, ties, y = py[0], True, py[1]
+                py = halves[y]
             else:
-                limit, y = (py[0], 1), py[1]
+                break
         if len(self.fits) > 2_000_000:
             self.fits.clear()
         self.fits[(a, b)] = ok
@@ -138,25 +143,34 @@ class Bpe:
         matches = list(self.automaton.iter_long(word))
         compatible, fits, last = self.compatible, self.fits, -1
         for n, (_, t) in enumerate(matches):
-            if last >= 0 and not (fits.get((last, t)) or compatible(last, t)):
-                return self.backtrack(word, matches, n)
+            if last >= 0:
+                ok = fits.get((last, t))
+                if ok is None:
+                    ok = compatible(last, t)
+                if not ok:
+                    return self.backtrack(word, matches, n)
             last = t
         return [t for _, t in matches]
 
     def backtrack(self, word: str, matches: list[tuple[int, int]], good: int = 0) -> list[int]:
         """Tokens of ``word``; the first ``good`` of the automaton's matches are known to fit together."""
-        n, texts, fits, ids = len(word), self.texts, self.fits, self.ids
+        n, lengths, fits, ids = len(word), self.lengths, self.fits, self.ids
         longest = {}  # position -> longest token there; the automaton has given those of its own path
         for end, t in matches:
-            longest[end + 1 - len(texts[t])] = t
+            longest[end + 1 - lengths[t]] = t
         usable = bytearray(b"\x01") * (n + 1)
         out = [t for _, t in matches[:good]]
         at = matches[good - 1][0] + 1 if good else 0
         token = longest[at]
         while at < n:
             while True:
-                end = at + len(texts[token])
-                if usable[end] and (not out or fits.get((out[-1], token)) or self.compatible(out[-1], token)):
+                end = at + lengths[token]
+                ok = usable[end]
+                if ok and out:
+                    ok = fits.get((out[-1], token))
+                    if ok is None:
+                        ok = self.compatible(out[-1], token)
+                if ok:
                     out.append(token)
                     at = end
                     token = longest.get(at)
@@ -168,7 +182,7 @@ class Bpe:
                 if shorter is None:
                     usable[at] = 0
                     token = out.pop()
-                    at -= len(texts[token])
+                    at -= lengths[token]
                     break
                 token = shorter
         return out
@@ -182,18 +196,15 @@ class Bpe:
                 found.append(np.uint32(self.added[part]).tobytes())
                 continue
             chunks = self.chunks(part)
-            try:
-                found.extend([words[c] for c in chunks])
-            except KeyError:
-                if len(words) > CACHE_WORDS:
-                    words.clear()
-                for c in chunks:
-                    got = words.get(c)
-                    if got is None:
-                        got = self._chunk(c)
-                        if len(c) <= MAX_WORD:
-                            words[c] = got
-                    found.append(got)
+            if len(words) > CACHE_WORDS:
+                words.clear()
+            new = set(chunks).difference(words)
+            for c in new:
+                words[c] = self._chunk(c)
+            found.extend([words[c] for c in chunks])
+            for c in new:
+                if len(c) > MAX_WORD:  # not kept beyond this text
+                    del words[c]
         return b"".join(found)
 
     def _chunk(self, chunk: str) -> bytes:
