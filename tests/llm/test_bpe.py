@@ -79,3 +79,29 @@ def test_a_new_word_costs_no_second_look_up_of_the_others():
     first = b.encode(text)
     assert b.encode(text + long) and Counted.gets == 0 and long not in b.words and " " + long not in b.words
     assert b.decode(first) == text
+
+
+def test_look_up_tables_stay_small_whatever_the_input(library, monkeypatch):
+    limits = {"CACHE_WORDS": 40, "CACHE_PIECES": 30, "CACHE_PAIRS": 50, "SLAB_WORDS": 20}
+    for name, n in limits.items():
+        monkeypatch.setattr(bpe, name, n, raising=False)
+    b, rng = bpe.Bpe(bpe.vocabulary_text()), random.Random(5)
+
+    def words(n):
+        return " ".join("".join(rng.choices("aeinorst12,.é", k=rng.randint(1, 9))) for _ in range(n))
+
+    for n in (*range(30), 900, 3, 200):
+        text = words(n)
+        assert b.encode(text) == library.encode(text, add_special_tokens=False).ids
+        for name, most in (("words", 60), ("pieces", 30), ("fits", 50)):
+            assert len(getattr(b, name)) <= most and len(getattr(b, f"older_{name}", ())) <= most
+
+
+def test_a_word_in_use_outlives_a_full_table(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 10)
+    b = bpe.Bpe(bpe.vocabulary_text())
+    encoded, own = [], b._chunk
+    b._chunk = lambda c: encoded.append(c) or own(c)
+    for i in range(200):
+        b.encode(f"often seen, n{i}")
+    assert encoded.count("often") == encoded.count(" seen,") == 1 and len(encoded) == 202

@@ -35,10 +35,16 @@ PATTERN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p
 #: A run without white space and the one space before it, or white space: the pattern cuts each
 #: of these by itself, so they can be looked up whole.
 CHUNKS = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: Entries of each of a task's two look-up tables, which start anew beyond that.
-CACHE_WORDS = 800_000
+#: Entries of a task's look-up tables of words, pieces and token pairs. A full table becomes the older of two
+#: generations, and what is met again there moves to the new one: a task keeps what it uses often and holds at
+#: most two tables of each, however large its input is.
+CACHE_WORDS = 200_000
+CACHE_PIECES = 100_000
+CACHE_PAIRS = 200_000
+#: Words of a text that are looked up at a time.
+SLAB_WORDS = 50_000
 MAX_WORD = 64
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -87,7 +93,8 @@ class Bpe:
         self.shorter = {}
         self.fits: dict[tuple[int, int], bool] = {}
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.older_fits, self.older_words, self.older_pieces = {}, {}, {}
         self.find, self.chunks = regex.compile(PATTERN).findall, re.compile(CHUNKS).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") \
             if self.added else None
@@ -97,21 +104,29 @@ class Bpe:
     # -------------------------------------------------------------- encoding
 
     def compatible(self, a: int, b: int) -> bool:
-        """Whether merging the bytes of ``a`` and ``b`` ends with the boundary between them kept.
-        Merges are undone from the last to the first along the boundary; at each step the pair
-        that then touches it must not merge before the merge that was undone."""
+        """Whether merging the bytes of ``a`` and ``b`` ends with the boundary between them kept."""
         got = self.fits.get((a, b))
         if got is not None:
             return got
+        if len(self.fits) >= CACHE_PAIRS:
+            self.older_fits, self.fits = self.fits, {}
+        ok = self.older_fits.get((a, b))
+        if ok is None:
+            ok = self._stay_apart(a, b)
+        self.fits[(a, b)] = ok
+        return ok
+
+    def _stay_apart(self, a: int, b: int) -> bool:
+        """Merges are undone from the last to the first along the boundary; at each step the pair
+        that then touches it must not merge before the merge that was undone."""
         merged, halves = self.merged.get, self.halves
-        x, y, ok = a, b, True
+        x, y = a, b
         limit, ties = float("inf"), False  # merges of a lower rank happen before; with ties those of this rank, too
         px, py = halves[x], halves[y]
         while True:
             m = merged((x, y))
             if m is not None and (m[0] < limit or ties and m[0] == limit):
-                ok = False
-                break
+                return False
             # Of equal ranks the left one merges first, so the right one is undone first.
             if px is not None and (py is None or px[0] > py[0]):
                 limit, ties, x = px[0], False, px[2]
@@ -120,11 +135,7 @@ class Bpe:
                 limit, ties, y = py[0], True, py[1]
                 py = halves[y]
             else:
-                break
-        if len(self.fits) > 2_000_000:
-            self.fits.clear()
-        self.fits[(a, b)] = ok
-        return ok
+                return True
 
     def _prefix(self, token: int) -> int | None:
         """The longest token that is a proper prefix of ``token``."""
@@ -190,37 +201,50 @@ class Bpe:
     def packed(self, text: str) -> bytes:
         """Ids of one text as little-endian uint32."""
         parts = self.cut.split(text) if self.cut else [text]
-        words, found = self.words, []
+        found = []
         for k, part in enumerate(parts):
             if k % 2:
                 found.append(np.uint32(self.added[part]).tobytes())
                 continue
             chunks = self.chunks(part)
-            if len(words) > CACHE_WORDS:
-                words.clear()
-            new = set(chunks).difference(words)
-            for c in new:
-                words[c] = self._chunk(c)
-            found.extend([words[c] for c in chunks])
-            for c in new:
-                if len(c) > MAX_WORD:  # not kept beyond this text
-                    del words[c]
+            for at in range(0, len(chunks), SLAB_WORDS):
+                found.extend(self._looked_up(chunks[at:at + SLAB_WORDS]))
         return b"".join(found)
 
+    def _looked_up(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each word of ``chunks``."""
+        if len(self.words) >= CACHE_WORDS:
+            self.older_words, self.words = self.words, {}
+        words, older = self.words, self.older_words
+        new = set(chunks).difference(words)
+        for c in new:
+            got = older.get(c)
+            words[c] = self._chunk(c) if got is None else got
+        found = [words[c] for c in chunks]
+        for c in new:
+            if len(c) > MAX_WORD:  # not kept beyond these words
+                del words[c]
+        return found
+
     def _chunk(self, chunk: str) -> bytes:
-        pieces, found = self.pieces, []
-        if len(pieces) > CACHE_WORDS:
-            pieces.clear()
         word = chunk[1:] if chunk[0] == " " else chunk
         # Letters of ASCII are one piece whatever the pattern's other branches say.
-        for p in (chunk,) if word.isascii() and word.isalpha() else self.find(chunk):
-            got = pieces.get(p)
+        cut = (chunk,) if word.isascii() and word.isalpha() else self.find(chunk)
+        if len(cut) == 1:  # kept as a word
+            return array("I", self.encode_piece(chunk)).tobytes()
+        found = []
+        for p in cut:
+            got = self.pieces.get(p)
             if got is None:
-                got = self.encode_piece(p)
+                got = self.older_pieces.get(p)
+                if got is None:
+                    got = array("I", self.encode_piece(p)).tobytes()
                 if len(p) <= MAX_WORD:
-                    pieces[p] = got
-            found += got
-        return array("I", found).tobytes()
+                    if len(self.pieces) >= CACHE_PIECES:
+                        self.older_pieces, self.pieces = self.pieces, {}
+                    self.pieces[p] = got
+            found.append(got)
+        return b"".join(found)
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), "<u4").tolist()
@@ -279,6 +303,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 cols = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
                 own = [batch.column(i).slice(at - len(rows), len(rows)) for i in (0, *range(2, 2 + len(carry)))]
                 yield pa.RecordBatch.from_arrays([own[0], *cols, *own[1:]], names)
+                del rows, cols, own
+                release()
 
     schema = f"`{id_col}` {id_type.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     schema += ", token_ids array<int>" * with_ids + ", decoded_text string" * with_text
