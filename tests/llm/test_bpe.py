@@ -105,3 +105,32 @@ def test_a_word_in_use_outlives_a_full_table(monkeypatch):
     for i in range(200):
         b.encode(f"often seen, n{i}")
     assert encoded.count("often") == encoded.count(" seen,") == 1 and len(encoded) == 202
+
+
+def test_pieces_side_by_side_equal_the_library(tables, library, monkeypatch):
+    monkeypatch.setattr(bpe, "FEW", 1, raising=False)
+    monkeypatch.setattr(bpe, "PAIR_SLOTS", 64, raising=False)
+    b, rng = bpe.Bpe(bpe.vocabulary_text()), random.Random(6)
+    words = ["".join(rng.choices("abcdefghilmnorstu éß日😀\xff\xa0\n'$1", k=rng.randint(1, 40))) for _ in range(4000)]
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert [bpe.np.frombuffer(p, "<u4").tolist() for p in b.packed_texts(words)] == want
+    pieces = ["".join(rng.choices("aeinorst", k=rng.randint(1, 60))) for _ in range(3000)]
+    assert b.encode_pieces(pieces) == [bpe.np.array(b.encode_piece(p), "<u4").tobytes() for p in pieces]
+
+
+def test_words_of_many_texts_are_encoded_side_by_side(library, monkeypatch):
+    b, rng, calls = bpe.Bpe(bpe.vocabulary_text()), random.Random(7), []
+    own = b.encode_pieces
+    monkeypatch.setattr(b, "encode_pieces", lambda pieces: calls.append(len(pieces)) or own(pieces))
+    monkeypatch.setattr(b, "encode_piece", lambda piece, one=b.encode_piece: calls.append(1) or one(piece))
+    texts = [" ".join("".join(rng.choices("aeinorst", k=9)) for _ in range(20)) for _ in range(100)]
+    texts[50:50] = ["", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", texts[3]]
+    got = [bpe.np.frombuffer(p, "<u4").tolist() for p in b.packed_texts(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(calls) > 1900 and len(calls) < 100
+
+
+def test_letters_and_marks_are_cut_as_the_pattern_does(tables):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for word in [*points, *(" " + c for c in points), "don't", "it's,", "'s", " 's", "a''s", "x'", "é$$$", " a.%%%", "a1!", " ,,", "!"]:
+        assert list(tables._chunk(word)) == tables.find(word)
