@@ -10,6 +10,7 @@ from tillroll.plans.models import RetailModels
 from tillroll.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
+MOST_EXCHANGES = 30
 
 
 def load(spark, root, tables, number):
@@ -74,3 +75,27 @@ def test_versions_no_longer_kept(spark, scratch):
     assert run.raw_table(spark, scratch, "customers").manifest(1) is None
     order_facts.refresh_order_facts(spark, scratch)
     same_as_built(spark, scratch)
+
+
+def test_a_refresh_is_several_queries(spark, scratch, monkeypatch):
+    """The driver holds all stages of a query until it ends: the query that writes the fact must not have those of every table."""
+    import os
+    upsert, plans = run.merge.MergedTable.upsert, []
+
+    def seen(table, batch, *args, **kw):
+        if table.root.endswith("fct_orders_live"):
+            plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        return upsert(table, batch, *args, **kw)
+
+    monkeypatch.setattr(run.merge.MergedTable, "upsert", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        for number, tables in enumerate(Q.order_loads(fx.raw_feeds(spark, SF)), 1):
+            load(spark, scratch, tables, number)
+            order_facts.refresh_order_facts(spark, scratch)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    same_as_built(spark, scratch)
+    assert len(plans) == 3 and max(p.count("Exchange") for p in plans) <= MOST_EXCHANGES
+    assert not any("order_items" in p for p in plans[1:])
+    assert os.listdir(f"{scratch}/mart/fct_orders_live/building") == []
